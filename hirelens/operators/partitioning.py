@@ -1,0 +1,20 @@
+"""Partition-count guard for CPU-heavy per-row work (text matching, regexes)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer splits than cores.
+
+    A Parquet file with one row group arrives as a single partition, which
+    serialises regex/substring work on one core. Large inputs already arrive in
+    many splits and pass through untouched, so this adds no shuffle at scale.
+    Spark sorts before a round-robin repartition, so a retried task yields the
+    same rows (safe under executor loss).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
