@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import bindings, oracle
+from . import bindings, bindings_ops, oracle, oracle_ops
 
 QUERIES = {}
 QUERIES.update(bindings.MART_QUERIES)
+QUERIES.update(bindings_ops.OP_QUERIES)
 
-ORACLE_SQL = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
+_SQL = dict(oracle.SQL)
+_SQL.update(oracle_ops.SQL)
+ORACLE_SQL = {k: v for k, v in _SQL.items() if k in QUERIES}
