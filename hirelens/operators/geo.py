@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import is_region_code, normalize_state
 from ..functions import taxonomy as tx
+from .stats import distinct_with_stats
 
 
 def geo_rollup(df: DataFrame, state_col: str, id_col: str, value_col: str, role_col: str,
                pivots: Sequence[tuple[str, str]] = tx.LOCATION_PIVOTS,
                names: Mapping[str, str] = tx.US_STATES, exclude: Sequence[str] = ("US",),
-               min_count: int = 3, approx: bool = False) -> DataFrame:
+               min_count: int = 3) -> DataFrame:
     """Per normalised region code: distinct ids, median / avg value, role counts.
 
     Pivot columns are conditional counts with a fixed schema (not ``pivot``,
@@ -25,10 +26,9 @@ def geo_rollup(df: DataFrame, state_col: str, id_col: str, value_col: str, role_
     src = df.where(F.col(state_col).isNotNull()).select(
         F.col(id_col), F.col(value_col), F.col(role_col), code.alias("state_code"))
     src = src.where(is_region_code("state_code", exclude))
-    med = (F.percentile_approx(F.col(value_col), 0.5, 10000).cast("double") if approx
-           else F.median(F.col(value_col)))
-    aggs = [F.count_distinct(F.col(id_col)).alias("job_count"),
-            F.round(med, 0).alias("median_salary"),
-            F.round(F.avg(F.col(value_col)), 0).alias("avg_salary")]
-    aggs += [F.count_if(F.col(role_col) == F.lit(label)).alias(name) for label, name in pivots]
-    return src.groupBy("state_code").agg(*aggs).where(F.col("job_count") >= min_count)
+    return distinct_with_stats(
+        src, ["state_code"], id_col, value_col, count_name="job_count", avg_name="avg_salary",
+        quantiles={"median_salary": 0.5},
+        counts={name: F.col(role_col) == F.lit(label) for label, name in pivots},
+    ).select("state_code", "job_count", "median_salary", "avg_salary", *[n for _, n in pivots]).where(
+        F.col("job_count") >= min_count)

@@ -11,13 +11,14 @@ lexicon (a literal array of bounded size) travels with the plan.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ColumnOrName, col, ratio_pct
 from .partitioning import spread
+from .stats import distinct_with_stats
 
 
 def unique_words(words: Sequence[str]) -> list[str]:
@@ -35,14 +36,15 @@ def _word_pattern(w: str) -> str:
     return r"(?<![\p{L}\p{N}_])" + re.escape(w) + r"(?![\p{L}\p{N}_])"
 
 
-def matched_words(text: ColumnOrName, lexicon: Sequence[str], mode: str = "substring") -> Column:
+def matched_words(text: ColumnOrName, lexicon: Sequence[str], mode: str = "substring",
+                  lowered: bool = False) -> Column:
     """array<string> of lexicon entries found in ``lower(text)``.
 
     ``mode="substring"`` is the pipeline's LIKE semantics (``java`` also hits
     ``javascript``); ``mode="word"`` requires non-word characters around a hit.
     """
     words = unique_words(w.lower() for w in lexicon)
-    t = F.lower(col(text))
+    t = col(text) if lowered else F.lower(col(text))
     if mode == "substring":
         return F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(t, w))
     if mode == "word":
@@ -52,24 +54,30 @@ def matched_words(text: ColumnOrName, lexicon: Sequence[str], mode: str = "subst
 
 
 def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str], keep: Sequence[ColumnOrName] = (),
-                  out: str = "skill", min_len: int | None = 100, mode: str = "substring") -> DataFrame:
-    """One row per (input row, matched word): ``keep`` columns + ``out``.
+                  out: str = "skill", min_len: int | None = 100, mode: str = "substring",
+                  attrs: DataFrame | None = None, on: str | None = None) -> DataFrame:
+    """One row per (input row, matched word): ``keep`` columns (+ ``attrs``) + ``out``.
 
     Rows with a NULL text or a text of ``min_len`` characters or fewer are
     skipped (the ``length > 100`` guard). Lower-casing happens once per row.
+
+    When the row attributes live in another table (``attrs``, joined on
+    ``on``), matching runs first on the text table and only ``(keep, words)``
+    rows with at least one hit enter the join — the text never crosses a
+    shuffle.
     """
     src = df
     if min_len is not None:
         src = src.where(F.col(text).isNotNull() & (F.length(F.col(text)) > min_len))
     src = spread(src.select(*[col(k) for k in keep], F.lower(F.col(text)).alias("_text")))
-    hits = matched_words("_text", lexicon, mode)
-    return src.select(*[F.col(c) for c in src.columns if c != "_text"], F.explode(hits).alias(out))
-
-
-def _quantile(value: str, p: float, approx: bool) -> Column:
-    if approx:
-        return F.percentile_approx(F.col(value), p, 10000).cast("double")
-    return F.median(F.col(value)) if p == 0.5 else F.percentile(F.col(value), F.lit(p))
+    hits = matched_words("_text", lexicon, mode, lowered=True)
+    kept = [F.col(c) for c in src.columns if c != "_text"]
+    if attrs is None:
+        return src.select(*kept, F.explode(hits).alias(out))
+    # Explode before the join: a filter on the hit array would be pushed below
+    # the repartition and evaluate the matcher twice.
+    words = src.select(*kept, F.explode(hits).alias(out))
+    return words.join(attrs, on)
 
 
 def lexicon_demand(matches: DataFrame, keys: Sequence[str], id_col: str, value_col: str | None = None,
@@ -77,46 +85,61 @@ def lexicon_demand(matches: DataFrame, keys: Sequence[str], id_col: str, value_c
                    median_name: str | None = "median_salary", level_col: str | None = None,
                    senior_values: Sequence[str] = (), senior_name: str | None = "senior_count",
                    min_count: int = 10, min_inclusive: bool = False, rank_name: str = "demand_rank",
-                   rank_within: Sequence[str] = (), approx: bool = False) -> DataFrame:
+                   rank_within: Sequence[str] = ()) -> DataFrame:
     """Aggregate matches per key: distinct ids, pay stats, senior count, rank.
 
     Keeps groups with ``count > min_count`` (or ``>=`` when ``min_inclusive``)
     and ranks them by count (``rank()``, ties share a rank) within
-    ``rank_within``. ``count(distinct id)`` is exact; Spark splits it by
-    (key, id) before the final count, so a hot key spreads over reducers.
+    ``rank_within``. ``count(distinct id)`` is exact and the median is the
+    exact interpolated one (see ``stats.distinct_with_stats``).
     The rank window runs on the aggregated frame, whose size is bounded by the
     lexicon size times the number of ``rank_within`` groups.
     """
-    aggs = [F.count_distinct(F.col(id_col)).alias(count_name)]
-    if value_col and avg_name:
-        aggs.append(F.round(F.avg(F.col(value_col)), 0).alias(avg_name))
-    if value_col and median_name:
-        aggs.append(F.round(_quantile(value_col, 0.5, approx), 0).alias(median_name))
-    if level_col and senior_name:
-        aggs.append(F.count_if(F.col(level_col).isin(list(senior_values))).alias(senior_name))
-    g = matches.groupBy(*keys).agg(*aggs)
+    g = distinct_with_stats(
+        matches, keys, id_col, value_col, count_name=count_name,
+        avg_name=avg_name if value_col else None,
+        quantiles={median_name: 0.5} if (value_col and median_name) else None,
+        counts={senior_name: F.col(level_col).isin(list(senior_values))} if (level_col and senior_name) else None)
     keep = (F.col(count_name) >= min_count) if min_inclusive else (F.col(count_name) > min_count)
     w = Window.partitionBy(*rank_within).orderBy(F.col(count_name).desc())
     return g.where(keep).withColumn(rank_name, F.rank().over(w).cast("long"))
 
 
-def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, gate: Column,
-                       lexicon: Sequence[str], min_count: int = 3, count_name: str = "ai_job_count",
-                       median_name: str = "median_salary", pct_name: str = "pct_of_ai_jobs",
-                       rank_name: str = "skill_rank", mode: str = "substring", approx: bool = False) -> DataFrame:
-    """Which lexicon words occur in rows passing ``gate``, and their share.
-
-    The denominator (distinct ids passing the gate) is a one-row aggregate; it
-    is attached with a broadcast cross join of exactly one row.
+def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, lexicon: Sequence[str],
+                       text_regex: str, title: str | None = None, title_regex: str | None = None,
+                       min_len: int = 100, min_count: int = 3, attrs: DataFrame | None = None,
+                       count_name: str = "ai_job_count", median_name: str = "median_salary",
+                       pct_name: str = "pct_of_ai_jobs", rank_name: str = "skill_rank",
+                       mode: str = "substring") -> DataFrame:
+    """Which lexicon words occur in rows passing a topic gate, and their share.
+
+    Gate: text present, longer than ``min_len``, and text matches
+    ``text_regex`` OR title matches ``title_regex``. The text-side work (gate
+    regex and word matching) is one narrow pass over the text table; only
+    ``(id, text_hit, words)`` rows meet ``attrs`` (title, value) in the join.
+    The denominator (distinct ids passing the gate) comes out of the same
+    aggregation as the per-word counts.
     """
-    gated = df.where(gate).select(F.col(id_col), F.col(text), F.col(value_col))
-    total = gated.agg(F.count_distinct(F.col(id_col)).alias("_total"))
-    m = lexicon_match(gated, text, lexicon, keep=[id_col, value_col], out="skill", min_len=None, mode=mode)
-    g = (m.groupBy("skill")
-         .agg(F.count_distinct(F.col(id_col)).alias(count_name),
-              F.round(_quantile(value_col, 0.5, approx), 0).alias(median_name))
-         .where(F.col(count_name) >= min_count))
-    g = g.crossJoin(F.broadcast(total))
+    present = F.col(text).isNotNull() & (F.length(F.col(text)) > min_len)
+    carry = [c for c in (title, value_col) if c and c in df.columns and c != id_col]
+    src = spread(df.where(present).select(F.col(id_col), *carry, F.lower(F.col(text)).alias("_text")))
+    narrow = src.select(F.col(id_col), *carry, F.col("_text").rlike(text_regex).alias("_text_hit"),
+                        matched_words("_text", lexicon, mode, lowered=True).alias("_words"))
+    if attrs is not None:
+        narrow = narrow.join(attrs, id_col)
+    gate = F.col("_text_hit")
+    if title and title_regex:
+        gate = gate | F.coalesce(F.lower(F.col(title)).rlike(title_regex), F.lit(False))
+    gated = narrow.where(gate).select(F.col(id_col), F.col(value_col), "_words")
+    # One pass: every gated row also lands in a NULL-word group whose distinct
+    # count is the denominator, so the text side is never evaluated twice.
+    with_total = F.concat(F.col("_words"), F.array(F.lit(None).cast("string")))
+    m = gated.select(F.col(id_col), F.col(value_col), F.explode(with_total).alias("skill"))
+    g = distinct_with_stats(m, ["skill"], id_col, value_col, count_name=count_name,
+                            quantiles={median_name: 0.5})
+    # The aggregated frame has at most len(lexicon) + 1 rows: a global window is cheap.
+    g = g.withColumn("_total", F.max(F.when(F.col("skill").isNull(), F.col(count_name))).over(Window.partitionBy()))
+    g = g.where(F.col("skill").isNotNull() & (F.col(count_name) >= min_count))
     w = Window.orderBy(F.col(count_name).desc())
     return g.select("skill", count_name, median_name,
                     ratio_pct(count_name, "_total", 1).alias(pct_name),
@@ -135,6 +158,3 @@ def bnlj_cross_check(df: DataFrame, text: str, lexicon: Sequence[str], keep: Seq
     j = src.crossJoin(F.broadcast(lex)).where(F.col("_text").contains(F.col(out)))
     return j.select(*keep, out)
 
-
-def demand_map(counts: Mapping[str, int]) -> dict[str, int]:
-    return dict(counts)

@@ -65,3 +65,58 @@ def salary_stats(df: DataFrame, keys: Sequence[str | Column], value: str, stats:
             q = 0.5 if spec == "median" else spec
             out.append(fmt(F.element_at(F.col("_q"), quantiles.index(q) + 1), spec).alias(name))
     return g.select(*out)
+
+
+def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value: str | None,
+                        count_name: str = "job_count", avg_name: str | None = None,
+                        quantiles: Mapping[str, float] | None = None, counts: Mapping[str, Column] | None = None,
+                        mins: Mapping[str, str] | None = None, digits: int | None = 0) -> DataFrame:
+    """Per key: ``count(distinct id)`` plus avg / exact quantiles / conditional
+    counts / mins over all rows, in one pass and without a quantile buffer per
+    (key, id) group.
+
+    Each row is emitted twice (an explicit Expand): an *id row* (key, id) and
+    a *value row* (key, value, flags). Stage 1 aggregates both kinds by
+    (key, kind, id, value) — plain codegen'd hash aggregation with map-side
+    combine, so a hot key is pre-aggregated before the shuffle. Stage 2 per
+    key counts the id rows (= distinct ids) and computes the
+    frequency-weighted ``percentile(value, p, n)`` over value rows, which is
+    identical to the unweighted percentile of the original rows. Its buffer is
+    bounded by the distinct values of a key, not its row count.
+    """
+    counts, mins, quantiles = dict(counts or {}), dict(mins or {}), dict(quantiles or {})
+    cnames = [f"_c{i}" for i in range(len(counts))]
+    mnames = [f"_m{i}" for i in range(len(mins))]
+    v = (F.col(value) if value else F.lit(None)).cast("double")
+    null_flags = [F.lit(None).cast("boolean").alias(n) for n in cnames]
+    id_row = F.struct(F.lit(1).alias("_k"), F.col(id_col).alias("_id"), F.lit(None).cast("double").alias("_v"),
+                      *null_flags, *[F.lit(None).cast(df.schema[c].dataType).alias(n) for n, c in zip(mnames, mins.values())])
+    val_row = F.struct(F.lit(0).alias("_k"), F.lit(None).cast(df.schema[id_col].dataType).alias("_id"), v.alias("_v"),
+                       *[c.alias(n) for n, c in zip(cnames, counts.values())],
+                       *[F.col(c).alias(n) for n, c in zip(mnames, mins.values())])
+    x = df.select(*[F.col(k) for k in keys], F.explode(F.array(id_row, val_row)).alias("_r")).select(
+        *[F.col(k) for k in keys], "_r.*")
+    s1 = x.groupBy(*keys, "_k", "_id", "_v").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(n)).alias(n) for n in cnames],
+        *[F.min(n).alias(n) for n in mnames])
+    is_val = F.col("_k") == 0
+    ps = list(dict.fromkeys(quantiles.values()))
+    aggs = [F.count_if((F.col("_k") == 1) & F.col("_id").isNotNull()).alias(count_name)]
+    if avg_name:
+        num = F.sum(F.when(is_val, F.col("_v") * F.col("_n")))
+        den = F.sum(F.when(is_val & F.col("_v").isNotNull(), F.col("_n")))
+        aggs.append((num / den).alias("_avg"))
+    if ps:
+        aggs.append(F.percentile(F.when(is_val, F.col("_v")), F.array(*[F.lit(p) for p in ps]), F.col("_n"))
+                    .alias("_q"))
+    aggs += [F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in cnames]
+    aggs += [F.min(n).alias(n) for n in mnames]
+    g = s1.groupBy(*keys).agg(*aggs)
+    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    out = [F.col(k) for k in keys] + [F.col(count_name)]
+    if avg_name:
+        out.append(rnd(F.col("_avg")).alias(avg_name))
+    out += [rnd(F.element_at("_q", ps.index(p) + 1)).alias(n) for n, p in quantiles.items()]
+    out += [F.col(c).alias(n) for c, n in zip(cnames, counts)]
+    out += [F.col(m).alias(n) for m, n in zip(mnames, mins)]
+    return g.select(*out)

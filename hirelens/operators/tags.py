@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import month_start, ratio_pct
+from .stats import distinct_with_stats
 
 
 def tag_demand(tags: DataFrame, facts: DataFrame, id_col: str = "job_id", tag_col: str = "skill_id",
                ts_col: str = "listed_at", value_col: str = "annual_salary_est",
                type_col: str = "work_type", fulltime_value: str = "FULL_TIME",
-               level_col: str = "experience_level", senior_values: Sequence[str] = ("EN", "EX"),
-               approx: bool = False) -> DataFrame:
+               level_col: str = "experience_level", senior_values: Sequence[str] = ("EN", "EX")) -> DataFrame:
     """Per tag: distinct tagged ids, pay stats of the matched facts, counts, rank.
 
     ``tags ⟕ facts`` on the id is a plain equi-join: Catalyst/AQE choose
@@ -23,22 +23,15 @@ def tag_demand(tags: DataFrame, facts: DataFrame, id_col: str = "job_id", tag_co
     """
     f = facts.select(F.col(id_col).alias("_fid"), ts_col, value_col, type_col, level_col)
     j = tags.select(F.col(id_col), F.col(tag_col)).join(f, F.col(id_col) == F.col("_fid"), "left")
-    med = (F.percentile_approx(F.col(value_col), 0.5, 10000).cast("double") if approx
-           else F.median(F.col(value_col)))
-    g = j.groupBy(tag_col).agg(
-        F.count_distinct(F.col(id_col)).alias("job_count"),
-        F.avg(F.col(value_col)).alias("_avg"),
-        med.alias("_med"),
-        F.count_if(F.col(type_col) == F.lit(fulltime_value)).alias("fulltime_count"),
-        F.count_if(F.col(level_col).isin(list(senior_values))).alias("senior_count"),
-        F.min(F.col(ts_col)).alias("_first"),
-    )
+    g = distinct_with_stats(
+        j, [tag_col], id_col, value_col, count_name="job_count", avg_name="avg_salary",
+        quantiles={"median_salary": 0.5},
+        counts={"fulltime_count": F.col(type_col) == F.lit(fulltime_value),
+                "senior_count": F.col(level_col).isin(list(senior_values))},
+        mins={"_first": ts_col})
     w = Window.orderBy(F.col("job_count").desc())
     return g.select(
-        tag_col, "job_count",
-        F.round("_avg", 0).alias("avg_salary"),
-        F.round("_med", 0).alias("median_salary"),
-        "fulltime_count", "senior_count",
+        tag_col, "job_count", "avg_salary", "median_salary", "fulltime_count", "senior_count",
         ratio_pct("senior_count", "job_count", 1).alias("senior_pct"),
         month_start("_first").alias("first_seen_month"),
         F.rank().over(w).cast("long").alias("demand_rank"),

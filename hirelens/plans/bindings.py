@@ -41,18 +41,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def doc_postings(spark: SparkSession, sf_dir: str, with_title: bool = False) -> DataFrame:
-    """documents ⋈ orders (o_orderkey = doc_id) [⋈ part (p_partkey = doc_id)] as postings."""
+def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as the text table of postings: job_id, description, lang."""
     d = table(spark, sf_dir, "documents")
-    o = table(spark, sf_dir, "orders")
-    j = d.join(o, d.doc_id == o.o_orderkey)
-    cols = [F.col("doc_id").alias("job_id"), F.col("text").alias("description"), "lang",
-            F.col("o_totalprice").alias("annual_salary_est"), F.col("o_orderpriority").alias("experience_level")]
+    return d.select(F.col("doc_id").alias("job_id"), F.col("text").alias("description"), "lang")
+
+
+def doc_attrs(spark: SparkSession, sf_dir: str, with_title: bool = False) -> DataFrame:
+    """Posting attributes keyed like the documents: orders (o_orderkey = doc_id)
+    for pay and level [⋈ part (p_partkey = doc_id) for the title]."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("job_id"), F.col("o_totalprice").alias("annual_salary_est"),
+        F.col("o_orderpriority").alias("experience_level"))
     if with_title:
-        p = table(spark, sf_dir, "part")
-        j = j.join(p, j.doc_id == p.p_partkey)
-        cols.append(F.col("p_name").alias("job_title"))
-    return j.select(*cols)
+        p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("job_id"), F.col("p_name").alias("job_title"))
+        o = o.join(p, "job_id")
+    return o
 
 
 def line_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,16 +73,19 @@ def level_of_priority() -> F.Column:
 # --- marts ----------------------------------------------------------------------
 
 def q_mart_tech_skills(spark, sf_dir):
-    return marts.tech_skills(doc_postings(spark, sf_dir), lexicon=WORDS, senior_values=SENIOR_PRIORITIES)
+    return marts.tech_skills(doc_texts(spark, sf_dir), lexicon=WORDS, senior_values=SENIOR_PRIORITIES,
+                             attrs=doc_attrs(spark, sf_dir))
 
 
 def q_mart_tech_skills_by_role(spark, sf_dir):
-    return marts.tech_skills_by_role(doc_postings(spark, sf_dir), lexicon=WORDS, role_col="lang")
+    return marts.tech_skills_by_role(doc_texts(spark, sf_dir), lexicon=WORDS, role_col="lang",
+                                     attrs=doc_attrs(spark, sf_dir).drop("experience_level"))
 
 
 def q_mart_topic_cooccurrence(spark, sf_dir):
-    return marts.topic_skill_cooccurrence(doc_postings(spark, sf_dir, with_title=True), lexicon=WORDS,
-                                          text_regex=TOPIC_TEXT, title_regex=TOPIC_TITLE)
+    return marts.topic_skill_cooccurrence(doc_texts(spark, sf_dir), lexicon=WORDS, text_regex=TOPIC_TEXT,
+                                          title_regex=TOPIC_TITLE,
+                                          attrs=doc_attrs(spark, sf_dir, with_title=True).drop("experience_level"))
 
 
 def q_mart_salary_by_role(spark, sf_dir):

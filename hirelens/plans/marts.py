@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import taxonomy as tx
-from ..functions.classify import (classify, company_tier, seniority_label, seniority_order, tier_order,
-                                  topic_gate)
+from ..functions.classify import classify, company_tier, seniority_label, seniority_order, tier_order
 from ..functions.expr import in_window
 from ..operators.geo import geo_rollup
 from ..operators.lexicon import lexicon_demand, lexicon_match, topic_cooccurrence
@@ -125,13 +124,17 @@ def skill_demand(tags: DataFrame, postings: DataFrame, fulltime_value: str = "FU
 def tech_skills(postings: DataFrame, id_col: str = "job_id", text: str = "description",
                 value: str = "annual_salary_est", level: str = "experience_level",
                 lexicon: Sequence[str] = tx.LEXICON_DEMAND, senior_values: Sequence[str] = ("EX", "DI"),
-                min_count: int = 10, min_len: int = 100, mode: str = "substring") -> DataFrame:
+                min_count: int = 10, min_len: int = 100, mode: str = "substring",
+                attrs: DataFrame | None = None) -> DataFrame:
     """M9 (flagship): skill, job_count, avg/median pay, senior_count, demand_rank.
 
     Lexicon duplicates are dropped once (so a repeated word is not counted
     twice in ``senior_count``); groups need ``job_count > min_count``.
+    With ``attrs`` (id, value, level in another table) the text is matched
+    first and only the hits are joined to the attributes.
     """
-    m = lexicon_match(postings, text, lexicon, keep=[id_col, value, level], min_len=min_len, mode=mode)
+    keep = [id_col] if attrs is not None else [id_col, value, level]
+    m = lexicon_match(postings, text, lexicon, keep=keep, min_len=min_len, mode=mode, attrs=attrs, on=id_col)
     return lexicon_demand(m, ["skill"], id_col, value, level_col=level, senior_values=senior_values,
                           min_count=min_count)
 
@@ -140,12 +143,24 @@ def tech_skills_by_role(postings: DataFrame, id_col: str = "job_id", text: str =
                         title: str = "job_title", value: str = "annual_salary_est",
                         lexicon: Sequence[str] = tx.LEXICON_BY_ROLE, roles=tx.ROLES_SKILLS, other: str = "Other",
                         min_count: int = 5, min_len: int = 100, role_col: str | None = None,
-                        mode: str = "substring") -> DataFrame:
-    """role_cluster, skill, job_count, median_salary, role_rank (rank within role)."""
+                        mode: str = "substring", attrs: DataFrame | None = None) -> DataFrame:
+    """role_cluster, skill, job_count, median_salary, role_rank (rank within role).
+
+    The role comes from ``role_col`` or from title rules, read from the text
+    table when it has the column (then the catch-all role is dropped before
+    matching), else from ``attrs`` after the join.
+    """
     role = F.col(role_col) if role_col else classify(title, roles, other)
-    src = postings.select(F.col(id_col), F.col(text), F.col(value), role.alias("role_cluster"))
-    src = src.where(F.col("role_cluster") != F.lit(other))
-    m = lexicon_match(src, text, lexicon, keep=[id_col, value, "role_cluster"], min_len=min_len, mode=mode)
+    role_src = role_col or title
+    if role_src in postings.columns:
+        src = postings.select(F.col(id_col), F.col(text), role.alias("role_cluster"),
+                              *([F.col(value)] if attrs is None else []))
+        src = src.where(F.col("role_cluster") != F.lit(other))
+        keep = [id_col, "role_cluster"] + ([value] if attrs is None else [])
+        m = lexicon_match(src, text, lexicon, keep=keep, min_len=min_len, mode=mode, attrs=attrs, on=id_col)
+    else:
+        m = lexicon_match(postings, text, lexicon, keep=[id_col], min_len=min_len, mode=mode, attrs=attrs, on=id_col)
+        m = m.withColumn("role_cluster", role).where(F.col("role_cluster") != F.lit(other))
     g = lexicon_demand(m, ["role_cluster", "skill"], id_col, value, avg_name=None, senior_name=None,
                        min_count=min_count, min_inclusive=True, rank_name="role_rank",
                        rank_within=["role_cluster"])
@@ -156,10 +171,10 @@ def topic_skill_cooccurrence(postings: DataFrame, id_col: str = "job_id", text:
                              title: str = "job_title", value: str = "annual_salary_est",
                              lexicon: Sequence[str] = tx.LEXICON_TOPIC, text_regex: str = tx.TOPIC_TEXT_REGEX,
                              title_regex: str = tx.TOPIC_TITLE_REGEX, min_count: int = 3, min_len: int = 100,
-                             mode: str = "substring") -> DataFrame:
+                             mode: str = "substring", attrs: DataFrame | None = None) -> DataFrame:
     """Skill, ai_job_count, median_salary, pct_of_ai_jobs, skill_rank."""
-    gate = topic_gate(text, title, text_regex, title_regex, min_len)
-    return topic_cooccurrence(postings, id_col, text, value, gate, lexicon, min_count, mode=mode)
+    return topic_cooccurrence(postings, id_col, text, value, lexicon, text_regex, title, title_regex,
+                              min_len=min_len, min_count=min_count, attrs=attrs, mode=mode)
 
 
 ALL_MARTS = {
