@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import taxonomy as tx
@@ -30,8 +30,14 @@ def new_items(candidates: DataFrame, seen: DataFrame, url: str = "url", title: s
 
 
 def digest(items: DataFrame, company: str = "company") -> DataFrame:
-    """Per item: company_items, total_items, total_companies."""
-    per = items.groupBy(company).agg(F.count(F.lit(1)).alias("company_items"))
-    totals = per.agg(F.sum("company_items").cast("long").alias("total_items"),
-                     F.count(F.lit(1)).alias("total_companies"))
-    return items.join(per, company).crossJoin(F.broadcast(totals))
+    """Per item: company_items, total_items, total_companies.
+
+    Per-company counts are a grouped count (map-side combined, so a hot
+    company is pre-aggregated); the run totals are a window over that
+    per-company frame, whose size is the number of companies, not items.
+    """
+    everyone = Window.partitionBy()
+    per = (items.groupBy(company).agg(F.count(F.lit(1)).alias("company_items"))
+           .withColumn("total_items", F.sum("company_items").over(everyone).cast("long"))
+           .withColumn("total_companies", F.count(F.lit(1)).over(everyone)))
+    return items.join(per, company)

@@ -13,6 +13,7 @@ from ..operators import reports as R
 from ..operators.dedupe import dedupe_postings, first_per_key
 from ..operators.digest import digest, new_items
 from ..operators.lexicon import matched_words
+from ..operators.partitioning import spread
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite, not_null, unique
 from ..plans.staging import union_feeds
@@ -40,6 +41,11 @@ TITLE_RE = "<title>(.*?)</title>"
 t = B.table
 
 
+def tt(spark, d, name):
+    """A text-heavy table, spread over the cores when it arrives in fewer splits."""
+    return spread(t(spark, d, name))
+
+
 # --- staging -------------------------------------------------------------------
 
 def q_stg_dedupe(spark, d):
@@ -65,11 +71,11 @@ def q_stg_union(spark, d):
 # --- classifiers and scalar rules --------------------------------------------------
 
 def q_classify_first_match(spark, d):
-    return t(spark, d, "documents").select("doc_id", first_match("text", DOC_RULES, "plain").alias("label"))
+    return tt(spark, d, "documents").select("doc_id", first_match("text", DOC_RULES, "plain").alias("label"))
 
 
 def q_work_type(spark, d):
-    return t(spark, d, "documents").select("doc_id", work_type("text").alias("work_type"))
+    return tt(spark, d, "documents").select("doc_id", work_type("text").alias("work_type"))
 
 
 def q_experience_level(spark, d):
@@ -77,7 +83,7 @@ def q_experience_level(spark, d):
 
 
 def q_remote_flag(spark, d):
-    return t(spark, d, "documents").select(
+    return tt(spark, d, "documents").select(
         "doc_id", remote_from_text("source", "text", "src1", REMOTE_TEXT_RULES).alias("remote_allowed"))
 
 
@@ -110,7 +116,7 @@ def q_keyword_filter(spark, d):
 
 
 def page_titles(spark, d):
-    p = t(spark, d, "pages")
+    p = tt(spark, d, "pages")
     raw = F.regexp_extract("html", TITLE_RE, 1)
     return p.select("page_id", "url", clean_title(raw).alias("title"))
 
@@ -247,14 +253,14 @@ def q_dq_suite(spark, d):
 # --- matching -------------------------------------------------------------------------------
 
 def _profiles(spark, d):
-    conv = t(spark, d, "conversations").where(F.col("role") == "user")
+    conv = tt(spark, d, "conversations").where(F.col("role") == "user")
     ids = conv.select("conv_id").distinct()
     have = skill_sets(conv, "conv_id", "text", B.WORDS, out="have")
     return ids.join(have, "conv_id", "left")
 
 
 def _gap(spark, d):
-    docs = t(spark, d, "documents").select(
+    docs = tt(spark, d, "documents").select(
         F.col("doc_id").alias("conv_id"), "lang",
         matched_words("text", REQUIRED_WORDS).alias("required"),
         matched_words("text", PREFERRED_WORDS).alias("preferred"))
@@ -262,7 +268,7 @@ def _gap(spark, d):
 
 
 def q_skills_extract(spark, d):
-    conv = t(spark, d, "conversations").where(F.col("role") == "user")
+    conv = tt(spark, d, "conversations").where(F.col("role") == "user")
     s = skill_sets(conv, "conv_id", "text", B.WORDS)
     return s.select("conv_id", joined("skills").alias("skills"), F.size("skills").cast("long").alias("n_skills"))
 
