@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has fewer splits than cores.
+    """Round-robin repartition only when a scan arrives in fewer splits than cores.
 
     A Parquet file with one row group arrives as a single partition, which
     serialises regex/substring work on one core. Large inputs already arrive in
     many splits and pass through untouched, so this adds no shuffle at scale.
+    Inputs that already went through a shuffle are left alone (and asking for
+    their partition count would make adaptive execution run those stages).
     Spark sorts before a round-robin repartition, so a retried task yields the
     same rows (safe under executor loss).
     """
+    qe = df._jdf.queryExecution()
+    if "Exchange" in qe.executedPlan().toString():
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if qe.toRdd().getNumPartitions() >= target:
         return df
     return df.repartition(target)

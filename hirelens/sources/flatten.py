@@ -32,19 +32,23 @@ def read_payloads(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def _explode(df: DataFrame, field: str, keep: list[str]) -> DataFrame:
-    present = [k for k in keep if k in df.columns]
+    present = [k for k in keep + ["_fetched"] if k in df.columns]
     return df.select(*present, F.posexplode_outer(F.col(field)).alias("_pos", "j")).where(F.col("j").isNotNull())
 
 
-def _lineage(source: str | Column, query: Column | None, fetched_at: str | None) -> list[Column]:
+def _lineage(source: str | Column, query: Column | None, fetched_at: str | Column | None) -> list[Column]:
+    if fetched_at is None:
+        fetched = typed_null("string")
+    else:
+        fetched = F.lit(fetched_at) if isinstance(fetched_at, str) else fetched_at
     return [
         (query if query is not None else typed_null("string")).alias("QUERY"),
-        (F.lit(fetched_at) if fetched_at is not None else typed_null("string")).alias("FETCHED_AT"),
+        fetched.alias("FETCHED_AT"),
         (F.lit(source) if isinstance(source, str) else source).alias("SOURCE"),
     ]
 
 
-def flatten_adzuna(df: DataFrame, fetched_at: str | None = None, query_col: str = "query") -> DataFrame:
+def flatten_adzuna(df: DataFrame, fetched_at: str | Column | None = None, query_col: str = "query") -> DataFrame:
     """Feed 1 (A7): nested company / location / category; state = area[1] and
     city = area[-1] only when the area has more than one level; estimate =
     (min + max) / 2 with missing = 0 and 0 → NULL."""
@@ -65,7 +69,7 @@ def flatten_adzuna(df: DataFrame, fetched_at: str | None = None, query_col: str
         *_lineage("adzuna", q, fetched_at), *_order_cols(r))
 
 
-def flatten_jsearch(df: DataFrame, fetched_at: str | None = None, query_col: str = "query",
+def flatten_jsearch(df: DataFrame, fetched_at: str | Column | None = None, query_col: str = "query",
                     factors=tx.PAY_FACTORS_FEED) -> DataFrame:
     """Feed 2 (A8): annualised salaries (banker's rounding), "city, state" with
     the ', ' characters stripped, remote flag, apply link with a fallback."""
@@ -94,7 +98,7 @@ def _board_location(loc: Column) -> tuple[Column, Column]:
     return loc, state
 
 
-def flatten_greenhouse(df: DataFrame, company_col: str = "company", fetched_at: str | None = None,
+def flatten_greenhouse(df: DataFrame, company_col: str = "company", fetched_at: str | Column | None = None,
                        include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE) -> DataFrame:
     """Board type 1 (A9): id prefix ``gh_``, title filter, state = last ', ' part,
     remote when the location mentions it. No description on this board."""
@@ -113,7 +117,7 @@ def flatten_greenhouse(df: DataFrame, company_col: str = "company", fetched_at:
         *_lineage("greenhouse", None, fetched_at), *_order_cols(r))
 
 
-def flatten_ashby(df: DataFrame, company_col: str = "company", fetched_at: str | None = None,
+def flatten_ashby(df: DataFrame, company_col: str = "company", fetched_at: str | Column | None = None,
                   include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE, max_desc: int = 2000) -> DataFrame:
     """Board type 2 (A10): id prefix ``ashby_``, description cut to 2000
     characters (empty → NULL), ``isRemote`` flag."""
