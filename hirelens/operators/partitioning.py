@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when a scan arrives in fewer splits than cores.
+def spread(df: DataFrame, min_partitions: int | None = None, key: Sequence[str] = ()) -> DataFrame:
+    """Repartition only when a scan arrives in fewer splits than cores.
+
+    With ``key`` (an id column, unique or nearly so) rows are hash-partitioned
+    on it — no sort is needed and a later join or aggregation on that key can
+    reuse the partitioning; without it they are spread round-robin.
 
     A Parquet file with one row group arrives as a single partition, which
     serialises regex/substring work on one core. Large inputs already arrive in
     many splits and pass through untouched, so this adds no shuffle at scale.
     Inputs that already went through a shuffle are left alone (and asking for
     their partition count would make adaptive execution run those stages).
-    Spark sorts before a round-robin repartition, so a retried task yields the
-    same rows (safe under executor loss).
+    Both forms are deterministic under retries: hash partitioning by
+    construction, round-robin because Spark sorts before it (safe under
+    executor loss).
     """
     qe = df._jdf.queryExecution()
     if "Exchange" in qe.executedPlan().toString():
@@ -22,4 +29,4 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if qe.toRdd().getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *key) if key else df.repartition(target)

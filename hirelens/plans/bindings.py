@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import taxonomy as tx
+from ..operators.partitioning import spread
 from ..plans import marts
 
 # --- binding configuration ---------------------------------------------------
@@ -37,8 +38,18 @@ TOPIC_TEXT = "license|apache|token"
 TOPIC_TITLE = "widget"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Id columns used to spread a table that arrives in fewer splits than cores
+# (one Parquet row group per file here). Hash partitioning on the id needs no
+# sort, and lineitem/orders come out partitioned on their join key. On a
+# cluster the tables arrive in many splits and nothing is repartitioned.
+SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"], "documents": ["doc_id"],
+               "pages": ["page_id"], "conversations": ["conv_id"], "events": ["event_id"]}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    return spread(df, key=key) if (spread_out and key) else df
 
 
 def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,6 @@ from ..operators import reports as R
 from ..operators.dedupe import dedupe_postings, first_per_key
 from ..operators.digest import digest, new_items
 from ..operators.lexicon import matched_words
-from ..operators.partitioning import spread
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite, not_null, unique
 from ..plans.staging import union_feeds
@@ -41,9 +40,7 @@ TITLE_RE = "<title>(.*?)</title>"
 t = B.table
 
 
-def tt(spark, d, name):
-    """A text-heavy table, spread over the cores when it arrives in fewer splits."""
-    return spread(t(spark, d, name))
+tt = B.table  # text tables are spread by id like the others (see bindings.SPREAD_KEYS)
 
 
 # --- staging -------------------------------------------------------------------
@@ -230,7 +227,7 @@ DQ_UNIQUE = [("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("labels", "d
 def q_dq_not_null(spark, d):
     out = None
     for name, cols in DQ_NOT_NULL.items():
-        part = not_null(t(spark, d, name), cols, name)
+        part = not_null(t(spark, d, name, spread_out=False), cols, name)
         out = part if out is None else out.unionByName(part)
     return out
 
