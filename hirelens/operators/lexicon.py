@@ -36,6 +36,12 @@ def _word_pattern(w: str) -> str:
     return r"(?<![\p{L}\p{N}_])" + re.escape(w) + r"(?![\p{L}\p{N}_])"
 
 
+def lexicon_frame(spark, json_array: str, out: str = "skill") -> DataFrame:
+    """A lexicon given as a JSON array literal → one trimmed word per row."""
+    one = spark.range(1).select(F.from_json(F.lit(json_array), "array<string>").alias("_a"))
+    return one.select(F.explode("_a").alias("_w")).select(F.trim("_w").alias(out))
+
+
 def matched_words(text: ColumnOrName, lexicon: Sequence[str], mode: str = "substring",
                   lowered: bool = False) -> Column:
     """array<string> of lexicon entries found in ``lower(text)``.

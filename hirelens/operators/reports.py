@@ -76,10 +76,16 @@ def state_pay(geo: DataFrame, k: int = 20, state: str = "state_code", median: st
 
 
 def seniority_breakdown(role_sen: DataFrame, role: str, role_col: str = "role_cluster") -> DataFrame:
-    """One role's seniority rows with a money label, in category order (sort_order)."""
+    """One role's seniority rows with a money label, in category order (sort_order, H4)."""
     return (role_sen.where(F.col(role_col) == F.lit(role))
             .select("seniority", "sort_order", "posting_count", "median_salary",
-                    money_k("median_salary", "").alias("salary_label")))
+                    money_k("median_salary", "").alias("salary_label"))
+            .orderBy("sort_order"))
+
+
+def distinct_labels(frame: DataFrame, col: str = "role_cluster") -> DataFrame:
+    """The sorted distinct non-NULL values of a column (e.g. the role picker)."""
+    return frame.select(col).dropna().distinct().orderBy(col)
 
 
 def pay_range(roles: DataFrame, role: str = "role_cluster") -> DataFrame:

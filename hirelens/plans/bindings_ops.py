@@ -173,6 +173,10 @@ def _active(spark, d):
     return R.active_skills(B.q_mart_tech_skills(spark, d), B.q_mart_tech_skills_by_role(spark, d), FOCUS_LANG)
 
 
+def q_report_role_options(spark, d):
+    return R.distinct_labels(B.q_mart_salary_by_role(spark, d))
+
+
 def q_report_active_skills(spark, d):
     return _active(spark, d)
 
@@ -313,6 +317,7 @@ OP_QUERIES = {
     "kpi_coverage": q_kpi_coverage,
     "kpi_headline": q_kpi_headline,
     "report_role_filtered": q_report_role_filtered,
+    "report_role_options": q_report_role_options,
     "report_active_skills": q_report_active_skills,
     "report_top_states": q_report_top_states,
     "report_state_pay": q_report_state_pay,

@@ -230,6 +230,10 @@ from roles
 
 SQL["report_role_filtered"] = f"select * from {_m('mart_salary_by_role')} r where role_cluster = {_q(O.FOCUS_ROLE)}"
 
+SQL["report_role_options"] = f"""
+select distinct role_cluster from {_m('mart_salary_by_role')} r where role_cluster is not null
+"""
+
 SQL["report_active_skills"] = ACTIVE
 
 SQL["report_top_states"] = f"""

@@ -127,3 +127,12 @@ def test_matching(spark):
                                 "role_cluster string, skill string")
     r = role_readiness(people, "id", "skills", "role", top).collect()[0]
     assert (r.covered, r.top_n, r.readiness, r.to_learn) == (2, 4, 50.0, "dbt,spark")
+
+
+def test_lexicon_frame_and_labels(spark):
+    from hirelens.operators.lexicon import lexicon_frame
+    from hirelens.operators.reports import distinct_labels
+    lex = lexicon_frame(spark, '["python", " sql ", "airflow", "airflow"]')
+    assert [r.skill for r in lex.collect()] == ["python", "sql", "airflow", "airflow"]
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "role_cluster string")
+    assert [r[0] for r in distinct_labels(df).collect()] == ["a", "b"]
