@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import taxonomy as tx
-from .expr import ColumnOrName, col, contains_any, label_map
+from .expr import ColumnOrName, col, contains_any, label_map, let
 
 
 def first_match(c: ColumnOrName, rules: Sequence[tuple[str, object]], default=None,
@@ -141,19 +141,19 @@ def is_region_code(code: ColumnOrName, exclude: Sequence[str] = ("US",)) -> Colu
 
 def keyword_filter(title: ColumnOrName, include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE) -> Column:
     """Any exclude substring → False; else any include substring → True."""
-    t = F.lower(col(title))
-    return ~contains_any(t, list(exclude)) & contains_any(t, list(include))
+    return let(F.lower(col(title)), lambda t: ~contains_any(t, list(exclude)) & contains_any(t, list(include)))
 
 
 def clean_title(title: ColumnOrName, separators=tx.TITLE_SEPARATORS) -> Column:
     """Cut at the first separator (in list order) that occurs, then trim (C11)."""
-    t = col(title)
-    out = None
-    for sep in separators:
-        cond = F.contains(t, F.lit(sep))
-        val = F.trim(F.split_part(t, F.lit(sep), F.lit(1)))
-        out = F.when(cond, val) if out is None else out.when(cond, val)
-    return F.trim(t) if out is None else out.otherwise(F.trim(t))
+    def body(t: Column) -> Column:
+        out = None
+        for sep in separators:
+            cond = F.contains(t, F.lit(sep))
+            val = F.trim(F.split_part(t, F.lit(sep), F.lit(1)))
+            out = F.when(cond, val) if out is None else out.when(cond, val)
+        return F.trim(t) if out is None else out.otherwise(F.trim(t))
+    return let(title, body)
 
 
 def topic_gate(text: ColumnOrName, title: ColumnOrName, text_regex: str = tx.TOPIC_TEXT_REGEX,

@@ -19,6 +19,16 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: ColumnOrName, body) -> Column:
+    """Evaluate ``value`` once per row and use it several times inside ``body``.
+
+    Long CASE chains that repeat an expensive input (a regex over a page, a
+    cleaned title) would otherwise re-evaluate it per branch — and a filter
+    pushed into a scan gets no common-subexpression elimination.
+    """
+    return F.element_at(F.transform(F.array(col(value)), body), 1)
+
+
 def typed_null(dtype: str | T.DataType) -> Column:
     """A NULL literal of a given type so that unions line up."""
     return F.lit(None).cast(dtype)
