@@ -10,22 +10,30 @@ from pyspark.sql import functions as F
 from ..functions.expr import ColumnOrName, col
 
 
-def keep_first(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Column]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Column],
+               digest_keys: bool = False) -> DataFrame:
     """One row per key: the first by ``order`` (which must be total to be deterministic).
 
     ``row_number() = 1`` is planned as a WindowGroupLimit: a partial limit runs
     map-side before the shuffle, so each task ships at most one row per key —
     a hot key (a third of all rows) does not pile up in one reducer.
     NULL keys group together, as in SQL PARTITION BY.
+
+    ``digest_keys`` replaces each key by its SHA-256 digest (NULL stays NULL)
+    for grouping: when a key is a whole text, the shuffle then carries 32 bytes
+    instead of the text. Distinct keys collide only with SHA-256 collision
+    probability.
     """
     key_cols = [col(k) for k in keys]
+    if digest_keys:
+        key_cols = [F.sha2(k.cast("string"), 256) for k in key_cols]
     w = Window.partitionBy(*key_cols).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def dedupe_postings(df: DataFrame, company: str = "company_name", title: str = "job_title",
                     ts: str | None = "listed_at", value: str = "annual_salary_est", source: str = "source",
-                    tie: str = "job_id") -> DataFrame:
+                    tie: str = "job_id", digest_keys: bool = False) -> DataFrame:
     """Same employer + title + day → keep the pay-bearing row, then by source, then id (G1).
 
     The pipeline's order (pay first, then source) is not total; ``tie`` makes
@@ -35,7 +43,7 @@ def dedupe_postings(df: DataFrame, company: str = "company_name", title: str = "
     if ts is not None:
         keys.append(F.to_date(F.col(ts)))
     order = [F.col(value).isNull().asc(), F.col(source).asc_nulls_last(), F.col(tie).asc_nulls_last()]
-    return keep_first(df, keys, order)
+    return keep_first(df, keys, order, digest_keys)
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

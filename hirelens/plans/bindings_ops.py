@@ -47,7 +47,8 @@ tt = B.table  # text tables are spread by id like the others (see bindings.SPREA
 
 def q_stg_dedupe(spark, d):
     docs = t(spark, d, "documents").join(t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
-    out = dedupe_postings(docs, company="lang", title="text", ts=None, value="quality", source="source", tie="doc_id")
+    out = dedupe_postings(docs, company="lang", title="text", ts=None, value="quality", source="source", tie="doc_id",
+                          digest_keys=True)
     return out.select("doc_id", "lang", "source", "n_chars", "quality")
 
 

@@ -15,18 +15,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
-def replace_day(df: DataFrame, path: str, fetched_col: str = "FETCHED_AT", part_col: str = "fetch_date") -> int:
+def replace_day(df: DataFrame, path: str, fetched_col: str = "FETCHED_AT", part_col: str = "fetch_date") -> bool:
     """Idempotent same-day load: the days present in ``df`` are replaced, other days stay.
 
     The table is partitioned by the fetch day and written with dynamic
     partition overwrite, so a reload only rewrites its own day's partition —
-    nothing is scanned or deleted row by row. An empty batch writes nothing.
-    Returns the number of rows written.
+    nothing is scanned or deleted row by row. An empty batch writes nothing
+    (checked with ``isEmpty``, which reads at most one row). Returns whether
+    anything was written.
     """
     staged = df.withColumn(part_col, F.left(F.col(fetched_col).cast("string"), F.lit(10)))
-    n = staged.count()
-    if n == 0:
-        return 0
+    if staged.isEmpty():
+        return False
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -34,7 +34,7 @@ def replace_day(df: DataFrame, path: str, fetched_col: str = "FETCHED_AT", part_
         staged.write.mode("overwrite").partitionBy(part_col).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return n
+    return True
 
 
 def load_seen(spark: SparkSession, path: str, key: str = "url") -> DataFrame:

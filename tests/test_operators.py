@@ -136,3 +136,14 @@ def test_lexicon_frame_and_labels(spark):
     assert [r.skill for r in lex.collect()] == ["python", "sql", "airflow", "airflow"]
     df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "role_cluster string")
     assert [r[0] for r in distinct_labels(df).collect()] == ["a", "b"]
+
+
+def test_dedupe_order_independent_and_digest(spark):
+    from hirelens.operators.dedupe import dedupe_postings
+    rows = [(str(i), f"C{i % 5}", f"t{i % 3}", None if i % 4 else 1.0, f"s{i % 2}") for i in range(60)]
+    df = spark.createDataFrame(rows, "job_id string, company_name string, job_title string, "
+                                     "annual_salary_est double, source string")
+    a = {tuple(r) for r in dedupe_postings(df, ts=None).collect()}
+    b = {tuple(r) for r in dedupe_postings(df.orderBy(F.rand(3)).repartition(7), ts=None).collect()}
+    c = {tuple(r) for r in dedupe_postings(df, ts=None, digest_keys=True).collect()}
+    assert a == b == c and len(a) == 15

@@ -126,7 +126,7 @@ def test_replace_day_is_idempotent(spark, tmp_dir):
     got = spark.read.parquet(path)
     assert got.count() == 3
     assert got.where(F.col("fetch_date") == "2026-01-01").count() == 2
-    assert replace_day(d1.limit(0), path) == 0 and spark.read.parquet(path).count() == 3
+    assert replace_day(d1.limit(0), path) is False and spark.read.parquet(path).count() == 3
 
 
 def test_seen_store(spark, tmp_dir):
