@@ -15,7 +15,7 @@ from ..operators.digest import digest, new_items
 from ..operators.lexicon import matched_words
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite, not_null, unique
-from ..plans.staging import union_feeds
+from ..plans.staging import stg_all, stg_companies, stg_job_postings, stg_job_skills, union_feeds
 from . import bindings as B
 
 # --- binding configuration ---------------------------------------------------
@@ -66,6 +66,82 @@ def q_stg_union(spark, d):
     return union_feeds(a, b, c, schema=ev.schema)
 
 
+LOADED_AT = "2026-01-01 00:00:00"
+FEED_LANGS = {"adzuna": ["en"], "jsearch": ["de"], "portal": ["fr", "es"]}
+TS_FMT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _raw_feed(spark, d, langs):
+    """Raw-feed-shaped rows from the test tables: document text plus order / part /
+    customer / nation attributes (the attribute joins run before the text join)."""
+    o = t(spark, d, "orders")
+    p = t(spark, d, "part")
+    c = t(spark, d, "customer")
+    n = t(spark, d, "nation")
+    attrs = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(p, F.col("o_orderkey") == F.col("p_partkey")))
+    docs = t(spark, d, "documents").where(F.col("lang").isin(langs))
+    j = docs.join(attrs, docs.doc_id == attrs.o_orderkey)
+    posted = F.col("o_orderdate").cast("string")
+    return j.select(
+        F.col("doc_id").cast("string").alias("JOB_ID"), F.col("p_name").alias("TITLE"),
+        F.col("c_name").alias("COMPANY"), F.col("text").alias("DESCRIPTION"), F.col("n_name").alias("LOCATION"),
+        F.col("n_name").alias("STATE"), F.lit(None).cast("string").alias("CITY"),
+        (F.col("o_totalprice") * 0.8).alias("SALARY_MIN"), (F.col("o_totalprice") * 1.2).alias("SALARY_MAX"),
+        F.col("o_totalprice").alias("SALARY_EST"),
+        F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "O", "0").alias("REMOTE"),
+        F.col("p_type").alias("CATEGORY"), F.lit(None).cast("string").alias("URL"), posted.alias("POSTED_AT"),
+        F.col("lang").alias("QUERY"), posted.alias("FETCHED_AT"), F.col("source").alias("SOURCE"))
+
+
+def _ts_text(df):
+    """Timestamps as text so both engines compare them the same way."""
+    return df.select(*[F.date_format(c, TS_FMT).alias(c) if dt == "timestamp" else F.col(c) for c, dt in df.dtypes])
+
+
+def q_stg_all_postings(spark, d):
+    from ..sources.schemas import ADZUNA, JSEARCH, PORTAL
+    feeds = {k: _raw_feed(spark, d, v) for k, v in FEED_LANGS.items()}
+    adz = feeds["adzuna"].select(*ADZUNA.fieldNames())
+    jse = feeds["jsearch"].select(*JSEARCH.fieldNames())
+    por = feeds["portal"].select(*PORTAL.fieldNames())
+    return _ts_text(stg_all(adz, jse, por))
+
+
+def q_stg_job_postings(spark, d):
+    o = t(spark, d, "orders")
+    c = t(spark, d, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    period = (F.when(F.col("o_orderstatus") == "F", " hourly").when(F.col("o_orderstatus") == "O", "Monthly ")
+              .otherwise("YEARLY"))
+    raw = j.select(
+        F.col("o_orderkey").alias("JOB_ID"), F.col("c_name").alias("COMPANY_NAME"),
+        F.col("o_orderpriority").alias("TITLE"), F.lit(None).cast("string").alias("DESCRIPTION"),
+        F.col("c_mktsegment").alias("LOCATION"), (F.col("o_totalprice") * 0.5).alias("MIN_SALARY"),
+        F.col("o_totalprice").alias("MAX_SALARY"), (F.col("o_totalprice") / 100).alias("MED_SALARY"),
+        period.alias("PAY_PERIOD"), F.col("c_mktsegment").alias("FORMATTED_WORK_TYPE"),
+        F.col("o_orderstatus").alias("REMOTE_ALLOWED"), F.col("o_custkey").alias("VIEWS"),
+        F.lit(None).cast("string").alias("APPLIES"), F.col("o_orderpriority").alias("FORMATTED_EXPERIENCE_LEVEL"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string").alias("ORIGINAL_LISTED_TIME"),
+        F.col("o_orderdate").cast("string").alias("EXPIRY"))
+    return _ts_text(stg_job_postings(raw, loaded_at=LOADED_AT))
+
+
+def q_stg_job_skills(spark, d):
+    lp = B.line_parts(spark, d)
+    raw = lp.select(F.col("l_orderkey").alias("JOB_ID"), F.concat(F.lit(" "), F.col("p_brand"), F.lit(" ")).alias("SKILL_ABR"))
+    return _ts_text(stg_job_skills(raw, loaded_at=LOADED_AT))
+
+
+def q_stg_companies(spark, d):
+    c = t(spark, d, "customer")
+    raw = c.select(F.col("c_custkey").alias("COMPANY_ID"), F.concat(F.lit(" "), F.col("c_name")).alias("NAME"),
+                   F.col("c_mktsegment").alias("DESCRIPTION"), F.col("c_nationkey").cast("string").alias("COMPANY_SIZE"),
+                   F.lit(None).cast("string").alias("STATE"), F.lit(None).cast("string").alias("COUNTRY"),
+                   F.lit(None).cast("string").alias("CITY"), F.lit(None).cast("string").alias("URL"))
+    return _ts_text(stg_companies(raw, loaded_at=LOADED_AT))
+
+
 # --- classifiers and scalar rules --------------------------------------------------
 
 def q_classify_first_match(spark, d):
@@ -302,6 +378,10 @@ OP_QUERIES = {
     "stg_dedupe": q_stg_dedupe,
     "distinct_first": q_distinct_first,
     "stg_union": q_stg_union,
+    "stg_all_postings": q_stg_all_postings,
+    "stg_job_postings": q_stg_job_postings,
+    "stg_job_skills": q_stg_job_skills,
+    "stg_companies": q_stg_companies,
     "classify_first_match": q_classify_first_match,
     "work_type": q_work_type,
     "experience_level": q_experience_level,

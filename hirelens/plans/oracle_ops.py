@@ -380,3 +380,117 @@ select conv_id, lang, covered, top_n,
        case when top_n > 0 then round(100.0 * covered / top_n, 0) end as readiness, to_learn
 from cov
 """
+
+
+# --- staging models over raw-feed-shaped test rows -----------------------------------
+
+_FMT = "'%Y-%m-%d %H:%M:%S'"
+
+
+def _ts(expr: str) -> str:
+    return f"strftime({expr}, {_FMT})"
+
+
+RAW_FEED = """
+    select cast(d.doc_id as varchar) as JOB_ID, p.p_name as TITLE, c.c_name as COMPANY, d.text as DESCRIPTION,
+           n.n_name as LOCATION, n.n_name as STATE, cast(null as varchar) as CITY,
+           o.o_totalprice * 0.8 as SALARY_MIN, o.o_totalprice * 1.2 as SALARY_MAX, o.o_totalprice as SALARY_EST,
+           case when o.o_orderstatus = 'F' then '1' when o.o_orderstatus = 'O' then '0' end as REMOTE,
+           cast(o.o_orderdate as varchar) as POSTED_AT, d.lang as QUERY,
+           cast(o.o_orderdate as varchar) as FETCHED_AT, d.source as SOURCE, d.lang
+    from documents d join orders o on o.o_orderkey = d.doc_id join customer c on c.c_custkey = o.o_custkey
+         join nation n on n.n_nationkey = c.c_nationkey join part p on p.p_partkey = o.o_orderkey
+"""
+
+
+def _staged(where: str, source: str, salaries: bool, remote: str, work_rules) -> str:
+    sal = (lambda c: f"cast({c} as double)") if salaries else (lambda c: "cast(null as double)")
+    return f"""
+    select JOB_ID as job_id, trim(COMPANY) as company_name, trim(TITLE) as job_title,
+           trim(DESCRIPTION) as description, trim(LOCATION) as location, trim(STATE) as state_code,
+           {sal('SALARY_MIN')} as min_salary, {sal('SALARY_MAX')} as max_salary, {sal('SALARY_EST')} as med_salary,
+           'YEARLY' as pay_period,
+           {case_regex('lower(DESCRIPTION)', work_rules, 'FULL_TIME')} as work_type,
+           {remote} as remote_allowed,
+           cast(null as integer) as views, cast(null as integer) as applies,
+           {case_regex('lower(TITLE)', tx.EXPERIENCE_RULES, 'MI')} as experience_level,
+           try_cast(POSTED_AT as timestamp) as listed_at, cast(null as timestamp) as expires_at,
+           {sal('SALARY_EST')} as annual_salary_est, QUERY as search_query, {source} as source,
+           try_cast(FETCHED_AT as timestamp) as _loaded_at
+    from raw where {where} and JOB_ID is not null and TITLE is not null
+"""
+
+
+_REMOTE_A = ("case when contains(lower(LOCATION), 'remote') then '1' "
+             + " ".join(f"when regexp_matches(lower(DESCRIPTION), {_q(p)}) then {_q(v)}" for p, v in tx.REMOTE_TEXT_RULES)
+             + " else '0' end")
+_LANGS = O.FEED_LANGS
+SQL["stg_all_postings"] = f"""
+with raw as ({RAW_FEED}),
+adz as ({_staged(f"lang in {in_list(_LANGS['adzuna'])}", "'adzuna'", True, _REMOTE_A, tx.WORK_TYPE_RULES)}),
+jse as ({_staged(f"lang in {in_list(_LANGS['jsearch'])}", "'jsearch'", True, "coalesce(REMOTE, '0')", tx.WORK_TYPE_RULES)}),
+por as ({_staged(f"lang in {in_list(_LANGS['portal'])}", "SOURCE", False,
+                 "case when REMOTE = '1' then '1' when contains(lower(LOCATION), 'remote') then '1' else '0' end",
+                 tx.WORK_TYPE_RULES_PORTAL)}),
+u as (select * from adz union all select * from jse union all select * from por),
+dd as (
+    select *, row_number() over (partition by lower(trim(company_name)), lower(trim(job_title)), cast(listed_at as date)
+                                 order by case when annual_salary_est is not null then 0 else 1 end, source, job_id) as rn
+    from u
+)
+select job_id, company_name, job_title, description, location, state_code, min_salary, max_salary, med_salary,
+       pay_period, work_type, remote_allowed, views, applies, experience_level,
+       {_ts('listed_at')} as listed_at, {_ts('expires_at')} as expires_at, annual_salary_est, search_query, source,
+       {_ts('_loaded_at')} as _loaded_at
+from dd where rn = 1
+"""
+
+SQL["stg_job_postings"] = f"""
+with raw as (
+    select o.o_orderkey as JOB_ID, c.c_name as COMPANY_NAME, o.o_orderpriority as TITLE,
+           cast(null as varchar) as DESCRIPTION, c.c_mktsegment as LOCATION, o.o_totalprice * 0.5 as MIN_SALARY,
+           o.o_totalprice as MAX_SALARY, o.o_totalprice / 100 as MED_SALARY,
+           case o.o_orderstatus when 'F' then ' hourly' when 'O' then 'Monthly ' else 'YEARLY' end as PAY_PERIOD,
+           c.c_mktsegment as FORMATTED_WORK_TYPE, o.o_orderstatus as REMOTE_ALLOWED, o.o_custkey as VIEWS,
+           cast(null as varchar) as APPLIES, o.o_orderpriority as FORMATTED_EXPERIENCE_LEVEL,
+           cast(epoch_ms(o.o_orderdate) as varchar) as ORIGINAL_LISTED_TIME, cast(o.o_orderdate as varchar) as EXPIRY
+    from orders o join customer c on c.c_custkey = o.o_custkey
+),
+typed as (
+    select *, upper(trim(PAY_PERIOD)) as period, cast(MED_SALARY as double) as med,
+           case when regexp_matches(trim(ORIGINAL_LISTED_TIME), '^\\d+(\\.0+)?$') then
+                    case when cast(regexp_extract(trim(ORIGINAL_LISTED_TIME), '^(\\d+)', 1) as bigint) >= 100000000000000
+                              then make_timestamp(cast(regexp_extract(trim(ORIGINAL_LISTED_TIME), '^(\\d+)', 1) as bigint))
+                         when cast(regexp_extract(trim(ORIGINAL_LISTED_TIME), '^(\\d+)', 1) as bigint) >= 100000000000
+                              then epoch_ms(cast(regexp_extract(trim(ORIGINAL_LISTED_TIME), '^(\\d+)', 1) as bigint))
+                         else epoch_ms(cast(regexp_extract(trim(ORIGINAL_LISTED_TIME), '^(\\d+)', 1) as bigint) * 1000) end
+                else try_cast(trim(ORIGINAL_LISTED_TIME) as timestamp) end as listed_ts,
+           try_cast(trim(EXPIRY) as timestamp) as expires_ts
+    from raw where JOB_ID is not null and TITLE is not null
+)
+select cast(JOB_ID as varchar) as job_id, trim(COMPANY_NAME) as company_name, trim(TITLE) as job_title,
+       trim(DESCRIPTION) as description, trim(LOCATION) as location, cast(MIN_SALARY as double) as min_salary,
+       cast(MAX_SALARY as double) as max_salary, med as med_salary, period as pay_period,
+       upper(trim(FORMATTED_WORK_TYPE)) as work_type, upper(trim(REMOTE_ALLOWED)) as remote_allowed,
+       cast(VIEWS as integer) as views, try_cast(APPLIES as integer) as applies,
+       cast(FORMATTED_EXPERIENCE_LEVEL as varchar) as experience_level,
+       {_ts('listed_ts')} as listed_at, {_ts('expires_ts')} as expires_at,
+       case period when 'HOURLY' then med * 2080.0 when 'MONTHLY' then med * 12.0 else med end as annual_salary_est,
+       {_q(O.LOADED_AT)} as _loaded_at
+from typed
+"""
+
+SQL["stg_job_skills"] = f"""
+select cast(l.l_orderkey as varchar) as job_id, lower(trim(' ' || p.p_brand || ' ')) as skill_id,
+       {_q(O.LOADED_AT)} as _loaded_at
+from lineitem l join part p on p.p_partkey = l.l_partkey
+where p.p_brand is not null
+"""
+
+SQL["stg_companies"] = f"""
+select cast(c_custkey as varchar) as company_id, trim(' ' || c_name) as company_name,
+       trim(c_mktsegment) as company_description, trim(cast(c_nationkey as varchar)) as company_size,
+       cast(null as varchar) as state, cast(null as varchar) as country, cast(null as varchar) as city,
+       cast(null as varchar) as website_url, {_q(O.LOADED_AT)} as _loaded_at
+from customer
+"""
