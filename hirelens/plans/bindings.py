@@ -46,10 +46,22 @@ SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"], "documents"
                "pages": ["page_id"], "conversations": ["conv_id"], "events": ["event_id"]}
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    return spread(df, key=key) if (spread_out and key) else df
+    """A driver test table (read-only), spread by its id when it has too few splits.
+
+    The test tables never change, so the scan (file listing, footer schema)
+    and the spread decision are made once per session and path; a DataFrame is
+    an immutable plan and is safe to reuse across queries.
+    """
+    memo = (id(spark), sf_dir, name, spread_out)
+    if memo not in _SCANS:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        key = SPREAD_KEYS.get(name)
+        _SCANS[memo] = spread(df, key=key) if (spread_out and key) else df
+    return _SCANS[memo]
 
 
 def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
