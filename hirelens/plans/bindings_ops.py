@@ -15,6 +15,8 @@ from ..operators.digest import digest, new_items
 from ..operators.lexicon import matched_words
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite, not_null, unique
+from ..functions.expr import label_map
+from ..sources.flatten import distinct_jobs, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch
 from ..plans.staging import stg_all, stg_companies, stg_job_postings, stg_job_skills, union_feeds
 from . import bindings as B
 
@@ -142,6 +144,92 @@ def q_stg_companies(spark, d):
     return _ts_text(stg_companies(raw, loaded_at=LOADED_AT))
 
 
+# --- payload flatteners over payload-shaped rows from the test tables --------------
+
+PAGE_SIZE = 50
+FETCHED_AT = "2026-01-02T06:00:00Z"
+PERIODS = {"1-URGENT": "HOUR", "2-HIGH": "week", "3-MEDIUM": "MONTH", "4-NOT SPECIFIED": "YEAR"}
+
+
+def _doc_attrs(spark, d):
+    o = t(spark, d, "orders")
+    c = t(spark, d, "customer")
+    n = t(spark, d, "nation")
+    p = t(spark, d, "part")
+    attrs = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(p, F.col("o_orderkey") == F.col("p_partkey")))
+    docs = t(spark, d, "documents")
+    return docs.join(attrs, docs.doc_id == attrs.o_orderkey)
+
+
+def _pages(rows, item, group_cols):
+    """Group items into API pages of at most PAGE_SIZE (bounded groups: doc_id div PAGE_SIZE)."""
+    return rows.groupBy(*group_cols, (F.col("doc_id") / PAGE_SIZE).cast("long").alias("page")).agg(
+        F.collect_list(item).alias("_items"))
+
+
+def q_flatten_feed1(spark, d):
+    j = _doc_attrs(spark, d)
+    st = F.col("o_orderstatus")
+    area = (F.when(st == "F", F.array(F.lit("US"), F.col("n_name"), F.col("c_name")))
+            .when(st == "O", F.array(F.lit("US"), F.col("n_name"))).otherwise(F.array(F.lit("US"))))
+    item = F.struct(
+        F.col("doc_id").cast("string").alias("id"), F.col("p_name").alias("title"),
+        F.struct(F.col("c_name").alias("display_name")).alias("company"), F.col("text").alias("description"),
+        F.struct(F.col("n_name").alias("display_name"), area.alias("area")).alias("location"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("salary_min"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_totalprice") * 1.25).alias("salary_max"),
+        F.struct(F.col("p_type").alias("label")).alias("category"),
+        F.concat(F.lit("https://x/"), F.col("doc_id").cast("string")).alias("redirect_url"),
+        F.col("o_orderdate").cast("string").alias("created"))
+    payload = _pages(j, item, [F.col("lang").alias("query")]).withColumnRenamed("_items", "results")
+    flat = flatten_adzuna(payload, fetched_at=FETCHED_AT)
+    return distinct_jobs(flat).drop("DESCRIPTION")
+
+
+def q_flatten_feed2(spark, d):
+    j = _doc_attrs(spark, d)
+    st = F.col("o_orderstatus")
+    item = F.struct(
+        F.col("doc_id").cast("string").alias("job_id"), F.col("p_name").alias("job_title"),
+        F.col("c_name").alias("employer_name"), F.col("text").alias("job_description"),
+        F.when(st != "P", F.col("c_mktsegment")).alias("job_city"), F.col("n_name").alias("job_state"),
+        (F.col("o_totalprice") / 1000).alias("job_min_salary"),
+        F.when(st == "F", F.col("o_totalprice") / 800).alias("job_max_salary"),
+        label_map("o_orderpriority", PERIODS).alias("job_salary_period"),
+        (st == "F").alias("job_is_remote"),
+        F.struct(F.col("p_size").alias("required_experience_in_months")).alias("job_required_experience"),
+        F.when(st == "O", F.lit("")).otherwise(F.concat(F.lit("https://a/"), F.col("doc_id").cast("string")))
+        .alias("job_apply_link"),
+        F.concat(F.lit("https://g/"), F.col("doc_id").cast("string")).alias("job_google_link"),
+        F.col("o_orderdate").cast("string").alias("job_posted_at_datetime_utc"))
+    payload = _pages(j, item, [F.col("lang").alias("query")]).withColumnRenamed("_items", "data")
+    flat = flatten_jsearch(payload, fetched_at=FETCHED_AT)
+    return distinct_jobs(flat).drop("DESCRIPTION")
+
+
+def q_flatten_boards(spark, d):
+    j = _doc_attrs(spark, d)
+    st = F.col("o_orderstatus")
+    loc = F.when(st == "F", F.concat(F.col("n_name"), F.lit(", "), F.col("c_mktsegment"))) \
+        .when(st == "O", F.lit("Remote, US")).otherwise(F.col("n_name"))
+    gh_item = F.struct(F.col("doc_id").alias("id"), F.col("p_name").alias("title"),
+                       F.struct(loc.alias("name")).alias("location"),
+                       F.concat(F.lit("https://b/"), F.col("doc_id").cast("string")).alias("absolute_url"),
+                       F.col("o_orderdate").cast("string").alias("updated_at"))
+    ash_item = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("p_name").alias("title"),
+                        F.when(F.col("o_orderstatus") != "P", F.col("text")).alias("descriptionPlain"),
+                        loc.alias("location"), (st == "O").alias("isRemote"),
+                        F.concat(F.lit("https://c/"), F.col("doc_id").cast("string")).alias("jobUrl"),
+                        F.col("o_orderdate").cast("string").alias("publishedAt"))
+    company = F.col("c_mktsegment").alias("company")
+    gh = _pages(j.where(F.col("lang").isin("en", "de")), gh_item, [company]).withColumnRenamed("_items", "jobs")
+    ash = _pages(j.where(F.col("lang").isin("fr", "es")), ash_item, [company]).withColumnRenamed("_items", "jobPostings")
+    a = flatten_greenhouse(gh, fetched_at=FETCHED_AT, include=PART_INCLUDE, exclude=PART_EXCLUDE)
+    b = flatten_ashby(ash, fetched_at=FETCHED_AT, include=PART_INCLUDE, exclude=PART_EXCLUDE)
+    return distinct_jobs(a.unionByName(b)).withColumn("DESCRIPTION", F.length("DESCRIPTION").cast("long"))
+
+
 # --- classifiers and scalar rules --------------------------------------------------
 
 def q_classify_first_match(spark, d):
@@ -382,6 +470,9 @@ OP_QUERIES = {
     "stg_job_postings": q_stg_job_postings,
     "stg_job_skills": q_stg_job_skills,
     "stg_companies": q_stg_companies,
+    "flatten_feed1": q_flatten_feed1,
+    "flatten_feed2": q_flatten_feed2,
+    "flatten_boards": q_flatten_boards,
     "classify_first_match": q_classify_first_match,
     "work_type": q_work_type,
     "experience_level": q_experience_level,

@@ -494,3 +494,86 @@ select cast(c_custkey as varchar) as company_id, trim(' ' || c_name) as company_
        cast(null as varchar) as website_url, {_q(O.LOADED_AT)} as _loaded_at
 from customer
 """
+
+
+# --- payload flatteners ---------------------------------------------------------------
+
+DOC_ATTRS = """
+    select d.doc_id, d.text, d.lang, o.o_orderstatus, o.o_orderpriority, o.o_totalprice, o.o_orderdate,
+           c.c_name, c.c_mktsegment, n.n_name, p.p_name, p.p_type, p.p_size
+    from documents d join orders o on o.o_orderkey = d.doc_id join customer c on c.c_custkey = o.o_custkey
+         join nation n on n.n_nationkey = c.c_nationkey join part p on p.p_partkey = o.o_orderkey
+"""
+
+SQL["flatten_feed1"] = f"""
+with j as (
+    select *, case when o_orderpriority != '5-LOW' then o_totalprice end as smin,
+              case when o_orderpriority in ('1-URGENT', '2-HIGH') then o_totalprice * 1.25 end as smax
+    from ({DOC_ATTRS}) x
+)
+select cast(doc_id as varchar) as JOB_ID, p_name as TITLE, c_name as COMPANY, n_name as LOCATION,
+       case when o_orderstatus in ('F', 'O') then n_name end as STATE,
+       case when o_orderstatus = 'F' then c_name when o_orderstatus = 'O' then n_name end as CITY,
+       smin as SALARY_MIN, smax as SALARY_MAX, nullif((coalesce(smin, 0) + coalesce(smax, 0)) / 2, 0) as SALARY_EST,
+       cast(null as varchar) as REMOTE, p_type as CATEGORY, 'https://x/' || cast(doc_id as varchar) as URL,
+       cast(o_orderdate as varchar) as POSTED_AT, lang as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, 'adzuna' as SOURCE
+from j
+"""
+
+_PERIOD = case_map("o_orderpriority", O.PERIODS)
+
+
+def _annual(v: str) -> str:
+    return (f"case when period = 'HOUR' then round_even({v} * 2080.0, 0) "
+            f"when period in ('WEEK', 'WEEKLY') then round_even({v} * 52.0, 0) "
+            f"when period in ('MONTH', 'MONTHLY') then round_even({v} * 12.0, 0) else {v} end")
+
+
+SQL["flatten_feed2"] = f"""
+with j as (
+    select *, case when o_orderstatus != 'P' then c_mktsegment end as city,
+              o_totalprice / 1000 as smin,
+              case when o_orderstatus = 'F' then o_totalprice / 800 end as smax,
+              upper(coalesce({_PERIOD}, '')) as period,
+              case when o_orderstatus = 'O' then '' else 'https://a/' || cast(doc_id as varchar) end as apply_link,
+              'https://g/' || cast(doc_id as varchar) as google_link
+    from ({DOC_ATTRS}) x
+),
+a as (select *, {_annual('smin')} as lo, {_annual('smax')} as hi from j)
+select cast(doc_id as varchar) as JOB_ID, p_name as TITLE, c_name as COMPANY,
+       trim(coalesce(city, '') || ', ' || coalesce(n_name, ''), ', ') as LOCATION, n_name as STATE, city as CITY,
+       lo as SALARY_MIN, hi as SALARY_MAX,
+       case when lo is not null and lo != 0 and hi is not null and hi != 0 then round_even((lo + hi) / 2, 0)
+            when lo is not null and lo != 0 then lo else hi end as SALARY_EST,
+       case when o_orderstatus = 'F' then '1' else '0' end as REMOTE, cast(p_size as varchar) as CATEGORY,
+       coalesce(nullif(apply_link, ''), nullif(google_link, '')) as URL, cast(o_orderdate as varchar) as POSTED_AT,
+       lang as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, 'jsearch' as SOURCE
+from a
+"""
+
+_BOARD_LOC = ("case when o_orderstatus = 'F' then n_name || ', ' || c_mktsegment "
+              "when o_orderstatus = 'O' then 'Remote, US' else n_name end")
+_TITLE_OK = (f"not {_contains_any('lower(p_name)', O.PART_EXCLUDE)} and {_contains_any('lower(p_name)', O.PART_INCLUDE)}")
+
+
+def _board(prefix: str, langs, desc: str, remote: str, url: str, source: str) -> str:
+    return f"""
+    select '{prefix}' || cast(doc_id as varchar) as JOB_ID, p_name as TITLE, c_mktsegment as COMPANY,
+           {desc} as DESCRIPTION, loc as LOCATION,
+           case when contains(loc, ', ') then string_split(loc, ', ')[-1] end as STATE,
+           cast(null as double) as SALARY_MIN, cast(null as double) as SALARY_MAX, cast(null as double) as SALARY_EST,
+           {remote} as REMOTE, '{url}' || cast(doc_id as varchar) as URL, cast(o_orderdate as varchar) as POSTED_AT,
+           cast(null as varchar) as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, '{source}' as SOURCE
+    from (select *, {_BOARD_LOC} as loc from ({DOC_ATTRS}) x) y
+    where lang in {in_list(langs)} and {_TITLE_OK}
+"""
+
+
+SQL["flatten_boards"] = (
+    _board("gh_", ["en", "de"], "cast(null as bigint)",
+           "case when contains(lower(loc), 'remote') then '1' else '0' end", "https://b/", "greenhouse")
+    + " union all " +
+    _board("ashby_", ["fr", "es"],
+           "length(case when coalesce(case when o_orderstatus != 'P' then text end, '') != '' "
+           "then substr(text, 1, 2000) end)",
+           "case when o_orderstatus = 'O' then '1' else '0' end", "https://c/", "ashby"))
