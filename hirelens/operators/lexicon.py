@@ -150,17 +150,3 @@ def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, le
     return g.select("skill", count_name, median_name,
                     ratio_pct(count_name, "_total", 1).alias(pct_name),
                     F.rank().over(w).cast("long").alias(rank_name))
-
-
-def bnlj_cross_check(df: DataFrame, text: str, lexicon: Sequence[str], keep: Sequence[str], out: str = "skill",
-                     min_len: int | None = 100) -> DataFrame:
-    """The literal cross-join form, kept only for tests (same rows as lexicon_match)."""
-    spark = df.sparkSession
-    lex = spark.createDataFrame([(w.lower(),) for w in unique_words(lexicon)], [out])
-    src = df
-    if min_len is not None:
-        src = src.where(F.col(text).isNotNull() & (F.length(F.col(text)) > min_len))
-    src = src.select(*keep, F.lower(F.col(text)).alias("_text"))
-    j = src.crossJoin(F.broadcast(lex)).where(F.col("_text").contains(F.col(out)))
-    return j.select(*keep, out)
-

@@ -1,15 +1,15 @@
 """Report frames over the marts.
 
 Marts are small (one row per role / state / skill / month), so these are
-cheap; global figures such as "max of the column" are one-row aggregates
-attached with a one-row broadcast, never a driver round trip.
+cheap; global figures such as "max of the column" come from a window over the
+aggregated frame or a one-row aggregate, never a driver round trip.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import (count_label, date_of_text, money_full, money_k, month_label, pct_label, pct_of_max,
@@ -109,9 +109,10 @@ def tier_labels(tiers: DataFrame) -> DataFrame:
 def skill_chips(active: DataFrame, k: int = 20, skill: str = "skill", count: str = "job_count",
                 rank: str = "demand_rank", median: str = "median_salary") -> DataFrame:
     """Top-k skills with % of the largest count (over all skills, truncated) and labels."""
-    mx = active.agg(F.max(count).alias("_max"))
-    top = active.orderBy(F.col(rank), F.col(skill)).limit(k)
-    return top.crossJoin(F.broadcast(mx)).select(
+    # the skill frame is an aggregate (one row per skill): a global window over it is cheap
+    with_max = active.withColumn("_max", F.max(count).over(Window.partitionBy()))
+    top = with_max.orderBy(F.col(rank), F.col(skill)).limit(k)
+    return top.select(
         F.col(rank).cast("long").alias(rank), title_case(skill).alias("skill_label"), F.col(count),
         pct_of_max(count, "_max").alias("pct_of_max"), money_k(median).alias("salary_label"))
 
@@ -125,9 +126,13 @@ def topic_top(cooc: DataFrame, k: int = 20) -> DataFrame:
 
 def freshness(trends: DataFrame, loads: DataFrame, ts: str, month: str = "month") -> DataFrame:
     """Last month label ('yyyy-MM'), last load date, record count (one row)."""
-    m = trends.agg(month_label(F.max(month)).alias("last_month"))
-    l = loads.agg(F.to_date(F.max(ts)).alias("last_fetch_date"), F.count(F.lit(1)).alias("record_count"))
-    return m.crossJoin(l)
+    m = trends.agg(F.max(month).alias("_m"), F.lit(None).cast("date").alias("_d"),
+                   F.lit(None).cast("long").alias("_n"))
+    l = loads.agg(F.lit(None).cast("date").alias("_m"), F.to_date(F.max(ts)).alias("_d"),
+                  F.count(F.lit(1)).alias("_n"))
+    both = m.unionByName(l).agg(F.max("_m").alias("_m"), F.max("_d").alias("_d"), F.max("_n").alias("_n"))
+    return both.select(month_label("_m").alias("last_month"), F.col("_d").alias("last_fetch_date"),
+                       F.col("_n").alias("record_count"))
 
 
 def role_seniority(role_sen: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hirelens.operators.dedupe import keep_first, unseen
 from hirelens.operators.digest import digest, new_items
-from hirelens.operators.lexicon import bnlj_cross_check, lexicon_match, matched_words
+from hirelens.operators.lexicon import lexicon_match, matched_words, unique_words
 from hirelens.operators.matching import learning_path, match_score, parse_skill_list, role_readiness, skill_gap
 from hirelens.operators.quality import check_suite, gate
 from hirelens.operators.stats import distinct_with_stats, salary_stats
@@ -15,6 +15,14 @@ from hirelens.plans import marts
 SF = "/root/testdata/sf0.001"
 
 
+def bnlj_cross_check(df, text, lexicon, keep, out="skill", min_len=100):
+    """The literal cross-join form (lexicon × texts with a substring test), for comparison only."""
+    lex = df.sparkSession.createDataFrame([(w.lower(),) for w in unique_words(lexicon)], [out])
+    src = df.where(F.col(text).isNotNull() & (F.length(F.col(text)) > min_len))
+    src = src.select(*keep, F.lower(F.col(text)).alias("_text"))
+    return src.crossJoin(lex).where(F.col("_text").contains(F.col(out))).select(*keep, out)
+
+
 def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
