@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import taxonomy as tx
-from .expr import ColumnOrName, col, contains_any, label_map, let
+from .expr import ColumnOrName, col, contains_any, label_map, let, strip_ws
 
 
 def first_match(c: ColumnOrName, rules: Sequence[tuple[str, object]], default=None,
@@ -145,14 +145,14 @@ def keyword_filter(title: ColumnOrName, include=tx.TITLE_INCLUDE, exclude=tx.TIT
 
 
 def clean_title(title: ColumnOrName, separators=tx.TITLE_SEPARATORS) -> Column:
-    """Cut at the first separator (in list order) that occurs, then trim (C11)."""
+    """Cut at the first separator (in list order) that occurs, then strip whitespace (C11)."""
     def body(t: Column) -> Column:
         out = None
         for sep in separators:
             cond = F.contains(t, F.lit(sep))
-            val = F.trim(F.split_part(t, F.lit(sep), F.lit(1)))
+            val = strip_ws(F.split_part(t, F.lit(sep), F.lit(1)))
             out = F.when(cond, val) if out is None else out.when(cond, val)
-        return F.trim(t) if out is None else out.otherwise(F.trim(t))
+        return strip_ws(t) if out is None else out.otherwise(strip_ws(t))
     return let(title, body)
 
 

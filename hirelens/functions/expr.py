@@ -127,6 +127,15 @@ def strip_chars(c: ColumnOrName, chars: str) -> Column:
     return F.btrim(col(c), F.lit(chars))
 
 
+# FIXED VALUES: the ASCII whitespace set removed by Python's str.strip().
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
+def strip_ws(c: ColumnOrName) -> Column:
+    """Python ``str.strip()`` on ASCII whitespace (Spark's ``trim`` removes spaces only)."""
+    return F.btrim(col(c), F.lit(WHITESPACE))
+
+
 def last_part(c: ColumnOrName, sep: str) -> Column:
     """Last part after a separator."""
     return F.split_part(col(c), F.lit(sep), F.lit(-1))

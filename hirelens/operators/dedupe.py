@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import ColumnOrName, col
+from ..functions.expr import ColumnOrName, col, strip_ws
 
 
 def keep_first(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Column],
@@ -59,8 +59,8 @@ def unseen(df: DataFrame, seen: DataFrame, key: str, order: Sequence[ColumnOrNam
     ``order`` wins. The seen set is joined with a left-anti join (shuffle or
     broadcast chosen by AQE from its runtime size).
     """
-    k = F.trim(F.col(key))
+    k = strip_ws(key)
     src = df.withColumn(key, k).where(F.col(key).isNotNull() & (F.col(key) != ""))
-    s = seen.select(F.trim(F.col(seen_key or key)).alias(key))
+    s = seen.select(strip_ws(seen_key or key).alias(key))
     fresh = src.join(s, key, "left_anti")
     return keep_first(fresh, [key], [col(o) for o in order])

@@ -13,10 +13,17 @@ def _contains_any(expr: str, words) -> str:
     return "(" + " or ".join(f"contains({expr}, {_q(w)})" for w in words) + ")"
 
 
+_WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+
+
+def _strip(expr: str) -> str:
+    return f"trim({expr}, {_WS})"
+
+
 def _clean_title(expr: str) -> str:
     from ..functions.taxonomy import TITLE_SEPARATORS
-    parts = [f"when contains({expr}, {_q(s)}) then trim(split_part({expr}, {_q(s)}, 1))" for s in TITLE_SEPARATORS]
-    return "case " + " ".join(parts) + f" else trim({expr}) end"
+    parts = [f"when contains({expr}, {_q(s)}) then {_strip(f'split_part({expr}, {_q(s)}, 1)')}" for s in TITLE_SEPARATORS]
+    return "case " + " ".join(parts) + f" else {_strip(expr)} end"
 
 
 def _money_k(expr: str, empty: str = "—") -> str:
@@ -48,14 +55,14 @@ PAGE_TITLES = f"""
 NEW_PAGES = f"""
     with cands as (
         select split_part(url, '/', 3) as company, split_part(url, '/', 3) as company_order,
-               page_id as position, trim(url) as url, title
+               page_id as position, {_strip('url')} as url, title
         from ({PAGE_TITLES}) p
     ),
     ok as (
         select * from cands
         where not {_contains_any('lower(title)', O.PAGE_EXCLUDE)} and {_contains_any('lower(title)', O.PAGE_INCLUDE)}
     ),
-    seen as (select trim(url) as url from pages where contains(url, {_q(O.SEEN_LANG_PATH)})),
+    seen as (select {_strip('url')} as url from pages where contains(url, {_q(O.SEEN_LANG_PATH)})),
     fresh as (
         select * from ok
         where url is not null and url != '' and url not in (select url from seen where url is not null)

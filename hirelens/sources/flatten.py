@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import taxonomy as tx
 from ..functions.classify import (annualize, clean_title, estimate_mean_or_either, estimate_midpoint_or_zero,
                                   keyword_filter)
-from ..functions.expr import strip_chars, typed_null
+from ..functions.expr import strip_chars, strip_ws, typed_null
 from ..operators.dedupe import first_per_key
 from .schemas import (ADZUNA_PAYLOAD, ASHBY_PAYLOAD, GREENHOUSE_PAYLOAD, JSEARCH_PAYLOAD, SEARCH_PAYLOAD)
 
@@ -145,7 +145,7 @@ def flatten_search_results(df: DataFrame, company_col: str = "company", order_co
     order = F.col(order_col) if order_col in df.columns else F.lit(0)
     return r.select(F.col(company_col).alias("company"), order.alias("company_order"),
                     F.col("_pos").alias("position"),
-                    F.trim(F.coalesce(j["link"], F.lit(""))).alias("url"),
+                    strip_ws(F.coalesce(j["link"], F.lit(""))).alias("url"),
                     clean_title(F.coalesce(j["title"], F.lit("")), separators).alias("title"))
 
 

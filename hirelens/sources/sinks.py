@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expr import strip_ws
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Full-refresh write as Parquet (A3)."""
@@ -42,7 +44,7 @@ def load_seen(spark: SparkSession, path: str, key: str = "url") -> DataFrame:
     from .readers import path_exists
     if not path_exists(spark, path):
         return spark.createDataFrame([], f"{key} string")
-    s = spark.read.parquet(path).select(F.trim(F.col(key)).alias(key))
+    s = spark.read.parquet(path).select(strip_ws(key).alias(key))
     return s.where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
 
 
@@ -52,7 +54,7 @@ def save_seen(seen: DataFrame, new_keys: DataFrame, path: str, key: str = "url")
     Callers point the next run at ``path``; the previous version is left for
     the operator to expire. Sorted on write for stable files.
     """
-    allk = seen.select(key).unionByName(new_keys.select(F.trim(F.col(key)).alias(key)))
+    allk = seen.select(key).unionByName(new_keys.select(strip_ws(key).alias(key)))
     allk = allk.where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
     allk.orderBy(key).write.mode("errorifexists").parquet(path)
 
