@@ -200,6 +200,15 @@ FALLBACK_TARGETS = [
     ("Brex", "ashby", "brex"),
 ]
 
+# Archive load manifest: landed file → raw table name.
+ARCHIVE_MANIFEST = {
+    "postings.csv": "JOB_POSTINGS",
+    "jobs/job_skills.csv": "JOB_SKILLS",
+    "companies/companies.csv": "COMPANIES",
+    "jobs/salaries.csv": "JOB_SALARIES",
+    "jobs/job_industries.csv": "JOB_INDUSTRIES",
+}
+
 # Declared column checks: (table, column, check).
 DECLARED_CHECKS = [
     ("stg_job_postings", "job_id", "not_null"),

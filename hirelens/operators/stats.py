@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 Spec = str | float
 
 
-def salary_stats(df: DataFrame, keys: Sequence[str | Column], value: str, stats: Mapping[str, Spec],
+def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[str, Spec],
                  digits: int | None = 0, approx: bool = False) -> DataFrame:
     """``groupBy(keys)`` with named stats, rounded to ``digits`` (None: no rounding)."""
     v = F.col(value)
@@ -55,9 +55,7 @@ def salary_stats(df: DataFrame, keys: Sequence[str | Column], value: str, stats:
         c = c.cast("double")
         return F.round(c, digits) if digits is not None else c
 
-    key_names = [k if isinstance(k, str) else None for k in keys]
-    out = [F.col(k) for k in key_names if k is not None] if all(key_names) else [
-        c for c in g.columns if c not in plain and c != "_q"]
+    out = [F.col(k) for k in keys]
     for name, spec in stats.items():
         if name in plain:
             out.append(fmt(F.col(name), spec).alias(name))

@@ -3,7 +3,6 @@ the load manifest (A1, A2, A4, A5)."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,17 +73,3 @@ def load_manifest(spark: SparkSession, root: str, manifest: Mapping[str, str], o
         write_table(df, f"{out_root.rstrip('/')}/{name}")
         done[name] = 1
     return done
-
-
-# Archive manifest: landed file → raw table name.
-ARCHIVE_MANIFEST = {
-    "postings.csv": "JOB_POSTINGS",
-    "jobs/job_skills.csv": "JOB_SKILLS",
-    "companies/companies.csv": "COMPANIES",
-    "jobs/salaries.csv": "JOB_SALARIES",
-    "jobs/job_industries.csv": "JOB_INDUSTRIES",
-}
-
-
-def slug(s: str) -> str:
-    return re.sub(r"[^a-z0-9]+", "_", s.lower()).strip("_")
