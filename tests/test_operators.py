@@ -155,3 +155,30 @@ def test_dedupe_order_independent_and_digest(spark):
     b = {tuple(r) for r in dedupe_postings(df.orderBy(F.rand(3)).repartition(7), ts=None).collect()}
     c = {tuple(r) for r in dedupe_postings(df, ts=None, digest_keys=True).collect()}
     assert a == b == c and len(a) == 15
+
+
+def test_hot_key_paths(spark):
+    """One key holds a third of all rows: every keyed path still returns whole, exact results."""
+    from hirelens.operators.dedupe import keep_first
+    from hirelens.operators.tags import tag_demand
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+        (F.col("id") % 5000).alias("job_id"), ((F.col("id") * 7) % 1000).cast("double").alias("v"),
+        (F.col("id") % 2 == 0).alias("f"))
+    got = {r.k: r for r in distinct_with_stats(base, ["k"], "job_id", "v", avg_name="a", quantiles={"m": 0.5},
+                                              counts={"c": F.col("f")}, digits=None).collect()}
+    ref = {r.k: r for r in base.groupBy("k").agg(F.count_distinct("job_id").alias("job_count"), F.avg("v").alias("a"),
+                                                 F.median("v").alias("m"), F.count_if("f").alias("c")).collect()}
+    assert set(got) == set(ref) and got["hot"].job_count == ref["hot"].job_count
+    for k in ("hot", "k1", "k996"):
+        assert got[k].job_count == ref[k].job_count and got[k].c == ref[k].c
+        assert abs(got[k].a - ref[k].a) < 1e-6 and got[k].m == ref[k].m
+    first = keep_first(base, ["k"], [F.col("v").desc(), F.col("job_id")])
+    assert first.count() == base.select("k").distinct().count()
+    facts = spark.range(5000).select(F.col("id").alias("job_id"), F.lit(None).cast("timestamp").alias("listed_at"),
+                                     F.col("id").cast("double").alias("annual_salary_est"),
+                                     F.lit("FULL_TIME").alias("work_type"), F.lit("EN").alias("experience_level"))
+    tags = base.select("job_id", F.col("k").alias("skill_id"))
+    td = {r.skill_id: r for r in tag_demand(tags, facts).collect()}
+    assert td["hot"].job_count == ref["hot"].job_count and td["hot"].demand_rank == 1
