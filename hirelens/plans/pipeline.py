@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import taxonomy as tx
 from ..operators.quality import check_suite
-from ..sources.sinks import materialize, write_table
+from ..sources.sinks import materialize, write_bucketed, write_table
 from . import marts, staging
 
 
@@ -53,16 +53,22 @@ def build_marts(postings: DataFrame, skills: DataFrame | None = None) -> dict[st
 
 
 def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str, loaded_at=None,
-                 checks=tx.DECLARED_CHECKS, gate: bool = False) -> DataFrame:
+                 checks=tx.DECLARED_CHECKS, gate: bool = False, buckets: int | None = None) -> DataFrame:
     """Build everything under ``out_root``; return the check results.
 
     Staging views stay lazy except ``stg_all_postings`` (materialised once).
-    Each mart is written as a Parquet table. With ``gate=True`` a failed
-    check raises after the build, like the post-build test step.
+    With ``buckets``, the postings and the skill tags are stored bucketed by
+    ``job_id`` so the tag mart's join runs without a shuffle. Each mart is
+    written as a Parquet table. With ``gate=True`` a failed check raises after
+    the build, like the post-build test step.
     """
     stg = build_staging(raw, loaded_at)
     tables: dict[str, DataFrame] = {}
+    root = out_root.rstrip("/")
     for name, df in stg.items():
+        if buckets and name in ("stg_all_postings", "stg_job_skills"):
+            tables[name] = write_bucketed(df, name, f"{root}/{name}", "job_id", buckets)
+            continue
         kind = "table" if name == "stg_all_postings" else "view"
         tables[name] = materialize(spark, name, df, kind=kind, root=out_root)
     postings = tables.get("stg_all_postings")

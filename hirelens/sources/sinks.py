@@ -17,6 +17,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Store ``df`` as an external table bucketed and sorted by ``key`` at ``path``.
+
+    Two tables bucketed the same way on their join key join without a shuffle
+    (each bucket pair meets in one task), so a large fact table written once
+    this way saves a full shuffle on every later join by that key.
+    """
+    spark = df.sparkSession
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def replace_day(df: DataFrame, path: str, fetched_col: str = "FETCHED_AT", part_col: str = "fetch_date") -> bool:
     """Idempotent same-day load: the days present in ``df`` are replaced, other days stay.
 

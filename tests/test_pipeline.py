@@ -108,3 +108,30 @@ def test_full_pipeline_with_checks(spark, tmp_dir):
     assert res[("mart_skill_demand", "skill_id", "unique")] == 0
     assert all(v == 0 for v in res.values())
     assert spark.read.parquet(os.path.join(tmp_dir, "wh", "mart_tech_skills")).count() >= 0
+    bucketed = {(r.table_name, r.column_name, r.check_name): r.failures for r in
+                run_pipeline(spark, raw, os.path.join(tmp_dir, "wh_b"), loaded_at="2026-01-01", buckets=2).collect()}
+    assert bucketed == res
+    a = spark.read.parquet(os.path.join(tmp_dir, "wh", "mart_skill_demand")).collect()
+    b = spark.read.parquet(os.path.join(tmp_dir, "wh_b", "mart_skill_demand")).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
+    from hirelens.operators.tags import tag_demand
+    from hirelens.sources.sinks import write_bucketed
+    facts = spark.range(2000).select(F.col("id").cast("string").alias("job_id"),
+                                     F.lit(None).cast("timestamp").alias("listed_at"),
+                                     F.col("id").cast("double").alias("annual_salary_est"),
+                                     F.lit("FULL_TIME").alias("work_type"), F.lit("EN").alias("experience_level"))
+    tags = spark.range(6000).select((F.col("id") % 2000).cast("string").alias("job_id"),
+                                    F.concat(F.lit("s"), (F.col("id") % 7).cast("string")).alias("skill_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = write_bucketed(facts, "b_facts", os.path.join(tmp_dir, "b_facts"), "job_id", 4)
+        t = write_bucketed(tags, "b_tags", os.path.join(tmp_dir, "b_tags"), "job_id", 4)
+        j = t.join(f, "job_id", "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert tag_demand(t, f).count() == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
