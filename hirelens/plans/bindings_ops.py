@@ -16,7 +16,8 @@ from ..operators.lexicon import matched_words
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite, not_null, unique
 from ..functions.expr import label_map
-from ..sources.flatten import distinct_jobs, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch
+from ..sources.flatten import (distinct_jobs, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch,
+                               flatten_search_results)
 from ..plans.staging import stg_all, stg_companies, stg_job_postings, stg_job_skills, union_feeds
 from . import bindings as B
 
@@ -230,6 +231,20 @@ def q_flatten_boards(spark, d):
     return distinct_jobs(a.unionByName(b)).withColumn("DESCRIPTION", F.length("DESCRIPTION").cast("long"))
 
 
+RESULTS_PER_PAGE = 10
+
+
+def q_flatten_search(spark, d):
+    """Pages as search-result responses: per host, chunks of ≤ 10 results in page order."""
+    p = t(spark, d, "pages")
+    host = F.split_part("url", F.lit("/"), F.lit(3))
+    item = F.struct(F.col("page_id"), F.regexp_extract("html", TITLE_RE, 1).alias("title"), F.col("url").alias("link"))
+    pages = (p.groupBy(host.alias("company"), (F.col("page_id") / RESULTS_PER_PAGE).cast("long").alias("chunk"))
+             .agg(F.sort_array(F.collect_list(item)).alias("organic")))
+    flat = flatten_search_results(pages.withColumn("company_order", F.col("chunk")))
+    return flat.select("company", F.col("company_order").alias("chunk"), F.col("position").cast("long"), "url", "title")
+
+
 # --- classifiers and scalar rules --------------------------------------------------
 
 def q_classify_first_match(spark, d):
@@ -473,6 +488,7 @@ OP_QUERIES = {
     "flatten_feed1": q_flatten_feed1,
     "flatten_feed2": q_flatten_feed2,
     "flatten_boards": q_flatten_boards,
+    "flatten_search": q_flatten_search,
     "classify_first_match": q_classify_first_match,
     "work_type": q_work_type,
     "experience_level": q_experience_level,

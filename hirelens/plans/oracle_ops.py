@@ -584,3 +584,13 @@ SQL["flatten_boards"] = (
            "length(case when coalesce(case when o_orderstatus != 'P' then text end, '') != '' "
            "then substr(text, 1, 2000) end)",
            "case when o_orderstatus = 'O' then '1' else '0' end", "https://c/", "ashby"))
+
+
+SQL["flatten_search"] = f"""
+select split_part(url, '/', 3) as company, page_id // {O.RESULTS_PER_PAGE} as chunk,
+       row_number() over (partition by split_part(url, '/', 3), page_id // {O.RESULTS_PER_PAGE} order by page_id) - 1
+           as position,
+       {_strip("coalesce(url, '')")} as url,
+       {_clean_title("coalesce(regexp_extract(html, '<title>(.*?)</title>', 1), '')")} as title
+from pages
+"""

@@ -38,6 +38,22 @@ def duck(sf_dir):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diffs(sdf, rel):
+    s_types = dict(sdf.dtypes)
+    out = []
+    for name, dtype in zip(rel.columns, rel.types):
+        want = SPARK_TO_DUCK.get(s_types.get(name), s_types.get(name))
+        got = str(dtype)
+        if got != want and not (got == "\"NULL\"" or got == "NULL"):
+            out.append(f"{name}: spark={s_types.get(name)} duck={got}")
+    return out
+
+
 def rows_of(columns, records):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = []
@@ -76,7 +92,8 @@ def compare(spark, sf_dir, names=None, verbose=True):
             continue
         a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
         if a == b:
-            results[name] = f"OK ({len(a)} rows, {ts:.1f}s)"
+            td = type_diffs(sdf, rel)
+            results[name] = f"OK ({len(a)} rows, {ts:.1f}s)" + (f" TYPES {td}" if td else "")
         else:
             diff = [(x, y) for x, y in zip(a, b) if x != y][:2]
             results[name] = f"MISMATCH spark={len(a)} duck={len(b)} first diffs={diff}"
