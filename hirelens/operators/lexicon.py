@@ -3,9 +3,9 @@
 The posting pipeline expresses "which lexicon words occur in which text" as a
 cross join of the lexicon with every text under a ``LIKE '%w%'`` predicate.
 On Spark that plans as a BroadcastNestedLoopJoin. Here it is one pass over the
-text instead: ``explode(filter(lexicon, w -> contains(text, w)))`` is a single
-Generate operator inside whole-stage codegen — no join, no shuffle, and the
-lexicon (a literal array of bounded size) travels with the plan.
+text instead: the hits ``[w for w in lexicon if contains(text, w)]`` are built
+as one array of codegen'd ``contains`` tests and exploded by a single Generate —
+no join, no shuffle, and the lexicon (bounded literals) travels with the plan.
 """
 
 from __future__ import annotations
@@ -51,11 +51,12 @@ def matched_words(text: ColumnOrName, lexicon: Sequence[str], mode: str = "subst
     """
     words = unique_words(w.lower() for w in lexicon)
     t = col(text) if lowered else F.lower(col(text))
+    # One codegen'd test per word (no lambda), then drop the misses; the order
+    # of the lexicon is kept. Equivalent to filter(lexicon, w -> contains(t, w)).
     if mode == "substring":
-        return F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(t, w))
+        return F.array_compact(F.array(*[F.when(F.contains(t, F.lit(w)), F.lit(w)) for w in words]))
     if mode == "word":
-        pairs = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(_word_pattern(w)).alias("p")) for w in words])
-        return F.transform(F.filter(pairs, lambda s: F.regexp(t, s["p"])), lambda s: s["w"])
+        return F.array_compact(F.array(*[F.when(t.rlike(_word_pattern(w)), F.lit(w)) for w in words]))
     raise ValueError(f"unknown match mode {mode!r}")
 
 

@@ -23,7 +23,8 @@ def skill_sets(df: DataFrame, id_col: str, text: str, lexicon: Sequence[str], ou
     ``collect_set`` holds at most ``len(lexicon)`` values per id, merged
     partially on the map side.
     """
-    hits = df.select(F.col(id_col), F.explode(matched_words(text, lexicon, mode)).alias("_w"))
+    lowered = df.select(F.col(id_col), F.lower(F.col(text)).alias("_t"))
+    hits = lowered.select(F.col(id_col), F.explode(matched_words("_t", lexicon, mode, lowered=True)).alias("_w"))
     return hits.groupBy(id_col).agg(F.sort_array(F.collect_set("_w")).alias(out))
 
 
