@@ -23,10 +23,14 @@ def spread(df: DataFrame, min_partitions: int | None = None, key: Sequence[str]
     construction, round-robin because Spark sorts before it (safe under
     executor loss).
     """
-    qe = df._jdf.queryExecution()
-    if "Exchange" in qe.executedPlan().toString():
+    try:
+        qe = df._jdf.queryExecution()
+        if "Exchange" in qe.executedPlan().toString():
+            return df
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = qe.toRdd().getNumPartitions()
+    except AttributeError:  # no JVM plan to inspect (e.g. a Spark Connect session): leave as is
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if qe.toRdd().getNumPartitions() >= target:
+    if splits >= target:
         return df
     return df.repartition(target, *key) if key else df.repartition(target)
