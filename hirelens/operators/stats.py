@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Stat spec: "count" | "count_distinct:<col>" | "avg" | "min" | "max" | "median" | float quantile
@@ -20,8 +20,25 @@ Spec = str | float
 
 
 def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[str, Spec],
-                 digits: int | None = 0, approx: bool = False) -> DataFrame:
-    """``groupBy(keys)`` with named stats, rounded to ``digits`` (None: no rounding)."""
+                 digits: int | None = 0, approx: bool = False, two_pass: bool = False) -> DataFrame:
+    """``groupBy(keys)`` with named stats, rounded to ``digits`` (None: no rounding).
+
+    ``two_pass=True`` computes the quantiles with ``exact_quantiles`` (same
+    values, memory bounded per task even for a hot key; non-NULL keys).
+    """
+    if two_pass:
+        qspec = {n: (0.5 if sp == "median" else sp) for n, sp in stats.items()
+                 if sp == "median" or isinstance(sp, float)}
+        rest = {n: sp for n, sp in stats.items() if n not in qspec}
+        plain = salary_stats(df, keys, value, rest, digits=None) if rest else df.select(*keys).distinct()
+        qs = exact_quantiles(df, keys, value, qspec)
+        rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+        out = [F.col(k) for k in keys]
+        for n, sp in stats.items():
+            c = F.col(n)
+            is_count = sp == "count" or (isinstance(sp, str) and sp.startswith("count_distinct:"))
+            out.append((c if is_count else rnd(c.cast("double"))).alias(n))
+        return plain.join(qs, list(keys), "left").select(*out)
     v = F.col(value)
     quantiles: list[float] = []
     for spec in stats.values():
@@ -118,3 +135,54 @@ def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value:
     out += [F.col(c).alias(n) for c, n in zip(cnames, counts)]
     out += [F.col(m).alias(n) for m, n in zip(mnames, mins)]
     return g.select(*out)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
+                    buckets: int = 1024) -> DataFrame:
+    """Exact ``percentile_cont`` per key without holding a key's values in one task.
+
+    For keys so hot that even their distinct values are too many for one
+    task. Three aggregations, each bounded per key:
+
+    1. per key: n, min, max (one row per key);
+    2. per (key, bucket of an equal-width histogram): counts, at most
+       ``buckets`` rows per key, and running counts over them;
+    3. only the rows inside the buckets that hold the wanted ranks, counted
+       per distinct value; the interpolation then reads the two values around
+       rank ``p * (n - 1)``, as ``percentile_cont`` does.
+
+    Rows are scanned three times instead of once; memory per task is bounded
+    by ``buckets`` and by the distinct values of one bucket.
+    """
+    names = list(quantiles)
+    v = F.col(value).cast("double")
+    base = df.select(*[F.col(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull())
+    st = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    width = (F.col("_hi") - F.col("_lo")) / buckets
+    bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(buckets - 1))) \
+        .otherwise(F.lit(0)).cast("long")
+    tagged = base.join(st, list(keys)).withColumn("_b", bucket)
+    hist = tagged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_start", F.col("_cum") - F.col("_c"))
+    # wanted 0-based ranks per key: floor and ceil of p * (n - 1) for every quantile
+    ranks = st.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(name).alias("q"), F.lit(p).alias("p"), (F.lit(p) * (F.col("_n") - 1)).alias("pos"))
+        for name, p in quantiles.items()])).alias("_r")).select(*keys, "_r.*")
+    ranks = ranks.select(*keys, "q", "pos", F.explode(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long")))
+                         .alias("rank"))
+    # the bucket holding each rank (rank in [start, cum))
+    at = ranks.join(hist, list(keys)).where((F.col("rank") >= F.col("_start")) & (F.col("rank") < F.col("_cum")))
+    need = at.select(*keys, "_b").distinct()
+    vals = tagged.join(need, list(keys) + ["_b"]).groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_vc"))
+    wv = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = vals.withColumn("_vcum", F.sum("_vc").over(wv))
+    # value at rank: within its bucket, offset = rank - start; first value whose running count exceeds it
+    hit = (at.join(vals, list(keys) + ["_b"])
+           .where(F.col("_vcum") > F.col("rank") - F.col("_start"))
+           .groupBy(*keys, "q", "pos", "rank").agg(F.min("_v").alias("_x")))
+    lo = hit.where(F.col("rank") == F.floor("pos")).select(*keys, "q", "pos", F.col("_x").alias("_xlo"))
+    hi = hit.where(F.col("rank") == F.ceil("pos")).select(*keys, "q", F.col("_x").alias("_xhi"))
+    q = lo.join(hi, list(keys) + ["q"]).select(
+        *keys, "q", (F.col("_xlo") + (F.col("pos") - F.floor("pos")) * (F.col("_xhi") - F.col("_xlo"))).alias("_val"))
+    return q.groupBy(*keys).pivot("q", names).agg(F.first("_val"))

@@ -182,3 +182,27 @@ def test_hot_key_paths(spark):
     tags = base.select("job_id", F.col("k").alias("skill_id"))
     td = {r.skill_id: r for r in tag_demand(tags, facts).collect()}
     assert td["hot"].job_count == ref["hot"].job_count and td["hot"].demand_rank == 1
+
+
+def test_exact_quantiles_two_pass_equals_percentile(spark):
+    from hirelens.operators.stats import exact_quantiles
+    rnd = random.Random(11)
+    rows = [("hot", float(rnd.choice([100, 100, 100, 250.5, 999, rnd.randint(0, 10 ** 6)]))) for _ in range(3000)]
+    rows += [(f"k{i % 17}", float(rnd.randint(0, 50))) for i in range(900)]
+    rows += [("one", 42.0), ("same", 7.0), ("same", 7.0), ("nulls", None), ("nulls", 3.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    qs = {"p10": 0.1, "med": 0.5, "p75": 0.75, "p90": 0.9}
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", qs, buckets=16).collect()}
+    ref = {r.k: r for r in df.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in qs.items()]).collect()}
+    assert set(got) == set(ref)
+    for k in ref:
+        for n in qs:
+            assert abs(got[k][n] - ref[k][n]) < 1e-9, (k, n, got[k][n], ref[k][n])
+
+
+def test_salary_stats_two_pass_matches(spark):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    spec = {"n": "count", "avg": "avg", "med": "median", "p25": 0.25, "p90": 0.9, "lo": "min"}
+    a = sorted(tuple(r) for r in salary_stats(li, ["l_returnflag"], "l_extendedprice", spec).collect())
+    b = sorted(tuple(r) for r in salary_stats(li, ["l_returnflag"], "l_extendedprice", spec, two_pass=True).collect())
+    assert a == b and len(a) == 3
