@@ -22,6 +22,14 @@ from ..operators.tags import tag_demand
 from ..operators.trends import monthly_counts, share_trend
 
 
+def _method(quantiles: str) -> dict:
+    """Quantile method of the salary marts: "exact" (one percentile buffer per
+    group), "two_pass" (exact, bounded memory for hot groups) or "approx"."""
+    if quantiles not in ("exact", "two_pass", "approx"):
+        raise ValueError(f"unknown quantile method {quantiles!r}")
+    return {"two_pass": quantiles == "two_pass", "approx": quantiles == "approx"}
+
+
 def hiring_trends(postings: DataFrame, title: str = "job_title", ts: str = "listed_at", id_col: str = "job_id",
                   roles=tx.ROLES_TRENDS, other: str = "Other") -> DataFrame:
     """M1: month, role_cluster, posting_count (catch-all role dropped)."""
@@ -60,20 +68,20 @@ def remote_trend(postings: DataFrame, ts: str = "listed_at", flag: str = "remote
 def salary_by_company_tier(postings: DataFrame, company: str = "company_name", value: str = "annual_salary_est",
                            tiers=tx.COMPANY_TIERS, fallback: str = tx.TIER_FALLBACK,
                            unknown: str = tx.TIER_UNKNOWN, lo: float = 30000, hi: float = 500000,
-                           min_len: int = 2) -> DataFrame:
+                           min_len: int = 2, quantiles: str = "exact") -> DataFrame:
     """M4: company_tier, job_count, median/avg/p25/p75, sort_order."""
     src = postings.where(F.col(value).isNotNull() & in_window(value, lo, hi, inclusive=True))
     src = src.select(F.col(value), company_tier(company, tiers, fallback, unknown, min_len).alias("company_tier"))
     src = src.where(F.col("company_tier") != F.lit(unknown))
     g = salary_stats(src, ["company_tier"], value, {
         "job_count": "count", "median_salary": "median", "avg_salary": "avg",
-        "p25_salary": 0.25, "p75_salary": 0.75})
+        "p25_salary": 0.25, "p75_salary": 0.75}, **_method(quantiles))
     return g.withColumn("sort_order", tier_order("company_tier", tiers, fallback))
 
 
 def salary_by_role(postings: DataFrame, title: str = "job_title", value: str = "annual_salary_est",
                    roles=tx.ROLES_SALARY, other: str = "Other", lo: float = 10000, hi: float = 1000000,
-                   role_col: str | None = None) -> DataFrame:
+                   role_col: str | None = None, quantiles: str = "exact") -> DataFrame:
     """M5: role_cluster, posting_count, avg, median, p10 (= min), p90 (= max), p25, p75.
 
     The p10/p90 names hold min/max, as in the pipeline this reproduces.
@@ -83,13 +91,13 @@ def salary_by_role(postings: DataFrame, title: str = "job_title", value: str = "
     src = src.select(F.col(value), role.alias("role_cluster")).where(F.col("role_cluster") != F.lit(other))
     return salary_stats(src, ["role_cluster"], value, {
         "posting_count": "count", "avg_salary": "avg", "median_salary": "median",
-        "p10_salary": "min", "p90_salary": "max", "p25_salary": 0.25, "p75_salary": 0.75})
+        "p10_salary": "min", "p90_salary": "max", "p25_salary": 0.25, "p75_salary": 0.75}, **_method(quantiles))
 
 
 def salary_by_role_seniority(postings: DataFrame, title: str = "job_title", level: str = "experience_level",
                              value: str = "annual_salary_est", roles=tx.ROLES_SENIORITY,
                              labels=tx.SENIORITY_LABELS, order=tx.SENIORITY_ORDER,
-                             lo: float = 20000, hi: float = 800000) -> DataFrame:
+                             lo: float = 20000, hi: float = 800000, quantiles: str = "exact") -> DataFrame:
     """M6: role_cluster, seniority, sort_order, posting_count, median, p10, p90."""
     src = postings.where(in_window(value, lo, hi) & F.col(level).isin(list(labels)))
     src = src.select(F.col(value), classify(title, roles, None).alias("role_cluster"),
@@ -97,17 +105,18 @@ def salary_by_role_seniority(postings: DataFrame, title: str = "job_title", leve
                      seniority_order(level, order).alias("sort_order"))
     src = src.where(F.col("role_cluster").isNotNull())
     return salary_stats(src, ["role_cluster", "seniority", "sort_order"], value, {
-        "posting_count": "count", "median_salary": "median", "p10_salary": 0.10, "p90_salary": 0.90})
+        "posting_count": "count", "median_salary": "median", "p10_salary": 0.10, "p90_salary": 0.90},
+        **_method(quantiles))
 
 
 def salary_by_seniority(postings: DataFrame, level: str = "experience_level", value: str = "annual_salary_est",
                         labels=tx.SENIORITY_LABELS, order=tx.SENIORITY_ORDER,
-                        lo: float = 20000, hi: float = 800000) -> DataFrame:
+                        lo: float = 20000, hi: float = 800000, quantiles: str = "exact") -> DataFrame:
     """M7: seniority, sort_order, posting_count, avg, median, p10, p90."""
     src = postings.where(in_window(value, lo, hi) & F.col(level).isNotNull() & F.col(level).isin(list(labels)))
     g = salary_stats(src.select(F.col(level), F.col(value)), [level], value, {
         "posting_count": "count", "avg_salary": "avg", "median_salary": "median",
-        "p10_salary": 0.10, "p90_salary": 0.90})
+        "p10_salary": 0.10, "p90_salary": 0.90}, **_method(quantiles))
     return g.select(seniority_label(level, labels, "Other").alias("seniority"),
                     seniority_order(level, order, 9).alias("sort_order"),
                     "posting_count", "avg_salary", "median_salary", "p10_salary", "p90_salary")
