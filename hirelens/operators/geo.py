@@ -15,7 +15,7 @@ from .stats import distinct_with_stats
 def geo_rollup(df: DataFrame, state_col: str, id_col: str, value_col: str, role_col: str,
                pivots: Sequence[tuple[str, str]] = tx.LOCATION_PIVOTS,
                names: Mapping[str, str] = tx.US_STATES, exclude: Sequence[str] = ("US",),
-               min_count: int = 3) -> DataFrame:
+               min_count: int = 3, two_pass: bool = False) -> DataFrame:
     """Per normalised region code: distinct ids, median / avg value, role counts.
 
     Pivot columns are conditional counts with a fixed schema (not ``pivot``,
@@ -29,6 +29,6 @@ def geo_rollup(df: DataFrame, state_col: str, id_col: str, value_col: str, role_
     return distinct_with_stats(
         src, ["state_code"], id_col, value_col, count_name="job_count", avg_name="avg_salary",
         quantiles={"median_salary": 0.5},
-        counts={name: F.col(role_col) == F.lit(label) for label, name in pivots},
+        counts={name: F.col(role_col) == F.lit(label) for label, name in pivots}, two_pass=two_pass,
     ).select("state_code", "job_count", "median_salary", "avg_salary", *[n for _, n in pivots]).where(
         F.col("job_count") >= min_count)

@@ -92,7 +92,7 @@ def lexicon_demand(matches: DataFrame, keys: Sequence[str], id_col: str, value_c
                    median_name: str | None = "median_salary", level_col: str | None = None,
                    senior_values: Sequence[str] = (), senior_name: str | None = "senior_count",
                    min_count: int = 10, min_inclusive: bool = False, rank_name: str = "demand_rank",
-                   rank_within: Sequence[str] = ()) -> DataFrame:
+                   rank_within: Sequence[str] = (), two_pass: bool = False) -> DataFrame:
     """Aggregate matches per key: distinct ids, pay stats, senior count, rank.
 
     Keeps groups with ``count > min_count`` (or ``>=`` when ``min_inclusive``)
@@ -106,7 +106,8 @@ def lexicon_demand(matches: DataFrame, keys: Sequence[str], id_col: str, value_c
         matches, keys, id_col, value_col, count_name=count_name,
         avg_name=avg_name if value_col else None,
         quantiles={median_name: 0.5} if (value_col and median_name) else None,
-        counts={senior_name: F.col(level_col).isin(list(senior_values))} if (level_col and senior_name) else None)
+        counts={senior_name: F.col(level_col).isin(list(senior_values))} if (level_col and senior_name) else None,
+        two_pass=two_pass)
     keep = (F.col(count_name) >= min_count) if min_inclusive else (F.col(count_name) > min_count)
     w = Window.partitionBy(*rank_within).orderBy(F.col(count_name).desc())
     return g.where(keep).withColumn(rank_name, F.rank().over(w).cast("long"))
@@ -117,7 +118,7 @@ def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, le
                        min_len: int = 100, min_count: int = 3, attrs: DataFrame | None = None,
                        count_name: str = "ai_job_count", median_name: str = "median_salary",
                        pct_name: str = "pct_of_ai_jobs", rank_name: str = "skill_rank",
-                       mode: str = "substring") -> DataFrame:
+                       mode: str = "substring", two_pass: bool = False) -> DataFrame:
     """Which lexicon words occur in rows passing a topic gate, and their share.
 
     Gate: text present, longer than ``min_len``, and text matches
@@ -143,7 +144,7 @@ def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, le
     with_total = F.concat(F.col("_words"), F.array(F.lit(None).cast("string")))
     m = gated.select(F.col(id_col), F.col(value_col), F.explode(with_total).alias("skill"))
     g = distinct_with_stats(m, ["skill"], id_col, value_col, count_name=count_name,
-                            quantiles={median_name: 0.5})
+                            quantiles={median_name: 0.5}, two_pass=two_pass)
     # The aggregated frame has at most len(lexicon) + 1 rows: a global window is cheap.
     g = g.withColumn("_total", F.max(F.when(F.col("skill").isNull(), F.col(count_name))).over(Window.partitionBy()))
     g = g.where(F.col("skill").isNotNull() & (F.col(count_name) >= min_count))

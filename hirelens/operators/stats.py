@@ -85,7 +85,8 @@ def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[
 def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value: str | None,
                         count_name: str = "job_count", avg_name: str | None = None,
                         quantiles: Mapping[str, float] | None = None, counts: Mapping[str, Column] | None = None,
-                        mins: Mapping[str, str] | None = None, digits: int | None = 0) -> DataFrame:
+                        mins: Mapping[str, str] | None = None, digits: int | None = 0,
+                        two_pass: bool = False) -> DataFrame:
     """Per key: ``count(distinct id)`` plus avg / exact quantiles / conditional
     counts / mins over all rows, in one pass and without a quantile buffer per
     (key, id) group.
@@ -98,7 +99,21 @@ def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value:
     frequency-weighted ``percentile(value, p, n)`` over value rows, which is
     identical to the unweighted percentile of the original rows. Its buffer is
     bounded by the distinct values of a key, not its row count.
+
+    ``two_pass=True`` takes the quantiles from ``exact_quantiles`` instead
+    (same values; per-task memory bounded even for a hot key's value domain).
     """
+    if two_pass and quantiles and value:
+        g = distinct_with_stats(df, keys, id_col, value, count_name, avg_name, None, counts, mins, digits)
+        q = exact_quantiles(df, keys, value, quantiles)
+        rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+        g, q = g.alias("_g"), q.alias("_q")
+        cond = [F.col(f"_g.{k}").eqNullSafe(F.col(f"_q.{k}")) for k in keys]
+        cols = [F.col(f"_g.{c}").alias(c) for c in g.columns]
+        order = [k for k in keys] + [count_name] + ([avg_name] if avg_name else []) + list(quantiles) \
+            + list(counts or {}) + list(mins or {})
+        j = g.join(q, cond, "left").select(*cols, *[rnd(F.col(f"_q.{n}")).alias(n) for n in quantiles])
+        return j.select(*order)
     counts, mins, quantiles = dict(counts or {}), dict(mins or {}), dict(quantiles or {})
     cnames = [f"_c{i}" for i in range(len(counts))]
     mnames = [f"_m{i}" for i in range(len(mins))]

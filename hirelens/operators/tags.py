@@ -14,7 +14,8 @@ from .stats import distinct_with_stats
 def tag_demand(tags: DataFrame, facts: DataFrame, id_col: str = "job_id", tag_col: str = "skill_id",
                ts_col: str = "listed_at", value_col: str = "annual_salary_est",
                type_col: str = "work_type", fulltime_value: str = "FULL_TIME",
-               level_col: str = "experience_level", senior_values: Sequence[str] = ("EN", "EX")) -> DataFrame:
+               level_col: str = "experience_level", senior_values: Sequence[str] = ("EN", "EX"),
+               two_pass: bool = False) -> DataFrame:
     """Per tag: distinct tagged ids, pay stats of the matched facts, counts, rank.
 
     ``tags ⟕ facts`` on the id is a plain equi-join: Catalyst/AQE choose
@@ -28,7 +29,7 @@ def tag_demand(tags: DataFrame, facts: DataFrame, id_col: str = "job_id", tag_co
         quantiles={"median_salary": 0.5},
         counts={"fulltime_count": F.col(type_col) == F.lit(fulltime_value),
                 "senior_count": F.col(level_col).isin(list(senior_values))},
-        mins={"_first": ts_col})
+        mins={"_first": ts_col}, two_pass=two_pass)
     w = Window.orderBy(F.col("job_count").desc())
     return g.select(
         tag_col, "job_count", "avg_salary", "median_salary", "fulltime_count", "senior_count",

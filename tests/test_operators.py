@@ -206,3 +206,23 @@ def test_salary_stats_two_pass_matches(spark):
     a = sorted(tuple(r) for r in salary_stats(li, ["l_returnflag"], "l_extendedprice", spec).collect())
     b = sorted(tuple(r) for r in salary_stats(li, ["l_returnflag"], "l_extendedprice", spec, two_pass=True).collect())
     assert a == b and len(a) == 3
+
+
+def test_distinct_with_stats_two_pass_equal(spark):
+    from hirelens.operators.lexicon import lexicon_demand
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["hot"] * 5 + ["a", "b", None]), rnd.randint(0, 40), rnd.choice([None, 1.0, 2.5, 10.0, 10.0]),
+             rnd.random() < 0.4) for _ in range(600)]
+    df = spark.createDataFrame(rows, "k string, id int, v double, f boolean")
+    kw = dict(avg_name="a", quantiles={"m": 0.5, "p9": 0.9}, counts={"c": F.col("f")}, mins={"lo": "v"})
+    a = sorted(tuple(r) for r in distinct_with_stats(df, ["k"], "id", "v", **kw).collect() if r.k is not None)
+    b = distinct_with_stats(df, ["k"], "id", "v", two_pass=True, **kw)
+    assert b.columns == distinct_with_stats(df, ["k"], "id", "v", **kw).columns
+    b = sorted(tuple(r) for r in b.collect() if r.k is not None)
+    assert a == b
+    m = df.select(F.col("id").alias("job_id"), F.col("k").alias("skill"), F.col("v").alias("annual_salary_est"))
+    one = sorted(tuple(r) for r in lexicon_demand(m.dropna(subset=["skill"]), ["skill"], "job_id", "annual_salary_est",
+                                                  min_count=0).collect())
+    two = sorted(tuple(r) for r in lexicon_demand(m.dropna(subset=["skill"]), ["skill"], "job_id", "annual_salary_est",
+                                                  min_count=0, two_pass=True).collect())
+    assert one == two
