@@ -12,6 +12,7 @@ def spark():
     from hirelens.session import build_session
     scratch = tempfile.mkdtemp(prefix="hirelens-test-")
     s = build_session("local[4]", app="hirelens-tests", shuffle_partitions=4,
+                      conf={"spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")},
                       checkpoint_dir=os.path.join(scratch, "checkpoints"))
     yield s
     s.stop()
