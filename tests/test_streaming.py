@@ -43,3 +43,19 @@ def test_stream_trend_equals_batch(spark, tmp_dir):
     ref = sorted(tuple(r) for r in marts.remote_trend(orders, ts="o_orderdate", flag="o_orderstatus", remote=["F"],
                                                        onsite=["O"], hybrid=["P"]).collect())
     assert got == ref and len(got) > 0
+
+
+def test_feed_stream_second_kind(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing2")
+    os.makedirs(land)
+    rec = lambda i: {"job_id": f"j{i}", "job_title": "Data Analyst", "employer_name": "Acme", "job_city": "Austin",
+                     "job_state": "TX", "job_min_salary": 50, "job_max_salary": 70, "job_salary_period": "HOUR",
+                     "job_is_remote": i % 2 == 0, "job_apply_link": f"https://a/{i}"}
+    with open(os.path.join(land, "q1.json"), "w") as f:
+        json.dump({"data": [rec(1), rec(2), rec(1)]}, f)
+    sink, ckpt = os.path.join(tmp_dir, "sink2"), os.path.join(tmp_dir, "ckpt2")
+    q = start_feed_stream(spark, land, "jsearch", sink, ckpt)
+    q.awaitTermination(120)
+    rows = {r.JOB_ID: r for r in spark.read.parquet(sink).collect()}
+    assert set(rows) == {"j1", "j2"}
+    assert rows["j1"].SALARY_EST == 124800.0 and rows["j2"].REMOTE == "1" and rows["j1"].LOCATION == "Austin, TX"
