@@ -16,7 +16,7 @@ from ..operators.lexicon import matched_words
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite, not_null, unique
 from ..functions.expr import label_map
-from ..sources.flatten import (distinct_jobs, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch,
+from ..sources.flatten import (distinct_jobs, extract_targets, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch,
                                flatten_search_results)
 from ..plans.staging import stg_all, stg_companies, stg_job_postings, stg_job_skills, union_feeds
 from . import bindings as B
@@ -245,6 +245,28 @@ def q_flatten_search(spark, d):
     return flat.select("company", F.col("company_order").alias("chunk"), F.col("position").cast("long"), "url", "title")
 
 
+TARGETS_PER_FILE = 100
+# Segment → API URL shape of the target list (greenhouse with /jobs, greenhouse, ashby, other).
+SEGMENT_API = {"MACHINERY": "https://boards-api.greenhouse.io/v1/boards/{slug}/jobs",
+               "BUILDING": "https://boards.greenhouse.io/{slug}/",
+               "AUTOMOBILE": "https://api.ashbyhq.com/posting-api/job-board/{slug}",
+               "HOUSEHOLD": "https://example.com/careers/{slug}"}
+
+
+def q_extract_targets(spark, d):
+    """Customers as target-list files (`- name: …` / `api: …` blocks, ≤ 100 per file), parsed back."""
+    c = t(spark, d, "customer")
+    slug = F.concat(F.lower(F.col("c_mktsegment")), F.lit("-"), F.col("c_custkey").cast("string"))
+    api = F.coalesce(*[F.when(F.col("c_mktsegment") == k, F.replace(F.lit(v), F.lit("{slug}"), slug))
+                       for k, v in SEGMENT_API.items()], F.concat(F.lit("https://other/"), slug))
+    block = F.concat(F.lit("- name: "), F.col("c_name"), F.lit("\n  careers: x\n  api: "), api, F.lit("\n"))
+    lines = F.sort_array(F.collect_list(F.struct("c_custkey", block.alias("b"))))
+    files = c.groupBy((F.col("c_custkey") / TARGETS_PER_FILE).cast("long").alias("file")).agg(
+        F.array_join(F.transform(lines, lambda x: x["b"]), "").alias("value"))
+    return extract_targets(files, keep=["file"]).select("file", F.col("target_order").cast("long"), "company",
+                                                        "kind", "slug")
+
+
 # --- classifiers and scalar rules --------------------------------------------------
 
 def q_classify_first_match(spark, d):
@@ -489,6 +511,7 @@ OP_QUERIES = {
     "flatten_feed2": q_flatten_feed2,
     "flatten_boards": q_flatten_boards,
     "flatten_search": q_flatten_search,
+    "extract_targets": q_extract_targets,
     "classify_first_match": q_classify_first_match,
     "work_type": q_work_type,
     "experience_level": q_experience_level,

@@ -594,3 +594,16 @@ select split_part(url, '/', 3) as company, page_id // {O.RESULTS_PER_PAGE} as ch
        {_clean_title("coalesce(regexp_extract(html, '<title>(.*?)</title>', 1), '')")} as title
 from pages
 """
+
+
+SQL["extract_targets"] = f"""
+with c as (
+    select c_custkey, c_name, c_mktsegment, c_custkey // {O.TARGETS_PER_FILE} as file,
+           row_number() over (partition by c_custkey // {O.TARGETS_PER_FILE} order by c_custkey) - 1 as target_order,
+           lower(c_mktsegment) || '-' || cast(c_custkey as varchar) as slug
+    from customer
+)
+select file, target_order, trim(c_name) as company,
+       case when c_mktsegment in ('MACHINERY', 'BUILDING') then 'greenhouse' else 'ashby' end as kind, slug
+from c where c_mktsegment in ('MACHINERY', 'BUILDING', 'AUTOMOBILE')
+"""

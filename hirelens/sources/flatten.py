@@ -8,6 +8,8 @@ position so that keep-first de-duplication has a total order
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,7 +168,7 @@ def distinct_jobs(df: DataFrame, query_order: Column | None = None) -> DataFrame
 TARGET_PATTERN = r"(?s)- name: (.+?)\n.*?api: (https://[^\n]+)"
 
 
-def extract_targets(text_df: DataFrame, text_col: str = "value") -> DataFrame:
+def extract_targets(text_df: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Company → (kind, slug) from a target-list text.
 
     Every ``- name: X … api: https://…`` block is a target; kind by URL
@@ -176,7 +178,7 @@ def extract_targets(text_df: DataFrame, text_col: str = "value") -> DataFrame:
     t = F.col(text_col)
     pairs = F.arrays_zip(F.regexp_extract_all(t, F.lit(TARGET_PATTERN), 1).alias("name"),
                          F.regexp_extract_all(t, F.lit(TARGET_PATTERN), 2).alias("api"))
-    r = text_df.select(F.posexplode(pairs).alias("target_order", "p"))
+    r = text_df.select(*keep, F.posexplode(pairs).alias("target_order", "p"))
     name, api = F.trim(F.col("p")["name"]), F.trim(F.col("p")["api"])
     base = F.rtrim(api, F.lit("/"))
     gh = F.contains(api, F.lit("greenhouse"))
@@ -184,7 +186,7 @@ def extract_targets(text_df: DataFrame, text_col: str = "value") -> DataFrame:
     kind = F.when(gh, F.lit("greenhouse")).when(ash, F.lit("ashby"))
     slug = (F.when(gh & F.contains(api, F.lit("/jobs")), F.split_part(base, F.lit("/"), F.lit(-2)))
             .otherwise(F.split_part(base, F.lit("/"), F.lit(-1))))
-    out = r.select("target_order", name.alias("company"), kind.alias("kind"), slug.alias("slug"))
+    out = r.select(*keep, "target_order", name.alias("company"), kind.alias("kind"), slug.alias("slug"))
     return out.where(F.col("kind").isNotNull())
 
 
