@@ -22,3 +22,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["skill", "job_count", "avg_salary", "median_salary", "senior_count", "demand_rank"]
     assert df.count() >= 0
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_timestamp_queries_independent_of_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        names = ["stg_all_postings", "stg_job_postings", "mart_hiring_trends", "mart_remote_trend", "kpi_remote",
+                 "report_freshness", "flatten_feed1", "stg_union"]
+        res = compare(spark, SF, names, verbose=False)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    bad = {k: v for k, v in res.items() if not v.startswith("OK") or "TYPES" in v}
+    assert not bad, bad
