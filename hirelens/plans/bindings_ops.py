@@ -347,6 +347,12 @@ def q_unseen_items(spark, d):
     return _new_pages(spark, d).select("company", "url", "title", "position")
 
 
+def q_seen_next(spark, d):
+    from ..sources.sinks import next_seen
+    seen = t(spark, d, "pages").where(F.contains("url", F.lit(SEEN_LANG_PATH))).select("url")
+    return next_seen(seen, _new_pages(spark, d).select("url"))
+
+
 def q_digest_new_items(spark, d):
     return digest(_new_pages(spark, d).select("company", "url", "title", "position"))
 
@@ -524,6 +530,7 @@ OP_QUERIES = {
     "state_normalize": q_state_normalize,
     "unseen_items": q_unseen_items,
     "digest_new_items": q_digest_new_items,
+    "seen_next": q_seen_next,
     "kpi_remote": q_kpi_remote,
     "kpi_coverage": q_kpi_coverage,
     "kpi_headline": q_kpi_headline,

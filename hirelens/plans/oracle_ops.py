@@ -607,3 +607,14 @@ select file, target_order, trim(c_name) as company,
        case when c_mktsegment in ('MACHINERY', 'BUILDING') then 'greenhouse' else 'ashby' end as kind, slug
 from c where c_mktsegment in ('MACHINERY', 'BUILDING', 'AUTOMOBILE')
 """
+
+
+SQL["seen_next"] = f"""
+with new_items as ({NEW_PAGES}),
+k as (
+    select {_strip('url')} as url from pages where contains(url, {_q(O.SEEN_LANG_PATH)})
+    union all
+    select {_strip('url')} as url from new_items
+)
+select distinct url from k where url is not null and url != ''
+"""

@@ -61,15 +61,19 @@ def load_seen(spark: SparkSession, path: str, key: str = "url") -> DataFrame:
     return s.where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
 
 
+def next_seen(seen: DataFrame, new_keys: DataFrame, key: str = "url") -> DataFrame:
+    """The next seen set: old ∪ new keys, whitespace-stripped, blanks dropped, distinct."""
+    allk = seen.select(strip_ws(key).alias(key)).unionByName(new_keys.select(strip_ws(key).alias(key)))
+    return allk.where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
+
+
 def save_seen(seen: DataFrame, new_keys: DataFrame, path: str, key: str = "url") -> None:
-    """Union old and new keys into a NEW version path (never overwrite the path being read).
+    """Write the next seen set to a NEW version path (never overwrite the path being read).
 
     Callers point the next run at ``path``; the previous version is left for
     the operator to expire. Sorted on write for stable files.
     """
-    allk = seen.select(key).unionByName(new_keys.select(strip_ws(key).alias(key)))
-    allk = allk.where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
-    allk.orderBy(key).write.mode("errorifexists").parquet(path)
+    next_seen(seen, new_keys, key).orderBy(key).write.mode("errorifexists").parquet(path)
 
 
 def with_lineage(df: DataFrame, source: str | None = None, query: str | None = None, ts=None) -> DataFrame:
