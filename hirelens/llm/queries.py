@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from hirelens.llm.bpe import op8_byte_bpe
+from hirelens.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
