@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from hirelens.llm.bpe import op8_byte_bpe
+from hirelens.llm.langid import op7_language
 from hirelens.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op7_language": op7_language,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_toxicity": op10_toxicity,
 }
