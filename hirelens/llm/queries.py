@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from hirelens.llm.bpe import op8_byte_bpe
 from hirelens.llm.langid import op7_language
+from hirelens.llm.perplexity import op3_perplexity
 from hirelens.llm.quality import op2_quality
 from hirelens.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op2_quality": op2_quality,
+    "op3_perplexity": op3_perplexity,
     "op7_language": op7_language,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_toxicity": op10_toxicity,
