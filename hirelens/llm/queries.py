@@ -6,14 +6,18 @@ from hirelens.llm.bpe import op8_byte_bpe
 from hirelens.llm.langid import op7_language
 from hirelens.llm.perplexity import op3_perplexity
 from hirelens.llm.quality import op2_quality
+from hirelens.llm import secrets
 from hirelens.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op2_quality": op2_quality,
     "op3_perplexity": op3_perplexity,
+    "op5_secrets": secrets.op5_secrets,
     "op7_language": op7_language,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_secrets": secrets.SQL,
+}
