@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hirelens.llm.bpe import op8_byte_bpe
 from hirelens.llm.langid import op7_language
+from hirelens.llm.mixing import op9_mixing
 from hirelens.llm.perplexity import op3_perplexity
 from hirelens.llm.quality import op2_quality
 from hirelens.llm import secrets
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_secrets": secrets.op5_secrets,
     "op7_language": op7_language,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
