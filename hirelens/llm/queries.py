@@ -8,10 +8,12 @@ from hirelens.llm.mixing import op9_mixing
 from hirelens.llm.perplexity import op3_perplexity
 from hirelens.llm.quality import op2_quality
 from hirelens.llm import secrets
+from hirelens.llm.simjoin import op1_ngram_join
 from hirelens.llm.substrings import op6_substrings
 from hirelens.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
     "op3_perplexity": op3_perplexity,
     "op5_secrets": secrets.op5_secrets,
