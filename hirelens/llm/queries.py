@@ -7,7 +7,7 @@ from hirelens.llm.langid import op7_language
 from hirelens.llm.mixing import op9_mixing
 from hirelens.llm.perplexity import op3_perplexity
 from hirelens.llm.quality import op2_quality
-from hirelens.llm import secrets
+from hirelens.llm import metric, secrets
 from hirelens.llm.simjoin import op1_ngram_join
 from hirelens.llm.substrings import op6_substrings
 from hirelens.llm.toxicity import op10_toxicity
@@ -16,6 +16,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
     "op3_perplexity": op3_perplexity,
+    "op4_mtree": metric.op4_mtree,
     "op5_secrets": secrets.op5_secrets,
     "op6_substrings": op6_substrings,
     "op7_language": op7_language,
@@ -25,5 +26,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_mtree": metric.SQL,
     "op5_secrets": secrets.SQL,
 }
