@@ -329,10 +329,11 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     return arrow_map(encoded, run, ddl)
 
 
-def digests(encoded: DataFrame, decoded_col: str = "decoded", ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded rows."""
+def digests(encoded: DataFrame, decoded_col: str = "decoded", ids_col: str = "ids", id_col: str = "doc_id",
+            keep_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded rows; the ids too, if asked for."""
     return encoded.select(
-        id_col,
+        id_col, *[F.col(ids_col)] * keep_ids,
         F.size(ids_col).cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col(ids_col).cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col(decoded_col), 256).alias("decoded_sha256"))

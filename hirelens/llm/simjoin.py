@@ -208,6 +208,36 @@ def _apart(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(several, "token")
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, with all columns, less all but one document of each component: the one whose id is the component's.
+
+    Of rows with one id one stays; rows with a null id all stay. Rows whose id may be concerned (by a bitmap of fixed
+    size) are decided by a join, all others pass without a shuffle.
+    """
+    found = stored(join(docs, id_col, text_col).where(F.col(id_col).isNotNull())
+                   .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col("component_id") == F.col(id_col)).alias("stays"), F.count("*").alias("rows"))
+                   .where("not stays or rows > 1"), "join-concerned")
+
+    def keys(batch: pa.RecordBatch):
+        yield mix(np.asarray(batch["id"]).astype(np.uint64))
+
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(found.select("id"), keys, 24))
+    at = docs.columns.index(id_col)
+
+    def only(inside: bool):
+        def run(batches):
+            for batch in batches:
+                ids = batch.column(at)
+                hit = has_bits(bits.value, mix(np.asarray(ids.cast(pa.int64()).fill_null(0)).astype(np.uint64)), 24) & ~np.asarray(ids.is_null())
+                yield batch.filter(pa.array(hit == inside))
+        return docs.mapInArrow(run, docs.schema)
+
+    gone = found.where(~F.col("stays")).select(F.col("id").alias("__gone"))
+    concerned = only(True)
+    kept = concerned.join(gone, concerned[id_col] == F.col("__gone"), "left_anti").dropDuplicates([id_col])
+    return only(False).unionByName(kept)
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 5-word shingles at a Jaccard similarity of 0.75."""
     return join(table(spark, sf_dir, "documents"))
