@@ -47,9 +47,13 @@ class RuleConfig:
 class RuleModel:
     intercept: float
     rules: list[tuple[tuple[Test, ...], float]] = field(default_factory=list)
+    constant: float | None = None  # the score of every text where nothing could be learned
 
     def column(self) -> Column:
         """The score as a column expression over the columns of ``STATS``."""
+        if self.constant is not None:
+            return F.lit(self.constant)
+
         def holds(rule: tuple[Test, ...]) -> Column:
             return reduce(lambda a, b: a & b, [F.col(STATS[k]) > cut if above else F.col(STATS[k]) <= cut for k, above, cut in rule])
 
@@ -112,8 +116,7 @@ def _loss(a: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
 def fit(x: np.ndarray, y: np.ndarray, config: RuleConfig) -> RuleModel:
     """Rules and weights from statistics (rows x STATS) and 0/1 labels."""
     if len(y) < 10 or y.min() == y.max():
-        p = float(y.mean()) if len(y) else 0.0
-        return RuleModel(math.log(max(p, 1e-9) / max(1 - p, 1e-9)))
+        return RuleModel(0.0, constant=float(y.mean()) if len(y) else 0.0)
     rng = np.random.default_rng(config.seed)
     cuts = []
     for k in range(x.shape[1]):
@@ -137,8 +140,7 @@ def fit(x: np.ndarray, y: np.ndarray, config: RuleConfig) -> RuleModel:
                     score[hit] += config.shrink * float(np.clip(rest[hit].sum() / max((p * (1 - p)).sum(), 1e-3), -4, 4))
     rules = list(found)
     if not rules:
-        p = float(y.mean())
-        return RuleModel(math.log(p / (1 - p)))
+        return RuleModel(0.0, constant=float(y.mean()))
     a = np.column_stack([np.ones(len(y)), *[_holds(x, r) for r in rules]]).astype(float)
     order = rng.permutation(len(y))
     check, learn = order[: len(y) // 5], order[len(y) // 5:]

@@ -42,7 +42,8 @@ class TrainConfig:
     dim: int = 8
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 8          # of each width
-    epochs: int = 8
+    epochs: int = 8           # at least, and so many that ``visits`` documents are seen
+    visits: int = 24_000
     batch: int = 64
     rate: float = 0.05
     least_docs: int = 3       # buckets in fewer sample documents have no embedding
@@ -144,7 +145,7 @@ def fit(rows: list[np.ndarray], langs: np.ndarray, labels: np.ndarray, config: T
         cache[at] += g * g
         x[at] -= config.rate * g / np.sqrt(cache[at] + 1e-8)
 
-    for _ in range(config.epochs):
+    for _ in range(max(config.epochs, -(-config.visits // len(learn)))):
         rng.shuffle(learn)
         for a in range(0, len(learn), config.batch):
             some = learn[a: a + config.batch]
