@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ColumnOrName, col, ratio_pct
-from .partitioning import spread
 from .stats import distinct_with_stats
 
 
@@ -76,13 +75,11 @@ def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str], keep: Sequen
     src = df
     if min_len is not None:
         src = src.where(F.col(text).isNotNull() & (F.length(F.col(text)) > min_len))
-    src = spread(src.select(*[col(k) for k in keep], F.lower(F.col(text)).alias("_text")))
+    src = src.select(*[col(k) for k in keep], F.lower(F.col(text)).alias("_text"))
     hits = matched_words("_text", lexicon, mode, lowered=True)
     kept = [F.col(c) for c in src.columns if c != "_text"]
     if attrs is None:
         return src.select(*kept, F.explode(hits).alias(out))
-    # Explode before the join: a filter on the hit array would be pushed below
-    # the repartition and evaluate the matcher twice.
     words = src.select(*kept, F.explode(hits).alias(out))
     return words.join(attrs, on)
 
@@ -130,7 +127,7 @@ def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, le
     """
     present = F.col(text).isNotNull() & (F.length(F.col(text)) > min_len)
     carry = [c for c in (title, value_col) if c and c in df.columns and c != id_col]
-    src = spread(df.where(present).select(F.col(id_col), *carry, F.lower(F.col(text)).alias("_text")))
+    src = df.where(present).select(F.col(id_col), *carry, F.lower(F.col(text)).alias("_text"))
     narrow = src.select(F.col(id_col), *carry, F.col("_text").rlike(text_regex).alias("_text_hit"),
                         matched_words("_text", lexicon, mode, lowered=True).alias("_words"))
     if attrs is not None:

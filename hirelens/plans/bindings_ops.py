@@ -43,7 +43,7 @@ TITLE_RE = "<title>(.*?)</title>"
 t = B.table
 
 
-tt = B.table  # text tables are spread by id like the others (see bindings.SPREAD_KEYS)
+tt = B.table
 
 
 # --- staging -------------------------------------------------------------------
@@ -439,7 +439,7 @@ DQ_UNIQUE = [("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("labels", "d
 def q_dq_not_null(spark, d):
     out = None
     for name, cols in DQ_NOT_NULL.items():
-        part = not_null(t(spark, d, name, spread_out=False), cols, name)
+        part = not_null(t(spark, d, name), cols, name)
         out = part if out is None else out.unionByName(part)
     return out
 
