@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import taxonomy as tx
-from .expr import ColumnOrName, col, contains_any, label_map, let, strip_ws
+from .expr import ColumnOrName, col, contains_any, label_map, strip_ws
 
 
 def first_match(c: ColumnOrName, rules: Sequence[tuple[str, object]], default=None,
@@ -141,27 +141,18 @@ def is_region_code(code: ColumnOrName, exclude: Sequence[str] = ("US",)) -> Colu
 
 def keyword_filter(title: ColumnOrName, include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE) -> Column:
     """Any exclude substring → False; else any include substring → True."""
-    return let(F.lower(col(title)), lambda t: ~contains_any(t, list(exclude)) & contains_any(t, list(include)))
+    t = F.lower(col(title))
+    return ~contains_any(t, list(exclude)) & contains_any(t, list(include))
 
 
 def clean_title(title: ColumnOrName, separators=tx.TITLE_SEPARATORS) -> Column:
     """Cut at the first separator (in list order) that occurs, then strip whitespace (C11)."""
-    def body(t: Column) -> Column:
-        out = None
-        for sep in separators:
-            cond = F.contains(t, F.lit(sep))
-            val = strip_ws(F.split_part(t, F.lit(sep), F.lit(1)))
-            out = F.when(cond, val) if out is None else out.when(cond, val)
-        return strip_ws(t) if out is None else out.otherwise(strip_ws(t))
-    return let(title, body)
-
-
-def topic_gate(text: ColumnOrName, title: ColumnOrName, text_regex: str = tx.TOPIC_TEXT_REGEX,
-               title_regex: str = tx.TOPIC_TITLE_REGEX, min_len: int = 100) -> Column:
-    """Text present and longer than min_len, and text OR title matches."""
-    present = col(text).isNotNull() & (F.length(col(text)) > min_len)
-    hit = F.lower(col(text)).rlike(text_regex) | F.coalesce(F.lower(col(title)).rlike(title_regex), F.lit(False))
-    return present & hit
+    t, out = col(title), None
+    for sep in separators:
+        cond = F.contains(t, F.lit(sep))
+        val = strip_ws(F.split_part(t, F.lit(sep), F.lit(1)))
+        out = F.when(cond, val) if out is None else out.when(cond, val)
+    return strip_ws(t) if out is None else out.otherwise(strip_ws(t))
 
 
 def seniority_label(level: ColumnOrName, labels=tx.SENIORITY_LABELS, default=None) -> Column:

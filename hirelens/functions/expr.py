@@ -6,6 +6,7 @@ zero raise. Every helper here is the null-on-failure form.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -19,16 +20,6 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def let(value: ColumnOrName, body) -> Column:
-    """Evaluate ``value`` once per row and use it several times inside ``body``.
-
-    Long CASE chains that repeat an expensive input (a regex over a page, a
-    cleaned title) would otherwise re-evaluate it per branch — and a filter
-    pushed into a scan gets no common-subexpression elimination.
-    """
-    return F.element_at(F.transform(F.array(col(value)), body), 1)
-
-
 def typed_null(dtype: str | T.DataType) -> Column:
     """A NULL literal of a given type so that unions line up."""
     return F.lit(None).cast(dtype)
@@ -93,11 +84,8 @@ def month_label(c: ColumnOrName) -> Column:
 
 
 def contains_any(c: ColumnOrName, needles: list[str]) -> Column:
-    """True when c contains any of the literal substrings."""
-    cond = F.lit(False)
-    for n in needles:
-        cond = cond | F.contains(col(c), F.lit(n))
-    return cond
+    """True when c contains any of the literal substrings (B22): one search for all of them."""
+    return col(c).rlike("|".join(map(re.escape, needles))) if needles else F.lit(False)
 
 
 def find(c: ColumnOrName, pattern: str) -> Column:

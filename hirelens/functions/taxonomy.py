@@ -225,3 +225,7 @@ DECLARED_CHECKS = [
     ("mart_salary_by_role", "role_cluster", "not_null"),
     ("mart_salary_by_role", "role_cluster", "unique"),
 ]
+
+# FIXED VALUES: the query label of board postings, and the blocks of a target list (name, API address).
+BOARD_QUERY = "portal_scan"
+TARGET_PATTERN = r"(?s)- name: (.+?)\n.*?api: (https://[^\n]+)"

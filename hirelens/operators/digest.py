@@ -1,15 +1,15 @@
-"""New-item digest: unseen, title-filtered items with per-company and run totals.
+"""New-item digest: unseen, title-filtered items with per-company counts and run totals.
 
 Rows stay rows: the digest is one row per new item carrying its company's
-item count and the run totals — no per-company list is collected, so a
-company holding a third of all items is still spread over tasks.
+item count, and one row of run totals — no per-company list is collected, so a
+company holding a third of all items stays dealt over tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import taxonomy as tx
@@ -30,14 +30,15 @@ def new_items(candidates: DataFrame, seen: DataFrame, url: str = "url", title: s
 
 
 def digest(items: DataFrame, company: str = "company") -> DataFrame:
-    """Per item: company_items, total_items, total_companies.
+    """Per item: company_items (N14); items without a company count as one company.
 
-    Per-company counts are a grouped count (map-side combined, so a hot
-    company is pre-aggregated); the run totals are a window over that
-    per-company frame, whose size is the number of companies, not items.
+    Per-company counts are a grouped count (map-side combined, so a hot company is pre-aggregated), joined back.
     """
-    everyone = Window.partitionBy()
-    per = (items.groupBy(company).agg(F.count(F.lit(1)).alias("company_items"))
-           .withColumn("total_items", F.sum("company_items").over(everyone).cast("long"))
-           .withColumn("total_companies", F.count(F.lit(1)).over(everyone)))
-    return items.join(per, company)
+    per = items.groupBy(F.col(company).alias("_company")).agg(F.count(F.lit(1)).alias("company_items"))
+    return items.join(per, F.col(company).eqNullSafe(F.col("_company"))).drop("_company")
+
+
+def digest_totals(items: DataFrame, company: str = "company") -> DataFrame:
+    """One row: total_items and total_companies."""
+    per = items.groupBy(company).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_items"), F.count(F.lit(1)).alias("total_companies"))

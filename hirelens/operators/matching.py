@@ -67,37 +67,37 @@ def match_score(gap: DataFrame, required: str = "required", bands=tx.MATCH_BANDS
 
 
 def learning_path(gap: DataFrame, id_col: str, market: DataFrame, skill_col: str = "skill",
-                  rank_col: str = "demand_rank", top_k: int = 20, missing: Sequence[str] = ("missing_critical",),
+                  rank_col: str = "demand_rank", missing: Sequence[str] = ("missing_critical",),
                   priority_bands: Sequence[tuple[int, str]] = ((5, "high"), (10, "medium")),
                   default_priority: str = "low") -> DataFrame:
-    """Missing skills ordered by market demand among the top-k market skills.
+    """Every missing skill, ordered by market demand.
 
-    The market list is cut to ``top_k`` rows (ordered by rank, then skill), so
-    it has a proven size bound and is broadcast.
+    Skills that the market does not rank come last, by name, with the default priority.
     """
-    top = market.select(skill_col, rank_col).orderBy(F.col(rank_col), F.col(skill_col)).limit(top_k)
+    ranks = market.select(skill_col, rank_col)
     arrs = [F.coalesce(F.col(m), F.array().cast("array<string>")) for m in missing]
     allm = F.array_distinct(F.concat(*arrs)) if len(arrs) > 1 else arrs[0]
     m = gap.select(F.col(id_col), F.explode(allm).alias(skill_col))
-    j = m.join(F.broadcast(top), skill_col)
+    j = m.join(ranks, skill_col, "left")
     pr = None
     for limit, label in priority_bands:
         cond = F.col(rank_col) <= limit
         pr = F.when(cond, F.lit(label)) if pr is None else pr.when(cond, F.lit(label))
     pr = pr.otherwise(F.lit(default_priority)) if pr is not None else F.lit(default_priority)
-    w = Window.partitionBy(id_col).orderBy(F.col(rank_col), F.col(skill_col))
+    w = Window.partitionBy(id_col).orderBy(F.col(rank_col).asc_nulls_last(), F.col(skill_col))
     return j.select(F.col(id_col), F.col(skill_col), F.col(rank_col).cast("long").alias(rank_col),
                     pr.alias("priority"), F.row_number().over(w).cast("long").alias("step"))
 
 
 def role_readiness(people: DataFrame, id_col: str, skills: str, role_col: str, role_top: DataFrame,
-                   top_role_col: str = "role_cluster", top_skill_col: str = "skill") -> DataFrame:
-    """0–100 coverage of the target role's top skills by a person's skills (P5).
+                   top_role_col: str = "role_cluster", top_skill_col: str = "skill", rank_col: str = "role_rank",
+                   top_n: int = 20) -> DataFrame:
+    """0–100 coverage of the target role's ``top_n`` skills by a person's skills (P5).
 
-    ``role_top`` holds one row per (role, skill) — the role's top-N list; it
-    is aggregated to one bounded array per role and joined on the role.
+    ``role_top`` holds one row per (role, skill) with its rank in the role; the
+    skills ranked up to ``top_n`` become one bounded array per role.
     """
-    tops = role_top.groupBy(top_role_col).agg(F.sort_array(F.collect_set(top_skill_col)).alias("_top"))
+    tops = role_top.where(F.col(rank_col) <= top_n).groupBy(top_role_col).agg(F.sort_array(F.collect_set(top_skill_col)).alias("_top"))
     j = people.join(tops, people[role_col] == tops[top_role_col], "left")
     top = F.coalesce(F.col("_top"), F.array().cast("array<string>"))
     have = F.coalesce(F.col(skills), F.array().cast("array<string>"))

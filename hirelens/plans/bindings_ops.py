@@ -11,7 +11,7 @@ from ..functions.classify import (annualize, clean_title, estimate_mean_or_eithe
                                   remote_from_text, work_type)
 from ..operators import reports as R
 from ..operators.dedupe import dedupe_postings, first_per_key
-from ..operators.digest import digest, new_items
+from ..operators.digest import digest, digest_totals, new_items
 from ..operators.lexicon import matched_words
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite, not_null, unique
@@ -163,6 +163,22 @@ def _doc_attrs(spark, d):
     return docs.join(attrs, docs.doc_id == attrs.o_orderkey)
 
 
+def _twice(j):
+    """Every document as found by two queries: by its language (asked in order of name) and by its source, which is asked
+    first for open orders and last for the others, each on its own pages; ``base`` marks the addresses."""
+    langs = F.array_position(F.array(*[F.lit(x) for x in ("de", "en", "es", "fr")]), F.col("lang"))
+    by_lang = j.select("*", F.col("lang").alias("query"), langs.cast("int").alias("query_order"), F.lit("x").alias("base"),
+                       (F.col("doc_id") / PAGE_SIZE).cast("long").alias("page"))
+    by_source = j.select("*", F.col("source").alias("query"), F.when(F.col("o_orderstatus") == "O", 0).otherwise(9).alias("query_order"),
+                         F.lit("y").alias("base"), (1000 - F.col("doc_id") / PAGE_SIZE).cast("long").alias("page"))
+    return by_lang.unionByName(by_source)
+
+
+def _asked(rows, item, field):
+    """The pages of API responses for those queries, at most PAGE_SIZE items each."""
+    return rows.groupBy("query", "query_order", "page").agg(F.collect_list(item).alias(field))
+
+
 def _pages(rows, item, group_cols):
     """Group items into API pages of at most PAGE_SIZE (bounded groups: doc_id div PAGE_SIZE)."""
     return rows.groupBy(*group_cols, (F.col("doc_id") / PAGE_SIZE).cast("long").alias("page")).agg(
@@ -181,11 +197,9 @@ def q_flatten_feed1(spark, d):
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("salary_min"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_totalprice") * 1.25).alias("salary_max"),
         F.struct(F.col("p_type").alias("label")).alias("category"),
-        F.concat(F.lit("https://x/"), F.col("doc_id").cast("string")).alias("redirect_url"),
+        F.concat(F.lit("https://"), F.col("base"), F.lit("/"), F.col("doc_id").cast("string")).alias("redirect_url"),
         F.col("o_orderdate").cast("string").alias("created"))
-    payload = _pages(j, item, [F.col("lang").alias("query")]).withColumnRenamed("_items", "results")
-    flat = flatten_adzuna(payload, fetched_at=FETCHED_AT)
-    return distinct_jobs(flat).drop("DESCRIPTION")
+    return distinct_jobs(flatten_adzuna(_asked(_twice(j), item, "results"), fetched_at=FETCHED_AT))
 
 
 def q_flatten_feed2(spark, d):
@@ -200,13 +214,11 @@ def q_flatten_feed2(spark, d):
         label_map("o_orderpriority", PERIODS).alias("job_salary_period"),
         (st == "F").alias("job_is_remote"),
         F.struct(F.col("p_size").alias("required_experience_in_months")).alias("job_required_experience"),
-        F.when(st == "O", F.lit("")).otherwise(F.concat(F.lit("https://a/"), F.col("doc_id").cast("string")))
+        F.when(st == "O", F.lit("")).otherwise(F.concat(F.lit("https://"), F.col("base"), F.lit("/"), F.col("doc_id").cast("string")))
         .alias("job_apply_link"),
         F.concat(F.lit("https://g/"), F.col("doc_id").cast("string")).alias("job_google_link"),
         F.col("o_orderdate").cast("string").alias("job_posted_at_datetime_utc"))
-    payload = _pages(j, item, [F.col("lang").alias("query")]).withColumnRenamed("_items", "data")
-    flat = flatten_jsearch(payload, fetched_at=FETCHED_AT)
-    return distinct_jobs(flat).drop("DESCRIPTION")
+    return distinct_jobs(flatten_jsearch(_asked(_twice(j), item, "data"), fetched_at=FETCHED_AT))
 
 
 def q_flatten_boards(spark, d):
@@ -223,12 +235,12 @@ def q_flatten_boards(spark, d):
                         loc.alias("location"), (st == "O").alias("isRemote"),
                         F.concat(F.lit("https://c/"), F.col("doc_id").cast("string")).alias("jobUrl"),
                         F.col("o_orderdate").cast("string").alias("publishedAt"))
-    company = F.col("c_mktsegment").alias("company")
-    gh = _pages(j.where(F.col("lang").isin("en", "de")), gh_item, [company]).withColumnRenamed("_items", "jobs")
-    ash = _pages(j.where(F.col("lang").isin("fr", "es")), ash_item, [company]).withColumnRenamed("_items", "jobPostings")
+    company = [F.col("c_mktsegment").alias("company"), F.length("c_mktsegment").alias("company_order")]
+    gh = _pages(j.where(F.col("lang").isin("en", "de")), gh_item, company).withColumnRenamed("_items", "jobs")
+    ash = _pages(j.where(F.col("lang").isin("fr", "es")), ash_item, company).withColumnRenamed("_items", "jobPostings")
     a = flatten_greenhouse(gh, fetched_at=FETCHED_AT, include=PART_INCLUDE, exclude=PART_EXCLUDE)
     b = flatten_ashby(ash, fetched_at=FETCHED_AT, include=PART_INCLUDE, exclude=PART_EXCLUDE)
-    return distinct_jobs(a.unionByName(b)).withColumn("DESCRIPTION", F.length("DESCRIPTION").cast("long"))
+    return distinct_jobs(a.unionByName(b))
 
 
 RESULTS_PER_PAGE = 10
@@ -353,8 +365,18 @@ def q_seen_next(spark, d):
     return next_seen(seen, _new_pages(spark, d).select("url"))
 
 
+def _digest_items(spark, d):
+    """New pages; the hosts of one top-level domain have no company name."""
+    company = F.when(~F.endswith("company", F.lit(".org")), F.col("company"))
+    return _new_pages(spark, d).select(company.alias("company"), "url", "title", "position")
+
+
 def q_digest_new_items(spark, d):
-    return digest(_new_pages(spark, d).select("company", "url", "title", "position"))
+    return digest(_digest_items(spark, d))
+
+
+def q_digest_totals(spark, d):
+    return digest_totals(_digest_items(spark, d))
 
 
 # --- KPIs and reports -----------------------------------------------------------------
@@ -461,48 +483,50 @@ def q_dq_suite(spark, d):
 
 # --- matching -------------------------------------------------------------------------------
 
+DOCS_PER_PROFILE = 10  # documents compared with one conversation; a document without one has an empty profile
+
+
 def _profiles(spark, d):
-    conv = tt(spark, d, "conversations").where(F.col("role") == "user")
-    ids = conv.select("conv_id").distinct()
-    have = skill_sets(conv, "conv_id", "text", B.WORDS, out="have")
-    return ids.join(have, "conv_id", "left")
+    """Skills of every conversation, over all its turns."""
+    return skill_sets(tt(spark, d, "conversations"), "conv_id", "text", B.WORDS, out="have")
+
+
+def _profile_of():
+    return F.floor(F.col("doc_id") / DOCS_PER_PROFILE).alias("conv_id")
 
 
 def _gap(spark, d):
     docs = tt(spark, d, "documents").select(
-        F.col("doc_id").alias("conv_id"), "lang",
+        "doc_id", _profile_of(),
         matched_words("text", REQUIRED_WORDS).alias("required"),
         matched_words("text", PREFERRED_WORDS).alias("preferred"))
-    return skill_gap(_profiles(spark, d).join(docs, "conv_id"))
+    return skill_gap(docs.join(_profiles(spark, d), "conv_id", "left"))
 
 
 def q_skills_extract(spark, d):
-    conv = tt(spark, d, "conversations").where(F.col("role") == "user")
-    s = skill_sets(conv, "conv_id", "text", B.WORDS)
+    s = skill_sets(tt(spark, d, "conversations"), "conv_id", "text", B.WORDS)
     return s.select("conv_id", joined("skills").alias("skills"), F.size("skills").cast("long").alias("n_skills"))
 
 
 def q_skill_gap(spark, d):
     g = _gap(spark, d)
-    return g.select("conv_id", joined("matched").alias("matched"), joined("missing_critical").alias("missing_critical"),
+    return g.select("doc_id", joined("matched").alias("matched"), joined("missing_critical").alias("missing_critical"),
                     joined("missing_preferred").alias("missing_preferred"))
 
 
 def q_match_score(spark, d):
     g = match_score(_gap(spark, d))
-    return g.select("conv_id", F.size("required").cast("long").alias("n_required"),
+    return g.select("doc_id", F.size("required").cast("long").alias("n_required"),
                     F.size("matched").cast("long").alias("n_matched"), "match_score", "match_band")
 
 
 def q_learning_path(spark, d):
-    return learning_path(_gap(spark, d), "conv_id", B.q_mart_tech_skills(spark, d), top_k=20)
+    return learning_path(_gap(spark, d), "doc_id", B.q_mart_tech_skills(spark, d).where(F.col("demand_rank") <= 15))
 
 
 def q_role_readiness(spark, d):
-    people = _profiles(spark, d).join(
-        t(spark, d, "documents").select(F.col("doc_id").alias("conv_id"), "lang"), "conv_id")
-    top = B.q_mart_tech_skills_by_role(spark, d).where(F.col("role_rank") <= 10)
-    return role_readiness(people, "conv_id", "have", "lang", top)
+    people = t(spark, d, "documents").select("doc_id", _profile_of(), "lang").join(_profiles(spark, d), "conv_id", "left")
+    return role_readiness(people, "doc_id", "have", "lang", B.q_mart_tech_skills_by_role(spark, d), top_n=8)
 
 
 OP_QUERIES = {
@@ -530,6 +554,7 @@ OP_QUERIES = {
     "state_normalize": q_state_normalize,
     "unseen_items": q_unseen_items,
     "digest_new_items": q_digest_new_items,
+    "digest_totals": q_digest_totals,
     "seen_next": q_seen_next,
     "kpi_remote": q_kpi_remote,
     "kpi_coverage": q_kpi_coverage,

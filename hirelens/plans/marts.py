@@ -185,16 +185,3 @@ def topic_skill_cooccurrence(postings: DataFrame, id_col: str = "job_id", text:
     return topic_cooccurrence(postings, id_col, text, value, lexicon, text_regex, title, title_regex,
                               min_len=min_len, min_count=min_count, attrs=attrs, mode=mode)
 
-
-ALL_MARTS = {
-    "mart_hiring_trends": hiring_trends,
-    "mart_jobs_by_location": jobs_by_location,
-    "mart_remote_trend": remote_trend,
-    "mart_salary_by_company_tier": salary_by_company_tier,
-    "mart_salary_by_role": salary_by_role,
-    "mart_salary_by_role_seniority": salary_by_role_seniority,
-    "mart_salary_by_seniority": salary_by_seniority,
-    "mart_tech_skills": tech_skills,
-    "mart_tech_skills_by_role": tech_skills_by_role,
-    "mart_ai_skill_cooccurrence": topic_skill_cooccurrence,
-}

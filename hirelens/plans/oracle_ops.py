@@ -6,7 +6,7 @@ from . import bindings as B
 from . import bindings_ops as O
 from .oracle import SQL as MART_SQL
 from ..functions import taxonomy as tx
-from .oracle import _q
+from .oracle import _q, hits
 
 
 def case_regex(expr: str, rules, default) -> str:
@@ -96,33 +96,28 @@ ACTIVE = f"""
     from {_m('mart_tech_skills_by_role')} r where role_cluster = {_q(O.FOCUS_LANG)}
 """
 
-PROFILES = f"""
-    with lex as ({lexicon_values(B.WORDS)}),
-    users as (select distinct conv_id from conversations where role = 'user'),
-    have as (
-        select distinct c.conv_id, s.skill from conversations c cross join lex s
-        where c.role = 'user' and contains(lower(c.text), s.skill)
-    )
+HAVE = f"""
+    select conv_id, list_sort(list_distinct(flatten(list(hits)))) as have
+    from (select conv_id, {hits('text', B.WORDS)} as hits from conversations) group by conv_id
 """
 
+# every document with its words and those of the conversation it is compared with
 GAP = f"""
-    {PROFILES},
-    req_lex as ({lexicon_values(O.REQUIRED_WORDS)}),
-    pref_lex as ({lexicon_values(O.PREFERRED_WORDS)}),
-    pairs as (select u.conv_id, d.lang from users u join documents d on d.doc_id = u.conv_id),
-    req as (
-        select p.conv_id, s.skill from pairs p join documents d on d.doc_id = p.conv_id cross join req_lex s
-        where contains(lower(d.text), s.skill)
-    ),
-    pref as (
-        select p.conv_id, s.skill from pairs p join documents d on d.doc_id = p.conv_id cross join pref_lex s
-        where contains(lower(d.text), s.skill)
-    ),
-    matched as (select r.* from req r join have h on h.conv_id = r.conv_id and h.skill = r.skill),
-    miss_c as (select r.* from req r where not exists (select 1 from have h where h.conv_id = r.conv_id and h.skill = r.skill)),
-    miss_p as (select r.* from pref r where not exists (select 1 from have h where h.conv_id = r.conv_id and h.skill = r.skill))
+    select doc_id, lang, coalesce(have, []) as have,
+           list_sort(coalesce({hits('text', O.REQUIRED_WORDS)}, [])) as required,
+           list_sort(coalesce({hits('text', O.PREFERRED_WORDS)}, [])) as preferred
+    from documents left join ({HAVE}) profiles on conv_id = doc_id // {O.DOCS_PER_PROFILE}
 """
 
+
+def _without(a: str, b: str) -> str:
+    return f"list_filter({a}, lambda w: not list_contains({b}, w))"
+
+
+def _within(a: str, b: str) -> str:
+    return f"list_filter({a}, lambda w: list_contains({b}, w))"
+
+
 SQL: dict[str, str] = {}
 
 SQL["stg_dedupe"] = """
@@ -220,12 +215,14 @@ from s
 
 SQL["unseen_items"] = NEW_PAGES
 
+_DIGEST_ITEMS = f"select case when not ends_with(company, '.org') then company end as company, url, title, position from ({NEW_PAGES})"
+
 SQL["digest_new_items"] = f"""
-with items as ({NEW_PAGES}),
-per as (select company, count(*) as company_items from items group by company),
-tot as (select cast(sum(company_items) as bigint) as total_items, count(*) as total_companies from per)
-select i.company, i.url, i.title, i.position, p.company_items, t.total_items, t.total_companies
-from items i join per p on p.company = i.company cross join tot t
+select *, count(*) over (partition by company) as company_items from ({_DIGEST_ITEMS})
+"""
+
+SQL["digest_totals"] = f"""
+select count(*) as total_items, count(distinct company) + max(if(company is null, 1, 0)) as total_companies from ({_DIGEST_ITEMS})
 """
 
 SQL["kpi_remote"] = """
@@ -349,63 +346,37 @@ select *, case when failures = 0 then 'pass' else 'fail' end as status from ({_N
 """
 
 SQL["skills_extract"] = f"""
-{PROFILES}
-select conv_id, string_agg(skill, ',' order by skill) as skills, count(*) as n_skills from have group by conv_id
+select conv_id, array_to_string(have, ',') as skills, len(have) as n_skills from ({HAVE}) where len(have) > 0
 """
 
 SQL["skill_gap"] = f"""
-{GAP}
-select p.conv_id,
-       coalesce((select string_agg(skill, ',' order by skill) from matched m where m.conv_id = p.conv_id), '') as matched,
-       coalesce((select string_agg(skill, ',' order by skill) from miss_c m where m.conv_id = p.conv_id), '') as missing_critical,
-       coalesce((select string_agg(skill, ',' order by skill) from miss_p m where m.conv_id = p.conv_id), '') as missing_preferred
-from pairs p
+from ({GAP})
+select doc_id, array_to_string({_within('required', 'have')}, ',') as matched,
+       array_to_string({_without('required', 'have')}, ',') as missing_critical,
+       array_to_string({_without('preferred', 'have')}, ',') as missing_preferred
 """
 
 SQL["match_score"] = f"""
-{GAP},
-counts as (
-    select p.conv_id,
-           (select count(*) from req r where r.conv_id = p.conv_id) as n_required,
-           (select count(*) from matched m where m.conv_id = p.conv_id) as n_matched
-    from pairs p
-)
-select conv_id, n_required, n_matched,
-       round(case when n_required > 0 then n_matched * 1.0 / n_required end, 4) as match_score,
-       case when n_required = 0 then null
-            when n_matched * 1.0 / n_required >= 0.7 then 'strong'
-            when n_matched * 1.0 / n_required >= 0.5 then 'moderate'
-            else 'weak' end as match_band
-from counts
+from (select doc_id, len(required) as n_required, len({_within('required', 'have')}) as n_matched from ({GAP}))
+select doc_id, n_required, n_matched, round(n_matched / nullif(n_required, 0), 4) as match_score,
+       case when n_required = 0 then null when n_matched >= 0.7 * n_required then 'strong'
+            when n_matched >= 0.5 * n_required then 'moderate' else 'weak' end as match_band
 """
 
 SQL["learning_path"] = f"""
-{GAP},
-market as {_m('mart_tech_skills')},
-top as (select skill, demand_rank from market order by demand_rank, skill limit 20),
-j as (select m.conv_id, m.skill, t.demand_rank from miss_c m join top t on t.skill = m.skill)
-select conv_id, skill, cast(demand_rank as bigint) as demand_rank,
-       case when demand_rank <= 5 then 'high' when demand_rank <= 10 then 'medium' else 'low' end as priority,
-       row_number() over (partition by conv_id order by demand_rank, skill) as step
-from j
+from (select doc_id, unnest({_without('required', 'have')}) as skill from ({GAP}))
+     left join (select skill, demand_rank from {_m('mart_tech_skills')} where demand_rank <= 15) market using (skill)
+select doc_id, skill, demand_rank::bigint as demand_rank,
+       if(demand_rank <= 5, 'high', if(demand_rank <= 10, 'medium', 'low')) as priority,
+       row_number() over (partition by doc_id order by demand_rank nulls last, skill) as step
 """
 
 SQL["role_readiness"] = f"""
-{PROFILES},
-people as (select u.conv_id, d.lang from users u join documents d on d.doc_id = u.conv_id),
-top as (select role_cluster, skill from {_m('mart_tech_skills_by_role')} r where role_rank <= 10),
-cov as (
-    select p.conv_id, p.lang,
-           (select count(*) from top t where t.role_cluster = p.lang
-              and exists (select 1 from have h where h.conv_id = p.conv_id and h.skill = t.skill)) as covered,
-           (select count(*) from top t where t.role_cluster = p.lang) as top_n,
-           coalesce((select string_agg(t.skill, ',' order by t.skill) from top t where t.role_cluster = p.lang
-              and not exists (select 1 from have h where h.conv_id = p.conv_id and h.skill = t.skill)), '') as to_learn
-    from people p
-)
-select conv_id, lang, covered, top_n,
-       case when top_n > 0 then round(100.0 * covered / top_n, 0) end as readiness, to_learn
-from cov
+with tops as (select role_cluster, list_sort(list(skill)) as top from {_m('mart_tech_skills_by_role')} where role_rank <= 8 group by role_cluster)
+from (select doc_id, lang, have, coalesce(top, []) as top from ({GAP}) left join tops on role_cluster = lang)
+select doc_id, lang, len({_within('top', 'have')}) as covered, len(top) as top_n,
+       round(100.0 * len({_within('top', 'have')}) / nullif(len(top), 0), 0) as readiness,
+       array_to_string({_without('top', 'have')}, ',') as to_learn
 """
 
 
@@ -526,7 +497,7 @@ from customer
 # --- payload flatteners ---------------------------------------------------------------
 
 DOC_ATTRS = """
-    select d.doc_id, d.text, d.lang, o.o_orderstatus, o.o_orderpriority, o.o_totalprice, o.o_orderdate,
+    select d.doc_id, d.text, d.lang, d.source, o.o_orderstatus, o.o_orderpriority, o.o_totalprice, o.o_orderdate,
            c.c_name, c.c_mktsegment, n.n_name, p.p_name, p.p_type, p.p_size
     from documents d join orders o on o.o_orderkey = d.doc_id join customer c on c.c_custkey = o.o_custkey
          join nation n on n.n_nationkey = c.c_nationkey join part p on p.p_partkey = o.o_orderkey
@@ -538,12 +509,12 @@ with j as (
               case when o_orderpriority in ('1-URGENT', '2-HIGH') then o_totalprice * 1.25 end as smax
     from ({DOC_ATTRS}) x
 )
-select cast(doc_id as varchar) as JOB_ID, p_name as TITLE, c_name as COMPANY, n_name as LOCATION,
+select cast(doc_id as varchar) as JOB_ID, p_name as TITLE, c_name as COMPANY, text as DESCRIPTION, n_name as LOCATION,
        case when o_orderstatus in ('F', 'O') then n_name end as STATE,
        case when o_orderstatus = 'F' then c_name when o_orderstatus = 'O' then n_name end as CITY,
        smin as SALARY_MIN, smax as SALARY_MAX, nullif((coalesce(smin, 0) + coalesce(smax, 0)) / 2, 0) as SALARY_EST,
-       cast(null as varchar) as REMOTE, p_type as CATEGORY, 'https://x/' || cast(doc_id as varchar) as URL,
-       cast(o_orderdate as varchar) as POSTED_AT, lang as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, 'adzuna' as SOURCE
+       cast(null as varchar) as REMOTE, p_type as CATEGORY, if(o_orderstatus = 'O', 'https://y/', 'https://x/') || cast(doc_id as varchar) as URL,
+       cast(o_orderdate as varchar) as POSTED_AT, if(o_orderstatus = 'O', source, lang) as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, 'adzuna' as SOURCE
 from j
 """
 
@@ -562,19 +533,19 @@ with j as (
               o_totalprice / 1000 as smin,
               case when o_orderstatus = 'F' then o_totalprice / 800 end as smax,
               upper(coalesce({_PERIOD}, '')) as period,
-              case when o_orderstatus = 'O' then '' else 'https://a/' || cast(doc_id as varchar) end as apply_link,
+              case when o_orderstatus = 'O' then '' else 'https://x/' || cast(doc_id as varchar) end as apply_link,
               'https://g/' || cast(doc_id as varchar) as google_link
     from ({DOC_ATTRS}) x
 ),
 a as (select *, {_annual('smin')} as lo, {_annual('smax')} as hi from j)
-select cast(doc_id as varchar) as JOB_ID, p_name as TITLE, c_name as COMPANY,
+select cast(doc_id as varchar) as JOB_ID, p_name as TITLE, c_name as COMPANY, text as DESCRIPTION,
        trim(coalesce(city, '') || ', ' || coalesce(n_name, ''), ', ') as LOCATION, n_name as STATE, city as CITY,
        lo as SALARY_MIN, hi as SALARY_MAX,
        case when lo is not null and lo != 0 and hi is not null and hi != 0 then round_even((lo + hi) / 2, 0)
             when lo is not null and lo != 0 then lo else hi end as SALARY_EST,
        case when o_orderstatus = 'F' then '1' else '0' end as REMOTE, cast(p_size as varchar) as CATEGORY,
        coalesce(nullif(apply_link, ''), nullif(google_link, '')) as URL, cast(o_orderdate as varchar) as POSTED_AT,
-       lang as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, 'jsearch' as SOURCE
+       if(o_orderstatus = 'O', source, lang) as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, 'jsearch' as SOURCE
 from a
 """
 
@@ -590,19 +561,18 @@ def _board(prefix: str, langs, desc: str, remote: str, url: str, source: str) ->
            case when contains(loc, ', ') then string_split(loc, ', ')[-1] end as STATE,
            cast(null as double) as SALARY_MIN, cast(null as double) as SALARY_MAX, cast(null as double) as SALARY_EST,
            {remote} as REMOTE, '{url}' || cast(doc_id as varchar) as URL, cast(o_orderdate as varchar) as POSTED_AT,
-           cast(null as varchar) as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, '{source}' as SOURCE
+           {_q(tx.BOARD_QUERY)} as QUERY, {_q(O.FETCHED_AT)} as FETCHED_AT, '{source}' as SOURCE
     from (select *, {_BOARD_LOC} as loc from ({DOC_ATTRS}) x) y
     where lang in {in_list(langs)} and {_TITLE_OK}
 """
 
 
 SQL["flatten_boards"] = (
-    _board("gh_", ["en", "de"], "cast(null as bigint)",
+    _board("gh_", ["en", "de"], "cast(null as varchar)",
            "case when contains(lower(loc), 'remote') then '1' else '0' end", "https://b/", "greenhouse")
     + " union all " +
     _board("ashby_", ["fr", "es"],
-           "length(case when coalesce(case when o_orderstatus != 'P' then text end, '') != '' "
-           "then substr(text, 1, 2000) end)",
+           "nullif(if(o_orderstatus <> 'P', text, null), '')",
            "case when o_orderstatus = 'O' then '1' else '0' end", "https://c/", "ashby"))
 
 

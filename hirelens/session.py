@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     # Runtime re-planning: coalesce small shuffle partitions, split skewed
@@ -49,9 +49,3 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
-    return df.checkpoint(eager=True)

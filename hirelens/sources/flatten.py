@@ -33,9 +33,12 @@ def read_payloads(spark: SparkSession, path: str, kind: str) -> DataFrame:
             .withColumn("_file", F.col("_metadata.file_path")))
 
 
-def _explode(df: DataFrame, field: str, keep: list[str]) -> DataFrame:
+def _explode(df: DataFrame, field: str, keep: list[str], order_col: str | None = None) -> DataFrame:
+    if order_col is not None and order_col not in df.columns:
+        raise ValueError(f"the payload needs a column {order_col!r}: the order in which queries or boards were asked")
     present = [k for k in keep + ["_fetched"] if k in df.columns]
-    return df.select(*present, F.posexplode_outer(F.col(field)).alias("_pos", "j")).where(F.col("j").isNotNull())
+    order = [F.col(order_col).alias("_qo")] if order_col else []
+    return df.select(*present, *order, F.posexplode_outer(F.col(field)).alias("_pos", "j")).where(F.col("j").isNotNull())
 
 
 def _lineage(source: str | Column, query: Column | None, fetched_at: str | Column | None) -> list[Column]:
@@ -50,11 +53,12 @@ def _lineage(source: str | Column, query: Column | None, fetched_at: str | Colum
     ]
 
 
-def flatten_adzuna(df: DataFrame, fetched_at: str | Column | None = None, query_col: str = "query") -> DataFrame:
+def flatten_adzuna(df: DataFrame, fetched_at: str | Column | None = None, query_col: str = "query",
+                   order_col: str = "query_order") -> DataFrame:
     """Feed 1 (A7): nested company / location / category; state = area[1] and
     city = area[-1] only when the area has more than one level; estimate =
     (min + max) / 2 with missing = 0 and 0 → NULL."""
-    r = _explode(df, "results", [query_col, "page", "_file"])
+    r = _explode(df, "results", [query_col, "page", "_file"], order_col)
     j = F.col("j")
     area = F.coalesce(j["location"]["area"], F.array().cast("array<string>"))
     deep = F.size(area) > 1
@@ -72,10 +76,10 @@ def flatten_adzuna(df: DataFrame, fetched_at: str | Column | None = None, query_
 
 
 def flatten_jsearch(df: DataFrame, fetched_at: str | Column | None = None, query_col: str = "query",
-                    factors=tx.PAY_FACTORS_FEED) -> DataFrame:
+                    factors=tx.PAY_FACTORS_FEED, order_col: str = "query_order") -> DataFrame:
     """Feed 2 (A8): annualised salaries (banker's rounding), "city, state" with
     the ', ' characters stripped, remote flag, apply link with a fallback."""
-    r = _explode(df, "data", [query_col, "page", "_file"])
+    r = _explode(df, "data", [query_col, "page", "_file"], order_col)
     j = F.col("j")
     period = F.upper(F.coalesce(j["job_salary_period"], F.lit("")))
     lo = annualize(j["job_min_salary"], period, factors, round_half_even=True)
@@ -101,10 +105,10 @@ def _board_location(loc: Column) -> tuple[Column, Column]:
 
 
 def flatten_greenhouse(df: DataFrame, company_col: str = "company", fetched_at: str | Column | None = None,
-                       include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE) -> DataFrame:
+                       include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE, order_col: str = "company_order") -> DataFrame:
     """Board type 1 (A9): id prefix ``gh_``, title filter, state = last ', ' part,
     remote when the location mentions it. No description on this board."""
-    r = _explode(df, "jobs", [company_col, "_file"])
+    r = _explode(df, "jobs", [company_col, "_file"], order_col)
     j = F.col("j")
     r = r.where(keyword_filter(F.coalesce(j["title"], F.lit("")), include, exclude))
     loc, state = _board_location(F.coalesce(j["location"]["name"], F.lit("")))
@@ -116,18 +120,20 @@ def flatten_greenhouse(df: DataFrame, company_col: str = "company", fetched_at:
         typed_null("double").alias("SALARY_EST"),
         F.when(F.contains(F.lower(loc), F.lit("remote")), F.lit("1")).otherwise(F.lit("0")).alias("REMOTE"),
         j["absolute_url"].alias("URL"), j["updated_at"].alias("POSTED_AT"),
-        *_lineage("greenhouse", None, fetched_at), *_order_cols(r))
+        *_lineage("greenhouse", F.lit(tx.BOARD_QUERY), fetched_at), *_order_cols(r))
 
 
 def flatten_ashby(df: DataFrame, company_col: str = "company", fetched_at: str | Column | None = None,
-                  include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE, max_desc: int = 2000) -> DataFrame:
-    """Board type 2 (A10): id prefix ``ashby_``, description cut to 2000
-    characters (empty → NULL), ``isRemote`` flag."""
-    r = _explode(df, "jobPostings", [company_col, "_file"])
+                  include=tx.TITLE_INCLUDE, exclude=tx.TITLE_EXCLUDE, max_desc: int | None = None,
+                  order_col: str = "company_order") -> DataFrame:
+    """Board type 2 (A10): id prefix ``ashby_``, the whole description (empty → NULL;
+    ``max_desc`` cuts it on request), ``isRemote`` flag."""
+    r = _explode(df, "jobPostings", [company_col, "_file"], order_col)
     j = F.col("j")
     r = r.where(keyword_filter(F.coalesce(j["title"], F.lit("")), include, exclude))
     loc, state = _board_location(F.coalesce(j["location"], F.lit("")))
-    desc = F.when(F.coalesce(j["descriptionPlain"], F.lit("")) != "", F.substring(j["descriptionPlain"], 1, max_desc))
+    desc = F.nullif(j["descriptionPlain"], F.lit(""))
+    desc = desc if max_desc is None else F.substring(desc, 1, max_desc)
     return r.select(
         F.concat(F.lit("ashby_"), j["id"]).alias("JOB_ID"), j["title"].alias("TITLE"),
         F.col(company_col).alias("COMPANY"), desc.alias("DESCRIPTION"), loc.alias("LOCATION"), state.alias("STATE"),
@@ -135,7 +141,7 @@ def flatten_ashby(df: DataFrame, company_col: str = "company", fetched_at: str |
         typed_null("double").alias("SALARY_EST"),
         F.when(F.coalesce(j["isRemote"], F.lit(False)), F.lit("1")).otherwise(F.lit("0")).alias("REMOTE"),
         j["jobUrl"].alias("URL"), j["publishedAt"].alias("POSTED_AT"),
-        *_lineage("ashby", None, fetched_at), *_order_cols(r))
+        *_lineage("ashby", F.lit(tx.BOARD_QUERY), fetched_at), *_order_cols(r))
 
 
 def flatten_search_results(df: DataFrame, company_col: str = "company", order_col: str = "company_order",
@@ -152,20 +158,23 @@ def flatten_search_results(df: DataFrame, company_col: str = "company", order_co
 
 
 def _order_cols(r: DataFrame) -> list[Column]:
-    cols = [F.col("_pos").alias("_pos")]
+    cols = [F.col("_pos").alias("_pos"), F.col("_qo")]
     cols.append((F.col("page") if "page" in r.columns else F.lit(0)).alias("_page"))
     cols.append((F.col("_file") if "_file" in r.columns else F.lit("")).alias("_file"))
     return cols
 
 
-def distinct_jobs(df: DataFrame, query_order: Column | None = None) -> DataFrame:
-    """Distinct by JOB_ID keeping the first seen (query order, page, position)."""
-    src = df.withColumn("_qo", query_order if query_order is not None else F.lit(0))
-    out = first_per_key(src, ["JOB_ID"], ["_qo", "_page", "_file", "_pos"])
-    return out.drop("_qo", "_page", "_file", "_pos")
+def distinct_jobs(df: DataFrame) -> DataFrame:
+    """Distinct by JOB_ID keeping the first seen: queries in the order they were asked, then pages, then positions.
 
-
-TARGET_PATTERN = r"(?s)- name: (.+?)\n.*?api: (https://[^\n]+)"
+    The winners are picked on ids and order columns; the rows with their texts are joined to them afterwards, so no
+    description is sorted.
+    """
+    place = ["_qo", "_page", "_pos", "_file"]
+    rows = df.withColumn("_key", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in place]))
+    first = first_per_key(rows.select("JOB_ID", "_key", *place), ["JOB_ID"], place).select(F.col("JOB_ID").alias("_id"), F.col("_key").alias("_first"))
+    kept = rows.join(first, F.col("JOB_ID").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_first")), "left_semi")
+    return kept.drop("_key", *place)
 
 
 def extract_targets(text_df: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -176,8 +185,8 @@ def extract_targets(text_df: DataFrame, text_col: str = "value", keep: Sequence[
     part, or the one before it when a greenhouse URL ends in ``/jobs``.
     """
     t = F.col(text_col)
-    pairs = F.arrays_zip(F.regexp_extract_all(t, F.lit(TARGET_PATTERN), 1).alias("name"),
-                         F.regexp_extract_all(t, F.lit(TARGET_PATTERN), 2).alias("api"))
+    pairs = F.arrays_zip(F.regexp_extract_all(t, F.lit(tx.TARGET_PATTERN), 1).alias("name"),
+                         F.regexp_extract_all(t, F.lit(tx.TARGET_PATTERN), 2).alias("api"))
     r = text_df.select(*keep, F.posexplode(pairs).alias("target_order", "p"))
     name, api = F.trim(F.col("p")["name"]), F.trim(F.col("p")["api"])
     base = F.rtrim(api, F.lit("/"))

@@ -1,9 +1,9 @@
 """Sinks: full refresh, same-day replace, seen-set store, view/table
-materialisation, cached reads (A3, A13, A14, A16, A17)."""
+materialisation (A3, A13, A14, A16); a table under a shared folder also serves repeated reads (A17)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import strip_ws
@@ -33,23 +33,14 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int)
 def replace_day(df: DataFrame, path: str, fetched_col: str = "FETCHED_AT", part_col: str = "fetch_date") -> bool:
     """Idempotent same-day load: the days present in ``df`` are replaced, other days stay.
 
-    The table is partitioned by the fetch day and written with dynamic
-    partition overwrite, so a reload only rewrites its own day's partition —
-    nothing is scanned or deleted row by row. An empty batch writes nothing
-    (checked with ``isEmpty``, which reads at most one row). Returns whether
-    anything was written.
+    The table is partitioned by the fetch day and written with dynamic partition overwrite (an option of this write), so
+    a reload only rewrites its own days and an empty batch rewrites nothing. Returns whether there were rows, counted
+    while they were written.
     """
-    staged = df.withColumn(part_col, F.left(F.col(fetched_col).cast("string"), F.lit(10)))
-    if staged.isEmpty():
-        return False
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(part_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return True
+    rows = Observation()
+    staged = df.withColumn(part_col, F.left(F.col(fetched_col).cast("string"), F.lit(10))).observe(rows, F.count(F.lit(1)).alias("n"))
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
+    return rows.get["n"] > 0
 
 
 def load_seen(spark: SparkSession, path: str, key: str = "url") -> DataFrame:
@@ -76,18 +67,6 @@ def save_seen(seen: DataFrame, new_keys: DataFrame, path: str, key: str = "url")
     next_seen(seen, new_keys, key).orderBy(key).write.mode("errorifexists").parquet(path)
 
 
-def with_lineage(df: DataFrame, source: str | None = None, query: str | None = None, ts=None) -> DataFrame:
-    """Constant SOURCE / QUERY / FETCHED_AT columns; the time is a parameter."""
-    out = df
-    if source is not None:
-        out = out.withColumn("SOURCE", F.lit(source))
-    if query is not None:
-        out = out.withColumn("QUERY", F.lit(query))
-    if ts is not None:
-        out = out.withColumn("FETCHED_AT", F.lit(str(ts)))
-    return out
-
-
 def materialize(spark: SparkSession, name: str, df: DataFrame, kind: str = "view", root: str | None = None) -> DataFrame:
     """``view``: a temp view recomputed per reader; ``table``: written once as Parquet
     under ``root`` and read back, cutting the lineage (A16)."""
@@ -104,7 +83,3 @@ def materialize(spark: SparkSession, name: str, df: DataFrame, kind: str = "view
         return out
     raise ValueError(f"unknown materialisation {kind!r}")
 
-
-def cached(df: DataFrame) -> DataFrame:
-    """Keep a report input in executor memory for repeated reads (A17; no TTL)."""
-    return df.cache()

@@ -8,7 +8,7 @@ from hirelens.functions import taxonomy as tx
 from hirelens.functions.classify import (annualize, classify, clean_title, company_tier, estimate_mean_or_either,
                                          estimate_midpoint_or_zero, experience_level, is_region_code, keyword_filter,
                                          normalize_state, remote_from_flag, remote_from_flag_or_location,
-                                         remote_from_text, tier_order, topic_gate, work_type)
+                                         remote_from_text, tier_order, work_type)
 from hirelens.functions.expr import (epoch_or_timestamp, in_window, money_full, money_k, pct_label, pct_of_max,
                                      ratio_pct, safe_timestamp, strip_chars, title_case, to_double)
 
@@ -81,13 +81,6 @@ def test_title_filter_and_clean(spark):
     assert one_col(spark, raw, clean_title) == ["Data Analyst - LA", "Data Engineer", "Plain", "A @ B"]
 
 
-def test_topic_gate(spark):
-    long = "x" * 120
-    df = spark.createDataFrame([(long + " llm", "Chef"), (long, "AI Engineer"), ("short llm", "AI Engineer"),
-                                (long, None), (None, "AI Engineer")], "t string, title string")
-    assert [r[0] for r in df.select(topic_gate("t", "title")).collect()] == [True, True, False, False, False]
-
-
 def test_estimates(spark):
     df = spark.createDataFrame([(100000.0, 140000.0), (100000.0, None), (None, None), (0.0, 5.0), (0.0, 0.0)],
                                "lo double, hi double")
