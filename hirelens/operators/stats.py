@@ -1,203 +1,113 @@
-"""Grouped pay statistics (F1, F5–F8) as one aggregate per call.
-
-All requested quantiles share ONE exact ``percentile(value, array(p...))``
-buffer per group instead of one buffer per quantile. The buffer is a
-value→count map merged partially on the map side, so its size is bounded by
-the number of distinct values in a group, not by its row count. For groups
-whose distinct-value domain is itself huge, ``approx=True`` switches to
-``percentile_approx`` (fixed-size sketch; not interpolating).
+"""Grouped pay statistics (F1, F5–F8) with exact, interpolated quantiles in bounded memory.
+
+Rows are first counted per (key, value) — a plain aggregation with map-side combine, so a key that holds a third of all
+rows is merged before the shuffle and its values are dealt over all tasks. Every figure is derived from that frame.
+Quantiles are exact ranks: split points of equal frequency cut each key's values into ``BUCKETS`` ranges, the counts of
+the ranges locate the wanted ranks, and only the ranges that hold one are looked into, value by value. No task holds a
+key's values: the largest window has the distinct values of one range, about a ``BUCKETS``-th of the key's (a value that
+repeats is one row). NULL is a key like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges of equal frequency per key.
+BUCKETS = 64
+
 # Stat spec: "count" | "count_distinct:<col>" | "avg" | "min" | "max" | "median" | float quantile
 Spec = str | float
 
 
-def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[str, Spec],
-                 digits: int | None = 0, approx: bool = False, two_pass: bool = False) -> DataFrame:
-    """``groupBy(keys)`` with named stats, rounded to ``digits`` (None: no rounding).
+def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """``a`` joined to ``b`` on ``keys``, NULL matching NULL; the columns of ``a``, then the others of ``b``."""
+    other = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return a.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
+
 
-    ``two_pass=True`` computes the quantiles with ``exact_quantiles`` (same
-    values, memory bounded per task even for a hot key; non-NULL keys).
+def exact_quantiles(counted: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float], buckets: int = BUCKETS) -> DataFrame:
+    """Per key the quantiles of ``_v`` weighted by ``_n``, interpolated between the two ranks around ``p * (n - 1)``.
+
+    ``counted`` may hold a value more than once; its NULL values don't count. Keys without a value have no row.
     """
-    if two_pass:
-        qspec = {n: (0.5 if sp == "median" else sp) for n, sp in stats.items()
-                 if sp == "median" or isinstance(sp, float)}
-        rest = {n: sp for n, sp in stats.items() if n not in qspec}
-        plain = salary_stats(df, keys, value, rest, digits=None) if rest else df.select(*keys).distinct()
-        qs = exact_quantiles(df, keys, value, qspec)
-        rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-        out = [F.col(k) for k in keys]
-        for n, sp in stats.items():
-            c = F.col(n)
-            is_count = sp == "count" or (isinstance(sp, str) and sp.startswith("count_distinct:"))
-            out.append((c if is_count else rnd(c.cast("double"))).alias(n))
-        return plain.join(qs, list(keys), "left").select(*out)
-    v = F.col(value)
-    quantiles: list[float] = []
-    for spec in stats.values():
-        q = 0.5 if spec == "median" else spec if isinstance(spec, float) else None
-        if q is not None and q not in quantiles:
-            quantiles.append(q)
-    aggs: list[Column] = []
+    # The test on all columns holds always. It keeps the same columns in every branch, so that Spark plans the shuffle
+    # below ``counted`` once and reuses it.
+    base = counted.where(F.col("_v").isNotNull() & (F.hash(*counted.columns) <= F.lit(2**31 - 1)))
+    cuts = [i / buckets for i in range(1, buckets)]
+    splits = base.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 100 * buckets).alias("_s"), F.sum("_n").alias("_t"))
+    bucket = reduce(lambda x, y: x + y, [F.when(F.col("_v") >= F.get("_s", F.lit(i)), 1).otherwise(0) for i in range(len(cuts))])
+    tagged = same_keys(base, splits, keys, "inner").select(*keys, "_v", "_n", "_t", bucket.alias("_b"))
+    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (tagged.groupBy(*keys, "_b").agg(F.sum("_n").alias("_c"), F.first("_t").alias("_t"))
+              .withColumn("_end", F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c")))
+    # the ranks floor and ceil of p * (n - 1), in the range that holds them
+    ranks = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"), fn(F.lit(p) * (F.col("_t") - 1)).cast("long").alias("rank"))
+                      for name, p in quantiles.items() for side, fn in (("lo", F.floor), ("hi", F.ceil))])
+    wanted = (ranges.withColumn("_r", F.explode(ranks)).where((F.col("_r.rank") >= F.col("_start")) & (F.col("_r.rank") < F.col("_end")))
+              .select(*keys, "_b", F.col("_t").alias("_total"), F.col("_r.q").alias("_q"), F.col("_r.side").alias("_side"),
+                      (F.col("_r.rank") - F.col("_start")).alias("_rank")))
+    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = (same_keys(tagged, wanted.select(*keys, "_b").distinct(), [*keys, "_b"], "inner")
+              .groupBy(*keys, "_b", "_v").agg(F.sum("_n").alias("_c")).withColumn("_vend", F.sum("_c").over(within)))
+    hit = same_keys(values, wanted, [*keys, "_b"], "inner").where(
+        (F.col("_rank") < F.col("_vend")) & (F.col("_rank") >= F.col("_vend") - F.col("_c")))
+    at = lambda name, side: F.max(F.when((F.col("_q") == name) & (F.col("_side") == side), F.col("_v")))
+
+    def value(name: str, p: float) -> Column:
+        place = F.lit(p) * (F.max("_total") - 1)
+        return (at(name, "lo") + (place - F.floor(place)) * (at(name, "hi") - at(name, "lo"))).alias(name)
+
+    return hit.groupBy(*keys).agg(*[value(n, p) for n, p in quantiles.items()])
+
+
+def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[str, Spec], digits: int | None = 0) -> DataFrame:
+    """``groupBy(keys)`` with named stats, rounded to ``digits`` (None: no rounding)."""
+    counted = df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    plain = {"count": F.sum("_n"), "avg": F.sum(F.col("_v") * F.col("_n")) / F.sum(rows), "min": F.min("_v"), "max": F.max("_v")}
+    quantiles = {n: 0.5 if spec == "median" else spec for n, spec in stats.items() if spec == "median" or isinstance(spec, float)}
+    distinct = {n: spec.split(":", 1)[1] for n, spec in stats.items() if isinstance(spec, str) and spec.startswith("count_distinct:")}
+    out = counted.groupBy(*keys).agg(F.sum("_n").alias("_rows"), *[plain[spec].alias(n) for n, spec in stats.items() if spec in plain])
     if quantiles:
-        if approx:
-            aggs.append(F.percentile_approx(v, quantiles, 10000).alias("_q"))
-        else:
-            aggs.append(F.percentile(v, F.array(*[F.lit(q) for q in quantiles])).alias("_q"))
-    plain = {}
-    for name, spec in stats.items():
-        if spec == "count":
-            plain[name] = F.count(F.lit(1))
-        elif isinstance(spec, str) and spec.startswith("count_distinct:"):
-            plain[name] = F.count_distinct(F.col(spec.split(":", 1)[1]))
-        elif spec == "avg":
-            plain[name] = F.avg(v)
-        elif spec == "min":
-            plain[name] = F.min(v)
-        elif spec == "max":
-            plain[name] = F.max(v)
-    aggs += [c.alias(n) for n, c in plain.items()]
-    g = df.groupBy(*keys).agg(*aggs)
-
-    def fmt(c: Column, spec) -> Column:
-        if spec == "count" or (isinstance(spec, str) and spec.startswith("count_distinct:")):
-            return c
-        c = c.cast("double")
-        return F.round(c, digits) if digits is not None else c
-
-    out = [F.col(k) for k in keys]
-    for name, spec in stats.items():
-        if name in plain:
-            out.append(fmt(F.col(name), spec).alias(name))
-        else:
-            q = 0.5 if spec == "median" else spec
-            out.append(fmt(F.element_at(F.col("_q"), quantiles.index(q) + 1), spec).alias(name))
-    return g.select(*out)
-
-
-def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value: str | None,
-                        count_name: str = "job_count", avg_name: str | None = None,
-                        quantiles: Mapping[str, float] | None = None, counts: Mapping[str, Column] | None = None,
-                        mins: Mapping[str, str] | None = None, digits: int | None = 0,
-                        two_pass: bool = False) -> DataFrame:
-    """Per key: ``count(distinct id)`` plus avg / exact quantiles / conditional
-    counts / mins over all rows, in one pass and without a quantile buffer per
-    (key, id) group.
-
-    Each row is emitted twice (an explicit Expand): an *id row* (key, id) and
-    a *value row* (key, value, flags). Stage 1 aggregates both kinds by
-    (key, kind, id, value) — plain codegen'd hash aggregation with map-side
-    combine, so a hot key is pre-aggregated before the shuffle. Stage 2 per
-    key counts the id rows (= distinct ids) and computes the
-    frequency-weighted ``percentile(value, p, n)`` over value rows, which is
-    identical to the unweighted percentile of the original rows. Its buffer is
-    bounded by the distinct values of a key, not its row count.
-
-    ``two_pass=True`` takes the quantiles from ``exact_quantiles`` instead
-    (same values; per-task memory bounded even for a hot key's value domain).
+        out = same_keys(out, exact_quantiles(counted, keys, quantiles), keys)
+    if distinct:
+        out = same_keys(out, df.groupBy(*keys).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()]), keys)
+    final = lambda n, spec: F.col(n) if spec == "count" or n in distinct or digits is None else F.round(n, digits)
+    return out.select(*keys, *[final(n, spec).alias(n) for n, spec in stats.items()])
+
+
+def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value: str | None, count_name: str = "job_count",
+                        avg_name: str | None = None, quantiles: Mapping[str, float] | None = None,
+                        counts: Mapping[str, Column] | None = None, mins: Mapping[str, str] | None = None,
+                        digits: int | None = 0, weight: str | None = None) -> DataFrame:
+    """Per key: ``count(distinct id)`` plus avg / exact quantiles / conditional counts / mins over all rows.
+
+    Rows are combined per (key, id, value), the first value of each (key, id) counts the id, and everything else follows
+    per (key, value). ``weight`` names a column that says for how many equal rows each row stands.
     """
-    if two_pass and quantiles and value:
-        g = distinct_with_stats(df, keys, id_col, value, count_name, avg_name, None, counts, mins, digits)
-        q = exact_quantiles(df, keys, value, quantiles)
-        rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-        g, q = g.alias("_g"), q.alias("_q")
-        cond = [F.col(f"_g.{k}").eqNullSafe(F.col(f"_q.{k}")) for k in keys]
-        cols = [F.col(f"_g.{c}").alias(c) for c in g.columns]
-        order = [k for k in keys] + [count_name] + ([avg_name] if avg_name else []) + list(quantiles) \
-            + list(counts or {}) + list(mins or {})
-        j = g.join(q, cond, "left").select(*cols, *[rnd(F.col(f"_q.{n}")).alias(n) for n in quantiles])
-        return j.select(*order)
     counts, mins, quantiles = dict(counts or {}), dict(mins or {}), dict(quantiles or {})
-    cnames = [f"_c{i}" for i in range(len(counts))]
-    mnames = [f"_m{i}" for i in range(len(mins))]
-    v = (F.col(value) if value else F.lit(None)).cast("double")
-    null_flags = [F.lit(None).cast("boolean").alias(n) for n in cnames]
-    id_row = F.struct(F.lit(1).alias("_k"), F.col(id_col).alias("_id"), F.lit(None).cast("double").alias("_v"),
-                      *null_flags, *[F.lit(None).cast(df.schema[c].dataType).alias(n) for n, c in zip(mnames, mins.values())])
-    val_row = F.struct(F.lit(0).alias("_k"), F.lit(None).cast(df.schema[id_col].dataType).alias("_id"), v.alias("_v"),
-                       *[c.alias(n) for n, c in zip(cnames, counts.values())],
-                       *[F.col(c).alias(n) for n, c in zip(mnames, mins.values())])
-    x = df.select(*[F.col(k) for k in keys], F.explode(F.array(id_row, val_row)).alias("_r")).select(
-        *[F.col(k) for k in keys], "_r.*")
-    s1 = x.groupBy(*keys, "_k", "_id", "_v").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(n)).alias(n) for n in cnames],
-        *[F.min(n).alias(n) for n in mnames])
-    is_val = F.col("_k") == 0
-    ps = list(dict.fromkeys(quantiles.values()))
-    aggs = [F.count_if((F.col("_k") == 1) & F.col("_id").isNotNull()).alias(count_name)]
-    if avg_name:
-        num = F.sum(F.when(is_val, F.col("_v") * F.col("_n")))
-        den = F.sum(F.when(is_val & F.col("_v").isNotNull(), F.col("_n")))
-        aggs.append((num / den).alias("_avg"))
-    if ps:
-        aggs.append(F.percentile(F.when(is_val, F.col("_v")), F.array(*[F.lit(p) for p in ps]), F.col("_n"))
-                    .alias("_q"))
-    aggs += [F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in cnames]
-    aggs += [F.min(n).alias(n) for n in mnames]
-    g = s1.groupBy(*keys).agg(*aggs)
-    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    out = [F.col(k) for k in keys] + [F.col(count_name)]
-    if avg_name:
-        out.append(rnd(F.col("_avg")).alias(avg_name))
-    out += [rnd(F.element_at("_q", ps.index(p) + 1)).alias(n) for n, p in quantiles.items()]
-    out += [F.col(c).alias(n) for c, n in zip(cnames, counts)]
-    out += [F.col(m).alias(n) for m, n in zip(mnames, mins)]
-    return g.select(*out)
-
-
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
-                    buckets: int = 1024) -> DataFrame:
-    """Exact ``percentile_cont`` per key without holding a key's values in one task.
-
-    For keys so hot that even their distinct values are too many for one
-    task. Three aggregations, each bounded per key:
-
-    1. per key: n, min, max (one row per key);
-    2. per (key, bucket of an equal-width histogram): counts, at most
-       ``buckets`` rows per key, and running counts over them;
-    3. only the rows inside the buckets that hold the wanted ranks, counted
-       per distinct value; the interpolation then reads the two values around
-       rank ``p * (n - 1)``, as ``percentile_cont`` does.
-
-    Rows are scanned three times instead of once; memory per task is bounded
-    by ``buckets`` and by the distinct values of one bucket.
-    """
-    names = list(quantiles)
-    v = F.col(value).cast("double")
-    base = df.select(*[F.col(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull())
-    st = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / buckets
-    bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(buckets - 1))) \
-        .otherwise(F.lit(0)).cast("long")
-    tagged = base.join(st, list(keys)).withColumn("_b", bucket)
-    hist = tagged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_start", F.col("_cum") - F.col("_c"))
-    # wanted 0-based ranks per key: floor and ceil of p * (n - 1) for every quantile
-    ranks = st.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(name).alias("q"), F.lit(p).alias("p"), (F.lit(p) * (F.col("_n") - 1)).alias("pos"))
-        for name, p in quantiles.items()])).alias("_r")).select(*keys, "_r.*")
-    ranks = ranks.select(*keys, "q", "pos", F.explode(F.array(F.floor("pos").cast("long"), F.ceil("pos").cast("long")))
-                         .alias("rank"))
-    # the bucket holding each rank (rank in [start, cum))
-    at = ranks.join(hist, list(keys)).where((F.col("rank") >= F.col("_start")) & (F.col("rank") < F.col("_cum")))
-    need = at.select(*keys, "_b").distinct()
-    vals = tagged.join(need, list(keys) + ["_b"]).groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_vc"))
-    wv = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vals = vals.withColumn("_vcum", F.sum("_vc").over(wv))
-    # value at rank: within its bucket, offset = rank - start; first value whose running count exceeds it
-    hit = (at.join(vals, list(keys) + ["_b"])
-           .where(F.col("_vcum") > F.col("rank") - F.col("_start"))
-           .groupBy(*keys, "q", "pos", "rank").agg(F.min("_v").alias("_x")))
-    lo = hit.where(F.col("rank") == F.floor("pos")).select(*keys, "q", "pos", F.col("_x").alias("_xlo"))
-    hi = hit.where(F.col("rank") == F.ceil("pos")).select(*keys, "q", F.col("_x").alias("_xhi"))
-    q = lo.join(hi, list(keys) + ["q"]).select(
-        *keys, "q", (F.col("_xlo") + (F.col("pos") - F.floor("pos")) * (F.col("_xhi") - F.col("_xlo"))).alias("_val"))
-    return q.groupBy(*keys).pivot("q", names).agg(F.first("_val"))
+    flags, lows = [f"_c{i}" for i in range(len(counts))], [f"_m{i}" for i in range(len(mins))]
+    n = F.col(weight) if weight else F.lit(1)
+    rows = df.select(*keys, F.col(id_col).alias("_id"), (F.col(value) if value else F.lit(None)).cast("double").alias("_v"), n.alias("_n"),
+                     *[c.alias(f) for f, c in zip(flags, counts.values())], *[F.col(c).alias(m) for m, c in zip(lows, mins.values())])
+    sums = [F.sum("_n").alias("_n"), *[F.sum(F.when(F.col(f), F.col("_n")).otherwise(0)).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows]]
+    pairs = rows.groupBy(*keys, "_id", "_v").agg(*sums)
+    first = F.row_number().over(Window.partitionBy(*keys, "_id").orderBy("_v")) == 1
+    marked = pairs.withColumn("_ids", F.when(first & F.col("_id").isNotNull(), 1).otherwise(0))
+    counted = marked.groupBy(*keys, "_v").agg(F.sum("_ids").alias("_ids"), F.sum("_n").alias("_n"),
+                                              *[F.sum(f).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows])
+    filled = F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")))
+    out = counted.groupBy(*keys).agg(
+        F.sum("_ids").alias(count_name), (F.sum(F.col("_v") * F.col("_n")) / filled).alias("_avg"), F.sum("_n").alias("_rows"),
+        *[F.sum(f).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows])
+    if quantiles:
+        out = same_keys(out, exact_quantiles(counted, keys, quantiles), keys)
+    rounded = lambda c: F.round(c, digits) if digits is not None else F.col(c)
+    return out.select(*keys, count_name, *([rounded("_avg").alias(avg_name)] if avg_name else []),
+                      *[rounded(q).alias(q) for q in quantiles], *[F.col(f).alias(c) for f, c in zip(flags, counts)],
+                      *[F.col(m).alias(name) for m, name in zip(lows, mins)])

@@ -21,16 +21,17 @@ from ..operators.dedupe import first_per_key
 from .schemas import (ADZUNA_PAYLOAD, ASHBY_PAYLOAD, GREENHOUSE_PAYLOAD, JSEARCH_PAYLOAD, SEARCH_PAYLOAD)
 
 
-def read_payloads(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str, kind: str, recursive: bool = False) -> DataFrame:
     """Read landed JSON responses (one document per file, multi-line) with their schema.
 
-    Adds ``_file`` (source path) which callers use to derive query / page /
-    company labels and the file order.
+    Adds ``_file`` (source path), from which ``load.label_files`` takes query / page / company labels and their
+    order, and ``_fetched`` (file modification time).
     """
     schema = {"adzuna": ADZUNA_PAYLOAD, "jsearch": JSEARCH_PAYLOAD, "greenhouse": GREENHOUSE_PAYLOAD,
               "ashby": ASHBY_PAYLOAD, "search": SEARCH_PAYLOAD}[kind]
-    return (spark.read.schema(schema).option("multiLine", True).json(path)
-            .withColumn("_file", F.col("_metadata.file_path")))
+    return (spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", recursive).json(path)
+            .withColumn("_file", F.col("_metadata.file_path"))
+            .withColumn("_fetched", F.col("_metadata.file_modification_time")))
 
 
 def _explode(df: DataFrame, field: str, keep: list[str], order_col: str | None = None) -> DataFrame:
@@ -164,17 +165,20 @@ def _order_cols(r: DataFrame) -> list[Column]:
     return cols
 
 
-def distinct_jobs(df: DataFrame) -> DataFrame:
-    """Distinct by JOB_ID keeping the first seen: queries in the order they were asked, then pages, then positions.
+def distinct_jobs(df: DataFrame, keys: Sequence[str] = ("JOB_ID",)) -> DataFrame:
+    """Distinct by id (or the given keys) keeping the first seen: queries in the order they were asked, then pages, then positions.
 
     The winners are picked on ids and order columns; the rows with their texts are joined to them afterwards, so no
     description is sorted.
     """
     place = ["_qo", "_page", "_pos", "_file"]
     rows = df.withColumn("_key", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in place]))
-    first = first_per_key(rows.select("JOB_ID", "_key", *place), ["JOB_ID"], place).select(F.col("JOB_ID").alias("_id"), F.col("_key").alias("_first"))
-    kept = rows.join(first, F.col("JOB_ID").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_first")), "left_semi")
-    return kept.drop("_key", *place)
+    first = first_per_key(rows.select(*keys, "_key", *place), keys, place).select(
+        *[F.col(k).alias(f"_first_{k}") for k in keys], F.col("_key").alias("_first"))
+    same = F.col("_key") == F.col("_first")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_first_{k}"))
+    return rows.join(first, same, "left_semi").drop("_key", *place)
 
 
 def extract_targets(text_df: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:

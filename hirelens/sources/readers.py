@@ -11,13 +11,15 @@ from pyspark.sql import types as T
 from .sinks import write_table
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header; descriptions may hold newlines and quotes (A1).
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; values may hold quotes (A1).
+
+    ``multi_line`` is for files whose values hold line ends; such a file can't be split, so it is one task.
 
     With a schema no inference pass runs (the production setting); without
     one, types are inferred like the landing job did.
     """
-    r = (spark.read.option("header", True).option("multiLine", True)
+    r = (spark.read.option("header", True).option("multiLine", multi_line)
          .option("escape", '"').option("quote", '"'))
     if schema is not None:
         r = r.schema(schema)
@@ -57,7 +59,7 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def load_manifest(spark: SparkSession, root: str, manifest: Mapping[str, str], out_root: str,
-                  schemas: Mapping[str, T.StructType] | None = None) -> dict[str, int]:
+                  schemas: Mapping[str, T.StructType] | None = None, multi_line: bool = False) -> dict[str, int]:
     """For each ``file → table``: read (skip if missing), normalise names, overwrite (A5).
 
     Returns the tables written and whether each was found (1) or skipped (0).
@@ -69,7 +71,7 @@ def load_manifest(spark: SparkSession, root: str, manifest: Mapping[str, str], o
             done[name] = 0
             continue
         schema = (schemas or {}).get(name)
-        df = normalize_columns(read_csv(spark, path, schema))
+        df = normalize_columns(read_csv(spark, path, schema, multi_line))
         write_table(df, f"{out_root.rstrip('/')}/{name}")
         done[name] = 1
     return done

@@ -58,13 +58,11 @@ def next_seen(seen: DataFrame, new_keys: DataFrame, key: str = "url") -> DataFra
     return allk.where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
 
 
-def save_seen(seen: DataFrame, new_keys: DataFrame, path: str, key: str = "url") -> None:
-    """Write the next seen set to a NEW version path (never overwrite the path being read).
-
-    Callers point the next run at ``path``; the previous version is left for
-    the operator to expire. Sorted on write for stable files.
-    """
-    next_seen(seen, new_keys, key).orderBy(key).write.mode("errorifexists").parquet(path)
+def save_seen(new_keys: DataFrame, path: str, key: str = "url") -> None:
+    """Append the keys that the store at ``path`` doesn't hold yet (A14); a repeated append is harmless, as readers take distinct keys."""
+    spark = new_keys.sparkSession
+    fresh = next_seen(spark.createDataFrame([], f"{key} string"), new_keys, key)
+    fresh.join(load_seen(spark, path, key), key, "left_anti").write.mode("append").parquet(path)
 
 
 def materialize(spark: SparkSession, name: str, df: DataFrame, kind: str = "view", root: str | None = None) -> DataFrame:

@@ -1,10 +1,9 @@
 """Structured Streaming form of the daily feed load and the monthly trend.
 
-J1: landed API responses (JSON files) are read as a file stream, flattened
-with the same functions as the batch path, de-duplicated by job id within a
-watermark, and written per micro-batch to a folder named by the batch id —
-a retried batch rewrites its own folder, so the sink is idempotent and the
-checkpoint makes the stream exactly-once over the landed files.
+J1: landed API responses (JSON files) are read as a file stream. Each micro-batch is flattened into a history folder
+named by its batch id (a retried batch rewrites its own folder), and the days that it touched are loaded again from the
+history with the batch functions: first seen row of each job and day, day replace. A file that lands late, whatever its
+modification time, only makes its day load again; a stream and a batch run over the same files end in equal tables.
 
 J2: the monthly share trend (M3) as a streaming aggregation over the
 cleaned postings; its result equals the batch mart on the same rows.
@@ -12,53 +11,46 @@ cleaned postings; its result equals the batch mart on the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.expr import month_start, ratio_pct
-from ..sources import flatten as fl
+from ..sources.load import flat_feed, label_files, load_flat
 from ..sources.schemas import (ADZUNA_PAYLOAD, ASHBY_PAYLOAD, GREENHOUSE_PAYLOAD, JSEARCH_PAYLOAD)
 
 _SCHEMAS = {"adzuna": ADZUNA_PAYLOAD, "jsearch": JSEARCH_PAYLOAD, "greenhouse": GREENHOUSE_PAYLOAD,
             "ashby": ASHBY_PAYLOAD}
-_FLATTEN: dict[str, Callable[..., DataFrame]] = {"adzuna": fl.flatten_adzuna, "jsearch": fl.flatten_jsearch,
-                                                  "greenhouse": fl.flatten_greenhouse, "ashby": fl.flatten_ashby}
 
 
 def read_landed(spark: SparkSession, landing_dir: str, kind: str, max_files: int | None = None) -> DataFrame:
-    """File stream of landed responses; query label = file name, fetch time = file modification time."""
-    r = spark.readStream.schema(_SCHEMAS[kind]).option("multiLine", True)
+    """File stream of landed responses, in all subfolders, with path and modification time."""
+    r = spark.readStream.schema(_SCHEMAS[kind]).option("multiLine", True).option("recursiveFileLookup", True)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    df = r.json(landing_dir)
     meta = F.col("_metadata")
-    return (df.withColumn("_file", meta["file_path"])
-            .withColumn("query", meta["file_name"])
-            .withColumn("company", F.regexp_replace(meta["file_name"], r"\.json$", ""))
-            .withColumn("_fetched", meta["file_modification_time"]))
+    return r.json(landing_dir).withColumn("_file", meta["file_path"]).withColumn("_fetched", meta["file_modification_time"])
 
 
-def flatten_stream(landed: DataFrame, kind: str, watermark: str = "2 days") -> DataFrame:
-    """Flatten and de-duplicate by JOB_ID within the watermark (state bounded by it)."""
-    fetched = F.date_format(F.col("_fetched"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    flat = _FLATTEN[kind](landed, fetched_at=fetched)
-    with_ts = flat.withColumn("_event_ts", F.to_timestamp("FETCHED_AT"))
-    return (with_ts.withWatermark("_event_ts", watermark).dropDuplicatesWithinWatermark(["JOB_ID"])
-            .drop("_pos", "_page", "_file", "_event_ts"))
-
-
-def start_feed_stream(spark: SparkSession, landing_dir: str, kind: str, sink_dir: str, checkpoint_dir: str,
-                      available_now: bool = True, watermark: str = "2 days") -> StreamingQuery:
-    """Run J1; each micro-batch lands in ``sink_dir/_batch=<id>`` (overwrite → idempotent)."""
-    stream = flatten_stream(read_landed(spark, landing_dir, kind), kind, watermark)
+def start_feed_stream(spark: SparkSession, landing_dir: str, kind: str, asked: Sequence[str], history_dir: str, sink_dir: str,
+                      checkpoint_dir: str, available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+    """Run J1 into the table at ``sink_dir``; ``asked`` lists queries (boards: companies) in the order of asking."""
+    label = "query" if kind in ("adzuna", "jsearch") else "company"
+    history = history_dir.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/_batch={batch_id}")
-
-    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
+        own = f"{history}/_batch={batch_id}"
+        flat = flat_feed(label_files(batch, asked, label), kind)
+        flat.withColumn("_day", F.left(F.col("FETCHED_AT"), F.lit(10))).write.mode("overwrite").parquet(own)
+        session = batch.sparkSession
+        days = session.read.parquet(own).select("_day").distinct()
+        every = session.read.option("basePath", history).parquet(f"{history}/_batch=*").join(days, "_day", "left_semi")
+        load_flat(every.drop("_day", "_batch"), sink_dir)
+
+    w = (read_landed(spark, landing_dir, kind, max_files).writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from hirelens.operators.dedupe import keep_first, unseen
-from hirelens.operators.digest import digest, new_items
+from hirelens.operators.digest import digest, digest_totals, new_items
 from hirelens.operators.lexicon import lexicon_match, matched_words, unique_words
 from hirelens.operators.matching import learning_path, match_score, parse_skill_list, role_readiness, skill_gap
 from hirelens.operators.quality import check_suite, gate
@@ -101,7 +101,9 @@ def test_unseen_and_digest(spark):
     got = sorted((r.company, r.url) for r in items.collect())
     assert got == [("A", "u2"), ("B", "u4")]
     d = {r.url: r for r in digest(items).collect()}
-    assert d["u2"].company_items == 1 and d["u4"].total_items == 2 and d["u4"].total_companies == 2
+    assert d["u2"].company_items == 1 and tuple(digest_totals(items).first()) == (2, 2)
+    nameless = items.withColumn("company", F.lit(None).cast("string"))
+    assert [r.company_items for r in digest(nameless).collect()] == [2, 2] and tuple(digest_totals(nameless).first()) == (2, 1)
     seen2 = seen.unionByName(items.select("url"))
     assert new_items(cands, seen2).count() == 0
     assert unseen(cands, seen, "url", ["company_order", "position"]).count() == 3
@@ -131,10 +133,13 @@ def test_matching(spark):
     assert lp == {(1, "spark"): ("high", 1), (3, "x"): ("medium", 1), (3, "y"): ("low", 2)}
     people = spark.createDataFrame([(1, " Python, SQL ,, ", "de")], "id int, csv string, role string").withColumn(
         "skills", parse_skill_list("csv"))
-    top = spark.createDataFrame([("de", "python"), ("de", "spark"), ("de", "sql"), ("de", "dbt")],
-                                "role_cluster string, skill string")
+    unranked = {(r.id, r.skill): (r.priority, r.step) for r in learning_path(g, "id", market.where("skill = 'y'")).collect()}
+    assert unranked == {(1, "spark"): ("low", 1), (3, "y"): ("low", 1), (3, "x"): ("low", 2)}
+    top = spark.createDataFrame([("de", "python", 1), ("de", "spark", 2), ("de", "sql", 2), ("de", "dbt", 4), ("de", "x", 30)],
+                                "role_cluster string, skill string, role_rank int")
     r = role_readiness(people, "id", "skills", "role", top).collect()[0]
     assert (r.covered, r.top_n, r.readiness, r.to_learn) == (2, 4, 50.0, "dbt,spark")
+    assert role_readiness(people, "id", "skills", "role", top, top_n=2).collect()[0].top_n == 3
 
 
 def test_lexicon_frame_and_labels(spark):
@@ -184,45 +189,54 @@ def test_hot_key_paths(spark):
     assert td["hot"].job_count == ref["hot"].job_count and td["hot"].demand_rank == 1
 
 
-def test_exact_quantiles_two_pass_equals_percentile(spark):
-    from hirelens.operators.stats import exact_quantiles
-    rnd = random.Random(11)
-    rows = [("hot", float(rnd.choice([100, 100, 100, 250.5, 999, rnd.randint(0, 10 ** 6)]))) for _ in range(3000)]
-    rows += [(f"k{i % 17}", float(rnd.randint(0, 50))) for i in range(900)]
-    rows += [("one", 42.0), ("same", 7.0), ("same", 7.0), ("nulls", None), ("nulls", 3.0)]
-    df = spark.createDataFrame(rows, "k string, v double")
-    qs = {"p10": 0.1, "med": 0.5, "p75": 0.75, "p90": 0.9}
-    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", qs, buckets=16).collect()}
-    ref = {r.k: r for r in df.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in qs.items()]).collect()}
-    assert set(got) == set(ref)
-    for k in ref:
-        for n in qs:
-            assert abs(got[k][n] - ref[k][n]) < 1e-9, (k, n, got[k][n], ref[k][n])
+QS = {"p10": 0.1, "med": 0.5, "p75": 0.75, "p90": 0.9}
 
 
-def test_salary_stats_two_pass_matches(spark):
-    li = spark.read.parquet(f"{SF}/lineitem.parquet")
-    spec = {"n": "count", "avg": "avg", "med": "median", "p25": 0.25, "p90": 0.9, "lo": "min"}
-    a = sorted(tuple(r) for r in salary_stats(li, ["l_returnflag"], "l_extendedprice", spec).collect())
-    b = sorted(tuple(r) for r in salary_stats(li, ["l_returnflag"], "l_extendedprice", spec, two_pass=True).collect())
-    assert a == b and len(a) == 3
+def _equal_to_percentile(df, got):
+    got = {r.k: r for r in got.collect()}
+    ref = {r.k: r for r in df.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in QS.items()]).collect()}
+    assert set(got) == set(ref)
+    for k in ref:
+        for n in QS:
+            assert got[k][n] == ref[k][n] or abs(got[k][n] - ref[k][n]) < 1e-9 * max(1, abs(ref[k][n])), (k, n, got[k][n], ref[k][n])
 
 
-def test_distinct_with_stats_two_pass_equal(spark):
-    from hirelens.operators.lexicon import lexicon_demand
+def test_quantiles_equal_percentile(spark):
+    """Ties, one value, only NULL values, a NULL key, and a key with most of the rows."""
+    rnd = random.Random(11)
+    rows = [("hot", float(rnd.choice([100, 100, 100, 250.5, 999, rnd.randint(0, 10 ** 6)]))) for _ in range(3000)]
+    rows += [(f"k{i % 17}", float(rnd.randint(0, 50))) for i in range(900)]
+    rows += [(None, float(rnd.randint(0, 10 ** 6))) for _ in range(500)]
+    rows += [("one", 42.0), ("same", 7.0), ("same", 7.0), ("nulls", None), ("nulls", 3.0), ("never", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    _equal_to_percentile(df, salary_stats(df, ["k"], "v", QS, digits=None))
+    _equal_to_percentile(df, distinct_with_stats(df.withColumn("id", F.monotonically_increasing_id()), ["k"], "id", "v", quantiles=QS, digits=None))
+    assert salary_stats(df.limit(0), ["k"], "v", QS).collect() == []
+
+
+def test_quantile_ranges_are_bounded(spark):
+    """An outlier of 1e12 over 200,000 distinct values leaves no range with more than a stated share of them."""
+    from hirelens.operators.stats import BUCKETS
+    n = 200_000
+    df = spark.range(n).select(F.lit("x").alias("k"), F.col("id").cast("double").alias("v")).union(
+        spark.createDataFrame([("x", 1e12)], "k string, v double"))
+    _equal_to_percentile(df, salary_stats(df, ["k"], "v", QS, digits=None))
+    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
+    splits = df.agg(F.percentile_approx("v", cuts, 100 * BUCKETS).alias("s")).first().s
+    edges = [-1.0, *splits, 2e12]
+    values = [float(i) for i in range(n)] + [1e12]
+    import bisect
+    sizes = [bisect.bisect_left(values, b) - bisect.bisect_left(values, a) for a, b in zip(edges, edges[1:])]
+    assert sum(sizes) == n + 1 and max(sizes) <= 1.1 * n / BUCKETS
+
+
+def test_weights_stand_for_rows(spark):
     rnd = random.Random(5)
     rows = [(rnd.choice(["hot"] * 5 + ["a", "b", None]), rnd.randint(0, 40), rnd.choice([None, 1.0, 2.5, 10.0, 10.0]),
              rnd.random() < 0.4) for _ in range(600)]
     df = spark.createDataFrame(rows, "k string, id int, v double, f boolean")
     kw = dict(avg_name="a", quantiles={"m": 0.5, "p9": 0.9}, counts={"c": F.col("f")}, mins={"lo": "v"})
-    a = sorted(tuple(r) for r in distinct_with_stats(df, ["k"], "id", "v", **kw).collect() if r.k is not None)
-    b = distinct_with_stats(df, ["k"], "id", "v", two_pass=True, **kw)
-    assert b.columns == distinct_with_stats(df, ["k"], "id", "v", **kw).columns
-    b = sorted(tuple(r) for r in b.collect() if r.k is not None)
-    assert a == b
-    m = df.select(F.col("id").alias("job_id"), F.col("k").alias("skill"), F.col("v").alias("annual_salary_est"))
-    one = sorted(tuple(r) for r in lexicon_demand(m.dropna(subset=["skill"]), ["skill"], "job_id", "annual_salary_est",
-                                                  min_count=0).collect())
-    two = sorted(tuple(r) for r in lexicon_demand(m.dropna(subset=["skill"]), ["skill"], "job_id", "annual_salary_est",
-                                                  min_count=0, two_pass=True).collect())
-    assert one == two
+    plain = distinct_with_stats(df, ["k"], "id", "v", **kw)
+    weighed = distinct_with_stats(df.groupBy(*df.columns).agg(F.count("*").alias("w")), ["k"], "id", "v", weight="w", **kw)
+    key = lambda r: str(r.k)
+    assert sorted(plain.collect(), key=key) == sorted(weighed.collect(), key=key) and plain.count() == 4

@@ -135,11 +135,3 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
         assert tag_demand(t, f).count() == 7
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_salary_marts_two_pass_equal_exact(postings):
-    for fn in (marts.salary_by_role, marts.salary_by_seniority, marts.salary_by_role_seniority,
-               marts.salary_by_company_tier):
-        a = sorted(tuple(r) for r in fn(postings).collect())
-        b = sorted(tuple(r) for r in fn(postings, quantiles="two_pass").collect())
-        assert a == b, fn.__name__

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirelens.sources import flatten as fl
@@ -28,7 +29,7 @@ def test_flatten_adzuna(spark, tmp_dir):
         {"id": "3", "title": "Analyst", "location": {"display_name": "x"}, "salary_min": None, "salary_max": None},
     ]}
     write_json(tmp_dir, "q1.json", payload)
-    df = fl.read_payloads(spark, tmp_dir, "adzuna").withColumn("query", F.lit("data engineer"))
+    df = fl.read_payloads(spark, tmp_dir, "adzuna").withColumn("query", F.lit("data engineer")).withColumn("query_order", F.lit(1))
     rows = {r.JOB_ID: r for r in fl.flatten_adzuna(df, fetched_at="2026-01-02T06:00:00Z").collect()}
     assert rows["1"].STATE == "Texas" and rows["1"].CITY == "Austin" and rows["1"].COMPANY == "Acme"
     assert rows["1"].SALARY_EST == 120000.0 and rows["1"].SOURCE == "adzuna" and rows["1"].QUERY == "data engineer"
@@ -47,7 +48,7 @@ def test_flatten_jsearch(spark, tmp_dir):
         {"job_id": "c", "job_title": "DS", "job_min_salary": 0, "job_max_salary": 120000},
     ]}
     write_json(tmp_dir, "p.json", payload)
-    rows = {r.JOB_ID: r for r in fl.flatten_jsearch(fl.read_payloads(spark, tmp_dir, "jsearch")).collect()}
+    rows = {r.JOB_ID: r for r in fl.flatten_jsearch(fl.read_payloads(spark, tmp_dir, "jsearch").withColumn("query_order", F.lit(1))).collect()}
     a = rows["a"]
     assert (a.SALARY_MIN, a.SALARY_MAX, a.SALARY_EST) == (104000.0, 145600.0, 124800.0)
     assert a.LOCATION == "Austin, TX" and a.REMOTE == "1" and a.URL == "g" and a.CATEGORY == "36"
@@ -61,7 +62,7 @@ def test_flatten_boards(spark, tmp_dir):
                    {"id": 13, "title": "Data Engineer", "location": {"name": "San Francisco, CA"}}]}
     os.makedirs(os.path.join(tmp_dir, "gh"))
     write_json(os.path.join(tmp_dir, "gh"), "acme.json", gh)
-    df = fl.read_payloads(spark, os.path.join(tmp_dir, "gh"), "greenhouse").withColumn("company", F.lit("Acme"))
+    df = fl.read_payloads(spark, os.path.join(tmp_dir, "gh"), "greenhouse").withColumn("company", F.lit("Acme")).withColumn("company_order", F.lit(1))
     rows = {r.JOB_ID: r for r in fl.flatten_greenhouse(df).collect()}
     assert set(rows) == {"gh_11", "gh_13"}
     assert rows["gh_11"].REMOTE == "1" and rows["gh_11"].STATE == "US" and rows["gh_11"].DESCRIPTION is None
@@ -72,17 +73,20 @@ def test_flatten_boards(spark, tmp_dir):
                            {"id": "z2", "title": "Analytics Engineer", "descriptionPlain": "", "isRemote": True}]}
     os.makedirs(os.path.join(tmp_dir, "ash"))
     write_json(os.path.join(tmp_dir, "ash"), "b.json", ash)
-    df = fl.read_payloads(spark, os.path.join(tmp_dir, "ash"), "ashby").withColumn("company", F.lit("B"))
+    df = fl.read_payloads(spark, os.path.join(tmp_dir, "ash"), "ashby").withColumn("company", F.lit("B")).withColumn("company_order", F.lit(1))
     rows = {r.JOB_ID: r for r in fl.flatten_ashby(df).collect()}
-    assert len(rows["ashby_z1"].DESCRIPTION) == 2000 and rows["ashby_z1"].STATE == "CO"
+    assert len(rows["ashby_z1"].DESCRIPTION) == 2500 and rows["ashby_z1"].STATE == "CO" and rows["ashby_z1"].QUERY == "portal_scan"
+    assert {len(r.DESCRIPTION or "") for r in fl.flatten_ashby(df, max_desc=2000).collect()} == {2000, 0}
     assert rows["ashby_z2"].DESCRIPTION is None and rows["ashby_z2"].REMOTE == "1" and rows["ashby_z2"].LOCATION == ""
 
 
 def test_distinct_jobs_keeps_first(spark):
-    df = spark.createDataFrame([("1", "a", 0, 1, "f"), ("1", "b", 0, 0, "f"), ("2", "c", 1, 0, "f")],
-                               "JOB_ID string, TITLE string, _pos int, _page int, _file string")
-    rows = {r.JOB_ID: r.TITLE for r in fl.distinct_jobs(df).collect()}
-    assert rows == {"1": "b", "2": "c"}
+    """Queries come before pages, pages before positions; a payload without an order is refused."""
+    df = spark.createDataFrame([("1", "a", 0, 1, 1, "f"), ("1", "b", 0, 2, 0, "f"), ("1", "later", 5, 1, 1, "f"), ("2", "c", 1, 1, 0, "f"), (None, "n", 1, 1, 0, "g")],
+                               "JOB_ID string, TITLE string, _pos int, _qo int, _page int, _file string")
+    assert sorted((r.JOB_ID or "", r.TITLE) for r in fl.distinct_jobs(df).collect()) == [("", "n"), ("1", "a"), ("2", "c")]
+    with pytest.raises(ValueError, match="query_order"):
+        fl.flatten_adzuna(spark.createDataFrame([], "results array<struct<id:string>>"))
 
 
 def test_search_results_and_targets(spark, tmp_dir):
@@ -105,11 +109,11 @@ def test_csv_manifest_and_optional(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "raw", "jobs"))
     with open(os.path.join(tmp_dir, "raw", "jobs", "job_skills.csv"), "w") as f:
         f.write('job_id,skill abr\n1,"SQL"\n2,"Py\nthon"\n')
-    df = normalize_columns(read_csv(spark, os.path.join(tmp_dir, "raw", "jobs", "job_skills.csv")))
+    df = normalize_columns(read_csv(spark, os.path.join(tmp_dir, "raw", "jobs", "job_skills.csv"), multi_line=True))
     assert df.columns == ["JOB_ID", "SKILL_ABR"] and df.count() == 2
     done = load_manifest(spark, os.path.join(tmp_dir, "raw"), {"jobs/job_skills.csv": "JOB_SKILLS",
                                                                "postings.csv": "JOB_POSTINGS"},
-                         os.path.join(tmp_dir, "out"))
+                         os.path.join(tmp_dir, "out"), multi_line=True)
     assert done == {"JOB_SKILLS": 1, "JOB_POSTINGS": 0}
     assert spark.read.parquet(os.path.join(tmp_dir, "out", "JOB_SKILLS")).count() == 2
     empty = read_optional(spark, os.path.join(tmp_dir, "nope.csv"), JOB_SKILLS)
@@ -133,6 +137,9 @@ def test_seen_store(spark, tmp_dir):
     s0 = load_seen(spark, os.path.join(tmp_dir, "seen_v0"))
     assert s0.count() == 0
     new = spark.createDataFrame([(" u1 ",), ("",), ("u2",)], "url string")
-    save_seen(s0, new, os.path.join(tmp_dir, "seen_v1"))
-    s1 = load_seen(spark, os.path.join(tmp_dir, "seen_v1"))
-    assert sorted(r.url for r in s1.collect()) == ["u1", "u2"]
+    store = os.path.join(tmp_dir, "seen_v0")
+    save_seen(new, store)
+    save_seen(new, store)
+    save_seen(spark.createDataFrame([("u2",), ("u3",)], "url string"), store)
+    assert sorted(r.url for r in load_seen(spark, store).collect()) == ["u1", "u2", "u3"]
+    assert spark.read.parquet(store).count() == 3

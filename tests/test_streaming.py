@@ -4,30 +4,47 @@ import json
 import os
 
 from hirelens.plans import marts
+from hirelens.sources.flatten import read_payloads
+from hirelens.sources.load import load_feed
 from hirelens.streaming.feeds import share_trend_stream, start_feed_stream
 
 
-def test_feed_stream_dedups_and_is_restartable(spark, tmp_dir):
+ASKED = ["analyst", "engineer"]
+
+
+def _land(root, query, page, name, jobs, stamp):
+    folder = os.path.join(root, f"query={query}", f"page={page}")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w") as f:
+        json.dump({"results": [{"id": str(i), "title": t, "company": {"display_name": "Acme"}, "description": "x",
+                                "location": {"display_name": "US", "area": ["US", "Texas"]}, "salary_min": 1.0,
+                                "salary_max": 3.0, "created": "2026-01-01T00:00:00Z"} for i, t in jobs]}, f)
+    os.utime(path, (stamp, stamp))
+
+
+def test_feed_stream_equals_batch(spark, tmp_dir):
+    """Several batches, a job seen by two queries, a late file of an old day, a restart: the table is the batch load's."""
     land = os.path.join(tmp_dir, "landing")
-    os.makedirs(land)
-    job = lambda i, t: {"id": str(i), "title": t, "company": {"display_name": "Acme"}, "description": "x",
-                        "location": {"display_name": "US", "area": ["US", "Texas"]}, "salary_min": 1.0,
-                        "salary_max": 3.0, "created": "2026-01-01T00:00:00Z"}
-    with open(os.path.join(land, "q1.json"), "w") as f:
-        json.dump({"results": [job(1, "A"), job(2, "B")]}, f)
-    with open(os.path.join(land, "q2.json"), "w") as f:
-        json.dump({"results": [job(2, "B"), job(3, "C")]}, f)
-    sink, ckpt = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
-    q = start_feed_stream(spark, land, "adzuna", sink, ckpt)
-    q.awaitTermination(120)
-    rows = spark.read.parquet(sink).collect()
-    assert sorted(r.JOB_ID for r in rows) == ["1", "2", "3"]
-    assert {r.STATE for r in rows} == {"Texas"} and {r.SALARY_EST for r in rows} == {2.0}
-    assert all(r.FETCHED_AT and r.FETCHED_AT.endswith("Z") for r in rows)
-    # restart: no new files → nothing new
-    q2 = start_feed_stream(spark, land, "adzuna", sink, ckpt)
-    q2.awaitTermination(120)
-    assert spark.read.parquet(sink).count() == 3
+    day = 86_400
+    stamp = 1_767_300_000
+    _land(land, "engineer", 1, "a.json", [(1, "second query"), (2, "B")], stamp)
+    _land(land, "analyst", 2, "b.json", [(1, "first query, second page"), (3, "C")], stamp)
+    _land(land, "analyst", 1, "c.json", [(4, "D"), (4, "again")], stamp + day)
+    sink, args = os.path.join(tmp_dir, "sink"), (os.path.join(tmp_dir, "history"), os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt"))
+    start_feed_stream(spark, land, "adzuna", ASKED, *args, max_files=1).awaitTermination(180)
+    _land(land, "analyst", 1, "late.json", [(1, "first query, first page"), (5, "E")], stamp - 30)
+    start_feed_stream(spark, land, "adzuna", ASKED, *args).awaitTermination(180)
+    start_feed_stream(spark, land, "adzuna", ASKED, *args).awaitTermination(180)  # nothing new
+    landed = read_payloads(spark, land, "adzuna", recursive=True)
+    batch = os.path.join(tmp_dir, "batch")
+    assert load_feed(landed, "adzuna", ASKED, batch) is True
+    rows = lambda p: sorted(map(str, (r.asDict() for r in spark.read.parquet(p).collect())))
+    assert rows(sink) == rows(batch)
+    got = {(r.JOB_ID, r.TITLE, r.QUERY) for r in spark.read.parquet(batch).collect()}
+    assert got == {("1", "first query, first page", "analyst"), ("2", "B", "engineer"), ("3", "C", "analyst"), ("4", "D", "analyst"), ("5", "E", "analyst")}
+    assert len({str(r.fetch_date) for r in spark.read.parquet(batch).collect()}) == 2
+    assert load_feed(landed.limit(0), "adzuna", ASKED, batch) is False and spark.read.parquet(batch).count() == 5
 
 
 def test_stream_trend_equals_batch(spark, tmp_dir):
@@ -43,19 +60,3 @@ def test_stream_trend_equals_batch(spark, tmp_dir):
     ref = sorted(tuple(r) for r in marts.remote_trend(orders, ts="o_orderdate", flag="o_orderstatus", remote=["F"],
                                                        onsite=["O"], hybrid=["P"]).collect())
     assert got == ref and len(got) > 0
-
-
-def test_feed_stream_second_kind(spark, tmp_dir):
-    land = os.path.join(tmp_dir, "landing2")
-    os.makedirs(land)
-    rec = lambda i: {"job_id": f"j{i}", "job_title": "Data Analyst", "employer_name": "Acme", "job_city": "Austin",
-                     "job_state": "TX", "job_min_salary": 50, "job_max_salary": 70, "job_salary_period": "HOUR",
-                     "job_is_remote": i % 2 == 0, "job_apply_link": f"https://a/{i}"}
-    with open(os.path.join(land, "q1.json"), "w") as f:
-        json.dump({"data": [rec(1), rec(2), rec(1)]}, f)
-    sink, ckpt = os.path.join(tmp_dir, "sink2"), os.path.join(tmp_dir, "ckpt2")
-    q = start_feed_stream(spark, land, "jsearch", sink, ckpt)
-    q.awaitTermination(120)
-    rows = {r.JOB_ID: r for r in spark.read.parquet(sink).collect()}
-    assert set(rows) == {"j1", "j2"}
-    assert rows["j1"].SALARY_EST == 124800.0 and rows["j2"].REMOTE == "1" and rows["j1"].LOCATION == "Austin, TX"
