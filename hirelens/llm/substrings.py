@@ -82,7 +82,8 @@ def copies(texts: DataFrame, window: int) -> DataFrame:
                    "sequence": pa.array(signed(_sequence_hash(w))).take(keep), "n": pa.array(w.counts()).take(keep)}
 
     whole = stored(arrow_map(texts.where(F.col("id").isNotNull()), run, _KEYS + ", sequence long, n long"), "substrings-whole")
-    first = whole.groupBy("sequence", "n").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    first = stored(whole.groupBy("sequence", "n").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last"),
+                   "substrings-first")
     return whole.join(first, ["sequence", "n"]).where("id > first").select("id", "text_key").distinct()
 
 
@@ -108,8 +109,9 @@ def anchors(texts: DataFrame, window: int, filter_bits: int) -> DataFrame:
                    "place": place[keep].astype(np.int32), "block": block[keep]}
 
     met = stored(arrow_map(texts, probe, "h long, " + _KEYS + ", place int, block boolean"), "substrings-probes")
-    shared = (met.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("block").alias("block"))
-              .where("lo < hi and block").select("h"))
+    # written, so that the join reads both sides through shuffles of its own and Spark can split a hot hash
+    shared = stored(met.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("block").alias("block"))
+                    .where("lo < hi and block").select("h"), "substrings-shared")
     return (met.select("h", "id", "text_key", "place").join(shared, "h").groupBy("id", "text_key")
             .agg(F.collect_set("place").alias("places")))
 
@@ -145,7 +147,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             yield {"h": signed(h[keep]), "id": batch["id"].take(at), "text_key": batch["text_key"].take(at), "place": place[keep].astype(np.int32)}
 
     around = stored(arrow_map(near, extend, "h long, " + _KEYS + ", place int"), "substrings-windows")
-    first = around.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("h", "first")
+    first = stored(around.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("h", "first"),
+                   "substrings-earliest")
     later = (around.join(first, "h").where("id > first").groupBy("id", "text_key").agg(F.collect_set("place").alias("places")))
 
     def unite(batch: pa.RecordBatch):
