@@ -84,6 +84,22 @@ def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str], keep: Sequen
     return words.join(attrs, on)
 
 
+def text_hits(df: DataFrame, id_col: str, text: str, lexicons: Sequence[Sequence[str]], text_regex: str, keep: Sequence[str] = (),
+              min_len: int = 100, mode: str = "substring") -> DataFrame:
+    """One pass over the texts for several lexicons: id, ``keep``, ``_words`` (found words of all lexicons) and ``_text_hit``
+    (the text matches ``text_regex``), for rows whose text is longer than ``min_len``. Written once, it serves every lexicon mart."""
+    src = df.where(F.col(text).isNotNull() & (F.length(F.col(text)) > min_len)).select(
+        F.col(id_col), *keep, F.lower(F.col(text)).alias("_text"))
+    every = [w for lexicon in lexicons for w in lexicon]
+    return src.select(id_col, *keep, matched_words("_text", every, mode, lowered=True).alias("_words"),
+                      F.col("_text").rlike(text_regex).alias("_text_hit"))
+
+
+def hit_words(lexicon: Sequence[str]) -> Column:
+    """The words of one lexicon among ``_words``."""
+    return F.array_intersect(F.array(*[F.lit(w) for w in unique_words(w.lower() for w in lexicon)]), F.col("_words"))
+
+
 def lexicon_demand(matches: DataFrame, keys: Sequence[str], id_col: str, value_col: str | None = None,
                    count_name: str = "job_count", avg_name: str | None = "avg_salary",
                    median_name: str | None = "median_salary", level_col: str | None = None,
@@ -114,7 +130,7 @@ def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, le
                        min_len: int = 100, min_count: int = 3, attrs: DataFrame | None = None,
                        count_name: str = "ai_job_count", median_name: str = "median_salary",
                        pct_name: str = "pct_of_ai_jobs", rank_name: str = "skill_rank",
-                       mode: str = "substring") -> DataFrame:
+                       mode: str = "substring", hits: DataFrame | None = None) -> DataFrame:
     """Which lexicon words occur in rows passing a topic gate, and their share.
 
     Gate: text present, longer than ``min_len``, and text matches
@@ -122,8 +138,12 @@ def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, le
     regex and word matching) is one narrow pass over the text table; only
     ``(id, text_hit, words)`` rows meet ``attrs`` (title, value) in the join.
     The denominator (distinct ids passing the gate) comes out of the same
-    aggregation as the per-word counts.
+    aggregation as the per-word counts. ``hits`` (see ``text_hits``) replaces
+    the pass over the texts.
     """
+    if hits is not None:
+        narrow = hits.select(id_col, *[c for c in (title, value_col) if c], "_text_hit", hit_words(lexicon).alias("_words"))
+        return _cooccurrence(narrow, id_col, value_col, title, title_regex, min_count, count_name, median_name, pct_name, rank_name)
     present = F.col(text).isNotNull() & (F.length(F.col(text)) > min_len)
     carry = [c for c in (title, value_col) if c and c in df.columns and c != id_col]
     src = df.where(present).select(F.col(id_col), *carry, F.lower(F.col(text)).alias("_text"))
@@ -131,6 +151,11 @@ def topic_cooccurrence(df: DataFrame, id_col: str, text: str, value_col: str, le
                         matched_words("_text", lexicon, mode, lowered=True).alias("_words"))
     if attrs is not None:
         narrow = narrow.join(attrs, id_col)
+    return _cooccurrence(narrow, id_col, value_col, title, title_regex, min_count, count_name, median_name, pct_name, rank_name)
+
+
+def _cooccurrence(narrow: DataFrame, id_col: str, value_col: str, title: str | None, title_regex: str | None, min_count: int,
+                  count_name: str, median_name: str, pct_name: str, rank_name: str) -> DataFrame:
     gate = F.col("_text_hit")
     if title and title_regex:
         gate = gate | F.coalesce(F.lower(F.col(title)).rlike(title_regex), F.lit(False))

@@ -16,7 +16,7 @@ from ..functions import taxonomy as tx
 from ..functions.classify import classify, company_tier, seniority_label, seniority_order, tier_order
 from ..functions.expr import in_window
 from ..operators.geo import geo_rollup
-from ..operators.lexicon import lexicon_demand, lexicon_match, topic_cooccurrence
+from ..operators.lexicon import hit_words, lexicon_demand, lexicon_match, text_hits, topic_cooccurrence
 from ..operators.stats import salary_stats
 from ..operators.tags import tag_demand
 from ..operators.trends import monthly_counts, share_trend
@@ -125,14 +125,18 @@ def tech_skills(postings: DataFrame, id_col: str = "job_id", text: str = "descri
                 value: str = "annual_salary_est", level: str = "experience_level",
                 lexicon: Sequence[str] = tx.LEXICON_DEMAND, senior_values: Sequence[str] = ("EX", "DI"),
                 min_count: int = 10, min_len: int = 100, mode: str = "substring",
-                attrs: DataFrame | None = None) -> DataFrame:
+                attrs: DataFrame | None = None, hits: DataFrame | None = None) -> DataFrame:
     """M9 (flagship): skill, job_count, avg/median pay, senior_count, demand_rank.
 
     Lexicon duplicates are dropped once (so a repeated word is not counted
     twice in ``senior_count``); groups need ``job_count > min_count``.
     With ``attrs`` (id, value, level in another table) the text is matched
-    first and only the hits are joined to the attributes.
+    first and only the hits are joined to the attributes. ``hits`` (see
+    ``lexicon.text_hits``) replaces the pass over the texts.
     """
+    if hits is not None:
+        m = hits.select(id_col, value, level, F.explode(hit_words(lexicon)).alias("skill"))
+        return lexicon_demand(m, ["skill"], id_col, value, level_col=level, senior_values=senior_values, min_count=min_count)
     keep = [id_col] if attrs is not None else [id_col, value, level]
     m = lexicon_match(postings, text, lexicon, keep=keep, min_len=min_len, mode=mode, attrs=attrs, on=id_col)
     return lexicon_demand(m, ["skill"], id_col, value, level_col=level, senior_values=senior_values,
@@ -143,7 +147,7 @@ def tech_skills_by_role(postings: DataFrame, id_col: str = "job_id", text: str =
                         title: str = "job_title", value: str = "annual_salary_est",
                         lexicon: Sequence[str] = tx.LEXICON_BY_ROLE, roles=tx.ROLES_SKILLS, other: str = "Other",
                         min_count: int = 5, min_len: int = 100, role_col: str | None = None,
-                        mode: str = "substring", attrs: DataFrame | None = None) -> DataFrame:
+                        mode: str = "substring", attrs: DataFrame | None = None, hits: DataFrame | None = None) -> DataFrame:
     """role_cluster, skill, job_count, median_salary, role_rank (rank within role).
 
     The role comes from ``role_col`` or from title rules, read from the text
@@ -152,7 +156,10 @@ def tech_skills_by_role(postings: DataFrame, id_col: str = "job_id", text: str =
     """
     role = F.col(role_col) if role_col else classify(title, roles, other)
     role_src = role_col or title
-    if role_src in postings.columns:
+    if hits is not None:
+        m = hits.select(id_col, value, role.alias("role_cluster"), "_words").where(F.col("role_cluster") != F.lit(other))
+        m = m.select(id_col, value, "role_cluster", F.explode(hit_words(lexicon)).alias("skill"))
+    elif role_src in postings.columns:
         src = postings.select(F.col(id_col), F.col(text), role.alias("role_cluster"),
                               *([F.col(value)] if attrs is None else []))
         src = src.where(F.col("role_cluster") != F.lit(other))
@@ -171,8 +178,13 @@ def topic_skill_cooccurrence(postings: DataFrame, id_col: str = "job_id", text:
                              title: str = "job_title", value: str = "annual_salary_est",
                              lexicon: Sequence[str] = tx.LEXICON_TOPIC, text_regex: str = tx.TOPIC_TEXT_REGEX,
                              title_regex: str = tx.TOPIC_TITLE_REGEX, min_count: int = 3, min_len: int = 100,
-                             mode: str = "substring", attrs: DataFrame | None = None) -> DataFrame:
+                             mode: str = "substring", attrs: DataFrame | None = None, hits: DataFrame | None = None) -> DataFrame:
     """Skill, ai_job_count, median_salary, pct_of_ai_jobs, skill_rank."""
     return topic_cooccurrence(postings, id_col, text, value, lexicon, text_regex, title, title_regex,
-                              min_len=min_len, min_count=min_count, attrs=attrs, mode=mode)
+                              min_len=min_len, min_count=min_count, attrs=attrs, mode=mode, hits=hits)
 
+
+def posting_hits(postings: DataFrame, id_col: str = "job_id", text: str = "description", title: str = "job_title",
+                 value: str = "annual_salary_est", level: str = "experience_level") -> DataFrame:
+    """The words of the three shipped lexicons in each posting, in one pass over the texts; input of M9-M11."""
+    return text_hits(postings, id_col, text, [tx.LEXICON_DEMAND, tx.LEXICON_BY_ROLE, tx.LEXICON_TOPIC], tx.TOPIC_TEXT_REGEX, [title, value, level])

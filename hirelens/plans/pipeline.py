@@ -33,8 +33,11 @@ def build_staging(raw: Mapping[str, DataFrame], loaded_at=None) -> dict[str, Dat
     return out
 
 
-def build_marts(postings: DataFrame, skills: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All marts over the de-duplicated postings (and the archive skill tags)."""
+def build_marts(postings: DataFrame, skills: DataFrame | None = None, hits: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All marts over the de-duplicated postings (and the archive skill tags).
+
+    ``hits`` holds the postings' words (``marts.posting_hits``, best written once): the lexicon marts then read no text.
+    """
     out = {
         "mart_hiring_trends": marts.hiring_trends(postings),
         "mart_jobs_by_location": marts.jobs_by_location(postings),
@@ -43,9 +46,9 @@ def build_marts(postings: DataFrame, skills: DataFrame | None = None) -> dict[st
         "mart_salary_by_role": marts.salary_by_role(postings),
         "mart_salary_by_role_seniority": marts.salary_by_role_seniority(postings),
         "mart_salary_by_seniority": marts.salary_by_seniority(postings),
-        "mart_tech_skills": marts.tech_skills(postings),
-        "mart_tech_skills_by_role": marts.tech_skills_by_role(postings),
-        "mart_ai_skill_cooccurrence": marts.topic_skill_cooccurrence(postings),
+        "mart_tech_skills": marts.tech_skills(postings, hits=hits),
+        "mart_tech_skills_by_role": marts.tech_skills_by_role(postings, hits=hits),
+        "mart_ai_skill_cooccurrence": marts.topic_skill_cooccurrence(postings, hits=hits),
     }
     if skills is not None:
         out["mart_skill_demand"] = marts.skill_demand(skills, postings)
@@ -57,6 +60,7 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: st
     """Build everything under ``out_root``; return the check results.
 
     Staging views stay lazy except ``stg_all_postings`` (materialised once).
+    The three lexicon marts share one pass over the texts (``posting_hits``).
     With ``buckets``, the postings and the skill tags are stored bucketed by
     ``job_id`` so the tag mart's join runs without a shuffle. Each mart is
     written as a Parquet table. With ``gate=True`` a failed check raises after
@@ -73,7 +77,8 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: st
         tables[name] = materialize(spark, name, df, kind=kind, root=out_root)
     postings = tables.get("stg_all_postings")
     if postings is not None:
-        for name, df in build_marts(postings, tables.get("stg_job_skills")).items():
+        hits = materialize(spark, "posting_hits", marts.posting_hits(postings), kind="table", root=out_root)
+        for name, df in build_marts(postings, tables.get("stg_job_skills"), hits).items():
             write_table(df, f"{out_root.rstrip('/')}/{name}")
             tables[name] = spark.read.parquet(f"{out_root.rstrip('/')}/{name}")
     runnable = [c for c in checks if c[0] in tables]

@@ -135,3 +135,11 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
         assert tag_demand(t, f).count() == 7
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lexicon_marts_from_hits_equal_those_from_texts(spark, postings):
+    hits = marts.posting_hits(postings)
+    for fn in (marts.tech_skills, marts.tech_skills_by_role, marts.topic_skill_cooccurrence):
+        low = {"min_count": 0} if fn is not marts.topic_skill_cooccurrence else {"min_count": 1}
+        a, b = fn(postings, **low), fn(postings, hits=hits, **low)
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
