@@ -30,39 +30,44 @@ def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left"
     return a.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def exact_quantiles(counted: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float], buckets: int = BUCKETS) -> DataFrame:
-    """Per key the quantiles of ``_v`` weighted by ``_n``, interpolated between the two ranks around ``p * (n - 1)``.
+def with_quantiles(counted: DataFrame, keys: Sequence[str], aggs: Sequence[Column], quantiles: Mapping[str, float],
+                   buckets: int = BUCKETS) -> DataFrame:
+    """Per key ``aggs`` over ``counted`` and the quantiles of ``_v`` weighted by ``_n``.
 
-    ``counted`` may hold a value more than once; its NULL values don't count. Keys without a value have no row.
+    ``counted`` has one row for each (key, ``_v``); its NULL values don't count for the quantiles, which are interpolated
+    between the two ranks around ``p * (n - 1)``. A key without a value has NULL quantiles.
     """
-    # The test on all columns holds always. It keeps the same columns in every branch, so that Spark plans the shuffle
+    if not quantiles:
+        return counted.groupBy(*keys).agg(*aggs)
+    filled = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    per_key = counted.groupBy(*keys).agg(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 100 * buckets).alias("_s"),
+                                         F.coalesce(F.sum(filled), F.lit(0)).alias("_t"), *aggs)
+    # The test on all columns holds always. It keeps the same columns in both branches, so that Spark plans the shuffle
     # below ``counted`` once and reuses it.
-    base = counted.where(F.col("_v").isNotNull() & (F.hash(*counted.columns) <= F.lit(2**31 - 1)))
-    cuts = [i / buckets for i in range(1, buckets)]
-    splits = base.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 100 * buckets).alias("_s"), F.sum("_n").alias("_t"))
-    bucket = reduce(lambda x, y: x + y, [F.when(F.col("_v") >= F.get("_s", F.lit(i)), 1).otherwise(0) for i in range(len(cuts))])
-    tagged = same_keys(base, splits, keys, "inner").select(*keys, "_v", "_n", "_t", bucket.alias("_b"))
+    base = counted.where(F.col("_v").isNotNull() & (F.hash(*counted.columns) <= F.lit(2**31 - 1))).select(*keys, "_v", "_n")
+    tagged = same_keys(base, per_key.select(*keys, "_s", "_t"), keys, "inner").select(
+        *keys, "_v", "_n", "_t", F.expr("size(filter(_s, s -> s <= _v))").alias("_b"))
     upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = (tagged.groupBy(*keys, "_b").agg(F.sum("_n").alias("_c"), F.first("_t").alias("_t"))
               .withColumn("_end", F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c")))
     # the ranks floor and ceil of p * (n - 1), in the range that holds them
-    ranks = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"), fn(F.lit(p) * (F.col("_t") - 1)).cast("long").alias("rank"))
-                      for name, p in quantiles.items() for side, fn in (("lo", F.floor), ("hi", F.ceil))])
-    wanted = (ranges.withColumn("_r", F.explode(ranks)).where((F.col("_r.rank") >= F.col("_start")) & (F.col("_r.rank") < F.col("_end")))
-              .select(*keys, "_b", F.col("_t").alias("_total"), F.col("_r.q").alias("_q"), F.col("_r.side").alias("_side"),
-                      (F.col("_r.rank") - F.col("_start")).alias("_rank")))
+    places = list(dict.fromkeys(quantiles.values()))
+    ranks = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), fn(F.lit(p) * (F.col("_t") - 1)).cast("long").alias("rank"))
+                      for i, p in enumerate(places) for side, fn in ((0, F.floor), (1, F.ceil))])
+    wanted = ranges.withColumn("_r", ranks).select(
+        *keys, "_b", "_start", F.expr("filter(_r, r -> r.rank >= _start and r.rank < _end)").alias("_w")).where(F.size("_w") > 0)
     within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = (same_keys(tagged, wanted.select(*keys, "_b").distinct(), [*keys, "_b"], "inner")
-              .groupBy(*keys, "_b", "_v").agg(F.sum("_n").alias("_c")).withColumn("_vend", F.sum("_c").over(within)))
-    hit = same_keys(values, wanted, [*keys, "_b"], "inner").where(
-        (F.col("_rank") < F.col("_vend")) & (F.col("_rank") >= F.col("_vend") - F.col("_c")))
-    at = lambda name, side: F.max(F.when((F.col("_q") == name) & (F.col("_side") == side), F.col("_v")))
+    found = (same_keys(tagged, wanted, [*keys, "_b"], "inner").withColumn("_upto", F.col("_start") + F.sum("_n").over(within))
+             .select(*keys, "_v", F.explode(F.expr("filter(_w, r -> r.rank < _upto and r.rank >= _upto - _n)")).alias("_r")))
+    at = [F.max(F.when((F.col("_r.q") == i) & (F.col("_r.side") == side), F.col("_v"))).alias(f"_{i}_{side}")
+          for i in range(len(places)) for side in (0, 1)]
+    out = same_keys(per_key, found.groupBy(*keys).agg(*at), keys)
 
-    def value(name: str, p: float) -> Column:
-        place = F.lit(p) * (F.max("_total") - 1)
-        return (at(name, "lo") + (place - F.floor(place)) * (at(name, "hi") - at(name, "lo"))).alias(name)
+    def value(p: float) -> Column:
+        place, i = F.lit(p) * (F.col("_t") - 1), places.index(p)
+        return F.col(f"_{i}_0") + (place - F.floor(place)) * (F.col(f"_{i}_1") - F.col(f"_{i}_0"))
 
-    return hit.groupBy(*keys).agg(*[value(n, p) for n, p in quantiles.items()])
+    return out.select(*[c for c in per_key.columns if c not in ("_s", "_t")], *[value(p).alias(name) for name, p in quantiles.items()])
 
 
 def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[str, Spec], digits: int | None = 0) -> DataFrame:
@@ -72,9 +77,8 @@ def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[
     plain = {"count": F.sum("_n"), "avg": F.sum(F.col("_v") * F.col("_n")) / F.sum(rows), "min": F.min("_v"), "max": F.max("_v")}
     quantiles = {n: 0.5 if spec == "median" else spec for n, spec in stats.items() if spec == "median" or isinstance(spec, float)}
     distinct = {n: spec.split(":", 1)[1] for n, spec in stats.items() if isinstance(spec, str) and spec.startswith("count_distinct:")}
-    out = counted.groupBy(*keys).agg(F.sum("_n").alias("_rows"), *[plain[spec].alias(n) for n, spec in stats.items() if spec in plain])
-    if quantiles:
-        out = same_keys(out, exact_quantiles(counted, keys, quantiles), keys)
+    aggs = [plain[spec].alias(n) for n, spec in stats.items() if spec in plain]
+    out = with_quantiles(counted, keys, aggs or [F.sum("_n").alias("_rows")], quantiles)
     if distinct:
         out = same_keys(out, df.groupBy(*keys).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()]), keys)
     final = lambda n, spec: F.col(n) if spec == "count" or n in distinct or digits is None else F.round(n, digits)
@@ -102,11 +106,9 @@ def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value:
     counted = marked.groupBy(*keys, "_v").agg(F.sum("_ids").alias("_ids"), F.sum("_n").alias("_n"),
                                               *[F.sum(f).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows])
     filled = F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")))
-    out = counted.groupBy(*keys).agg(
-        F.sum("_ids").alias(count_name), (F.sum(F.col("_v") * F.col("_n")) / filled).alias("_avg"), F.sum("_n").alias("_rows"),
-        *[F.sum(f).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows])
-    if quantiles:
-        out = same_keys(out, exact_quantiles(counted, keys, quantiles), keys)
+    aggs = [F.sum("_ids").alias(count_name), (F.sum(F.col("_v") * F.col("_n")) / filled).alias("_avg"),
+            *[F.sum(f).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows]]
+    out = with_quantiles(counted, keys, aggs, quantiles)
     rounded = lambda c: F.round(c, digits) if digits is not None else F.col(c)
     return out.select(*keys, count_name, *([rounded("_avg").alias(avg_name)] if avg_name else []),
                       *[rounded(q).alias(q) for q in quantiles], *[F.col(f).alias(c) for f, c in zip(flags, counts)],

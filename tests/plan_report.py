@@ -34,12 +34,12 @@ def summarize(plan: str) -> dict:
 
 def main() -> None:
     from hirelens.session import build_session
-    import __spark_entry__ as e
+    from hirelens.plans.registry import QUERIES
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=16)
     print("| query | shuffles | reused | BHJ | SMJ | SHJ | NLJ/cartesian | WindowGroupLimit | Generate | Python | scans with pushed filters | scans (columns read) |")
     print("|---|---|---|---|---|---|---|---|---|---|---|---|")
-    for name, q in sorted(e.queries().items()):
+    for name, q in sorted(QUERIES.items()):
         df = q(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
