@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from hirelens.llm.common import map_batches
 
 SEGMENTS = 64
 
@@ -47,7 +48,7 @@ def counters(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()),
                                           pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())], ["segment", "total"])
 
-    parts = df.mapInArrow(count, "segment int, low binary, place binary, rest binary")
+    parts = map_batches(df, count, "segment int, low binary, place binary, rest binary")
     got = parts.groupBy("segment").applyInArrow(add, "segment int, total binary").toArrow()
     out = np.zeros(1 << log2_size, np.uint32)
     for k, total in zip(got["segment"].to_pylist(), got["total"].to_pylist()):
@@ -80,7 +81,7 @@ def bitmap(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
                 total |= _unpacked(data, width // 8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_packed(total)], pa.binary())], ["segment", "bits"])
 
-    got = df.mapInArrow(mark, "segment int, bits binary").groupBy("segment").applyInArrow(unite, "segment int, bits binary").toArrow()
+    got = map_batches(df, mark, "segment int, bits binary").groupBy("segment").applyInArrow(unite, "segment int, bits binary").toArrow()
     out = np.zeros(1 << (log2_size - 3), np.uint8)
     step = width // 8
     for k, data in zip(got["segment"].to_pylist(), got["bits"].to_pylist()):

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: At most so many rows are ever marked for broadcast; larger sides go through an ordinary join.
 SMALL_ROWS = 20_000
+#: Rows of one Arrow batch between the JVM and a Python worker.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +68,18 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterator[dict
             for part in [got] if isinstance(got, dict) else got:
                 yield pa.RecordBatch.from_arrays([as_array(part[f.name], f.type) for f in target], schema=target)
 
+    return map_batches(df, run, schema)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` in batches of at most ``BATCH_ROWS`` rows.
+
+    Texts are long, and a batch lies in the JVM and in the Python worker at once. The batch size is a setting of the
+    session that no result depends on; it is only ever lowered.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import arrow_map, maybe_broadcast, stored, table
+from hirelens.llm.common import arrow_map, map_batches, maybe_broadcast, stored, table
 from hirelens.llm.textops import words_of
 
 WEIGHTS = (5, 2, 1)
@@ -185,7 +185,7 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
                 if part.num_rows:
                     yield part
 
-    mixed = joined.mapInArrow(run, docs.schema)
+    mixed = map_batches(joined, run, docs.schema)
     return mixed.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType)) if length_col else mixed
 
 

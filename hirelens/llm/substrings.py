@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm.bitmaps import bitmap, has_bits
-from hirelens.llm.common import arrow_map, stored, table
+from hirelens.llm.common import arrow_map, map_batches, stored, table
 from hirelens.llm.textops import Words, mix, signed, window_hashes, words_of
 
 _KEYS = "id long, text_key long"
@@ -70,7 +70,7 @@ def _only(texts: DataFrame, bits: np.ndarray, log2_size: int, inside: bool) -> D
             hit = has_bits(sent.value, next(_row_hashes(keys)), log2_size) & ~np.asarray(batch["id"].is_null())
             yield batch.filter(pa.array(hit == inside))
 
-    return texts.mapInArrow(run, texts.schema)
+    return map_batches(texts, run, texts.schema)
 
 
 def copies(texts: DataFrame, window: int) -> DataFrame:

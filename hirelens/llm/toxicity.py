@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import arrow_map, crc_mod, maybe_broadcast, table
+from hirelens.llm.common import arrow_map, crc_mod, map_batches, maybe_broadcast, table
 from hirelens.llm.textops import Words, words_of
 
 THRESHOLD = 0.3
@@ -259,7 +259,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") ->
             if good:
                 yield batch.filter(pa.array(np.concatenate(good)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
