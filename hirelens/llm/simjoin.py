@@ -2,15 +2,17 @@
 
 Documents are sets of word shingles; two link when their Jaccard similarity reaches ``num / den``. Equal sets form one
 class. A counter table of fixed size estimates how many documents hold a shingle and orders shingles from rare to
-frequent. A set of n shingles needs an overlap of t = ceil(n * num / den) at least; its l-prefix, the first n - t + l in
-that order, shares at least l shingles with the l-prefix of any partner. Each set chooses its own l: the higher the
-estimated number of postings in its plain prefix, the longer its prefix and the more shared shingles a candidate must
-show (for sets of l and m: the needed overlap less what the longer rest can give, at least min(l, m)).
-
-Postings of shingles that only one class holds are dropped. Candidates are taken in two ways. First each class meets the
-smallest (then the largest) class of its posting lists; verified links give components. Then every pair of classes that share a
-posting list and aren't in one component yet is a candidate, so no link between components is lost, while a large group
-of near copies never becomes all its pairs. Verification compares whole sets. Shingles are compared by 64-bit hashes.
+frequent. A set of n shingles needs an overlap of t = ceil(n * num / den) at least; its l-prefix is the first n - t + l
+in that order. Each set chooses its own l: the higher the estimated number of postings in its plain prefix, the longer
+its prefix. Two sets whose sizes ask for an overlap of o, of lengths l and m, share at least min(l, m) shingles that
+stand among the first n - o + min(l, m) of either: the more a document's postings cost, the more of them must agree
+before a pair is verified.
+
+Postings of shingles that only one class holds are dropped. Candidates are taken in two ways. First each class meets
+one class of each of its posting lists: the one that shares most of its prefix, as the common source of copies does;
+verified links give components. Then every pair of classes of a posting list that aren't in one component yet is a
+candidate, so no link between components is lost, while a large group of near copies never becomes all its pairs.
+Verification compares whole sets. Shingles are compared by 64-bit hashes.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and link with nothing; so has a row with
 a null id (its component is null). Repeated rows fall into one class. Extra columns are ignored.
@@ -24,14 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm.bitmaps import bitmap, counters, has_bits
-from hirelens.llm.common import arrow_map, stored, table
+from hirelens.llm.common import arrow_map, map_batches, stored, table
 from hirelens.llm.components import components
 from hirelens.llm.textops import Words, mix, signed, window_hashes, words_of
 
 NUM, DEN = 75, 100
 SHINGLE = 5
 #: A prefix is lengthened by at most so many shingles.
-MOST_EXTRA = 8
+MOST_EXTRA = 2
 SKETCH_BITS = 22
 
 
@@ -90,7 +92,7 @@ def classes(texts: DataFrame) -> DataFrame:
 
 
 def postings(texts: DataFrame) -> DataFrame:
-    """(token, class, l) of every prefix shingle."""
+    """(token, class, l, place) of every prefix shingle; places count from 1, rare shingles first."""
     def shingles(batch: pa.RecordBatch):
         for _, _, w in words_of(batch.column(0), lower=True):
             yield np.concatenate(sets(w))
@@ -100,35 +102,75 @@ def postings(texts: DataFrame) -> DataFrame:
 
     def run(batch: pa.RecordBatch):
         for _, _, w in words_of(batch.column(0), lower=True):
-            token, cls, l = [], [], []
+            token, cls, l, place = [], [], [], []
             for own in sets(w):
                 if len(own):
                     p, k = prefix(own, *sent.value)
                     token.append(p)
                     cls.append(np.full(len(p), class_of(own)))
                     l.append(np.full(len(p), k, np.int8))
+                    place.append(np.arange(1, len(p) + 1, dtype=np.int32))
             if token:
-                yield {"token": signed(np.concatenate(token)), "class": np.concatenate(cls), "l": np.concatenate(l)}
+                yield {"token": signed(np.concatenate(token)), "class": np.concatenate(cls), "l": np.concatenate(l), "place": np.concatenate(place)}
 
-    return arrow_map(texts.select("text"), run, "token long, class long, l tinyint")
+    return arrow_map(texts.select("text"), run, "token long, class long, l tinyint, place int")
 
 
-def _required() -> Column:
-    """Shared prefix shingles that a pair (na, la), (nb, lb) must show, or null where the sizes alone exclude a link."""
+def _counts() -> Column:
+    """Whether a shingle at places pa, pb counts for a pair of sets (na, la), (nb, lb) whose sizes allow a link."""
     overlap = F.ceil((F.col("na") + F.col("nb")) * NUM / (NUM + DEN))
-    rest = lambda n, l: F.ceil(F.col(n) * NUM / DEN) - F.col(l)
-    return F.when(DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb"),
-                  F.greatest(overlap - F.greatest(rest("na", "la"), rest("nb", "lb")), F.least("la", "lb")))
+    match = F.least("la", "lb")
+    return ((DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb"))
+            & (F.col("pa") <= F.col("na") - overlap + match) & (F.col("pb") <= F.col("nb") - overlap + match))
+
+
+def _side(lists: DataFrame, x: str) -> DataFrame:
+    names = {"class": x, "n": f"n{x}", "l": f"l{x}", "place": f"p{x}", "root": f"r{x}"}
+    return lists.select("token", *[F.col(c).alias(name) for c, name in names.items() if c in lists.columns])
+
+
+def _matched(met: DataFrame, *also: str) -> DataFrame:
+    """Pairs (a, b) with enough counting shingles, from rows of one shingle each."""
+    return (met.groupBy("a", "b", *also).agg(F.count("*").alias("shared"), F.first(F.least("la", "lb")).alias("match"))
+            .where(F.col("shared") >= F.col("match")).drop("match"))
+
+
+def _linked(both: int, n: int, m: int) -> bool:
+    return DEN * both >= NUM * (n + m - both)
+
 
+def _at_most(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two sorted arrays of 16-bit ends of hashes, each as often as both have it."""
+    (u, c), (v, d) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
+    _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+    return int(np.minimum(c[i], d[j]).sum())
 
-def candidates(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b, shared) whose shared prefix shingles allow a link."""
-    of = lambda x: sizes.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("l").alias(f"l{x}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").where(F.col("shared") >= _required())
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two sorted sets."""
+    return int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+
+
+def _compared(pairs: DataFrame, held: DataFrame, column: str, kind: type, common) -> DataFrame:
+    """The pairs whose arrays in ``column`` of ``held`` (class) have enough in common."""
+    of = lambda x: held.select(F.col("class").alias(x), F.col(column).alias(f"own_{x}"))
+
+    def compare(batch: pa.RecordBatch):
+        good = []
+        for x, y in zip(batch["own_a"], batch["own_b"]):
+            x, y = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
+            good.append(_linked(common(x, y), len(x), len(y)))
+        good = pa.array(good, pa.bool_())
+        return {"a": batch["a"].filter(good), "b": batch["b"].filter(good)}
+
+    return arrow_map(pairs.join(of("a"), "a").join(of("b"), "b"), compare, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose sets reach the similarity."""
+    """The pairs (a, b) of classes whose sets reach the similarity.
+
+    Two bytes of each hash bound the overlap from above; only pairs that pass so are compared by their whole sets.
+    """
     pairs = stored(pairs.select("a", "b").distinct(), "join-pairs")
     wanted = stored(pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
                     .join(sizes.select("class", "id"), "class"), "join-wanted")
@@ -144,23 +186,14 @@ def verified(pairs: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
             cls = np.array([class_of(s) for s in own], np.int64)
             ids = np.asarray(batch["id"].slice(i, j - i).fill_null(0))
             hit = has_bits(bits.value, mix(cls.astype(np.uint64) ^ mix(ids.astype(np.uint64))), 24)
-            yield {"id": ids[hit], "class": cls[hit], "own": pa.array([own[k].tobytes() for k in np.flatnonzero(hit)], pa.binary())}
-
-    found = stored(arrow_map(texts.where("id is not null"), whole, "id long, class long, own binary").join(wanted, ["class", "id"], "left_semi")
-                   .dropDuplicates(["class", "id"]).select("class", "own"), "join-sets")
-    of = lambda x: found.select(F.col("class").alias(x), F.col("own").alias(f"own_{x}"))
+            some = [own[k] for k in np.flatnonzero(hit)]
+            yield {"id": ids[hit], "class": cls[hit], "own": pa.array([s.tobytes() for s in some], pa.binary()),
+                   "ends": pa.array([np.sort(s.astype(np.uint16)).tobytes() for s in some], pa.binary())}
 
-    def compare(batch: pa.RecordBatch):
-        good = []
-        for x, y in zip(batch["own_a"], batch["own_b"]):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            at = np.searchsorted(x, y)
-            both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-            good.append(DEN * both >= NUM * (len(x) + len(y) - both))
-        good = pa.array(good, pa.bool_())
-        return {"a": batch["a"].filter(good), "b": batch["b"].filter(good)}
-
-    return arrow_map(pairs.join(of("a"), "a").join(of("b"), "b"), compare, "a long, b long")
+    found = stored(arrow_map(texts.where("id is not null"), whole, "id long, class long, own binary, ends binary").join(wanted, ["class", "id"], "left_semi")
+                   .dropDuplicates(["class", "id"]).select("class", "own", "ends"), "join-sets")
+    likely = stored(_compared(pairs, found, "ends", np.uint16, _at_most), "join-likely")
+    return _compared(likely, found, "own", np.uint64, _common)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,32 +202,29 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = stored(classes(texts), "join-classes")
     usable = rows.where("n > 0 and id is not null")
     met = postings(texts.where("id is not null"))
-    shared = met.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi")
-    lists = stored(met.join(shared, "token").select("token", "class", "l", "lo", "hi").distinct(), "join-lists")
-    sizes = stored(usable.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-                   .join(lists.groupBy("class").agg(F.first("l").alias("l")), "class"), "join-sizes")
-    links, roots = None, None
-    for end in ("lo", "hi"):
-        own = lists if roots is None else _apart(lists, roots).drop("lo", "hi")
-        if roots is not None:
-            ends = own.groupBy("token").agg(F.max("class").alias(end))
-            own = own.join(ends, "token")
-        pairs = (own.where(F.col("class") != F.col(end)).groupBy(F.least("class", end).alias("a"), F.greatest("class", end).alias("b"),
-                                                                 F.col("class")).agg(F.count("*").alias("shared")))
-        best = candidates(pairs, sizes).groupBy("class").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
-        new = stored(verified(best.select("p.a", "p.b"), texts, sizes), "join-links")
-        links = new if links is None else links.union(new)
-        roots = stored(components(links), "join-roots")
-    x = _apart(lists, roots).select("token", F.col("class").alias("a"), F.col("root").alias("ra"))
-    y = x.select("token", F.col("a").alias("b"), F.col("ra").alias("rb"))
-    rest = x.join(y, "token").where("a < b and ra != rb").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    links = links.union(verified(candidates(rest, sizes), texts, sizes))
+    # written, so that the join reads both sides through shuffles of its own and Spark can split a hot shingle
+    shared = stored(met.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("token"), "join-shared")
+    lists = stored(met.join(shared, "token").distinct(), "join-lists")
+    own = lists.groupBy("class").agg(F.first("l").alias("l"), F.count("*").alias("kept"))
+    sizes = stored(usable.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")).join(own, "class"), "join-sizes")
+    lists = stored(lists.join(sizes.select("class", "n", (F.col("kept") / (F.col("n") - F.ceil(F.col("n") * NUM / DEN) + F.col("l"))).alias("common")),
+                              "class"), "join-postings")
+    # each class with the class of most common shingles in its lists
+    centre = stored(lists.groupBy("token").agg(F.max(F.struct("common", "class", "n", "l", "place")).alias("c")).select("token", "c.*"), "join-centres")
+    near = _side(lists, "a").join(_side(centre, "b"), "token").where((F.col("a") != F.col("b")) & _counts())
+    best = _matched(near).groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+    links = stored(verified(best, texts, sizes), "join-links")
+    roots = stored(components(links), "join-roots")
+    # all pairs of one list that are not in one component yet
+    rest = _apart(lists, roots)
+    pairs = (_side(rest, "a").join(_side(rest, "b"), "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _counts()))
+    links = links.union(verified(_matched(pairs), texts, sizes))
     roots = components(links)
     first = usable.groupBy("class").agg(F.min("id").alias("first"))
     # the smallest id of each class, then of each component
     rooted = first.join(roots, F.col("class") == F.col("vertex"), "left").select(
         "class", F.coalesce("root", "class").alias("root"), "first")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "join-least")
     named = rooted.join(least, "root").select("class", "component_id")
     out = rows.join(named, "class", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
@@ -205,7 +235,7 @@ def _apart(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """``lists`` with each class's ``root``, only tokens that classes of several components hold."""
     rooted = lists.join(roots, F.col("class") == F.col("vertex"), "left").withColumn("root", F.coalesce("root", "class")).drop("vertex")
     several = rooted.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("token")
-    return rooted.join(several, "token")
+    return stored(rooted.join(stored(several, "join-several"), "token"), "join-apart")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,7 +260,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 ids = batch.column(at)
                 hit = has_bits(bits.value, mix(np.asarray(ids.cast(pa.int64()).fill_null(0)).astype(np.uint64)), 24) & ~np.asarray(ids.is_null())
                 yield batch.filter(pa.array(hit == inside))
-        return docs.mapInArrow(run, docs.schema)
+        return map_batches(docs, run, docs.schema)
 
     gone = found.where(~F.col("stays")).select(F.col("id").alias("__gone"))
     concerned = only(True)

@@ -37,21 +37,24 @@ def test_representatives(spark):
 
 
 def test_prefix_requirement_is_safe():
-    """Sets that reach the similarity share at least min(l) shingles of their prefixes, whatever l they chose."""
+    """Sets that reach the similarity share min(l) shingles at the places that count, whatever l they chose."""
     import numpy as np
     rng = np.random.default_rng(3)
     sketch = rng.integers(0, 400, 1 << simjoin.SKETCH_BITS).astype(np.uint32)
-    for _ in range(300):
+    linked = 0
+    for _ in range(600):
         n = int(rng.integers(1, 60))
         a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
         b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.12], rng.integers(0, 2**64, int(rng.integers(0, 5)), dtype=np.uint64)]))
         both = len(np.intersect1d(a, b))
         if not len(b) or 100 * both < 75 * (len(a) + len(b) - both):
             continue
+        linked += 1
         (pa_, la), (pb, lb) = simjoin.prefix(a, sketch, 20.0), simjoin.prefix(b, sketch, 20.0)
-        overlap = -(-(len(a) + len(b)) * 75 // 175)
-        must = max(overlap - max(simjoin.needed(len(a)) - la, simjoin.needed(len(b)) - lb), min(la, lb))
-        assert len(np.intersect1d(pa_, pb)) >= must
+        overlap, match = -(-(len(a) + len(b)) * 75 // 175), min(la, lb)
+        assert both >= overlap and len(pa_) >= len(a) - overlap + match and len(pb) >= len(b) - overlap + match
+        assert len(np.intersect1d(pa_[: len(a) - overlap + match], pb[: len(b) - overlap + match])) >= match
+    assert linked > 100
 
 
 def test_components(spark):
