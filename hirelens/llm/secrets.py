@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import table
+from hirelens.llm.common import stored, table
 
 # The patterns of the base kinds, in the order in which spans that start together are listed.
 ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -91,7 +91,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner:
     """
     owner = F.col("source") if owner is None else owner
     repository = F.col("source") if repository is None else repository
-    found = candidates(docs, id_col, text_col, owner, repository)
+    found = stored(candidates(docs, id_col, text_col, owner, repository), "secrets-candidates")  # one pass over the texts
     kept = found.select("id", "text_key", "kind", "start", "end", "value_key").distinct().join(ownership(found), "value_key")
     listed = F.array_position(F.lit(list(KINDS)), F.col("kind")).cast("int")
     rows = kept.groupBy("id", "text_key").agg(F.sort_array(F.collect_list(F.struct(
