@@ -24,7 +24,7 @@ from hirelens.llm.common import arrow_map, spans_to_list, table
 from hirelens.llm.textops import CHUNK_BYTES, runs, span_hashes, text_bytes
 
 #: A worker forgets its merged matches when it holds so many.
-CACHE_ENTRIES = 2_000_000
+CACHE_ENTRIES = 1_000_000
 # The split pattern of the public byte-level vocabularies, and the endings in it. It is applied to whole
 # columns of code points at once; any other pattern goes through the regex library.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -80,7 +80,20 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name)) <= BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def run_and_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return df.mapInArrow(run_and_release, schema)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: workers live on between tasks, beside the JVM that may need it."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def as_array(x, kind: pa.DataType) -> pa.Array:

@@ -197,7 +197,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
     def run(batch: pa.RecordBatch):
         raw, offs = text_bytes(batch.column(1))
-        for i, j in runs(offs, 2 << 20):
+        for i, j in runs(offs, 1 << 20):
             lang, score = predict(sent.value, raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
             yield {"id": batch.column(0).slice(i, j - i), "lang_pred": pa.array(lang, pa.string()), "score": score}
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20  # texts are hashed in runs of about this size; a longer text is a run of its own
+CHUNK_BYTES = 1 << 18  # texts are hashed in runs of about this size; a longer text is a run of its own
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
