@@ -131,3 +131,30 @@ def test_perplexity_rules(spark):
     assert perplexity.judge(samples.frame(spark, [])).collect() == []
     judged = perplexity.op3_perplexity(spark, SF).join(table(spark, SF, "labels"), "doc_id").where("quality = 1 and not base_failed").toPandas()
     assert judged["kept"].mean() > 0.98
+
+
+def test_word_counts_match_brute_force(spark):
+    rows = samples.hard_texts()
+    want = Counter()
+    for _, t, *_ in rows:
+        w = [None, None, *samples.words(t)]
+        want.update(zip(w, w[1:], w[2:]))
+    docs = samples.frame(spark, rows).select(F.xxhash64("text").alias("text_key"), F.col("text").alias("__text"))
+    got = perplexity.count_words(docs).toPandas()
+    assert sorted(got["n0"] + got["n1"]) == sorted(want.values())
+    assert len(want) > 20_000 and got[["ctx", "c"]].drop_duplicates().shape[0] == len(want)
+
+
+def test_word_model_sums_to_one(spark):
+    """Over all words of a fold and its unknown word, the probabilities after any context add up to one."""
+    rng = random.Random(2)
+    voc = samples.vocabulary(rng, 12)
+    texts = [" ".join(rng.choice(voc) for _ in range(30)) for _ in range(40)]
+    every = [" ".join((a, b, c)) for a in voc[:3] for b in voc[:3] for c in voc]
+    docs = spark.createDataFrame([(2 * i, t) for i, t in enumerate(texts)] + [(1 + 2 * i, t) for i, t in enumerate(every)], "text_key long, __text string")
+    got = perplexity.word_model(docs).toPandas()
+    known = {tuple(r) for r in perplexity.count_words(docs.where("text_key % 2 = 0")).select("c").distinct().collect()}
+    sums = (2.0 ** -got["bits0"]).groupby(got["ctx"]).sum()
+    full = got.groupby("ctx").size() == len(set(voc))
+    assert len(known) == len(set(voc)) and full.sum() >= 9
+    assert all(0.9 < x <= 1.0 + 1e-9 for x in sums[full])
