@@ -133,6 +133,17 @@ def test_perplexity_rules(spark):
     assert judged["kept"].mean() > 0.98
 
 
+def _chains(rng, n, successors):
+    """Texts of 150 words in which each word is one of the few that may follow the one before."""
+    out = []
+    for _ in range(n):
+        text = [rng.choice(list(successors))]
+        while len(text) < 150:
+            text.append(rng.choice(successors[text[-1]]))
+        out.append(text)
+    return out
+
+
 def test_word_counts_match_brute_force(spark):
     rows = samples.hard_texts()
     want = Counter()
@@ -158,3 +169,17 @@ def test_word_model_sums_to_one(spark):
     full = got.groupby("ctx").size() == len(set(voc))
     assert len(known) == len(set(voc)) and full.sum() >= 9
     assert all(0.9 < x <= 1.0 + 1e-9 for x in sums[full])
+
+
+def test_perplexity_bands_reject_shuffled_and_junk_texts(spark):
+    rng = random.Random(3)
+    voc = list(dict.fromkeys(samples.vocabulary(rng, 400)))
+    successors = {v: rng.sample(voc, 4) for v in voc}
+    clean = _chains(rng, 400, successors)
+    shuffled = [rng.sample(t, len(t)) for t in _chains(rng, 8, successors)]
+    junk = [samples.vocabulary(rng, 150) for _ in range(8)]
+    rows = [(i, " ".join(t), "en", "a") for i, t in enumerate(clean + shuffled + junk)]
+    got = {r.doc_id: r for r in perplexity.judge(samples.frame(spark, rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert not any(got[i].kept for i in range(400, 416))
+    assert sum(got[i].kept for i in range(400)) >= 0.98 * 400
