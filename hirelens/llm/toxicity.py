@@ -5,6 +5,9 @@ unseen endings of a known stem still count. Filters of several widths slide over
 over the whole text goes through one logistic unit. Learning uses a bounded, seeded sample of the labelled rows
 (``TrainConfig.rows``); scoring covers every whole text. The decision threshold is calibrated by language, told from
 function words in the text itself, and the score is shifted so that each language's threshold stands at ``THRESHOLD``.
+The thresholds come from the scores of all labelled rows that may be learned from, counted exactly by language, label and
+``1 / GRID`` of a logit: rows of the sample are scored by models that haven't seen them (``TrainConfig.folds``), all others
+by Spark. A language's threshold is drawn towards that of all rows, the less toxic rows it has (``TrainConfig.drawn``).
 
 Defined cases: a null or empty text is scored like a text without words; without labelled rows of both classes every
 score is the share of positives (0.0 without any row). Repeated labels of one document: the largest counts. Null labels
@@ -13,6 +16,7 @@ teach nothing. Repeated document rows are scored row by row; extra columns are i
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,6 +37,7 @@ FUNCTION_WORDS = {
 }
 _SEPARATORS = np.array([not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128) for b in range(256)])
 BUCKETS = 1 << 20
+GRID = 100
 
 
 @dataclass
@@ -48,6 +53,8 @@ class TrainConfig:
     rate: float = 0.05
     least_docs: int = 3       # buckets in fewer sample documents have no embedding
     seed: int = 7
+    folds: int = 4            # of the sample, for thresholds
+    drawn: float = 15.0       # at so many toxic rows, a language's own threshold counts half
 
 
 @dataclass
@@ -117,15 +124,32 @@ def _logits(m: ToxicityModel, rows: np.ndarray, first: np.ndarray) -> np.ndarray
     return _pooled(m, slots, starts) @ m.weights + m.offset
 
 
-def fit(rows: list[np.ndarray], langs: np.ndarray, labels: np.ndarray, config: TrainConfig) -> ToxicityModel:
-    """Train on buckets by document; a fifth of them sets the thresholds."""
-    m = ToxicityModel(config)
+def fit(rows: list[np.ndarray], langs: np.ndarray, labels: np.ndarray, config: TrainConfig) -> tuple[ToxicityModel, Counter]:
+    """Train on buckets by document; with it how often (language, bin, label) occurs among the sample's scores out of fold."""
     if len(labels) < 10 or labels.min() == labels.max():
-        m.constant = float(labels.mean()) if len(labels) else 0.0
-        return m
+        return ToxicityModel(config, constant=float(labels.mean()) if len(labels) else 0.0), Counter()
+    shuffled = np.random.default_rng(config.seed).permutation(len(labels))
+    dealt = shuffled[np.argsort(labels[shuffled], kind="stable")]  # each fold has its share of either label
+    seen: Counter = Counter()
+    for k in range(config.folds):
+        held = dealt[k:: config.folds]
+        if not len(held):
+            continue
+        m = _learn(rows, labels, np.sort(np.setdiff1d(dealt, held)), config)
+        first = np.concatenate(([0], np.cumsum([len(rows[i]) for i in held])))
+        z = _logits(m, np.concatenate([rows[i] for i in held]), first)
+        seen.update(zip(langs[held].tolist(), _bins(z).tolist(), labels[held].astype(int).tolist()))
+    return _learn(rows, labels, np.arange(len(labels)), config), seen
+
+
+def _bins(z: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(z, -60, 60) * GRID).astype(np.int32)
+
+
+def _learn(rows: list[np.ndarray], labels: np.ndarray, learn: np.ndarray, config: TrainConfig) -> ToxicityModel:
+    """Train on the documents ``learn``."""
+    m = ToxicityModel(config)
     rng = np.random.default_rng(config.seed)
-    order = rng.permutation(len(labels))
-    check, learn = order[: len(order) // 5], order[len(order) // 5:]
     df = np.zeros(BUCKETS, np.int32)
     for i in learn:
         df[np.unique(rows[i])] += 1
@@ -137,7 +161,7 @@ def fit(rows: list[np.ndarray], langs: np.ndarray, labels: np.ndarray, config: T
     total = config.filters * len(config.widths)
     m.bias = np.zeros(total, np.float32)
     m.weights = rng.normal(0, 0.3, total).astype(np.float32)
-    positives = labels[learn].mean()
+    positives = np.clip(labels[learn].mean(), 1e-3, 1 - 1e-3)
     m.offset = float(np.log(positives / (1 - positives)))
     seen = [np.zeros_like(m.embed), *[np.zeros_like(k) for k in m.filters], np.zeros_like(m.bias), np.zeros_like(m.weights)]
 
@@ -177,26 +201,31 @@ def fit(rows: list[np.ndarray], langs: np.ndarray, labels: np.ndarray, config: T
             if touched[0] == 0:
                 touched, sums = touched[1:], sums[1:]
             step(m.embed, sums + 1e-4 * m.embed[touched], seen[0], touched)
-    first = np.concatenate(([0], np.cumsum([len(rows[i]) for i in check])))
-    z = _logits(m, np.concatenate([rows[i] for i in check]), first)
-    m.cuts[""] = _cut(z, labels[check])
-    for k, lang in enumerate(FUNCTION_WORDS):
-        own = langs[check] == k
-        if labels[check][own].sum() >= 15:
-            m.cuts[lang] = _cut(z[own], labels[check][own])
     return m
 
 
-def _cut(z: np.ndarray, y: np.ndarray) -> float:
-    """The logit threshold of the best F1, in the middle of its gap."""
-    if y.min() == y.max():
+def cuts(seen: Counter, config: TrainConfig) -> dict[str, float]:
+    """The logit threshold of each language and ("") of all rows, from counts by (language, bin, label)."""
+    pooled: Counter = Counter()
+    for (_, at, label), n in seen.items():
+        pooled[at, label] += n
+    out = {"": _cut(pooled)}
+    for k, lang in enumerate(FUNCTION_WORDS):
+        own = Counter({(at, label): n for (of, at, label), n in seen.items() if of == k})
+        toxic = sum(n for (_, label), n in own.items() if label)
+        share = toxic / (toxic + config.drawn)
+        out[lang] = share * _cut(own) + (1 - share) * out[""] if toxic else out[""]
+    return out
+
+
+def _cut(counts: Counter) -> float:
+    """The logit threshold of the best F1, in the middle of its gap, from counts by (bin, label)."""
+    at = np.array(sorted({a for a, _ in counts}, reverse=True))
+    hits, others = (np.cumsum([counts[a, label] for a in at.tolist()]) for label in (1, 0))
+    if not len(at) or not hits[-1] or not others[-1]:
         return 0.0
-    order = np.argsort(-z)
-    z, y = z[order], y[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(z) + 1) + y.sum())
-    i = int(f1.argmax())
-    return float((z[i] + z[i + 1]) / 2) if i + 1 < len(z) else float(z[i] - 1)
+    i = int((2 * hits / (hits + others + hits[-1])).argmax())
+    return float((at[i] + at[i + 1] + 1) / 2 / GRID) if i + 1 < len(at) else float(at[i] / GRID - 1)
 
 
 def predict(m: ToxicityModel, w: Words) -> np.ndarray:
@@ -213,9 +242,9 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, config: TrainCo
           id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Learn from the labelled documents for which ``may_learn`` (over ``labels``) holds."""
     config = config or TrainConfig()
-    chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & may_learn)
-              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
-              .orderBy(F.xxhash64(F.col("id"), F.lit(config.seed)), "id").limit(config.rows))
+    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & may_learn)
+             .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label")))
+    chosen = known.orderBy(F.xxhash64(F.col("id"), F.lit(config.seed)), "id").limit(config.rows)
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(maybe_broadcast(chosen, config.rows), "id")
 
     def run(batch: pa.RecordBatch):
@@ -229,8 +258,27 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, config: TrainCo
     got = arrow_map(sample.select("id", "label", "text"), run,
                     f"id {docs.schema[id_col].dataType.simpleString()}, label int, lang int, buckets binary").toArrow()
     got = sorted(zip(got["id"].to_pylist(), got["buckets"].to_pylist(), got["lang"].to_pylist(), got["label"].to_pylist()))
-    return fit([np.frombuffer(x[1], np.int32).reshape(-1, 3) for x in got], np.array([x[2] for x in got]),
-               np.array([x[3] for x in got], np.float32), config)
+    model, seen = fit([np.frombuffer(x[1], np.int32).reshape(-1, 3) for x in got], np.array([x[2] for x in got]),
+                      np.array([x[3] for x in got], np.float32), config)
+    if model.constant is None:
+        model.cuts = cuts(seen + _count_others(docs, known, chosen, model, id_col, text_col), config)
+    return model
+
+
+def _count_others(docs: DataFrame, known: DataFrame, chosen: DataFrame, model: ToxicityModel, id_col: str, text_col: str) -> Counter:
+    """How often (language, bin, label) occurs among the labelled rows that the model hasn't learned from."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batch: pa.RecordBatch):
+        for i, j, w in words_of(batch.column(1), lower=True, separators=_SEPARATORS):
+            yield {"id": batch.column(0).slice(i, j - i), "lang": _languages(w).astype(np.int32),
+                   "bin": _bins(_logits(sent.value, _buckets(w), w.first)), "words": w.counts()}
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    scored = arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, lang int, bin int, words long")
+    others = known.join(chosen.select("id", F.lit(True).alias("learned")), "id", "left")
+    met = scored.join(others, "id").where(F.col("learned").isNull() | (F.col("words") > model.config.max_words))
+    return Counter({(r.lang, r.bin, r.label): r.n for r in met.groupBy("lang", "bin", "label").agg(F.count("*").alias("n")).collect()})
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -183,3 +183,25 @@ def test_perplexity_bands_reject_shuffled_and_junk_texts(spark):
     assert not any(r.base_failed for r in got.values())
     assert not any(got[i].kept for i in range(400, 416))
     assert sum(got[i].kept for i in range(400)) >= 0.98 * 400
+
+
+def test_toxicity_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(toxicity.FUNCTION_WORDS["en" if i % 4 else "de"] + (("vile",) if i % 3 == 0 else ("nice",))) for _ in range(30))
+             for i in range(120)]
+    docs = samples.frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    counted, cuts = [], toxicity.cuts
+    monkeypatch.setattr(toxicity, "cuts", lambda seen, config: counted.append(seen) or cuts(seen, config))
+    toxicity.train(docs, labels, F.col("doc_id") < 100, toxicity.TrainConfig(rows=40, max_words=1000, visits=200))
+    assert sum(counted[0].values()) == 100 and sum(n for (*_, label), n in counted[0].items() if label) == 34
+    assert {lang for lang, *_ in counted[0]} == {0, 1}
+
+
+def test_toxicity_thresholds_shrink_smoothly():
+    config = toxicity.TrainConfig()
+    at = lambda n: Counter({(0, 100, 1): 400, (0, -100, 0): 400, (1, 300, 1): n, (1, 200, 0): 10 * n})
+    few, more, many = (toxicity.cuts(at(n), config) for n in (1, 14, 400))
+    assert few["fr"] == few[""] and few["de"] != few[""]
+    own = toxicity._cut(Counter({(300, 1): 1, (200, 0): 10}))
+    assert abs(own - many["de"]) < abs(own - more["de"]) < abs(own - few["de"])
