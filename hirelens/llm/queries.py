@@ -7,10 +7,11 @@ from hirelens.llm.langid import op7_language
 from hirelens.llm.mixing import op9_mixing
 from hirelens.llm.perplexity import op3_perplexity
 from hirelens.llm.quality import op2_quality
-from hirelens.llm import metric, secrets
+from hirelens.llm import metric, secrets, sharding
 from hirelens.llm.simjoin import op1_ngram_join
 from hirelens.llm.substrings import op6_substrings
 from hirelens.llm.toxicity import op10_toxicity
+from hirelens.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
@@ -23,9 +24,12 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op12_rendezvous": sharding.op12_rendezvous,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_mtree": metric.SQL,
     "op5_secrets": secrets.SQL,
+    "op12_rendezvous": sharding.SQL,
 }
