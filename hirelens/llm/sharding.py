@@ -30,30 +30,26 @@ DIGITS = 13
 OVERHEAD = 16
 
 
-def score(key: Column, shard: int, weight: float) -> Column:
-    """-weight / ln(u) of a key (text) for one shard; larger is nearer."""
-    digits = F.substring(F.md5(F.concat(key, F.lit(f":{shard}")).cast("binary")), 1, DIGITS)
+def score(key: Column, shard: Column, weight: Column) -> Column:
+    """-weight / ln(u) of a key (text) for a shard; larger is nearer."""
+    digits = F.substring(F.md5(F.concat(key, F.lit(":"), shard.cast("string")).cast("binary")), 1, DIGITS)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(16**DIGITS))
-    return F.lit(-float(weight)) / F.log(u)
+    return -weight / F.log(u)
 
 
-def shard_of(key: Column, weights: Sequence[float]) -> Column:
-    """Shard (0 ..) of a key by the weights of the shards; a weight of 0 gets nothing. At least one weight above 0."""
-    live = [(j, w) for j, w in enumerate(weights) if w > 0]
+def nearest(key: Column, weights: Sequence[float]) -> Column:
+    """struct(score, back) of the best shard of a key; the shard is -back. A weight of 0 gets nothing; one is above 0."""
+    live = [(j, float(w)) for j, w in enumerate(weights) if w > 0]
     if not live or not all(math.isfinite(w) and w >= 0 for w in weights):
         raise ValueError("weights are finite, not negative, and one is above 0")
+    shards = F.array(*[F.struct(F.lit(j).alias("shard"), F.lit(w).alias("weight")) for j, w in live])
     text = F.coalesce(key.cast("string"), F.lit(""))
-    return F.array_max(F.array(*[F.struct(score(text, j, w).alias("score"), F.lit(-j).alias("back")) for j, w in live]))["back"] * -1
+    return F.array_max(F.transform(shards, lambda s: F.struct(score(text, s["shard"], s["weight"]).alias("score"), (-s["shard"]).alias("back"))))
 
 
-def grown_shard_of(key: Column, shard: Column, weights: Sequence[float], weight: float = 1.0) -> Column:
-    """The shard after one more of ``weight`` is added, given the ``shard`` among ``weights``."""
-    text = F.coalesce(key.cast("string"), F.lit(""))
-    best = F.array(*[F.struct(F.lit(j).alias("shard"), F.lit(float(w)).alias("weight")) for j, w in enumerate(weights)])
-    own = F.filter(best, lambda x: x["shard"] == shard)[0]["weight"]
-    digits = F.substring(F.md5(F.concat(text, F.lit(":"), shard.cast("string")).cast("binary")), 1, DIGITS)
-    mine = -own / F.log((F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(16**DIGITS)))
-    return F.when(score(text, len(weights), weight) > mine, F.lit(len(weights))).otherwise(shard)
+def shard_of(key: Column, weights: Sequence[float]) -> Column:
+    """Shard (0 ..) of a key by the weights of the shards."""
+    return -nearest(key, weights)["back"]
 
 
 def assign(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", name: str = "shard") -> DataFrame:
@@ -65,11 +61,12 @@ def numbered(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", tex
     """(key, size, text_crc32, shard, slot, grown_shard) of each record; ``grow``: weight of one more shard."""
     utf8 = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(key).alias("key"), (F.octet_length(utf8) + OVERHEAD).cast("long").alias("size"), F.crc32(utf8).alias("text_crc32"))
-    rows = rows.withColumn("shard", shard_of(F.col("key"), weights))
-    grown = grown_shard_of(F.col("key"), F.col("shard"), weights, grow) if grow else F.lit(None).cast("int")
+    rows = rows.withColumn("best", nearest(F.col("key"), weights)).withColumn("shard", -F.col("best.back"))
+    new = score(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(len(weights)), F.lit(float(grow or 0)))
+    grown = F.when(new > F.col("best.score"), F.lit(len(weights))).otherwise(F.col("shard")) if grow else F.lit(None).cast("int")
     rows = rows.withColumn("grown_shard", grown)
     # equal rows may be a third of all: their number in the input lets the sort deal them over tasks
-    rows = rows.select("*", F.col("shard").cast("long").alias("of"), F.lit(1).cast("long").alias("slot"), F.monotonically_increasing_id().alias("at"))
+    rows = rows.drop("best").select("*", F.col("shard").cast("long").alias("of"), F.lit(1).cast("long").alias("slot"), F.monotonically_increasing_id().alias("at"))
     got = running(rows, "of", [F.col("key").asc_nulls_first(), "size", "text_crc32", "at"], ["slot"], "shard-slots")
     return got.select("key", "size", "text_crc32", "shard", F.col("slot_before").alias("slot"), "grown_shard")
 
