@@ -6,6 +6,7 @@ from hirelens.llm.bpe import op8_byte_bpe
 from hirelens.llm.langid import op7_language
 from hirelens.llm.mixing import op9_mixing
 from hirelens.llm.perplexity import op3_perplexity
+from hirelens.llm.prefixtrie import op11_prefix_trie
 from hirelens.llm.quality import op2_quality
 from hirelens.llm import metric, secrets, sharding
 from hirelens.llm.simjoin import op1_ngram_join
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_rendezvous": sharding.op12_rendezvous,
     "op13_whitening": op13_whitening,
 }
