@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ColumnOrName, col, ratio_pct
+from .automaton import match_table
 from .stats import distinct_with_stats
 
 
@@ -59,7 +60,7 @@ def matched_words(text: ColumnOrName, lexicon: Sequence[str], mode: str = "subst
     raise ValueError(f"unknown match mode {mode!r}")
 
 
-def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str], keep: Sequence[ColumnOrName] = (),
+def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str] | DataFrame, keep: Sequence[ColumnOrName] = (),
                   out: str = "skill", min_len: int | None = 100, mode: str = "substring",
                   attrs: DataFrame | None = None, on: str | None = None) -> DataFrame:
     """One row per (input row, matched word): ``keep`` columns (+ ``attrs``) + ``out``.
@@ -70,11 +71,15 @@ def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str], keep: Sequen
     When the row attributes live in another table (``attrs``, joined on
     ``on``), matching runs first on the text table and only ``(keep, words)``
     rows with at least one hit enter the join — the text never crosses a
-    shuffle.
+    shuffle. A lexicon that is a table (its first column holds the words) is
+    matched by an automaton instead of one test per word (``automaton``).
     """
     src = df
     if min_len is not None:
         src = src.where(F.col(text).isNotNull() & (F.length(F.col(text)) > min_len))
+    if isinstance(lexicon, DataFrame):
+        found = match_table(src, text, lexicon, lexicon.columns[0], keep, out, mode)
+        return found if attrs is None else found.join(attrs, on)
     src = src.select(*[col(k) for k in keep], F.lower(F.col(text)).alias("_text"))
     hits = matched_words("_text", lexicon, mode, lowered=True)
     kept = [F.col(c) for c in src.columns if c != "_text"]

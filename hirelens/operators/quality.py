@@ -1,51 +1,91 @@
 """Declarative column checks and a suite runner (O1–O3).
 
-``not_null`` checks of one table are answered together by a single
-aggregate (one scan). ``unique`` counts duplicated values with a grouped
-count — partial aggregation collapses a hot value on the map side.
+A suite reads each table once and shuffles twice, whatever it checks. Every row of a table gives one small row for each
+unique-checked value it holds, and one for each NULL in a column that must hold none; blank rows are counted per (check,
+value) with map-side combine, so a hot value or a column full of NULLs leaves a task as one row; the counts of a check are
+then added up. ``write_checked`` takes the NULL counts of a table while it is being written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+KINDS = ("not_null", "unique")
 
 
-def not_null(df: DataFrame, columns: Sequence[str], table_name: str = "") -> DataFrame:
-    """One row per column: number of NULL rows (O1)."""
-    row = df.agg(*[F.count_if(df[c].isNull()).alias(f"_{i}") for i, c in enumerate(columns)])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").cast("long").alias("failures")) for i, c in enumerate(columns)])
-    return row.select(F.explode(pairs).alias("r")).select(
-        F.lit(table_name).alias("table_name"), "r.column_name", F.lit("not_null").alias("check_name"), "r.failures")
+def value_text(c: Column, kind: T.DataType) -> Column:
+    """A value as text, different values as different texts and equal ones (0.0 and -0.0, any NaN) as one."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (c + F.lit(0).cast(kind)).cast("string")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})
+    return c.cast("string")
 
 
-def unique(df: DataFrame, column: str, table_name: str = "") -> DataFrame:
-    """Number of non-NULL values that occur more than once (O2)."""
-    dup = (df.where(F.col(column).isNotNull()).groupBy(column).count().where(F.col("count") > 1))
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(table_name).alias("table_name"), F.lit(column).alias("column_name"),
-        F.lit("unique").alias("check_name"), F.col("failures").cast("long"))
+def _marks(df: DataFrame, checks: Sequence[tuple[int, str, str]]) -> DataFrame:
+    """(check, value) for each value to count; NULL values stand for NULLs of a not_null check."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    none = F.lit(None).cast("string")
+    marks = []
+    for i, column, kind in checks:
+        c = F.col(f"`{column}`")
+        if kind == "not_null":
+            marks.append(F.when(c.isNull(), F.struct(F.lit(i).alias("check"), none.alias("value"))))
+        else:
+            marks.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("check"), value_text(c, types[column]).alias("value"))))
+    return df.select(F.inline(F.array_compact(F.array(*marks))))
 
 
 def check_suite(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Run ``(table, column, check)`` triples; one result row per triple with a status (O3)."""
-    parts: list[DataFrame] = []
+    """Run ``(table, column, check)`` triples; one result row per triple with a status (O3).
+
+    ``not_null``: the number of NULL rows. ``unique``: the number of non-NULL values that occur more than once.
+    """
+    for _, _, kind in checks:
+        if kind not in KINDS:
+            raise ValueError(f"unknown check {kind!r}")
+    spark = next(iter(tables.values())).sparkSession
+    numbered = [(i, t, c, k) for i, (t, c, k) in enumerate(checks)]
+    marks = None
     for t in dict.fromkeys(t for t, _, _ in checks):
-        nn = [c for tt, c, k in checks if tt == t and k == "not_null"]
-        if nn:
-            parts.append(not_null(tables[t], nn, t))
-        for tt, c, k in checks:
-            if tt == t and k == "unique":
-                parts.append(unique(tables[t], c, t))
-            elif tt == t and k not in ("unique", "not_null"):
-                raise ValueError(f"unknown check {k!r}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+        part = _marks(tables[t], [(i, c, k) for i, tt, c, k in numbered if tt == t])
+        marks = part if marks is None else marks.unionByName(part)
+    counted = marks.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
+    failed = F.when(F.col("value").isNull(), F.col("n")).when(F.col("n") > 1, 1).otherwise(0)
+    unfailed = spark.createDataFrame([(i, 0) for i, *_ in numbered], "check int, failures long")     # so that no check is missing
+    failures = counted.select("check", failed.cast("long").alias("failures")).unionByName(unfailed)
+    failures = failures.groupBy("check").agg(F.sum("failures").alias("failures"))
+    label = lambda at: F.element_at(F.array(*[F.lit(c[at]) for c in numbered]), F.col("check") + 1)
+    return failures.select(label(1).alias("table_name"), label(2).alias("column_name"), label(3).alias("check_name"), "failures",
+                           F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
+
+
+def not_null(df: DataFrame, columns: Sequence[str], table_name: str = "") -> DataFrame:
+    """One row per column: number of NULL rows (O1)."""
+    return check_suite({table_name: df}, [(table_name, c, "not_null") for c in columns]).drop("status")
+
+
+def unique(df: DataFrame, column: str | Sequence[str], table_name: str = "") -> DataFrame:
+    """One row per column: number of non-NULL values that occur more than once (O2)."""
+    columns = [column] if isinstance(column, str) else column
+    return check_suite({table_name: df}, [(table_name, c, "unique") for c in columns]).drop("status")
+
+
+def write_checked(df: DataFrame, path: str, not_null: Sequence[str] = (), mode: str = "overwrite") -> dict[str, int]:
+    """Write ``df`` as Parquet and return its row count (``""``) and the NULLs of ``not_null`` columns, counted while it is written."""
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(not_null)]]
+    df.observe(seen, *metrics).write.mode(mode).parquet(path)
+    got = seen.get
+    return {"": got["rows"], **{c: got[f"n{i}"] for i, c in enumerate(not_null)}}
 
 
 def gate(results: DataFrame) -> None:
@@ -53,4 +93,3 @@ def gate(results: DataFrame) -> None:
     bad = results.where(F.col("status") == "fail").select("table_name", "column_name", "check_name").collect()
     if bad:
         raise AssertionError("data-quality checks failed: " + ", ".join(".".join(r) for r in bad))
-

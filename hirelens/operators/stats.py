@@ -1,11 +1,13 @@
-"""Grouped pay statistics (F1, F5–F8) with exact, interpolated quantiles in bounded memory.
-
-Rows are first counted per (key, value) — a plain aggregation with map-side combine, so a key that holds a third of all
-rows is merged before the shuffle and its values are dealt over all tasks. Every figure is derived from that frame.
-Quantiles are exact ranks: split points of equal frequency cut each key's values into ``BUCKETS`` ranges, the counts of
-the ranges locate the wanted ranks, and only the ranges that hold one are looked into, value by value. No task holds a
-key's values: the largest window has the distinct values of one range, about a ``BUCKETS``-th of the key's (a value that
-repeats is one row). NULL is a key like any other.
+"""Grouped pay statistics (F1, F5-F8) with exact, interpolated quantiles in bounded memory and few shuffles.
+
+Two passes over the rows. The first sketches each key (``percentile_approx``, combined in the tasks) and so brackets every
+wanted quantile between two values that are sure to enclose its rank. The second sums up what lies outside the brackets
+in the tasks, a row a gap, and ships only values inside them, counted; running counts then give the exact ranks. What is
+shuffled are a key's sketches and about ``4 * MARGIN`` of its rows a quantile, wherever a hot key's rows lie.
+
+Brackets go to the tasks by broadcast, for the ``HEAVY`` largest keys, which bounds it. Every other key holds at most a
+``HEAVY``-th of all rows; its values are all counted, as are those of a key with up to ``WHOLE`` values, so results are
+exact whatever the keys. NULL is a key like any other.
 """
 
 from __future__ import annotations
@@ -16,8 +18,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges of equal frequency per key.
-BUCKETS = 64
+#: ``accuracy`` of the sketch: its ranks are off by a ACCURACY-th of the key's values at most.
+ACCURACY = 10_000
+#: Share of a key's values between a wanted rank and either end of its bracket; twenty times what the sketch may be off.
+MARGIN = 20 / ACCURACY
+#: Keys with up to so many values need no bracket.
+WHOLE = 10_000
+#: Keys that get brackets; every other key holds at most a HEAVY-th of all rows.
+HEAVY = 1000
 
 # Stat spec: "count" | "count_distinct:<col>" | "avg" | "min" | "max" | "median" | float quantile
 Spec = str | float
@@ -30,59 +38,103 @@ def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left"
     return a.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def with_quantiles(counted: DataFrame, keys: Sequence[str], aggs: Sequence[Column], quantiles: Mapping[str, float],
-                   buckets: int = BUCKETS) -> DataFrame:
-    """Per key ``aggs`` over ``counted`` and the quantiles of ``_v`` weighted by ``_n``.
+def _brackets(rows: DataFrame, keys: Sequence[str], places: Sequence[float]) -> DataFrame:
+    """keys, _lo, _hi (arrays, an entry a place; NULL: open) of the largest keys that have more than WHOLE values in ``_v``."""
+    lows, highs = [max(p - MARGIN, 0.0) for p in places], [min(p + MARGIN, 1.0) for p in places]
+    g = rows.where(F.col("_v").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"), F.percentile_approx("_v", lows + highs, ACCURACY).alias("_s"))
+    ends = lambda at, probs, open_: F.array(*[F.lit(None).cast("double") if p == open_ else F.col("_s")[at + i] for i, p in enumerate(probs)])
+    top = g.where(F.col("_values") > WHOLE).orderBy(F.col("_values").desc()).limit(HEAVY)
+    return top.select(*keys, ends(0, lows, 0.0).alias("_lo"), ends(len(lows), highs, 1.0).alias("_hi"))
+
 
-    ``counted`` has one row for each (key, ``_v``); its NULL values don't count for the quantiles, which are interpolated
-    between the two ranks around ``p * (n - 1)``. A key without a value has NULL quantiles.
+def with_quantiles(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, Column], least: Mapping[str, Column], most: Mapping[str, Column],
+                   quantiles: Mapping[str, float], id_col: str | None = None, id_name: str = "_ids", weight: str | None = None) -> DataFrame:
+    """Per key: the ``sums``, minima and maxima of expressions over ``rows``, and the quantiles of ``_v``.
+
+    Quantiles are interpolated between the two ranks around ``p * (n - 1)`` of the non-NULL values; a key without a value has
+    NULL quantiles. ``id_col``: also the distinct non-NULL ids, as ``id_name``. ``weight``: for how many equal rows a row stands.
     """
-    if not quantiles:
-        return counted.groupBy(*keys).agg(*aggs)
-    filled = F.when(F.col("_v").isNotNull(), F.col("_n"))
-    per_key = counted.groupBy(*keys).agg(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 100 * buckets).alias("_s"),
-                                         F.coalesce(F.sum(filled), F.lit(0)).alias("_t"), *aggs)
-    # The test on all columns holds always. It keeps the same columns in both branches, so that Spark plans the shuffle
-    # below ``counted`` once and reuses it.
-    base = counted.where(F.col("_v").isNotNull() & (F.hash(*counted.columns) <= F.lit(2**31 - 1))).select(*keys, "_v", "_n")
-    tagged = same_keys(base, per_key.select(*keys, "_s", "_t"), keys, "inner").select(
-        *keys, "_v", "_n", "_t", F.expr("size(filter(_s, s -> s <= _v))").alias("_b"))
-    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranges = (tagged.groupBy(*keys, "_b").agg(F.sum("_n").alias("_c"), F.first("_t").alias("_t"))
-              .withColumn("_end", F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c")))
-    # the ranks floor and ceil of p * (n - 1), in the range that holds them
+    n = F.col(weight) if weight else F.lit(1)
     places = list(dict.fromkeys(quantiles.values()))
-    ranks = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), fn(F.lit(p) * (F.col("_t") - 1)).cast("long").alias("rank"))
-                      for i, p in enumerate(places) for side, fn in ((0, F.floor), (1, F.ceil))])
-    wanted = ranges.withColumn("_r", ranks).select(
-        *keys, "_b", "_start", F.expr("filter(_r, r -> r.rank >= _start and r.rank < _end)").alias("_w")).where(F.size("_w") > 0)
-    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (same_keys(tagged, wanted, [*keys, "_b"], "inner").withColumn("_upto", F.col("_start") + F.sum("_n").over(within))
-             .select(*keys, "_v", F.explode(F.expr("filter(_w, r -> r.rank < _upto and r.rank >= _upto - _n)")).alias("_r")))
-    at = [F.max(F.when((F.col("_r.q") == i) & (F.col("_r.side") == side), F.col("_v"))).alias(f"_{i}_{side}")
-          for i in range(len(places)) for side in (0, 1)]
-    out = same_keys(per_key, found.groupBy(*keys).agg(*at), keys)
+    src = rows
+    if places:
+        sketched = rows if not weight else _repeated(rows, weight)
+        src = _with_brackets(rows, _brackets(sketched.select(*keys, "_v"), keys, places), keys)
+        inside = F.lit(False)
+        for i in range(len(places)):
+            above = F.col("_lo")[i].isNull() | (F.col("_v") >= F.col("_lo")[i])
+            inside = inside | (above & (F.col("_hi")[i].isNull() | (F.col("_v") <= F.col("_hi")[i])))
+        gap = F.col("_lo").isNotNull() & F.col("_v").isNotNull() & ~inside
+        below = [F.when(F.col("_hi")[i] < F.col("_v"), F.col("_hi")[i]) for i in range(len(places))]
+        below = F.greatest(*below) if len(below) > 1 else below[0]
+        # a value in a bracket stands for itself; all of a gap for the end of the bracket below it (NULL: none is below)
+        src = src.select("*", F.coalesce(gap, F.lit(False)).alias("_gap"), F.when(F.coalesce(gap, F.lit(False)), below).otherwise(F.col("_v")).alias("_g"))
+    group = [*keys, *(["_gap", "_g"] if places else [])]
+    counted = {"_n": F.when(F.col("_v").isNotNull(), n)} if places else {}
+    cells = [c.alias(name) for name, c in {**counted, **sums, **least, **most}.items()]
+    src = src.select(*group, *cells, *([F.col(id_col).alias("_id")] if id_col else []))
+    add = [*[F.sum(c).alias(c) for c in (*counted, *sums)], *[F.min(c).alias(c) for c in least], *[F.max(c).alias(c) for c in most]]
+    if id_col:
+        # each row once for its value and once for its id alone, so that one shuffle serves the counts and the distinct ids
+        types = dict(src.dtypes)
+        names = [f.split(".")[-1] for f in (*(("_gap", "_g") if places else ()), *counted, *sums, *least, *most)]
+        blank = [(F.lit(False) if c == "_gap" else F.lit(None)).cast(types[c]).alias(c) for c in names]
+        both = F.array(F.struct(*names, F.lit(None).cast(types["_id"]).alias("_id")), F.struct(*blank, F.col("_id")))
+        two = src.select(*keys, F.explode(F.when(F.col("_id").isNull(), F.slice(both, 1, 1)).otherwise(both)).alias("_r"))
+        pairs = two.select(*keys, "_r.*").groupBy(*group, "_id").agg(*add)
+        src = pairs.select("*", F.when(F.col("_id").isNotNull(), 1).otherwise(0).cast("long").alias(id_name))
+        add.append(F.sum(id_name).alias(id_name))
+    out = src.groupBy(*group).agg(*add)
+    if not places:
+        return out
+    own = Window.partitionBy(*keys)
+    out = out.withColumn("_t", F.sum("_n").over(own)).withColumn(
+        "_upto", F.sum(F.coalesce("_n", F.lit(0))).over(own.orderBy(F.col("_g").asc_nulls_first(), "_gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    def at(rank: Column) -> Column:
+        here = (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
+        return F.max(F.when(here & F.col("_gap"), F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")).when(here, F.col("_g")))
+
+    ranks = [at(fn(F.lit(p) * (F.col("_t") - 1)).cast("long")).alias(f"_{i}_{side}") for i, p in enumerate(places) for side, fn in ((0, F.floor), (1, F.ceil))]
+    out = out.groupBy(*keys).agg(*add, F.max("_t").alias("_t"), *ranks)
 
     def value(p: float) -> Column:
         place, i = F.lit(p) * (F.col("_t") - 1), places.index(p)
         return F.col(f"_{i}_0") + (place - F.floor(place)) * (F.col(f"_{i}_1") - F.col(f"_{i}_0"))
 
-    return out.select(*[c for c in per_key.columns if c not in ("_s", "_t")], *[value(p).alias(name) for name, p in quantiles.items()])
+    return out.select(*keys, *sums, *least, *most, *([id_name] if id_col else []), *[value(p).alias(name) for name, p in quantiles.items()])
+
+
+def _with_brackets(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return same_keys(rows, F.broadcast(brackets), keys)      # HEAVY rows at most
+
+
+def _repeated(rows: DataFrame, weight: str) -> DataFrame:
+    """Each row as often as its weight says, in two steps so that no array is long."""
+    step = 4096
+    n = F.col(weight).cast("long")
+    parts = rows.where(n > 0).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / step))))
+    return parts.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.least(F.lit(step), n - F.col("_part") * step).cast("int")))).drop("_part", "_copy")
 
 
 def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[str, Spec], digits: int | None = 0) -> DataFrame:
     """``groupBy(keys)`` with named stats, rounded to ``digits`` (None: no rounding)."""
-    counted = df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = F.when(F.col("_v").isNotNull(), F.col("_n"))
-    plain = {"count": F.sum("_n"), "avg": F.sum(F.col("_v") * F.col("_n")) / F.sum(rows), "min": F.min("_v"), "max": F.max("_v")}
+    rows = df.withColumn("_v", F.col(value).cast("double"))
     quantiles = {n: 0.5 if spec == "median" else spec for n, spec in stats.items() if spec == "median" or isinstance(spec, float)}
     distinct = {n: spec.split(":", 1)[1] for n, spec in stats.items() if isinstance(spec, str) and spec.startswith("count_distinct:")}
-    aggs = [plain[spec].alias(n) for n, spec in stats.items() if spec in plain]
-    out = with_quantiles(counted, keys, aggs or [F.sum("_n").alias("_rows")], quantiles)
+    rows = rows.select(*keys, "_v", *dict.fromkeys(distinct.values()))
+    filled = F.when(F.col("_v").isNotNull(), F.lit(1)).cast("long")
+    got = with_quantiles(rows, keys, {"_rows": F.lit(1).cast("long"), "_filled": filled, "_sum": F.col("_v")}, {"_min": F.col("_v")},
+                         {"_max": F.col("_v")}, quantiles)
     if distinct:
-        out = same_keys(out, df.groupBy(*keys).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()]), keys)
-    final = lambda n, spec: F.col(n) if spec == "count" or n in distinct or digits is None else F.round(n, digits)
-    return out.select(*keys, *[final(n, spec).alias(n) for n, spec in stats.items()])
+        got = same_keys(got, df.groupBy(*keys).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()]), keys)
+    plain = {"count": F.col("_rows"), "avg": F.col("_sum") / F.col("_filled"), "min": F.col("_min"), "max": F.col("_max")}
+
+    def final(name: str, spec: Spec) -> Column:
+        c = plain.get(spec, F.col(name)) if isinstance(spec, str) else F.col(name)
+        return c if spec == "count" or name in distinct or digits is None else F.round(c, digits)
+
+    return got.select(*keys, *[final(n, spec).alias(n) for n, spec in stats.items()])
 
 
 def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value: str | None, count_name: str = "job_count",
@@ -91,25 +143,17 @@ def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value:
                         digits: int | None = 0, weight: str | None = None) -> DataFrame:
     """Per key: ``count(distinct id)`` plus avg / exact quantiles / conditional counts / mins over all rows.
 
-    Rows are combined per (key, id, value), the first value of each (key, id) counts the id, and everything else follows
-    per (key, value). ``weight`` names a column that says for how many equal rows each row stands.
+    ``weight`` names a column that says for how many equal rows each row stands.
     """
     counts, mins, quantiles = dict(counts or {}), dict(mins or {}), dict(quantiles or {})
     flags, lows = [f"_c{i}" for i in range(len(counts))], [f"_m{i}" for i in range(len(mins))]
     n = F.col(weight) if weight else F.lit(1)
-    rows = df.select(*keys, F.col(id_col).alias("_id"), (F.col(value) if value else F.lit(None)).cast("double").alias("_v"), n.alias("_n"),
-                     *[c.alias(f) for f, c in zip(flags, counts.values())], *[F.col(c).alias(m) for m, c in zip(lows, mins.values())])
-    sums = [F.sum("_n").alias("_n"), *[F.sum(F.when(F.col(f), F.col("_n")).otherwise(0)).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows]]
-    pairs = rows.groupBy(*keys, "_id", "_v").agg(*sums)
-    first = F.row_number().over(Window.partitionBy(*keys, "_id").orderBy("_v")) == 1
-    marked = pairs.withColumn("_ids", F.when(first & F.col("_id").isNotNull(), 1).otherwise(0))
-    counted = marked.groupBy(*keys, "_v").agg(F.sum("_ids").alias("_ids"), F.sum("_n").alias("_n"),
-                                              *[F.sum(f).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows])
-    filled = F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")))
-    aggs = [F.sum("_ids").alias(count_name), (F.sum(F.col("_v") * F.col("_n")) / filled).alias("_avg"),
-            *[F.sum(f).alias(f) for f in flags], *[F.min(m).alias(m) for m in lows]]
-    out = with_quantiles(counted, keys, aggs, quantiles)
-    rounded = lambda c: F.round(c, digits) if digits is not None else F.col(c)
-    return out.select(*keys, count_name, *([rounded("_avg").alias(avg_name)] if avg_name else []),
-                      *[rounded(q).alias(q) for q in quantiles], *[F.col(f).alias(c) for f, c in zip(flags, counts)],
+    rows = df.select(*keys, F.col(id_col).alias("_of"), (F.col(value) if value else F.lit(None)).cast("double").alias("_v"), n.cast("long").alias("_w"),
+                     *[F.coalesce(c, F.lit(False)).alias(f) for f, c in zip(flags, counts.values())], *[F.col(c).alias(m) for m, c in zip(lows, mins.values())])
+    sums = {"_filled": F.when(F.col("_v").isNotNull(), F.col("_w")), "_sum": F.col("_v") * F.col("_w"),
+            **{f: F.when(F.col(f), F.col("_w")).otherwise(0) for f in flags}}
+    got = with_quantiles(rows, keys, sums, {m: F.col(m) for m in lows}, {}, quantiles, "_of", "_ids", "_w" if weight else None)
+    rounded = lambda c: F.round(c, digits) if digits is not None else c
+    return got.select(*keys, F.col("_ids").alias(count_name), *([rounded(F.col("_sum") / F.col("_filled")).alias(avg_name)] if avg_name else []),
+                      *[rounded(F.col(q)).alias(q) for q in quantiles], *[F.col(f).alias(c) for f, c in zip(flags, counts)],
                       *[F.col(m).alias(name) for m, name in zip(lows, mins)])

@@ -3,6 +3,11 @@ matching operators (see ``bindings`` for the mart bindings)."""
 
 from __future__ import annotations
 
+import hashlib
+import json
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import taxonomy as tx
@@ -12,14 +17,17 @@ from ..functions.classify import (annualize, clean_title, estimate_mean_or_eithe
 from ..operators import reports as R
 from ..operators.dedupe import dedupe_postings, first_per_key
 from ..operators.digest import digest, digest_totals, new_items
-from ..operators.lexicon import matched_words
+from ..operators.lexicon import lexicon_frame, lexicon_match, matched_words
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
-from ..operators.quality import check_suite, not_null, unique
+from ..operators.quality import check_suite
 from ..functions.expr import label_map
+from ..session import ensure_checkpoint_dir
+from ..sources.store import MartStore, source_state
 from ..sources.flatten import (distinct_jobs, extract_targets, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch,
                                flatten_search_results)
 from ..plans.staging import stg_all, stg_companies, stg_job_postings, stg_job_skills, union_feeds
 from . import bindings as B
+from . import marts
 
 # --- binding configuration ---------------------------------------------------
 DOC_RULES = [("licen[cs]e|copyright", "license"), ("token|secret|password", "secret"),
@@ -381,6 +389,14 @@ def q_digest_totals(spark, d):
 
 # --- KPIs and reports -----------------------------------------------------------------
 
+def mart(spark, d, name):
+    """A mart of the tables in ``d`` from the session's store: built once, read by every report until it is old."""
+    root = ensure_checkpoint_dir(spark, f"{tempfile.gettempdir()}/hirelens-{uuid.uuid4().hex}")
+    store = MartStore(spark, f"{root.rstrip('/')}/marts")
+    key = hashlib.sha256(d.encode()).hexdigest()[:12]
+    return store.read(f"{key}/{name}", lambda: B.MART_QUERIES[name](spark, d), state=source_state(spark, [d]))
+
+
 def q_kpi_remote(spark, d):
     return R.kpi_remote(t(spark, d, "events"), flag="event_type", loaded="ts",
                         remote_values=["click", "view"], hybrid_values=["click"])
@@ -392,19 +408,19 @@ def q_kpi_coverage(spark, d):
 
 
 def q_kpi_headline(spark, d):
-    return R.kpi_headline(B.q_mart_salary_by_role(spark, d))
+    return R.kpi_headline(mart(spark, d, "mart_salary_by_role"))
 
 
 def q_report_role_filtered(spark, d):
-    return R.role_filtered(B.q_mart_salary_by_role(spark, d), FOCUS_ROLE)
+    return R.role_filtered(mart(spark, d, "mart_salary_by_role"), FOCUS_ROLE)
 
 
 def _active(spark, d):
-    return R.active_skills(B.q_mart_tech_skills(spark, d), B.q_mart_tech_skills_by_role(spark, d), FOCUS_LANG)
+    return R.active_skills(mart(spark, d, "mart_tech_skills"), mart(spark, d, "mart_tech_skills_by_role"), FOCUS_LANG)
 
 
 def q_report_role_options(spark, d):
-    return R.distinct_labels(B.q_mart_salary_by_role(spark, d))
+    return R.distinct_labels(mart(spark, d, "mart_salary_by_role"))
 
 
 def q_report_active_skills(spark, d):
@@ -412,23 +428,23 @@ def q_report_active_skills(spark, d):
 
 
 def q_report_top_states(spark, d):
-    return R.top_states(B.q_mart_jobs_by_location(spark, d), measure="f_count", k=10)
+    return R.top_states(mart(spark, d, "mart_jobs_by_location"), measure="f_count", k=10)
 
 
 def q_report_state_pay(spark, d):
-    return R.state_pay(B.q_mart_jobs_by_location(spark, d), k=20)
+    return R.state_pay(mart(spark, d, "mart_jobs_by_location"), k=20)
 
 
 def q_report_seniority(spark, d):
-    return R.seniority_breakdown(B.q_mart_salary_by_role_seniority(spark, d), FOCUS_SENIORITY_ROLE)
+    return R.seniority_breakdown(mart(spark, d, "mart_salary_by_role_seniority"), FOCUS_SENIORITY_ROLE)
 
 
 def q_report_pay_range(spark, d):
-    return R.pay_range(B.q_mart_salary_by_role(spark, d))
+    return R.pay_range(mart(spark, d, "mart_salary_by_role"))
 
 
 def q_report_tier_labels(spark, d):
-    return R.tier_labels(B.q_mart_salary_by_company_tier(spark, d))
+    return R.tier_labels(mart(spark, d, "mart_salary_by_company_tier"))
 
 
 def q_report_skill_chips(spark, d):
@@ -436,15 +452,15 @@ def q_report_skill_chips(spark, d):
 
 
 def q_report_topic_top20(spark, d):
-    return R.topic_top(B.q_mart_topic_cooccurrence(spark, d), k=20)
+    return R.topic_top(mart(spark, d, "mart_topic_cooccurrence"), k=20)
 
 
 def q_report_freshness(spark, d):
-    return R.freshness(B.q_mart_hiring_trends(spark, d), t(spark, d, "events"), ts="ts")
+    return R.freshness(mart(spark, d, "mart_hiring_trends"), t(spark, d, "events"), ts="ts")
 
 
 def q_report_role_seniority(spark, d):
-    return R.role_seniority(B.q_mart_salary_by_role_seniority(spark, d), FOCUS_LEVELS)
+    return R.role_seniority(mart(spark, d, "mart_salary_by_role_seniority"), FOCUS_LEVELS)
 
 
 def q_report_skill_table(spark, d):
@@ -458,27 +474,39 @@ DQ_NOT_NULL = {"orders": ["o_orderkey", "o_custkey", "o_orderdate"],
 DQ_UNIQUE = [("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("labels", "doc_id"), ("customer", "c_custkey")]
 
 
+def _checked(spark, d, checks):
+    return check_suite({n: t(spark, d, n) for n in dict.fromkeys(n for n, _, _ in checks)}, checks)
+
+
 def q_dq_not_null(spark, d):
-    out = None
-    for name, cols in DQ_NOT_NULL.items():
-        part = not_null(t(spark, d, name), cols, name)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _checked(spark, d, [(n, c, "not_null") for n, cols in DQ_NOT_NULL.items() for c in cols]).drop("status")
 
 
 def q_dq_unique(spark, d):
-    out = None
-    for name, c in DQ_UNIQUE:
-        part = unique(t(spark, d, name), c, name)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _checked(spark, d, [(n, c, "unique") for n, c in DQ_UNIQUE]).drop("status")
 
 
 def q_dq_suite(spark, d):
-    checks = [(n, c, "not_null") for n, cols in DQ_NOT_NULL.items() for c in cols]
-    checks += [(n, c, "unique") for n, c in DQ_UNIQUE]
-    tables = {n: t(spark, d, n) for n in dict.fromkeys(n for n, _, _ in checks)}
-    return check_suite(tables, checks)
+    return _checked(spark, d, [(n, c, "not_null") for n, cols in DQ_NOT_NULL.items() for c in cols] + [(n, c, "unique") for n, c in DQ_UNIQUE])
+
+
+# --- lexicons that are tables ---------------------------------------------------------------
+
+def _lexicon(spark, d):
+    """A lexicon of three sources: a JSON literal, the words of part names, and the words of the benchmark passages."""
+    literal = lexicon_frame(spark, json.dumps([f" {w} " for w in B.WORDS]), "w")
+    names = t(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("w"))
+    passages = t(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).where(F.length("w") >= 4)
+    return literal.unionByName(names).unionByName(passages)
+
+
+def q_lexicon_table(spark, d):
+    hits = lexicon_match(t(spark, d, "documents"), "text", _lexicon(spark, d), keep=["doc_id"], min_len=None)
+    return hits.groupBy("skill").agg(F.count_distinct("doc_id").alias("documents"))
+
+
+def q_mart_lexicon_table(spark, d):
+    return marts.tech_skills(B.doc_texts(spark, d), lexicon=_lexicon(spark, d), senior_values=B.SENIOR_PRIORITIES, attrs=B.doc_attrs(spark, d))
 
 
 # --- matching -------------------------------------------------------------------------------
@@ -521,12 +549,12 @@ def q_match_score(spark, d):
 
 
 def q_learning_path(spark, d):
-    return learning_path(_gap(spark, d), "doc_id", B.q_mart_tech_skills(spark, d).where(F.col("demand_rank") <= 15))
+    return learning_path(_gap(spark, d), "doc_id", mart(spark, d, "mart_tech_skills"))
 
 
 def q_role_readiness(spark, d):
     people = t(spark, d, "documents").select("doc_id", _profile_of(), "lang").join(_profiles(spark, d), "conv_id", "left")
-    return role_readiness(people, "doc_id", "have", "lang", B.q_mart_tech_skills_by_role(spark, d), top_n=8)
+    return role_readiness(people, "doc_id", "have", "lang", mart(spark, d, "mart_tech_skills_by_role"))
 
 
 OP_QUERIES = {
@@ -575,6 +603,8 @@ OP_QUERIES = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_suite": q_dq_suite,
+    "lexicon_table": q_lexicon_table,
+    "mart_lexicon_table": q_mart_lexicon_table,
     "skills_extract": q_skills_extract,
     "skill_gap": q_skill_gap,
     "match_score": q_match_score,

@@ -365,14 +365,14 @@ select doc_id, n_required, n_matched, round(n_matched / nullif(n_required, 0), 4
 
 SQL["learning_path"] = f"""
 from (select doc_id, unnest({_without('required', 'have')}) as skill from ({GAP}))
-     left join (select skill, demand_rank from {_m('mart_tech_skills')} where demand_rank <= 15) market using (skill)
+     left join (select skill, demand_rank from {_m('mart_tech_skills')}) market using (skill)
 select doc_id, skill, demand_rank::bigint as demand_rank,
        if(demand_rank <= 5, 'high', if(demand_rank <= 10, 'medium', 'low')) as priority,
        row_number() over (partition by doc_id order by demand_rank nulls last, skill) as step
 """
 
 SQL["role_readiness"] = f"""
-with tops as (select role_cluster, list_sort(list(skill)) as top from {_m('mart_tech_skills_by_role')} where role_rank <= 8 group by role_cluster)
+with tops as (select role_cluster, list_sort(list(skill)) as top from {_m('mart_tech_skills_by_role')} where role_rank <= 20 group by role_cluster)
 from (select doc_id, lang, have, coalesce(top, []) as top from ({GAP}) left join tops on role_cluster = lang)
 select doc_id, lang, len({_within('top', 'have')}) as covered, len(top) as top_n,
        round(100.0 * len({_within('top', 'have')}) / nullif(len(top), 0), 0) as readiness,
@@ -608,3 +608,27 @@ k as (
 )
 select distinct url from k where url is not null and url != ''
 """
+
+
+# --- lexicons that are tables ----------------------------------------------------------
+
+def _listed(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+LEXICON_TABLE = f"""
+    select distinct skill from (
+        select unnest({_listed(B.WORDS)}) as skill union all select unnest(string_split(p_name, ' ')) from part
+        union all from (select unnest(string_split_regex(lower(text), '[^a-z]+')) as skill from benchmark) where length(skill) >= 4)
+"""
+
+SQL["lexicon_table"] = f"""
+select skill, count(*) as documents from ({LEXICON_TABLE}) join documents on lower(text) like '%' || skill || '%' group by skill
+"""
+
+SQL["mart_lexicon_table"] = f"""
+with hits as (select skill, doc_id from ({LEXICON_TABLE}) join documents on length(text) > 100 and lower(text) like '%' || skill || '%')
+select skill, count(*) as job_count, round(avg(o_totalprice), 0) as avg_salary, round(quantile_cont(o_totalprice, 0.5), 0) as median_salary,
+       count(*) filter (where o_orderpriority in {tuple(B.SENIOR_PRIORITIES)}) as senior_count, rank() over (order by count(*) desc) as demand_rank
+from hits join orders on o_orderkey = doc_id group by skill having count(*) > 10
+"""

@@ -39,13 +39,16 @@ def build_session(master: str | None = None, app: str = "hirelens", shuffle_part
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set ``fallback`` only when unset (tests)."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """Use the cluster's ``spark.checkpoint.dir``; only a local session without one gets ``fallback`` (tests)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     os.makedirs(fallback, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    sc.setCheckpointDir(fallback)
+    return sc.getCheckpointDir()
 

@@ -214,20 +214,44 @@ def test_quantiles_equal_percentile(spark):
     assert salary_stats(df.limit(0), ["k"], "v", QS).collect() == []
 
 
-def test_quantile_ranges_are_bounded(spark):
-    """An outlier of 1e12 over 200,000 distinct values leaves no range with more than a stated share of them."""
-    from hirelens.operators.stats import BUCKETS
+def test_quantile_brackets_are_bounded(spark):
+    """An outlier of 1e12 over 200,000 distinct values: exact, and no more than the stated share of them is counted one by one."""
+    from hirelens.operators import stats
     n = 200_000
     df = spark.range(n).select(F.lit("x").alias("k"), F.col("id").cast("double").alias("v")).union(
-        spark.createDataFrame([("x", 1e12)], "k string, v double"))
+        spark.createDataFrame([("x", 1e12), ("few", 1.0)], "k string, v double"))
     _equal_to_percentile(df, salary_stats(df, ["k"], "v", QS, digits=None))
-    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
-    splits = df.agg(F.percentile_approx("v", cuts, 100 * BUCKETS).alias("s")).first().s
-    edges = [-1.0, *splits, 2e12]
+    _equal_to_percentile(df, distinct_with_stats(df.withColumn("id", F.lit(1)), ["k"], "id", "v", quantiles=QS, digits=None))
+    rows = df.withColumnRenamed("v", "_v")
+    (bracket,) = stats._brackets(rows, ["k"], list(QS.values())).collect()      # few values need none
     values = [float(i) for i in range(n)] + [1e12]
-    import bisect
-    sizes = [bisect.bisect_left(values, b) - bisect.bisect_left(values, a) for a, b in zip(edges, edges[1:])]
-    assert sum(sizes) == n + 1 and max(sizes) <= 1.1 * n / BUCKETS
+    for p, lo, hi in zip(QS.values(), bracket["_lo"], bracket["_hi"]):
+        rank = p * (len(values) - 1)
+        assert lo <= values[int(rank)] and values[min(int(rank) + 1, n)] <= hi
+        assert sum(lo <= v <= hi for v in values) <= 2.2 * stats.MARGIN * n
+
+
+def test_quantiles_of_many_keys_with_few_brackets(spark, monkeypatch):
+    """Keys beyond those that get brackets, ties inside and outside of brackets, infinities: still exact."""
+    from hirelens.operators import stats
+    monkeypatch.setattr(stats, "WHOLE", 20)
+    monkeypatch.setattr(stats, "HEAVY", 3)
+    rnd = random.Random(3)
+    rows = [(f"k{i % 9}" if i % 3 else "hot", rnd.choice([1.0, 5.0, 5.0, float(rnd.randint(0, 200)), None])) for i in range(4000)]
+    rows += [("hot", float("inf")), ("k1", float("-inf")), (None, 2.0)] + [(None, float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    _equal_to_percentile(df, salary_stats(df, ["k"], "v", QS, digits=None))
+    assert len(stats._brackets(df.withColumnRenamed("v", "_v"), ["k"], [0.5]).collect()) == 3
+
+
+def test_pay_statistics_shuffle_little(spark):
+    """At most four exchanges, whatever the statistics."""
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id", F.col("id").cast("double").alias("v"))
+    for got in (salary_stats(df, ["k"], "v", QS), distinct_with_stats(df, ["k"], "id", "v", avg_name="a", quantiles=QS)):
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        shuffles = sum(" Exchange " in line for line in plan.splitlines())
+        assert 0 < shuffles <= 4, plan
 
 
 def test_weights_stand_for_rows(spark):
