@@ -44,6 +44,12 @@ def _marks(df: DataFrame, checks: Sequence[tuple[int, str, str]]) -> DataFrame:
     return df.select(F.inline(F.array_compact(F.array(*marks))))
 
 
+def _null_counts(df: DataFrame, checks: Sequence[tuple[int, str, str]]) -> DataFrame:
+    """(check, failures) of a table that has not_null checks alone: one aggregate, no row leaves its task."""
+    row = df.agg(*[F.expr(f"count_if(`{c}` is null) as n{i}") for i, c, _ in checks])
+    return row.selectExpr("inline(array(" + ", ".join(f"named_struct('check', {i}, 'failures', n{i})" for i, *_ in checks) + "))")
+
+
 def check_suite(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Run ``(table, column, check)`` triples; one result row per triple with a status (O3).
 
@@ -54,14 +60,17 @@ def check_suite(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, str
             raise ValueError(f"unknown check {kind!r}")
     spark = next(iter(tables.values())).sparkSession
     numbered = [(i, t, c, k) for i, (t, c, k) in enumerate(checks)]
-    marks = None
+    marks, failures = None, spark.range(len(numbered)).selectExpr("cast(id as int) as check", "0L as failures")     # so that no check is missing
     for t in dict.fromkeys(t for t, _, _ in checks):
-        part = _marks(tables[t], [(i, c, k) for i, tt, c, k in numbered if tt == t])
+        own = [(i, c, k) for i, tt, c, k in numbered if tt == t]
+        if all(k == "not_null" for *_, k in own):
+            failures = failures.unionByName(_null_counts(tables[t], own))
+            continue
+        part = _marks(tables[t], own)
         marks = part if marks is None else marks.unionByName(part)
-    counted = marks.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
-    failed = F.when(F.col("value").isNull(), F.col("n")).when(F.col("n") > 1, 1).otherwise(0)
-    unfailed = spark.createDataFrame([(i, 0) for i, *_ in numbered], "check int, failures long")     # so that no check is missing
-    failures = counted.select("check", failed.cast("long").alias("failures")).unionByName(unfailed)
+    if marks is not None:
+        counted = marks.groupBy("check", "value").agg(F.expr("count(1) as n"))
+        failures = failures.unionByName(counted.selectExpr("check", "if(value is null, n, if(n > 1, 1L, 0L)) as failures"))
     failures = failures.groupBy("check").agg(F.sum("failures").alias("failures"))
     label = lambda at: F.element_at(F.array(*[F.lit(c[at]) for c in numbered]), F.col("check") + 1)
     return failures.select(label(1).alias("table_name"), label(2).alias("column_name"), label(3).alias("check_name"), "failures",

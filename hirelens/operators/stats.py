@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: ``accuracy`` of the sketch: its ranks are off by a ACCURACY-th of the key's values at most.
@@ -33,80 +33,74 @@ Spec = str | float
 
 def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """``a`` joined to ``b`` on ``keys``, NULL matching NULL; the columns of ``a``, then the others of ``b``."""
-    other = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return a.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
+    other = b.selectExpr(*[f"`{k}` as `_r_{k}`" for k in keys], *[f"`{c}`" for c in b.columns if c not in keys])
+    return a.join(other, F.expr(" and ".join(f"`{k}` <=> `_r_{k}`" for k in keys)), how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _brackets(rows: DataFrame, keys: Sequence[str], places: Sequence[float]) -> DataFrame:
     """keys, _lo, _hi (arrays, an entry a place; NULL: open) of the largest keys that have more than WHOLE values in ``_v``."""
     lows, highs = [max(p - MARGIN, 0.0) for p in places], [min(p + MARGIN, 1.0) for p in places]
-    g = rows.where(F.col("_v").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"), F.percentile_approx("_v", lows + highs, ACCURACY).alias("_s"))
-    ends = lambda at, probs, open_: F.array(*[F.lit(None).cast("double") if p == open_ else F.col("_s")[at + i] for i, p in enumerate(probs)])
-    top = g.where(F.col("_values") > WHOLE).orderBy(F.col("_values").desc()).limit(HEAVY)
-    return top.select(*keys, ends(0, lows, 0.0).alias("_lo"), ends(len(lows), highs, 1.0).alias("_hi"))
+    g = rows.where("_v is not null").groupBy(*keys).agg(
+        F.expr("count(1) as _values"), F.expr(f"percentile_approx(_v, array({', '.join(f'{p}D' for p in lows + highs)}), {ACCURACY}) as _s"))
+    ends = lambda at, probs, open_: ", ".join("cast(null as double)" if p == open_ else f"_s[{at + i}]" for i, p in enumerate(probs))
+    top = g.where(f"_values > {WHOLE}").orderBy("_values", ascending=False).limit(HEAVY)
+    return top.selectExpr(*[f"`{k}`" for k in keys], f"array({ends(0, lows, 0.0)}) as _lo", f"array({ends(len(lows), highs, 1.0)}) as _hi")
 
 
-def with_quantiles(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, Column], least: Mapping[str, Column], most: Mapping[str, Column],
+def with_quantiles(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, str], least: Mapping[str, str], most: Mapping[str, str],
                    quantiles: Mapping[str, float], id_col: str | None = None, id_name: str = "_ids", weight: str | None = None) -> DataFrame:
-    """Per key: the ``sums``, minima and maxima of expressions over ``rows``, and the quantiles of ``_v``.
+    """Per key: the ``sums``, minima and maxima of SQL expressions over ``rows``, and the quantiles of ``_v``.
 
     Quantiles are interpolated between the two ranks around ``p * (n - 1)`` of the non-NULL values; a key without a value has
     NULL quantiles. ``id_col``: also the distinct non-NULL ids, as ``id_name``. ``weight``: for how many equal rows a row stands.
     """
-    n = F.col(weight) if weight else F.lit(1)
     places = list(dict.fromkeys(quantiles.values()))
+    names = [f"`{k}`" for k in keys]
     src = rows
     if places:
         sketched = rows if not weight else _repeated(rows, weight)
-        src = _with_brackets(rows, _brackets(sketched.select(*keys, "_v"), keys, places), keys)
-        inside = F.lit(False)
-        for i in range(len(places)):
-            above = F.col("_lo")[i].isNull() | (F.col("_v") >= F.col("_lo")[i])
-            inside = inside | (above & (F.col("_hi")[i].isNull() | (F.col("_v") <= F.col("_hi")[i])))
-        gap = F.col("_lo").isNotNull() & F.col("_v").isNotNull() & ~inside
-        below = [F.when(F.col("_hi")[i] < F.col("_v"), F.col("_hi")[i]) for i in range(len(places))]
-        below = F.greatest(*below) if len(below) > 1 else below[0]
+        src = same_keys(rows, F.broadcast(_brackets(sketched.select(*keys, "_v"), keys, places)), keys)      # HEAVY rows at most
+        inside = " or ".join(f"((_lo[{i}] is null or _v >= _lo[{i}]) and (_hi[{i}] is null or _v <= _hi[{i}]))" for i in range(len(places)))
+        below = ", ".join(f"if(_hi[{i}] < _v, _hi[{i}], null)" for i in range(len(places)))
+        src = src.selectExpr("*", f"_lo is not null and _v is not null and not ({inside}) as _gap")
         # a value in a bracket stands for itself; all of a gap for the end of the bracket below it (NULL: none is below)
-        src = src.select("*", F.coalesce(gap, F.lit(False)).alias("_gap"), F.when(F.coalesce(gap, F.lit(False)), below).otherwise(F.col("_v")).alias("_g"))
-    group = [*keys, *(["_gap", "_g"] if places else [])]
-    counted = {"_n": F.when(F.col("_v").isNotNull(), n)} if places else {}
-    cells = [c.alias(name) for name, c in {**counted, **sums, **least, **most}.items()]
-    src = src.select(*group, *cells, *([F.col(id_col).alias("_id")] if id_col else []))
-    add = [*[F.sum(c).alias(c) for c in (*counted, *sums)], *[F.min(c).alias(c) for c in least], *[F.max(c).alias(c) for c in most]]
+        src = src.selectExpr("*", f"if(_gap, greatest({below}, null), _v) as _g")
+    group = [*names, *(["_gap", "_g"] if places else [])]
+    counted = {"_n": f"if(_v is not null, {weight or '1L'}, null)"} if places else {}
+    cells = {**counted, **sums, **least, **most}
+    src = src.selectExpr(*group, *[f"{c} as `{name}`" for name, c in cells.items()], *([f"`{id_col}` as _id"] if id_col else []))
+    add = [F.expr(f"{fn}(`{c}`) as `{c}`") for fn, of in (("sum", counted), ("sum", sums), ("min", least), ("max", most)) for c in of]
     if id_col:
         # each row once for its value and once for its id alone, so that one shuffle serves the counts and the distinct ids
         types = dict(src.dtypes)
-        names = [f.split(".")[-1] for f in (*(("_gap", "_g") if places else ()), *counted, *sums, *least, *most)]
-        blank = [(F.lit(False) if c == "_gap" else F.lit(None)).cast(types[c]).alias(c) for c in names]
-        both = F.array(F.struct(*names, F.lit(None).cast(types["_id"]).alias("_id")), F.struct(*blank, F.col("_id")))
-        two = src.select(*keys, F.explode(F.when(F.col("_id").isNull(), F.slice(both, 1, 1)).otherwise(both)).alias("_r"))
-        pairs = two.select(*keys, "_r.*").groupBy(*group, "_id").agg(*add)
-        src = pairs.select("*", F.when(F.col("_id").isNotNull(), 1).otherwise(0).cast("long").alias(id_name))
-        add.append(F.sum(id_name).alias(id_name))
-    out = src.groupBy(*group).agg(*add)
+        own = [*(["_gap", "_g"] if places else []), *cells]
+        full = "named_struct(" + ", ".join(f"'{c}', `{c}`" for c in own) + f", '_id', cast(null as {types['_id']}))"
+        alone = "named_struct(" + ", ".join(f"'{c}', " + ("false" if c == "_gap" else f"cast(null as {types[c]})") for c in own) + ", '_id', _id)"
+        two = src.selectExpr(*names, f"explode(if(_id is null, array({full}), array({full}, {alone}))) as _r").selectExpr(*names, "_r.*")
+        pairs = two.groupBy(*[g.strip("`") for g in group], "_id").agg(*add)
+        src = pairs.selectExpr("*", f"if(_id is null, 0L, 1L) as {id_name}")
+        add.append(F.expr(f"sum({id_name}) as {id_name}"))
+    out = src.groupBy(*[g.strip("`") for g in group]).agg(*add)
     if not places:
         return out
-    own = Window.partitionBy(*keys)
-    out = out.withColumn("_t", F.sum("_n").over(own)).withColumn(
-        "_upto", F.sum(F.coalesce("_n", F.lit(0))).over(own.orderBy(F.col("_g").asc_nulls_first(), "_gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    of = ", ".join(names)
+    out = out.selectExpr("*", f"sum(_n) over (partition by {of}) as _t",
+                         f"sum(coalesce(_n, 0L)) over (partition by {of} order by _g asc nulls first, _gap rows between unbounded preceding and current row) as _upto")
 
-    def at(rank: Column) -> Column:
-        here = (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
-        return F.max(F.when(here & F.col("_gap"), F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")).when(here, F.col("_g")))
+    def at(p: float, fn: str) -> str:
+        here = f"cast({fn}({p}D * (_t - 1)) as bigint)"
+        here = f"{here} >= _upto - _n and {here} < _upto"
+        return f"max(if({here}, if(_gap, cast(raise_error('a rank lies outside its bracket') as double), _g), null))"
 
-    ranks = [at(fn(F.lit(p) * (F.col("_t") - 1)).cast("long")).alias(f"_{i}_{side}") for i, p in enumerate(places) for side, fn in ((0, F.floor), (1, F.ceil))]
-    out = out.groupBy(*keys).agg(*add, F.max("_t").alias("_t"), *ranks)
+    ranks = [F.expr(f"{at(p, fn)} as _{i}_{side}") for i, p in enumerate(places) for side, fn in ((0, "floor"), (1, "ceil"))]
+    out = out.groupBy(*keys).agg(*add, F.expr("max(_t) as _t"), *ranks)
 
-    def value(p: float) -> Column:
-        place, i = F.lit(p) * (F.col("_t") - 1), places.index(p)
-        return F.col(f"_{i}_0") + (place - F.floor(place)) * (F.col(f"_{i}_1") - F.col(f"_{i}_0"))
+    def value(p: float) -> str:
+        i = places.index(p)
+        return f"_{i}_0 + ({p}D * (_t - 1) - floor({p}D * (_t - 1))) * (_{i}_1 - _{i}_0)"
 
-    return out.select(*keys, *sums, *least, *most, *([id_name] if id_col else []), *[value(p).alias(name) for name, p in quantiles.items()])
-
-
-def _with_brackets(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return same_keys(rows, F.broadcast(brackets), keys)      # HEAVY rows at most
+    kept = [f"`{c}`" for c in (*sums, *least, *most)]
+    return out.selectExpr(*names, *kept, *([id_name] if id_col else []), *[f"{value(p)} as `{name}`" for name, p in quantiles.items()])
 
 
 def _repeated(rows: DataFrame, weight: str) -> DataFrame:
@@ -119,22 +113,19 @@ def _repeated(rows: DataFrame, weight: str) -> DataFrame:
 
 def salary_stats(df: DataFrame, keys: Sequence[str], value: str, stats: Mapping[str, Spec], digits: int | None = 0) -> DataFrame:
     """``groupBy(keys)`` with named stats, rounded to ``digits`` (None: no rounding)."""
-    rows = df.withColumn("_v", F.col(value).cast("double"))
     quantiles = {n: 0.5 if spec == "median" else spec for n, spec in stats.items() if spec == "median" or isinstance(spec, float)}
     distinct = {n: spec.split(":", 1)[1] for n, spec in stats.items() if isinstance(spec, str) and spec.startswith("count_distinct:")}
-    rows = rows.select(*keys, "_v", *dict.fromkeys(distinct.values()))
-    filled = F.when(F.col("_v").isNotNull(), F.lit(1)).cast("long")
-    got = with_quantiles(rows, keys, {"_rows": F.lit(1).cast("long"), "_filled": filled, "_sum": F.col("_v")}, {"_min": F.col("_v")},
-                         {"_max": F.col("_v")}, quantiles)
+    rows = df.select(*keys, F.expr(f"cast(`{value}` as double) as _v"))
+    got = with_quantiles(rows, keys, {"_rows": "1L", "_filled": "if(_v is not null, 1L, null)", "_sum": "_v"}, {"_min": "_v"}, {"_max": "_v"}, quantiles)
     if distinct:
         got = same_keys(got, df.groupBy(*keys).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()]), keys)
-    plain = {"count": F.col("_rows"), "avg": F.col("_sum") / F.col("_filled"), "min": F.col("_min"), "max": F.col("_max")}
+    plain = {"count": "_rows", "avg": "_sum / _filled", "min": "_min", "max": "_max"}
 
-    def final(name: str, spec: Spec) -> Column:
-        c = plain.get(spec, F.col(name)) if isinstance(spec, str) else F.col(name)
-        return c if spec == "count" or name in distinct or digits is None else F.round(c, digits)
+    def final(name: str, spec: Spec) -> str:
+        c = plain.get(spec, f"`{name}`") if isinstance(spec, str) else f"`{name}`"
+        return f"{c if spec == 'count' or name in distinct or digits is None else f'round({c}, {digits})'} as `{name}`"
 
-    return got.select(*keys, *[final(n, spec).alias(n) for n, spec in stats.items()])
+    return got.selectExpr(*[f"`{k}`" for k in keys], *[final(n, spec) for n, spec in stats.items()])
 
 
 def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value: str | None, count_name: str = "job_count",
@@ -147,13 +138,12 @@ def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value:
     """
     counts, mins, quantiles = dict(counts or {}), dict(mins or {}), dict(quantiles or {})
     flags, lows = [f"_c{i}" for i in range(len(counts))], [f"_m{i}" for i in range(len(mins))]
-    n = F.col(weight) if weight else F.lit(1)
-    rows = df.select(*keys, F.col(id_col).alias("_of"), (F.col(value) if value else F.lit(None)).cast("double").alias("_v"), n.cast("long").alias("_w"),
-                     *[F.coalesce(c, F.lit(False)).alias(f) for f, c in zip(flags, counts.values())], *[F.col(c).alias(m) for m, c in zip(lows, mins.values())])
-    sums = {"_filled": F.when(F.col("_v").isNotNull(), F.col("_w")), "_sum": F.col("_v") * F.col("_w"),
-            **{f: F.when(F.col(f), F.col("_w")).otherwise(0) for f in flags}}
-    got = with_quantiles(rows, keys, sums, {m: F.col(m) for m in lows}, {}, quantiles, "_of", "_ids", "_w" if weight else None)
-    rounded = lambda c: F.round(c, digits) if digits is not None else c
-    return got.select(*keys, F.col("_ids").alias(count_name), *([rounded(F.col("_sum") / F.col("_filled")).alias(avg_name)] if avg_name else []),
-                      *[rounded(F.col(q)).alias(q) for q in quantiles], *[F.col(f).alias(c) for f, c in zip(flags, counts)],
-                      *[F.col(m).alias(name) for m, name in zip(lows, mins)])
+    rows = df.select(*keys, F.expr(f"`{id_col}` as _of"), F.expr(f"cast({f'`{value}`' if value else 'null'} as double) as _v"),
+                     F.expr(f"cast({f'`{weight}`' if weight else 1} as bigint) as _w"), *[c.alias(f) for f, c in zip(flags, counts.values())],
+                     *[F.expr(f"`{c}` as `{m}`") for m, c in zip(lows, mins.values())])
+    sums = {"_filled": "if(_v is not null, _w, null)", "_sum": "_v * _w", **{f: f"if(`{f}`, _w, 0L)" for f in flags}}
+    got = with_quantiles(rows, keys, sums, {m: f"`{m}`" for m in lows}, {}, quantiles, "_of", "_ids", "_w" if weight else None)
+    rounded = lambda c: f"round({c}, {digits})" if digits is not None else c
+    return got.selectExpr(*[f"`{k}`" for k in keys], f"_ids as `{count_name}`", *([f"{rounded('_sum / _filled')} as `{avg_name}`"] if avg_name else []),
+                          *[f"{rounded(f'`{q}`')} as `{q}`" for q in quantiles], *[f"`{f}` as `{c}`" for f, c in zip(flags, counts)],
+                          *[f"`{m}` as `{name}`" for m, name in zip(lows, mins)])

@@ -17,7 +17,7 @@ from ..functions.classify import (annualize, clean_title, estimate_mean_or_eithe
 from ..operators import reports as R
 from ..operators.dedupe import dedupe_postings, first_per_key
 from ..operators.digest import digest, digest_totals, new_items
-from ..operators.lexicon import lexicon_frame, lexicon_match, matched_words
+from ..operators.lexicon import lexicon_demand, lexicon_frame, lexicon_match, matched_words
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite
 from ..functions.expr import label_map
@@ -27,7 +27,6 @@ from ..sources.flatten import (distinct_jobs, extract_targets, flatten_adzuna, f
                                flatten_search_results)
 from ..plans.staging import stg_all, stg_companies, stg_job_postings, stg_job_skills, union_feeds
 from . import bindings as B
-from . import marts
 
 # --- binding configuration ---------------------------------------------------
 DOC_RULES = [("licen[cs]e|copyright", "license"), ("token|secret|password", "secret"),
@@ -389,12 +388,12 @@ def q_digest_totals(spark, d):
 
 # --- KPIs and reports -----------------------------------------------------------------
 
-def mart(spark, d, name):
+def mart(spark, d, name, build=None):
     """A mart of the tables in ``d`` from the session's store: built once, read by every report until it is old."""
     root = ensure_checkpoint_dir(spark, f"{tempfile.gettempdir()}/hirelens-{uuid.uuid4().hex}")
     store = MartStore(spark, f"{root.rstrip('/')}/marts")
     key = hashlib.sha256(d.encode()).hexdigest()[:12]
-    return store.read(f"{key}/{name}", lambda: B.MART_QUERIES[name](spark, d), state=source_state(spark, [d]))
+    return store.read(f"{key}/{name}", lambda: (build or B.MART_QUERIES[name])(spark, d), state=source_state(spark, [d]))
 
 
 def q_kpi_remote(spark, d):
@@ -500,13 +499,18 @@ def _lexicon(spark, d):
     return literal.unionByName(names).unionByName(passages)
 
 
+def _lexicon_hits(spark, d):
+    docs = B.doc_texts(spark, d).withColumn("long", F.length("description") > 100)
+    return lexicon_match(docs, "description", _lexicon(spark, d), keep=["job_id", "long"], min_len=None)
+
+
 def q_lexicon_table(spark, d):
-    hits = lexicon_match(t(spark, d, "documents"), "text", _lexicon(spark, d), keep=["doc_id"], min_len=None)
-    return hits.groupBy("skill").agg(F.count_distinct("doc_id").alias("documents"))
+    return mart(spark, d, "lexicon_hits", _lexicon_hits).groupBy("skill").agg(F.count_distinct("job_id").alias("documents"))
 
 
 def q_mart_lexicon_table(spark, d):
-    return marts.tech_skills(B.doc_texts(spark, d), lexicon=_lexicon(spark, d), senior_values=B.SENIOR_PRIORITIES, attrs=B.doc_attrs(spark, d))
+    hits = mart(spark, d, "lexicon_hits", _lexicon_hits).where("long").drop("long").join(B.doc_attrs(spark, d), "job_id")
+    return lexicon_demand(hits, ["skill"], "job_id", "annual_salary_est", level_col="experience_level", senior_values=B.SENIOR_PRIORITIES)
 
 
 # --- matching -------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ committed it, so readers never see half of one, and two builders at once only ma
 from __future__ import annotations
 
 import hashlib
+import re
 import time
 from collections.abc import Callable, Sequence
 
@@ -27,18 +28,28 @@ def _filesystem(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    """What Hadoop says of each entry of a folder (path, length, times)."""
+    _, p, fs = _filesystem(spark, path)
+    return [f.toString() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _path_of(entry: str) -> str:
+    return re.search(r"\{path=([^;]*)", entry)[1]
+
+
 def source_state(spark: SparkSession, paths: Sequence[str]) -> str:
-    """A digest of the files under ``paths``: names, lengths and modification times. Any change of the files changes it."""
+    """A digest of the tables in the folders ``paths``: for each entry its name, its modification time, and its length or, of a
+    folder, the files and bytes below it (a few calls an entry, however many files it has)."""
     found = []
     for path in paths:
-        _, p, fs = _filesystem(spark, path)
-        if not fs.exists(p):
-            found.append(f"{path} none")
-            continue
-        files = fs.listFiles(p, True)
-        while files.hasNext():
-            f = files.next()
-            found.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+        entries = _listed(spark, path)
+        found.append(f"{path} {len(entries)}")
+        for e in entries:
+            found.append(" ".join(re.findall(r"(?:path|length|modification_time)=[^;]*", e)))
+            if "isDirectory=true" in e:
+                _, p, fs = _filesystem(spark, _path_of(e))
+                found[-1] += fs.getContentSummary(p).toString()
     return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()[:16]
 
 
@@ -49,16 +60,19 @@ class MartStore:
         self.spark, self.root, self.max_age = spark, root.rstrip("/"), max_age
 
     def builds(self, name: str) -> list[tuple[float, str, str]]:
-        """(load time, state, path) of the committed builds of a mart, newest first."""
-        _, p, fs = _filesystem(self.spark, f"{self.root}/{name}")
+        """(load time, state, path) of a mart's builds, newest first, also of those that aren't committed."""
         out = []
-        for f in fs.listStatus(p) if fs.exists(p) else []:
-            at, _, state = f.getPath().getName().removeprefix("at=").partition("-")
-            path = f.getPath().toString()
-            if at.isdigit() and fs.exists(_filesystem(self.spark, f"{path}/_SUCCESS")[1]):
+        for entry in _listed(self.spark, f"{self.root}/{name}"):
+            path = _path_of(entry)
+            at, _, state = path.rpartition("/")[2].removeprefix("at=").partition("-")
+            if at.isdigit():
                 out.append((int(at) / 1000, state, path))
         return sorted(out, reverse=True)
 
+    def committed(self, path: str) -> bool:
+        _, p, fs = _filesystem(self.spark, f"{path}/_SUCCESS")
+        return fs.exists(p)
+
     def read(self, name: str, build: Callable[[], DataFrame], now: float | None = None, state: str = "") -> DataFrame:
         """The mart ``name`` as of ``now`` (seconds; the clock's by default): a fresh build of the same ``state``, or a new one.
 
@@ -66,7 +80,7 @@ class MartStore:
         """
         now = time.time() if now is None else now
         for at, of, path in self.builds(name):
-            if of == state and 0 <= now - at < self.max_age:
+            if of == state and 0 <= now - at < self.max_age and self.committed(path):
                 return self.spark.read.parquet(path)
         path = f"{self.root}/{name}/at={int(now * 1000)}-{state}"
         build().write.mode("overwrite").parquet(path)
