@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import taxonomy as tx
 from ..functions.classify import (annualize, clean_title, estimate_mean_or_either, estimate_midpoint_or_zero,
@@ -22,9 +23,12 @@ from ..operators.matching import joined, learning_path, match_score, role_readin
 from ..operators.quality import check_suite
 from ..functions.expr import label_map
 from ..session import ensure_checkpoint_dir
+from ..sources.readers import load_manifest, read_optional
+from ..sources.sinks import materialize, replace_day
 from ..sources.store import MartStore, source_state
 from ..sources.flatten import (distinct_jobs, extract_targets, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch,
                                flatten_search_results)
+from ..streaming.feeds import closed_months, share_days_stream, start_feed_stream, start_trend_stream
 from ..plans.staging import stg_all, stg_companies, stg_job_postings, stg_job_skills, union_feeds
 from . import bindings as B
 
@@ -192,12 +196,11 @@ def _pages(rows, item, group_cols):
         F.collect_list(item).alias("_items"))
 
 
-def q_flatten_feed1(spark, d):
-    j = _doc_attrs(spark, d)
+def _feed1_item():
     st = F.col("o_orderstatus")
     area = (F.when(st == "F", F.array(F.lit("US"), F.col("n_name"), F.col("c_name")))
             .when(st == "O", F.array(F.lit("US"), F.col("n_name"))).otherwise(F.array(F.lit("US"))))
-    item = F.struct(
+    return F.struct(
         F.col("doc_id").cast("string").alias("id"), F.col("p_name").alias("title"),
         F.struct(F.col("c_name").alias("display_name")).alias("company"), F.col("text").alias("description"),
         F.struct(F.col("n_name").alias("display_name"), area.alias("area")).alias("location"),
@@ -206,7 +209,10 @@ def q_flatten_feed1(spark, d):
         F.struct(F.col("p_type").alias("label")).alias("category"),
         F.concat(F.lit("https://"), F.col("base"), F.lit("/"), F.col("doc_id").cast("string")).alias("redirect_url"),
         F.col("o_orderdate").cast("string").alias("created"))
-    return distinct_jobs(flatten_adzuna(_asked(_twice(j), item, "results"), fetched_at=FETCHED_AT))
+
+
+def q_flatten_feed1(spark, d):
+    return distinct_jobs(flatten_adzuna(_asked(_twice(_doc_attrs(spark, d)), _feed1_item(), "results"), fetched_at=FETCHED_AT))
 
 
 def q_flatten_feed2(spark, d):
@@ -489,6 +495,74 @@ def q_dq_suite(spark, d):
     return _checked(spark, d, [(n, c, "not_null") for n, cols in DQ_NOT_NULL.items() for c in cols] + [(n, c, "unique") for n, c in DQ_UNIQUE])
 
 
+# --- loads and streams, through files under the session's shared folder ---------------------
+
+def _folder(spark, name):
+    """A new folder under the shared one."""
+    root = ensure_checkpoint_dir(spark, f"{tempfile.gettempdir()}/hirelens-{uuid.uuid4().hex}")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_load_manifest(spark, d):
+    """Customers and pages as landed CSV files with awkward names and values, loaded by a manifest that also names a missing file."""
+    land, out = _folder(spark, "landed"), _folder(spark, "loaded")
+    pages = t(spark, d, "pages").select(F.col("page_id").alias("page id"), F.col("url").alias("page-url"),
+                                        F.regexp_extract("html", TITLE_RE, 1).alias("Title"), F.left(F.regexp_replace("html", "[\\r\\n]", " "), F.lit(200)).alias("html head"))
+    customers = t(spark, d, "customer").select(F.col("c_custkey").alias("cust-key"), F.col("c_name").alias("c name"),
+                                               F.col("c_acctbal").alias("Acct Bal"), F.concat(F.lit('a "quoted", '), F.col("c_mktsegment")).alias("segment"))
+    for name, df in (("pages", pages), ("customers", customers)):
+        w = df.write.option("header", True).option("quote", '"').option("escape", '"')
+        w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{land}/{name}.csv")
+    schemas = {"PAGES": T.StructType.fromDDL("`page id` long, `page-url` string, Title string, `html head` string")}
+    done = load_manifest(spark, land, {"pages.csv": "PAGES", "customers.csv": "CUSTOMERS", "gone.csv": "GONE"}, out, schemas)
+    loaded = {n: spark.read.parquet(f"{out}/{n}") for n, found in done.items() if found}
+    gone = read_optional(spark, f"{land}/gone.csv", T.StructType.fromDDL("id long, name string, url string"))
+    p = loaded["PAGES"].select(F.lit("PAGES").alias("src"), F.col("PAGE_ID").alias("id"), F.col("TITLE").alias("name"), F.concat_ws(" ", "PAGE_URL", "HTML_HEAD").alias("rest"))
+    c = loaded["CUSTOMERS"].select(F.lit("CUSTOMERS").alias("src"), F.col("CUST_KEY").cast("long").alias("id"), F.col("C_NAME").alias("name"),
+                                   F.concat_ws(" ", F.col("ACCT_BAL").cast("decimal(18,2)").cast("string"), "SEGMENT").alias("rest"))
+    return p.unionByName(c).unionByName(gone.select(F.lit("GONE").alias("src"), "id", "name", F.col("url").alias("rest")))
+
+
+def q_replace_days(spark, d):
+    """Events by day: all days loaded, the purchases' days loaded again twice with other values; the other days stay."""
+    sink = _folder(spark, "days")
+    ev = t(spark, d, "events").select("event_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("FETCHED_AT"))
+    day = F.left("FETCHED_AT", F.lit(10))
+    bought = ev.where(F.col("event_type") == "purchase")
+    again = ev.join(bought.select(day.alias("_d")).distinct(), day == F.col("_d"), "left_semi").withColumn("event_type", F.lit("again"))
+    replace_day(ev, sink)
+    for batch in (again, again, ev.limit(0)):
+        replace_day(batch, sink)
+    stored = materialize(spark, "day_counts", spark.read.parquet(sink).groupBy(F.col("fetch_date").cast("string").alias("day"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")), kind="table", root=_folder(spark, "tables"))
+    return materialize(spark, "january_days", stored.where(F.col("day").like("%-01-%")), kind="view").unionByName(stored.where(~F.col("day").like("%-01-%")))
+
+
+LANDED_PAGE = 500      # documents of a landed response, by their ids
+
+
+def q_feed_stream(spark, d):
+    """Documents landed as API responses, one file a query and page, run through the file stream into the feed's day table."""
+    land, history, sink, ckpt = (_folder(spark, n) for n in ("responses", "history", "sink", "stream"))
+    langs = ("de", "en", "es", "fr")
+    found = _twice(_doc_attrs(spark, d)).withColumn("page", F.floor(F.col("doc_id") / LANDED_PAGE))
+    pages = found.groupBy("query", "page").agg(F.collect_list(_feed1_item()).alias("results"))
+    pages.repartition("query", "page").write.partitionBy("query", "page").json(land)
+    start_feed_stream(spark, land, "adzuna", langs, history, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).drop("FETCHED_AT", "fetch_date")
+
+
+def q_stream_trend(spark, d):
+    """Orders as a stream of files: the trend of the months that the watermark has closed."""
+    out, ckpt = _folder(spark, "trend"), _folder(spark, "stream")
+    orders = t(spark, d, "orders")
+    stream = spark.readStream.schema(orders.schema).parquet(f"{d}/orders*.parquet")
+    buckets = [("remote", ["F"]), ("onsite", ["O"]), ("hybrid", ["P"])]
+    days = share_days_stream(stream, "o_orderdate", "o_orderstatus", buckets, lateness="3 days")
+    start_trend_stream(days, out, ckpt).awaitTermination()
+    return closed_months(spark.read.parquet(out), buckets)
+
+
 # --- lexicons that are tables ---------------------------------------------------------------
 
 def _lexicon(spark, d):
@@ -607,6 +681,10 @@ OP_QUERIES = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_suite": q_dq_suite,
+    "load_manifest": q_load_manifest,
+    "replace_days": q_replace_days,
+    "feed_stream": q_feed_stream,
+    "stream_trend": q_stream_trend,
     "lexicon_table": q_lexicon_table,
     "mart_lexicon_table": q_mart_lexicon_table,
     "skills_extract": q_skills_extract,

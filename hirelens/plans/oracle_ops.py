@@ -632,3 +632,32 @@ select skill, count(*) as job_count, round(avg(o_totalprice), 0) as avg_salary,
        count(*) filter (where o_orderpriority in {tuple(B.SENIOR_PRIORITIES)}) as senior_count, rank() over (order by count(*) desc) as demand_rank
 from hits join orders on o_orderkey = doc_id group by skill having count(*) > 10
 """
+
+
+# --- loads and streams -------------------------------------------------------------------
+
+SQL["load_manifest"] = f"""
+select 'PAGES' as src, page_id as id, regexp_extract(html, {_q(O.TITLE_RE)}, 1) as name,
+       url || ' ' || left(regexp_replace(html, '[\\r\\n]', ' ', 'g'), 200) as rest from pages
+union all
+select 'CUSTOMERS', c_custkey, c_name, c_acctbal::decimal(18, 2)::varchar || ' a "quoted", ' || c_mktsegment from customer
+"""
+
+SQL["replace_days"] = """
+with ev as (select strftime(ts, '%Y-%m-%d') as day, event_type, value from events),
+bought as (select distinct day from ev where event_type = 'purchase')
+select day, case when day in (from bought) then 'again' else event_type end as event_type, count(*) as n, round(sum(value), 2) as total
+from ev group by all
+"""
+
+SQL["feed_stream"] = f"""
+select * exclude (FETCHED_AT) replace ('https://x/' || JOB_ID as URL, lang as QUERY)
+from ({SQL['flatten_feed1']}) join (select doc_id::varchar as JOB_ID, lang from documents) using (JOB_ID)
+"""
+SQL["feed_stream"] = f"select * exclude (lang) from ({SQL['feed_stream']})"
+
+SQL["stream_trend"] = f"""
+with final as (select max(o_orderdate::date) as newest from orders
+               where o_orderdate::date + interval 1 day <= (select max(o_orderdate)::timestamp - interval 3 day from orders))
+select t.* from ({MART_SQL['mart_remote_trend']}) t, final where t.month + interval 1 month <= newest
+"""

@@ -3,9 +3,12 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from hirelens.plans import marts
 from hirelens.sources.flatten import read_payloads
 from hirelens.sources.load import load_feed
+from hirelens.streaming import feeds
 from hirelens.streaming.feeds import share_trend_stream, start_feed_stream
 
 
@@ -60,3 +63,51 @@ def test_stream_trend_equals_batch(spark, tmp_dir):
     ref = sorted(tuple(r) for r in marts.remote_trend(orders, ts="o_orderdate", flag="o_orderstatus", remote=["F"],
                                                        onsite=["O"], hybrid=["P"]).collect())
     assert got == ref and len(got) > 0
+
+
+def test_micro_batch_reads_only_its_days(spark, tmp_dir, monkeypatch):
+    """Late and repeated files: a batch reads the history of the days it touched, and the table is the batch load's."""
+    land, read, day, stamp = os.path.join(tmp_dir, "landing"), [], 86_400, 1_767_300_000
+    own = feeds.history_of
+    monkeypatch.setattr(feeds, "history_of", lambda spark_, history, days: read.append(list(days)) or own(spark_, history, days))
+    args = (os.path.join(tmp_dir, "history"), os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt"))
+    run = lambda: start_feed_stream(spark, land, "adzuna", ASKED, *args).awaitTermination(180)
+    _land(land, "engineer", 1, "a.json", [(1, "x"), (2, "B")], stamp)
+    _land(land, "engineer", 2, "b.json", [(3, "C")], stamp + day)
+    run()
+    _land(land, "engineer", 1, "again.json", [(1, "x"), (2, "B")], stamp)              # the same file, landed once more
+    run()
+    _land(land, "analyst", 1, "late.json", [(1, "first"), (9, "new")], stamp + 5)       # fetched long before it landed
+    _land(land, "analyst", 1, "next.json", [(1, "next")], stamp + 2 * day)
+    run()
+    days = ["2026-01-01", "2026-01-02", "2026-01-03"]
+    assert read == [days[:2], days[:1], [days[0], days[2]]]
+    batch = os.path.join(tmp_dir, "batch")
+    load_feed(read_payloads(spark, land, "adzuna", recursive=True), "adzuna", ASKED, batch)
+    rows = lambda p: sorted(map(str, (r.asDict() for r in spark.read.parquet(p).collect())))
+    assert rows(args[1]) == rows(batch) and len(rows(batch)) == 5
+
+
+def test_closed_months_equal_the_mart(spark, tmp_dir):
+    """Days in append output under a watermark; late rows within it count, months still open are left out."""
+    src = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderdate", "o_orderstatus")
+    buckets = [("remote", ["F"]), ("onsite", ["O"]), ("hybrid", ["P"])]
+    parts = [src.where("o_orderdate < '1994-01-31'"), src.where("o_orderdate >= '1994-01-31' and o_orderdate < '1996-06-01'"), src.where("o_orderdate >= '1996-06-01'")]
+    late = spark.createDataFrame([("1994-01-28", "F"), ("1990-01-01", "F")], "o_orderdate string, o_orderstatus string").select(
+        F.col("o_orderdate").cast(src.schema["o_orderdate"].dataType).alias("o_orderdate"), "o_orderstatus")
+    land, out, ckpt = (os.path.join(tmp_dir, n) for n in ("land", "out", "ckpt"))
+    seen = None
+    for i, part in enumerate(parts):
+        part = part.unionByName(late.where(f"year(o_orderdate) = {[0, 1994, 1990][i]}"))        # 3 days late, and 6 years
+        part.coalesce(1).write.mode("append").parquet(land)
+        stream = spark.readStream.schema(src.schema).parquet(land)
+        days = feeds.share_days_stream(stream, "o_orderdate", "o_orderstatus", buckets, lateness="5 days")
+        feeds.start_trend_stream(days, out, ckpt).awaitTermination(180)
+        got = {r.month: tuple(r) for r in feeds.closed_months(spark.read.parquet(out), buckets).collect()}
+        assert seen is None or all(got[m] == r for m, r in seen.items())        # closed months don't change
+        seen = got
+    counted = src.unionByName(late.where("o_orderdate > '1992-01-01'"))
+    want = {r.month: tuple(r) for r in marts.remote_trend(counted, ts="o_orderdate", flag="o_orderstatus", remote=["F"], onsite=["O"], hybrid=["P"]).collect()}
+    last = src.agg(F.max("o_orderdate")).first()[0]
+    newest = max(r.o_orderdate for r in src.distinct().collect() if (last - r.o_orderdate).days >= 6)     # the last final day
+    assert seen == {m: r for m, r in want.items() if (m.year, m.month) < (newest.year, newest.month)} and len(seen) > 70
