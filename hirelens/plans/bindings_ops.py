@@ -24,6 +24,7 @@ from ..operators.quality import check_suite
 from ..functions.expr import label_map
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import load_manifest, read_optional
+from ..sources.seen import SeenStore
 from ..sources.sinks import materialize, replace_day
 from ..sources.store import MartStore, source_state
 from ..sources.flatten import (distinct_jobs, extract_targets, flatten_adzuna, flatten_ashby, flatten_greenhouse, flatten_jsearch,
@@ -359,11 +360,15 @@ def q_state_normalize(spark, d):
 
 # --- digest ----------------------------------------------------------------------
 
-def _new_pages(spark, d):
+def _page_candidates(spark, d):
     pt = page_titles(spark, d)
-    cands = pt.select(F.split_part("url", F.lit("/"), F.lit(3)).alias("company"),
+    return pt.select(F.split_part("url", F.lit("/"), F.lit(3)).alias("company"),
                       F.split_part("url", F.lit("/"), F.lit(3)).alias("company_order"),
                       F.col("page_id").alias("position"), "url", "title")
+
+
+def _new_pages(spark, d):
+    cands = _page_candidates(spark, d)
     seen = t(spark, d, "pages").where(F.contains("url", F.lit(SEEN_LANG_PATH))).select("url")
     return new_items(cands, seen, include=PAGE_INCLUDE, exclude=PAGE_EXCLUDE)
 
@@ -378,6 +383,18 @@ def q_seen_next(spark, d):
     return next_seen(seen, _new_pages(spark, d).select("url"))
 
 
+def q_seen_store(spark, d):
+    """New items against a stored seen set: two appends, a compaction, a third append; the run reads the buckets it may hit."""
+    store = SeenStore(spark, _folder(spark, "seen"), buckets=32, bits=2**16)
+    seen = t(spark, d, "pages").where(F.contains("url", F.lit(SEEN_LANG_PATH))).select("page_id", "url")
+    for n in range(3):
+        store.add(seen.where(F.col("page_id") % 3 == n).select("url"))
+        if n == 1:
+            store.compact()
+    cands = _page_candidates(spark, d)
+    return new_items(cands, store.relevant(cands.select("url")), include=PAGE_INCLUDE, exclude=PAGE_EXCLUDE).select("company", "url", "title", "position")
+
+
 def _digest_items(spark, d):
     """New pages; the hosts of one top-level domain have no company name."""
     company = F.when(~F.endswith("company", F.lit(".org")), F.col("company"))
@@ -662,6 +679,7 @@ OP_QUERIES = {
     "digest_new_items": q_digest_new_items,
     "digest_totals": q_digest_totals,
     "seen_next": q_seen_next,
+    "seen_store": q_seen_store,
     "kpi_remote": q_kpi_remote,
     "kpi_coverage": q_kpi_coverage,
     "kpi_headline": q_kpi_headline,

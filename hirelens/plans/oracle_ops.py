@@ -661,3 +661,5 @@ with final as (select max(o_orderdate::date) as newest from orders
                where o_orderdate::date + interval 1 day <= (select max(o_orderdate)::timestamp - interval 3 day from orders))
 select t.* from ({MART_SQL['mart_remote_trend']}) t, final where t.month + interval 1 month <= newest
 """
+
+SQL["seen_store"] = SQL["unseen_items"]
