@@ -22,6 +22,7 @@ from ..operators.lexicon import lexicon_demand, lexicon_frame, lexicon_match, ma
 from ..operators.matching import joined, learning_path, match_score, role_readiness, skill_gap, skill_sets
 from ..operators.quality import check_suite
 from ..functions.expr import label_map
+from ..operators.search import best_postings
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import load_manifest, read_optional
 from ..sources.seen import SeenStore
@@ -643,6 +644,13 @@ def q_match_score(spark, d):
                     F.size("matched").cast("long").alias("n_matched"), "match_score", "match_band")
 
 
+def q_best_postings(spark, d):
+    """The ten best documents of each conversation, by the words of the lexicon that both hold."""
+    docs = t(spark, d, "documents").select("doc_id", matched_words("text", B.WORDS).alias("required"))
+    got = best_postings(_profiles(spark, d), docs, 10, "conv_id", "doc_id")
+    return got.withColumnsRenamed({"profile": "conv_id", "posting": "doc_id"})
+
+
 def q_learning_path(spark, d):
     return learning_path(_gap(spark, d), "doc_id", mart(spark, d, "mart_tech_skills"))
 
@@ -708,6 +716,7 @@ OP_QUERIES = {
     "skills_extract": q_skills_extract,
     "skill_gap": q_skill_gap,
     "match_score": q_match_score,
+    "best_postings": q_best_postings,
     "learning_path": q_learning_path,
     "role_readiness": q_role_readiness,
 }

@@ -663,3 +663,10 @@ select t.* from ({MART_SQL['mart_remote_trend']}) t, final where t.month + inter
 """
 
 SQL["seen_store"] = SQL["unseen_items"]
+
+SQL["best_postings"] = f"""
+with pairs as (select conv_id, doc_id, len(required) as n_required, len({_within('required', 'have')}) as n_matched
+               from ({HAVE}), (select doc_id, {hits('text', B.WORDS)} as required from documents)),
+ranked as (select *, row_number() over (partition by conv_id order by n_matched / n_required desc, doc_id) as rank from pairs where n_matched > 0)
+select conv_id, rank, doc_id, n_required, n_matched, round(n_matched / n_required, 4) as match_score from ranked where rank <= 10
+"""
