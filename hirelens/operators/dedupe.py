@@ -31,18 +31,45 @@ def keep_first(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Colu
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def keep_first_stored(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Column], narrow: Sequence[str], name: str, path: str,
+                      buckets: int = 64, digest_keys: bool = False) -> DataFrame:
+    """``keep_first`` without a shuffle of whole rows: what is ranked are narrow rows, and texts stay in their task.
+
+    ``df`` is written once, as the external table ``name`` at ``path``, a bucket file a task, with each row's task and place.
+    The first rows are found among the ``narrow`` columns (those of ``keys`` and ``order``); their places become bitmaps, one row a task, which join the
+    bucketed table where it lies: only they are shuffled. Of rows that are equal in keys and order, one stays.
+    """
+    spark, taken = df.sparkSession, set(df.columns)
+    row, part = next(f"_row{i}" for i in range(99) if f"_row{i}" not in taken), next(f"_part{i}" for i in range(99) if f"_part{i}" not in taken)
+    placed = df.withColumn(row, F.monotonically_increasing_id()).withColumn(part, F.shiftright(F.col(row), 33))
+    placed.write.mode("overwrite").format("parquet").bucketBy(buckets, part).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    first = keep_first(table.select(*narrow, row, part), keys, [*order, F.col(row)], digest_keys)
+    bits = (F.col(row).bitwiseAND(F.lit(2**33 - 1)))
+    maps = first.select(part, bits.alias("_bit")).groupBy(part, F.expr("cast(_bit div 32768 as int) as block")).agg(
+        F.expr("bitmap_construct_agg(_bit % 32768) as map"))
+    per_task = maps.groupBy(part).agg(F.expr("map_from_entries(collect_list(struct(block, map))) as _kept"))     # a bit a row of the task
+    joined = table.join(per_task.hint("shuffle_hash"), part).withColumn("_bit", bits)
+    byte = F.expr("conv(hex(substring(try_element_at(_kept, cast(_bit div 32768 as int)), cast((_bit % 32768) div 8 as int) + 1, 1)), 16, 10)")
+    return joined.where(byte.cast("int").bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 as int))")) != 0).select(*df.columns)
+
+
 def dedupe_postings(df: DataFrame, company: str = "company_name", title: str = "job_title",
                     ts: str | None = "listed_at", value: str = "annual_salary_est", source: str = "source",
-                    tie: str = "job_id", digest_keys: bool = False) -> DataFrame:
+                    tie: str = "job_id", digest_keys: bool = False, stored: tuple[str, str] | None = None, buckets: int = 64) -> DataFrame:
     """Same employer + title + day → keep the pay-bearing row, then by source, then id (G1).
 
     The pipeline's order (pay first, then source) is not total; ``tie`` makes
-    it so. ``ts=None`` drops the day from the key.
+    it so. ``ts=None`` drops the day from the key. ``stored`` names a table
+    and its folder: then whole rows aren't shuffled (``keep_first_stored``).
     """
     keys = [F.lower(F.trim(F.col(company))), F.lower(F.trim(F.col(title)))]
     if ts is not None:
         keys.append(F.to_date(F.col(ts)))
     order = [F.col(value).isNull().asc(), F.col(source).asc_nulls_last(), F.col(tie).asc_nulls_last()]
+    if stored:
+        narrow = list(dict.fromkeys(c for c in (company, title, ts, value, source, tie) if c))
+        return keep_first_stored(df, keys, order, narrow, *stored, buckets, digest_keys)
     return keep_first(df, keys, order, digest_keys)
 
 

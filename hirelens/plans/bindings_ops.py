@@ -121,7 +121,7 @@ def q_stg_all_postings(spark, d):
     adz = feeds["adzuna"].select(*ADZUNA.fieldNames())
     jse = feeds["jsearch"].select(*JSEARCH.fieldNames())
     por = feeds["portal"].select(*PORTAL.fieldNames())
-    return _ts_text(stg_all(adz, jse, por))
+    return _ts_text(stg_all(adz, jse, por, stored=(f"stg_all_{uuid.uuid4().hex}", _folder(spark, "stg_all")), buckets=16))
 
 
 def q_stg_job_postings(spark, d):

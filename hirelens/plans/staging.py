@@ -84,9 +84,12 @@ def union_feeds(*frames: DataFrame, schema=POSTING) -> DataFrame:
     return out
 
 
-def stg_all(adzuna: DataFrame, jsearch: DataFrame, portal: DataFrame) -> DataFrame:
-    """L4: the three live feeds, de-duplicated by employer + title + day."""
-    return dedupe_postings(union_feeds(stg_adzuna(adzuna), stg_jsearch(jsearch), stg_portal(portal)))
+def stg_all(adzuna: DataFrame, jsearch: DataFrame, portal: DataFrame, stored: tuple[str, str] | None = None, buckets: int = 64) -> DataFrame:
+    """L4: the three live feeds, de-duplicated by employer + title + day.
+
+    With ``stored`` (table name, shared folder) the union is written once and no description is shuffled after that.
+    """
+    return dedupe_postings(union_feeds(stg_adzuna(adzuna), stg_jsearch(jsearch), stg_portal(portal)), stored=stored, buckets=buckets)
 
 
 def stg_job_postings(raw: DataFrame, loaded_at=None, factors=tx.PAY_FACTORS_ARCHIVE) -> DataFrame:

@@ -264,3 +264,27 @@ def test_weights_stand_for_rows(spark):
     weighed = distinct_with_stats(df.groupBy(*df.columns).agg(F.count("*").alias("w")), ["k"], "id", "v", weight="w", **kw)
     key = lambda r: str(r.k)
     assert sorted(plain.collect(), key=key) == sorted(weighed.collect(), key=key) and plain.count() == 4
+
+
+def test_keep_first_stored_shuffles_no_text(spark, tmp_dir):
+    from hirelens.operators.dedupe import keep_first_stored
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["hot"] * 5 + [f"k{i % 40}", None]), rnd.choice([None, 1, 2, 3]), i // 2, f"text {i % 7}" * 20, 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v int, id int, text string, _row0 int").repartition(7)
+    order = [F.col("v").isNull().asc(), F.col("v"), F.col("id")]
+    got = keep_first_stored(df, [F.lower("k")], order, ["k", "v", "id"], "keep_first_test", f"{tmp_dir}/t", buckets=4)
+    want = keep_first(df, [F.lower("k")], order)
+    cut = lambda d: sorted((str(r.k), str(r.v), r.id) for r in d.collect())
+    assert cut(got) == cut(want) and got.columns == df.columns and {r.text for r in got.collect()} <= {r[3] for r in rows}
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|"))
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line and "text" in line.split("]")[0]]
+    assert len(scans) == 1
+    above, at = [], depth(plan[scans[0]])
+    for line in reversed(plan[:scans[0]]):
+        if depth(line) < at:
+            at = depth(line)
+            above.append(line)
+    assert above and not any("Exchange" in line for line in above), "\n".join(above)
+    spark.sql("drop table keep_first_test")
+    assert keep_first_stored(df.limit(0), ["k"], order, ["k", "v", "id"], "keep_first_none", f"{tmp_dir}/n").count() == 0
