@@ -26,7 +26,7 @@ def summarize(plan: str) -> dict:
         "bnlj": plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct"),
         "wgl": plan.count("WindowGroupLimit"),
         "generate": plan.count("Generate "),
-        "python": plan.count("BatchEvalPython") + plan.count("ArrowEvalPython") + plan.count("FlatMapGroupsInPandas"),
+        "python": plan.count("BatchEvalPython") + plan.count("ArrowEvalPython") + plan.count("FlatMapGroupsInPandas") + plan.count("MapInArrow"),
         "pushed": pushed,
         "scans": sorted({f"{t}({len([c for c in cols.split(',') if c.strip()])})" for cols, t in scans}),
     }
@@ -41,8 +41,8 @@ def main() -> None:
     print("|---|---|---|---|---|---|---|---|---|---|---|---|")
     for name, q in sorted(QUERIES.items()):
         df = q(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        df._jdf.queryExecution().toRdd().count()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         s = summarize(plan)
         print(f"| {name} | {s['shuffles']} | {s['reused']} | {s['bhj']} | {s['smj']} | {s['shj']} | {s['bnlj']} | "
               f"{s['wgl']} | {s['generate']} | {s['python']} | {s['pushed']} | {', '.join(s['scans'])} |")
