@@ -40,7 +40,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete tables of ``stored`` from which nothing will be read any more: what they led to is stored itself."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def maybe_broadcast(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm.bitmaps import bitmap, counters, has_bits
-from hirelens.llm.common import arrow_map, map_batches, stored, table
+from hirelens.llm.common import arrow_map, forget, map_batches, stored, table
 from hirelens.llm.components import components
 from hirelens.llm.textops import Words, mix, signed, window_hashes, words_of
 
@@ -35,6 +35,8 @@ SHINGLE = 5
 #: A prefix is lengthened by at most so many shingles.
 MOST_EXTRA = 2
 SKETCH_BITS = 22
+#: Logarithm of the bits that mark the shingles which several classes hold.
+HELD_BITS = 27
 
 
 def sets(w: Words, size: int = SHINGLE) -> list[np.ndarray]:
@@ -91,15 +93,21 @@ def classes(texts: DataFrame) -> DataFrame:
     return arrow_map(texts, run, "id long, n long, class long")
 
 
-def postings(texts: DataFrame) -> DataFrame:
-    """(token, class, l, place) of every prefix shingle; places count from 1, rare shingles first."""
+def sketched(texts: DataFrame):
+    """Broadcast (counter table, its mean): at least how many texts hold the shingles of each counter."""
     def shingles(batch: pa.RecordBatch):
         for _, _, w in words_of(batch.column(0), lower=True):
             yield np.concatenate(sets(w))
 
     sketch = counters(texts.select("text"), shingles, SKETCH_BITS)
-    sent = texts.sparkSession.sparkContext.broadcast((sketch, float(sketch.mean())))
+    return texts.sparkSession.sparkContext.broadcast((sketch, float(sketch.mean())))
 
+
+def postings(texts: DataFrame, sent, only=None) -> DataFrame:
+    """(token, class, l, place) of every prefix shingle; places count from 1, rare shingles first.
+
+    ``only``: a broadcast bitmap; shingles that aren't in it stay in their task.
+    """
     def run(batch: pa.RecordBatch):
         for _, _, w in words_of(batch.column(0), lower=True):
             token, cls, l, place = [], [], [], []
@@ -111,7 +119,9 @@ def postings(texts: DataFrame) -> DataFrame:
                     l.append(np.full(len(p), k, np.int8))
                     place.append(np.arange(1, len(p) + 1, dtype=np.int32))
             if token:
-                yield {"token": signed(np.concatenate(token)), "class": np.concatenate(cls), "l": np.concatenate(l), "place": np.concatenate(place)}
+                token, cls, l, place = (np.concatenate(x) for x in (token, cls, l, place))
+                some = has_bits(only.value, mix(token), HELD_BITS) if only else slice(None)
+                yield {"token": signed(token[some]), "class": cls[some], "l": l[some], "place": place[some]}
 
     return arrow_map(texts.select("text"), run, "token long, class long, l tinyint, place int")
 
@@ -166,8 +176,8 @@ def _compared(pairs: DataFrame, held: DataFrame, column: str, kind: type, common
     return arrow_map(pairs.join(of("a"), "a").join(of("b"), "b"), compare, "a long, b long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose sets reach the similarity.
+def verified(pairs: DataFrame, texts: DataFrame, sizes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The pairs (a, b) of classes whose sets reach the similarity, and the stored tables that they are read from.
 
     Two bytes of each hash bound the overlap from above; only pairs that pass so are compared by their whole sets.
     """
@@ -193,7 +203,7 @@ def verified(pairs: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
     found = stored(arrow_map(texts.where("id is not null"), whole, "id long, class long, own binary, ends binary").join(wanted, ["class", "id"], "left_semi")
                    .dropDuplicates(["class", "id"]).select("class", "own", "ends"), "join-sets")
     likely = stored(_compared(pairs, found, "ends", np.uint16, _at_most), "join-likely")
-    return _compared(likely, found, "own", np.uint64, _common)
+    return _compared(likely, found, "own", np.uint64, _common), [pairs, wanted, found, likely]
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,24 +211,38 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     texts = _narrow(docs, id_col, text_col)
     rows = stored(classes(texts), "join-classes")
     usable = rows.where("n > 0 and id is not null")
-    met = postings(texts.where("id is not null"))
+    known = texts.where("id is not null")
+    sent = sketched(known)
     # written, so that the join reads both sides through shuffles of its own and Spark can split a hot shingle
-    shared = stored(met.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("token"), "join-shared")
-    lists = stored(met.join(shared, "token").distinct(), "join-lists")
+    shared = stored(postings(known, sent).select("token", "class").groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+                    .where("lo != hi").select("token"), "join-shared")
+
+    def tokens(batch: pa.RecordBatch):
+        yield mix(np.asarray(batch["token"]).astype(np.uint64))
+
+    # the second time, shingles that one class alone holds leave their task by a false hit of the bitmap at most
+    held = texts.sparkSession.sparkContext.broadcast(bitmap(shared, tokens, HELD_BITS))
+    plain = stored(postings(known, sent, held).join(shared, "token").distinct(), "join-lists")
+    lists = plain
     own = lists.groupBy("class").agg(F.first("l").alias("l"), F.count("*").alias("kept"))
     sizes = stored(usable.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")).join(own, "class"), "join-sizes")
     lists = stored(lists.join(sizes.select("class", "n", (F.col("kept") / (F.col("n") - F.ceil(F.col("n") * NUM / DEN) + F.col("l"))).alias("common")),
                               "class"), "join-postings")
+    forget(plain, shared)
     # each class with the class of most common shingles in its lists
     centre = stored(lists.groupBy("token").agg(F.max(F.struct("common", "class", "n", "l", "place")).alias("c")).select("token", "c.*"), "join-centres")
     near = _side(lists, "a").join(_side(centre, "b"), "token").where((F.col("a") != F.col("b")) & _counts())
     best = _matched(near).groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    links = stored(verified(best, texts, sizes), "join-links")
+    found, used = verified(best, texts, sizes)
+    links = stored(found, "join-links")
+    forget(centre, *used)
     roots = stored(components(links), "join-roots")
     # all pairs of one list that are not in one component yet
     rest = _apart(lists, roots)
     pairs = (_side(rest, "a").join(_side(rest, "b"), "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _counts()))
-    links = links.union(verified(_matched(pairs), texts, sizes))
+    found, used = verified(_matched(pairs), texts, sizes)
+    links = stored(links.union(found), "join-all-links")
+    forget(lists, rest, *used)
     roots = components(links)
     first = usable.groupBy("class").agg(F.min("id").alias("first"))
     # the smallest id of each class, then of each component
@@ -235,7 +259,10 @@ def _apart(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """``lists`` with each class's ``root``, only tokens that classes of several components hold."""
     rooted = lists.join(roots, F.col("class") == F.col("vertex"), "left").withColumn("root", F.coalesce("root", "class")).drop("vertex")
     several = rooted.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("token")
-    return stored(rooted.join(stored(several, "join-several"), "token"), "join-apart")
+    several = stored(several, "join-several")
+    out = stored(rooted.join(several, "token"), "join-apart")
+    forget(several)
+    return out
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
