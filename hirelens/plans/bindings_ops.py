@@ -525,17 +525,17 @@ def q_load_manifest(spark, d):
     """Customers and pages as landed CSV files with awkward names and values, loaded by a manifest that also names a missing file."""
     land, out = _folder(spark, "landed"), _folder(spark, "loaded")
     pages = t(spark, d, "pages").select(F.col("page_id").alias("page id"), F.col("url").alias("page-url"),
-                                        F.regexp_extract("html", TITLE_RE, 1).alias("Title"), F.left(F.regexp_replace("html", "[\\r\\n]", " "), F.lit(200)).alias("html head"))
+                                        F.regexp_extract("html", TITLE_RE, 1).alias("Title"), F.regexp_replace("html", "[\\r\\n]", " ").alias("html text"))
     customers = t(spark, d, "customer").select(F.col("c_custkey").alias("cust-key"), F.col("c_name").alias("c name"),
                                                F.col("c_acctbal").alias("Acct Bal"), F.concat(F.lit('a "quoted", '), F.col("c_mktsegment")).alias("segment"))
     for name, df in (("pages", pages), ("customers", customers)):
         w = df.write.option("header", True).option("quote", '"').option("escape", '"')
         w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{land}/{name}.csv")
-    schemas = {"PAGES": T.StructType.fromDDL("`page id` long, `page-url` string, Title string, `html head` string")}
+    schemas = {"PAGES": T.StructType.fromDDL("`page id` long, `page-url` string, Title string, `html text` string")}
     done = load_manifest(spark, land, {"pages.csv": "PAGES", "customers.csv": "CUSTOMERS", "gone.csv": "GONE"}, out, schemas)
     loaded = {n: spark.read.parquet(f"{out}/{n}") for n, found in done.items() if found}
     gone = read_optional(spark, f"{land}/gone.csv", T.StructType.fromDDL("id long, name string, url string"))
-    p = loaded["PAGES"].select(F.lit("PAGES").alias("src"), F.col("PAGE_ID").alias("id"), F.col("TITLE").alias("name"), F.concat_ws(" ", "PAGE_URL", "HTML_HEAD").alias("rest"))
+    p = loaded["PAGES"].select(F.lit("PAGES").alias("src"), F.col("PAGE_ID").alias("id"), F.col("TITLE").alias("name"), F.concat_ws(" ", "PAGE_URL", "HTML_TEXT").alias("rest"))
     c = loaded["CUSTOMERS"].select(F.lit("CUSTOMERS").alias("src"), F.col("CUST_KEY").cast("long").alias("id"), F.col("C_NAME").alias("name"),
                                    F.concat_ws(" ", F.col("ACCT_BAL").cast("decimal(18,2)").cast("string"), "SEGMENT").alias("rest"))
     return p.unionByName(c).unionByName(gone.select(F.lit("GONE").alias("src"), "id", "name", F.col("url").alias("rest")))

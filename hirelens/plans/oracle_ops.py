@@ -638,7 +638,7 @@ from hits join orders on o_orderkey = doc_id group by skill having count(*) > 10
 
 SQL["load_manifest"] = f"""
 select 'PAGES' as src, page_id as id, regexp_extract(html, {_q(O.TITLE_RE)}, 1) as name,
-       url || ' ' || left(regexp_replace(html, '[\\r\\n]', ' ', 'g'), 200) as rest from pages
+       url || ' ' || regexp_replace(html, '[\\r\\n]', ' ', 'g') as rest from pages
 union all
 select 'CUSTOMERS', c_custkey, c_name, c_acctbal::decimal(18, 2)::varchar || ' a "quoted", ' || c_mktsegment from customer
 """
