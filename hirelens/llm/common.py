@@ -53,11 +53,25 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(columns: Sequence[str]) -> str:
+    """A prefix with which no column name begins, whatever its case: for columns beside those of a caller."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def maybe_broadcast(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """A broadcast hint for a side whose rows were counted and are at most ``limit``; the side itself otherwise."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def one_text(rows: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """``keys`` and ``text``: of rows with equal keys the text with the smallest hash, so a sample of ids is one of rows too."""
+    least = F.min(F.struct(F.xxhash64(text).alias("hash"), F.col(text).alias("text")))
+    return rows.groupBy(*keys).agg(least.alias("least")).select(*keys, F.col("least.text").alias(text))
+
+
 def crc_mod(col: Column, m: int) -> Column:
     """crc32 of the value as text, modulo m (null: crc32 of the empty text)."""
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(m))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import arrow_map, crc_mod, maybe_broadcast, table
+from hirelens.llm.common import arrow_map, crc_mod, maybe_broadcast, one_text, table
 from hirelens.llm.textops import runs, text_bytes
 
 RUN = 1024
@@ -167,14 +167,19 @@ def predict(m: LanguageModel, raw: np.ndarray, offs: np.ndarray) -> tuple[list[s
 def train(docs: DataFrame, may_learn: Column, chars_per_language: int = 40_000, total_chars: int = 400_000,
           docs_per_language: int = 80, longest: int = 4_000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> LanguageModel:
-    """References from whole documents of at most ``longest`` characters, in seeded order, up to the bounds."""
-    fit = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
-                     & (F.length(text_col) <= longest))
+    """References from documents in seeded order, up to the bounds: whole, or, of a document of more than ``longest``
+    characters, a seeded span of that length, cut to whole words."""
+    fit = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id")
     chosen = (fit.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
               .withColumn("place", F.row_number().over(order)).where(F.col("place") <= docs_per_language))
-    texts = fit.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    got = texts.join(maybe_broadcast(chosen), ["id", "lang"]).select("lang", "place", "text").toArrow().to_pylist()
+    text = F.col(text_col)
+    begin = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.greatest(F.length(text) - longest, F.lit(1))).cast("int") + 1
+    span = F.substring(text, begin, F.lit(longest))
+    words = F.nullif(F.regexp_extract(span, r"(?s)^\S*\s(.*)\s\S*$", 1), F.lit(""))
+    text = F.when(F.length(text) <= longest, text).otherwise(F.coalesce(words, span))
+    texts = fit.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"))
+    got = one_text(texts.join(maybe_broadcast(chosen), ["id", "lang"]), ["id", "lang", "place"], "text").toArrow().to_pylist()
     groups: dict[str, list[str]] = {}
     for row in sorted(got, key=lambda r: (r["lang"], r["place"], r["text"])):
         groups.setdefault(row["lang"], []).append(row["text"])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import arrow_map, map_batches, maybe_broadcast, stored, table
+from hirelens.llm.common import arrow_map, map_batches, maybe_broadcast, stored, table, unused
 from hirelens.llm.textops import words_of
 
 WEIGHTS = (5, 2, 1)
@@ -158,21 +158,22 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     A piece's text goes from its first to its last word; ``length_col``, if given, is set to each text's length.
     """
     _, taken = plan(docs, id_col, text_col, source_col, **options)
+    own = unused(docs.columns)
     t = taken.where(F.col("taken") > 0).select(
-        F.col("id").alias("__i"), F.col("text_key").alias("__k"), F.col("source").alias("__s"), F.col("passes").alias("__passes"),
-        *[F.col(c).alias(f"__{c}") for c in ("from1", "words1", "from2", "words2")])
+        F.col("id").alias(f"{own}i"), F.col("text_key").alias(f"{own}k"), F.col("source").alias(f"{own}s"), F.col("passes").alias(f"{own}passes"),
+        *[F.col(c).alias(f"{own}{c}") for c in ("from1", "words1", "from2", "words2")])
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.join(t, F.col(id_col).eqNullSafe(F.col("__i")) & (key == F.col("__k"))
-                       & F.col(source_col).cast("string").eqNullSafe(F.col("__s"))).drop("__i", "__k", "__s")
+    joined = docs.join(t, F.col(id_col).eqNullSafe(F.col(f"{own}i")) & (key == F.col(f"{own}k"))
+                       & F.col(source_col).cast("string").eqNullSafe(F.col(f"{own}s"))).drop(f"{own}i", f"{own}k", f"{own}s")
     names = docs.columns
     at = names.index(text_col)
 
     def run(batches):
         for batch in batches:
-            whole = np.repeat(np.arange(batch.num_rows), np.asarray(batch["__passes"]))
+            whole = np.repeat(np.arange(batch.num_rows), np.asarray(batch[f"{own}passes"]))
             out = [batch.take(pa.array(whole)).select(names)]
             for k in (1, 2):
-                begin, size = np.asarray(batch[f"__from{k}"]), np.asarray(batch[f"__words{k}"])
+                begin, size = np.asarray(batch[f"{own}from{k}"]), np.asarray(batch[f"{own}words{k}"])
                 some = np.flatnonzero(size > 0)
                 texts, base = [], 0
                 for i, j, w in words_of(batch.column(at), hashed=False):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import arrow_map, crc_mod, maybe_broadcast, table
+from hirelens.llm.common import arrow_map, crc_mod, maybe_broadcast, one_text, table
 from hirelens.llm.textops import words_of
 from hirelens.llm.textstats import STATS, quality_stats
 
@@ -174,6 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, config: RuleCon
               .orderBy(F.xxhash64(F.col("__id"), F.lit(config.seed)), "__id").limit(config.rows))
     sample = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__own_text"))
               .join(maybe_broadcast(chosen, config.rows), "__id"))
+    sample = one_text(sample, ["__id", "__label"], "__own_text")
     got = with_stats(sample, ["__id", "__label"], "__own_text").toPandas().sort_values(["__id", *STATS])
     return fit(got[list(STATS)].to_numpy(float), got["__label"].to_numpy(float), config)
 

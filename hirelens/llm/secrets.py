@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import stored, table
+from hirelens.llm.common import stored, table, unused
 
 # The patterns of the base kinds, in the order in which spans that start together are listed.
 ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -123,18 +123,19 @@ def mask_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
               repository: Column | None = None, max_owners: int = 2, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every live-looking span replaced by ``mark``; copied examples stay. Columns and rows stay as they are."""
     spans = scan(docs, id_col, text_col, owner, repository, max_owners)
-    live = spans.select(F.col("id").alias("__span_id"), F.col("text_key").alias("__span_key"), F.filter("spans", lambda s: s["live"]).alias("__live")
-                        ).where(F.size("__live") > 0)
+    own = unused(docs.columns)
+    live = spans.select(F.col("id").alias(f"{own}span_id"), F.col("text_key").alias(f"{own}span_key"), F.filter("spans", lambda s: s["live"]).alias(f"{own}live")
+                        ).where(F.size(f"{own}live") > 0)
     text = F.col(text_col)
-    joined = docs.join(live, F.col(id_col).eqNullSafe(F.col("__span_id"))
-                       & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__span_key")), "left")
+    joined = docs.join(live, F.col(id_col).eqNullSafe(F.col(f"{own}span_id"))
+                       & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(f"{own}span_key")), "left")
     # from left to right: text between the spans, a mark for each span (or run of spans that overlap)
-    walked = F.aggregate("__live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.struct(
+    walked = F.aggregate(f"{own}live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
         F.when(s["start"] < acc["at"], acc["out"]).otherwise(
             F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).alias("out")))
     masked = F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.length(text)))
-    return joined.select(*[F.when(F.col("__live").isNull(), text).otherwise(masked).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return joined.select(*[F.when(F.col(f"{own}live").isNull(), text).otherwise(masked).alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm.bitmaps import bitmap, counters, has_bits
-from hirelens.llm.common import arrow_map, forget, map_batches, stored, table
+from hirelens.llm.common import arrow_map, forget, map_batches, stored, table, unused
 from hirelens.llm.components import components
 from hirelens.llm.textops import Words, mix, signed, window_hashes, words_of
 
@@ -289,9 +289,10 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield batch.filter(pa.array(hit == inside))
         return map_batches(docs, run, docs.schema)
 
-    gone = found.where(~F.col("stays")).select(F.col("id").alias("__gone"))
+    name = f"{unused(docs.columns)}gone"
+    gone = found.where(~F.col("stays")).select(F.col("id").alias(name))
     concerned = only(True)
-    kept = concerned.join(gone, concerned[id_col] == F.col("__gone"), "left_anti").dropDuplicates([id_col])
+    kept = concerned.join(gone, concerned[id_col] == F.col(name), "left_anti").dropDuplicates([id_col])
     return only(False).unionByName(kept)
 
 

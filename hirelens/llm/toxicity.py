@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import arrow_map, crc_mod, map_batches, maybe_broadcast, table
+from hirelens.llm.common import arrow_map, crc_mod, map_batches, maybe_broadcast, one_text, table
 from hirelens.llm.textops import Words, words_of
 
 THRESHOLD = 0.3
@@ -246,6 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, config: TrainCo
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label")))
     chosen = known.orderBy(F.xxhash64(F.col("id"), F.lit(config.seed)), "id").limit(config.rows)
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(maybe_broadcast(chosen, config.rows), "id")
+    sample = one_text(sample, ["id", "label"], "text")
 
     def run(batch: pa.RecordBatch):
         for i, j, w in words_of(batch["text"], lower=True, separators=_SEPARATORS):

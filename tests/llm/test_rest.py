@@ -200,3 +200,14 @@ def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "secret_scans", "mixing", "byte_bpe"]
     names = entry.queries()
     assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
+
+
+def test_stages_that_keep_columns_keep_clashing_ones(spark):
+    """Extra columns with the names that the operators would use beside the caller's."""
+    from hirelens.llm import simjoin
+    clash = ["__i", "__k", "__s", "__passes", "__from1", "__words2", "__live", "__span_id", "__span_key", "__gone", "___gone", "__LIVE_"]
+    docs = samples.frame(spark, samples.hard_texts()).select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"v {c}").alias(c) for c in clash])
+    for got in (mixing.apply(docs, length_col="n_chars"), secrets.mask_live(docs), simjoin.representatives(docs)):
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert rows and all(r[c] == f"v {c}" for r in rows for c in clash)
