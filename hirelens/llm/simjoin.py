@@ -36,7 +36,7 @@ SHINGLE = 5
 MOST_EXTRA = 2
 SKETCH_BITS = 22
 #: Logarithm of the bits that mark the shingles which several classes hold.
-HELD_BITS = 27
+HELD_BITS = 24
 
 
 def sets(w: Words, size: int = SHINGLE) -> list[np.ndarray]:
