@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from hirelens.llm.common import arrow_map, spans_to_list, table
 from hirelens.llm.textops import CHUNK_BYTES, runs, span_hashes, text_bytes
 
-#: A worker forgets its merged matches when it holds so many.
+#: A worker forgets its merged matches when it holds so many, or four times as many ids of them.
 CACHE_ENTRIES = 1_000_000
+#: Code points that are classed at once; memory beside the JVM is scarce, and a list of all of them takes 100 MB.
+CLASS_BLOCK = 1 << 12
 # The split pattern of the public byte-level vocabularies, and the endings in it. It is applied to whole
 # columns of code points at once; any other pattern goes through the regex library.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -71,17 +73,6 @@ class Encoder:
         self.pattern = pattern
         self.queue = RankQueue(max(ranks.values()) + 1)
         self._forget()
-        size = max(ranks.values()) + 1
-        lengths = np.zeros(size, np.int64)
-        for token, rank in ranks.items():
-            lengths[rank] = len(token)
-        self.lengths = lengths
-        self.offsets = np.cumsum(lengths) - lengths
-        by_rank = [b""] * size
-        for token, rank in ranks.items():
-            by_rank[rank] = token
-        self.flat = np.frombuffer(b"".join(by_rank), np.uint8)
-        self.valid = np.array([bool(t) for t in by_rank])
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         get = self.ranks.get
@@ -166,7 +157,7 @@ class Encoder:
         starts = match_starts(raw, offs, self.pattern)
         ends = np.append(starts[1:], len(raw))
         hashes, index, inverse = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) > CACHE_ENTRIES:
+        if len(self.keys) > CACHE_ENTRIES or len(self.ids) > 4 * CACHE_ENTRIES:
             self._forget()
         at = np.searchsorted(self.keys, hashes)
         new = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != hashes)
@@ -194,6 +185,22 @@ class Encoder:
         self.first, self.count = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
 
+
+class Decoder:
+    """The bytes of every id as flat arrays: a worker that only decodes holds neither the vocabulary's dict nor a queue."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values()) + 1
+        lengths = np.zeros(size, np.int64)
+        by_rank = [b""] * size
+        for token, rank in ranks.items():
+            lengths[rank] = len(token)
+            by_rank[rank] = token
+        self.lengths = lengths
+        self.offsets = np.cumsum(lengths) - lengths
+        self.flat = np.frombuffer(b"".join(by_rank), np.uint8)
+        self.valid = lengths > 0
+
     def decode_batch(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat bytes, byte end of each id)."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.valid) or not self.valid[ids].all()):
@@ -213,13 +220,14 @@ def _classes() -> np.ndarray:
     """Class of every code point: 0 white space, 1 letter, 2 number, 3 other."""
     import regex
 
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    text = "".join(map(chr, points))
-    at = np.array(points)
     out = np.full(0x110000, 3, np.uint8)
-    for k, kind in enumerate((r"\s+", r"\p{L}+", r"\p{N}+")):
-        for m in regex.finditer(kind, text):
-            out[at[m.start(): m.end()]] = k
+    kinds = [(k, regex.compile(kind)) for k, kind in enumerate((r"\s+", r"\p{L}+", r"\p{N}+"))]
+    for first in range(0, 0x110000, CLASS_BLOCK):  # the classes of single code points, so blocks don't change them
+        points = [c for c in range(first, first + CLASS_BLOCK) if not 0xD800 <= c < 0xE000]
+        text, at = "".join(map(chr, points)), np.array(points, np.int64)
+        for k, kind in kinds:
+            for m in kind.finditer(text):
+                out[at[m.start(): m.end()]] = k
     return out
 
 
@@ -277,6 +285,7 @@ def _regex_starts(raw: np.ndarray, offs: np.ndarray, pattern: str) -> np.ndarray
 
 
 _encoders: dict[tuple[int, str], Encoder] = {}
+_decoders: dict[int, Decoder] = {}
 
 
 def _encoder(data: bytes, pattern: str) -> Encoder:
@@ -287,6 +296,14 @@ def _encoder(data: bytes, pattern: str) -> Encoder:
     return _encoders[key]
 
 
+def _decoder(data: bytes) -> Decoder:
+    key = hash(data)
+    if key not in _decoders:
+        _decoders.clear()
+        _decoders[key] = Decoder(parse_ranks(data))
+    return _decoders[key]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str = SPLIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every whole text; special tokens are ordinary text."""
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
@@ -294,7 +311,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = SPLIT, id_col: str =
     def run(batch: pa.RecordBatch):
         encoder = _encoder(sent.value, pattern)
         raw, offs = text_bytes(batch.column(1))
-        for i, j in runs(offs, 2 * CHUNK_BYTES):
+        for i, j in runs(offs, CHUNK_BYTES):
             flat, counts = encoder.encode_batch(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
             yield {"id": batch.column(0).slice(i, j - i), "ids": spans_to_list(flat, counts, pa.int32())}
 
@@ -314,12 +331,12 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     at = names.index(ids_col)
 
     def run(batch: pa.RecordBatch):
-        encoder = _encoder(sent.value, SPLIT)
+        decoder = _decoder(sent.value)
         column = batch.column(at)
         flat = np.asarray(column.flatten())
         ends = np.concatenate(([0], np.cumsum(np.asarray(column.value_lengths().fill_null(0)), dtype=np.int64)))
         for i, j in runs(ends, CHUNK_BYTES):
-            data, stops = encoder.decode_batch(flat[ends[i]: ends[j]])
+            data, stops = decoder.decode_batch(flat[ends[i]: ends[j]])
             offs = np.concatenate(([0], stops))[ends[i: j + 1] - ends[i]].astype(np.int32)
             valid = np.asarray(column.slice(i, j - i).is_valid())
             made = pa.Array.from_buffers(pa.binary(), j - i, [pa.array(valid).buffers()[1], pa.py_buffer(offs.tobytes()), pa.py_buffer(data.tobytes())])

@@ -102,6 +102,17 @@ def test_bpe_equals_library_and_round_trips(spark, vocabulary):
     assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id int, ids array<int>"), path).first().decoded is None
 
 
+def test_bpe_class_table_takes_little_memory(spark):
+    import tracemalloc
+
+    tracemalloc.start()
+    kind = bpe._classes.__wrapped__()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6  # all code points at once took over 60 MB in each worker
+    assert [kind[ord(c)] for c in " \n\u2003aé中\U0001F6007²!\u3000"] == [0, 0, 0, 1, 1, 1, 3, 2, 2, 3, 0]
+
+
 def test_bpe_with_another_pattern(spark, vocabulary):
     import tiktoken
 
