@@ -31,16 +31,16 @@ def word_sets(lexicon: DataFrame, word: str = "skill", size: int = SET) -> Itera
 
 
 def match_words(df: DataFrame, text: ColumnOrName, words: Sequence[str], keep: Sequence[ColumnOrName] = (), out: str = "skill",
-                mode: str = "substring") -> DataFrame:
+                mode: str = "substring", listed: bool = False) -> DataFrame:
     """One row per (row, found word) for one set of lower-case words; ``text`` is lower-cased. NULL texts hold none.
 
-    ``mode="word"``: no letter, digit or underscore on either side.
+    ``mode="word"``: no letter, digit or underscore on either side. ``listed``: one row per row with words, which are an array.
     """
     if mode not in ("substring", "word"):
         raise ValueError(f"unknown match mode {mode!r}")
     src = df.select(*[col(k) for k in keep], F.lower(col(text)).alias("_text"))
     kept = [f for f in src.schema.fields if f.name != "_text"]
-    schema = T.StructType([*kept, T.StructField(out, T.StringType())])
+    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.StringType()) if listed else T.StringType())])
     words, whole = list(words), mode == "word"
 
     def run(batches):
@@ -55,7 +55,7 @@ def match_words(df: DataFrame, text: ColumnOrName, words: Sequence[str], keep: S
         every = pa.array(words, pa.string())
         inside = lambda c: c == "_" or c.isalnum()
         for batch in batches:
-            rows, hits = [], []
+            rows, hits, ends = [], [], [0]
             for r, t in enumerate(batch["_text"]):
                 t = t.as_py()
                 if not t:
@@ -64,11 +64,14 @@ def match_words(df: DataFrame, text: ColumnOrName, words: Sequence[str], keep: S
                 for end, (i, n) in automaton.iter(t):
                     if not whole or not ((end >= n and inside(t[end - n])) or (end + 1 < len(t) and inside(t[end + 1]))):
                         found.add(i)
-                rows += [r] * len(found)
-                hits += sorted(found)
+                if found:
+                    rows += [r] * (1 if listed else len(found))
+                    hits += sorted(found)
+                    ends.append(len(hits))
             at = pa.array(np.array(rows, np.int64))
-            yield pa.RecordBatch.from_arrays([*[batch[f.name].take(at) for f in kept], every.take(pa.array(np.array(hits, np.int64)))],
-                                             names=[*[f.name for f in kept], out])
+            got = every.take(pa.array(np.array(hits, np.int64)))
+            got = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), got) if listed else got
+            yield pa.RecordBatch.from_arrays([*[batch[f.name].take(at) for f in kept], got], names=[*[f.name for f in kept], out])
 
     if not words:
         return df.sparkSession.createDataFrame([], schema)
@@ -76,10 +79,10 @@ def match_words(df: DataFrame, text: ColumnOrName, words: Sequence[str], keep: S
 
 
 def match_table(df: DataFrame, text: ColumnOrName, lexicon: DataFrame, word: str = "skill", keep: Sequence[ColumnOrName] = (),
-                out: str = "skill", mode: str = "substring", size: int = SET) -> DataFrame:
-    """One row per (row, word of ``lexicon`` found in it): the ``keep`` columns and ``out``."""
+                out: str = "skill", mode: str = "substring", size: int = SET, listed: bool = False) -> DataFrame:
+    """One row per (row, word of ``lexicon`` found in it): the ``keep`` columns and ``out``; ``listed``: per row and set, an array."""
     found = None
     for words in word_sets(lexicon, word, size):
-        part = match_words(df, text, words, keep, out, mode)
+        part = match_words(df, text, words, keep, out, mode, listed)
         found = part if found is None else found.unionByName(part)
     return found

@@ -62,7 +62,7 @@ def matched_words(text: ColumnOrName, lexicon: Sequence[str], mode: str = "subst
 
 def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str] | DataFrame, keep: Sequence[ColumnOrName] = (),
                   out: str = "skill", min_len: int | None = 100, mode: str = "substring",
-                  attrs: DataFrame | None = None, on: str | None = None) -> DataFrame:
+                  attrs: DataFrame | None = None, on: str | None = None, listed: bool = False) -> DataFrame:
     """One row per (input row, matched word): ``keep`` columns (+ ``attrs``) + ``out``.
 
     Rows with a NULL text or a text of ``min_len`` characters or fewer are
@@ -72,14 +72,18 @@ def lexicon_match(df: DataFrame, text: str, lexicon: Sequence[str] | DataFrame,
     ``on``), matching runs first on the text table and only ``(keep, words)``
     rows with at least one hit enter the join — the text never crosses a
     shuffle. A lexicon that is a table (its first column holds the words) is
-    matched by an automaton instead of one test per word (``automaton``).
+    matched by an automaton instead of one test per word (``automaton``); with
+    ``listed`` it gives the words of a row as an array (a row a set of words),
+    so that joins move a row per text and not one per word.
     """
     src = df
     if min_len is not None:
         src = src.where(F.col(text).isNotNull() & (F.length(F.col(text)) > min_len))
     if isinstance(lexicon, DataFrame):
-        found = match_table(src, text, lexicon, lexicon.columns[0], keep, out, mode)
+        found = match_table(src, text, lexicon, lexicon.columns[0], keep, out, mode, listed=listed)
         return found if attrs is None else found.join(attrs, on)
+    if listed:
+        raise ValueError("only a table lexicon gives arrays")
     src = src.select(*[col(k) for k in keep], F.lower(F.col(text)).alias("_text"))
     hits = matched_words("_text", lexicon, mode, lowered=True)
     kept = [F.col(c) for c in src.columns if c != "_text"]
@@ -110,13 +114,13 @@ def lexicon_demand(matches: DataFrame, keys: Sequence[str], id_col: str, value_c
                    median_name: str | None = "median_salary", level_col: str | None = None,
                    senior_values: Sequence[str] = (), senior_name: str | None = "senior_count",
                    min_count: int = 10, min_inclusive: bool = False, rank_name: str = "demand_rank",
-                   rank_within: Sequence[str] = ()) -> DataFrame:
+                   rank_within: Sequence[str] = (), once: str | None = None) -> DataFrame:
     """Aggregate matches per key: distinct ids, pay stats, senior count, rank.
 
     Keeps groups with ``count > min_count`` (or ``>=`` when ``min_inclusive``)
     and ranks them by count (``rank()``, ties share a rank) within
     ``rank_within``. ``count(distinct id)`` is exact and the median is the
-    exact interpolated one (see ``stats.distinct_with_stats``).
+    exact interpolated one (see ``stats.distinct_with_stats``, also for ``once``).
     The rank window runs on the aggregated frame, whose size is bounded by the
     lexicon size times the number of ``rank_within`` groups.
     """
@@ -124,7 +128,7 @@ def lexicon_demand(matches: DataFrame, keys: Sequence[str], id_col: str, value_c
         matches, keys, id_col, value_col, count_name=count_name,
         avg_name=avg_name if value_col else None,
         quantiles={median_name: 0.5} if (value_col and median_name) else None,
-        counts={senior_name: F.col(level_col).isin(list(senior_values))} if (level_col and senior_name) else None)
+        counts={senior_name: F.col(level_col).isin(list(senior_values))} if (level_col and senior_name) else None, once=once)
     keep = (F.col(count_name) >= min_count) if min_inclusive else (F.col(count_name) > min_count)
     w = Window.partitionBy(*rank_within).orderBy(F.col(count_name).desc())
     return g.where(keep).withColumn(rank_name, F.rank().over(w).cast("long"))
