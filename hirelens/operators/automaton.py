@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def match_words(df: DataFrame, text: ColumnOrName, words: Sequence[str], keep: S
 
         automaton = ahocorasick.Automaton()
         for i, w in enumerate(words):
-            automaton.add_word(w, (i, len(w)))
+            automaton.add_word(w, (i, len(w)) if whole else i)
         automaton.make_automaton()
         every = pa.array(words, pa.string())
         inside = lambda c: c == "_" or c.isalnum()
@@ -60,9 +61,10 @@ def match_words(df: DataFrame, text: ColumnOrName, words: Sequence[str], keep: S
                 t = t.as_py()
                 if not t:
                     continue
-                found = set()
-                for end, (i, n) in automaton.iter(t):
-                    if not whole or not ((end >= n and inside(t[end - n])) or (end + 1 < len(t) and inside(t[end + 1]))):
+                # substrings take no Python step a hit: frequent words have many
+                found = set() if whole else set(map(itemgetter(1), automaton.iter(t)))
+                for end, (i, n) in automaton.iter(t) if whole else ():
+                    if not ((end >= n and inside(t[end - n])) or (end + 1 < len(t) and inside(t[end + 1]))):
                         found.add(i)
                 if found:
                     rows += [r] * (1 if listed else len(found))

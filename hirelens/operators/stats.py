@@ -139,13 +139,16 @@ def distinct_with_stats(df: DataFrame, keys: Sequence[str], id_col: str, value:
     """
     counts, mins, quantiles = dict(counts or {}), dict(mins or {}), dict(quantiles or {})
     flags, lows = [f"_c{i}" for i in range(len(counts))], [f"_m{i}" for i in range(len(mins))]
-    rows = df.select(*keys, F.expr(f"{f'if(`{once}`, null, `{id_col}`)' if once else f'`{id_col}`'} as _of"),
-                     F.expr(f"{f'if(`{once}` and `{id_col}` is not null, 1L, 0L)' if once else '0L'} as _o"), F.expr(f"cast({f'`{value}`' if value else 'null'} as double) as _v"),
+    rows = df.select(*keys, F.expr(f"`{id_col}` as _of"), F.expr(f"if({f'`{once}`' if once else 'false'} and `{id_col}` is not null, 1L, 0L) as _o"),
+                     F.expr(f"cast({f'`{value}`' if value else 'null'} as double) as _v"),
                      F.expr(f"cast({f'`{weight}`' if weight else 1} as bigint) as _w"), *[c.alias(f) for f, c in zip(flags, counts.values())],
                      *[F.expr(f"`{c}` as `{m}`") for m, c in zip(lows, mins.values())])
     sums = {"_filled": "if(_v is not null, _w, null)", "_sum": "_v * _w", **({"_once": "_o"} if once else {}), **{f: f"if(`{f}`, _w, 0L)" for f in flags}}
-    got = with_quantiles(rows, keys, sums, {m: f"`{m}`" for m in lows}, {}, quantiles, "_of", "_ids", "_w" if weight else None)
+    got = with_quantiles(rows, keys, sums, {m: f"`{m}`" for m in lows}, {}, quantiles, None if once else "_of", "_ids", "_w" if weight else None)
+    if once:
+        pairs = df.where(f"not `{once}`").groupBy(*keys, id_col).agg(F.expr(f"if(`{id_col}` is null, 0L, 1L) as _id"))
+        got = same_keys(got, pairs.groupBy(*keys).agg(F.sum("_id").alias("_ids")), keys)
     rounded = lambda c: f"round({c}, {digits})" if digits is not None else c
-    return got.selectExpr(*[f"`{k}`" for k in keys], f"_ids{' + _once' if once else ''} as `{count_name}`", *([f"{rounded('_sum / _filled')} as `{avg_name}`"] if avg_name else []),
+    return got.selectExpr(*[f"`{k}`" for k in keys], f"{'coalesce(_ids, 0L) + _once' if once else '_ids'} as `{count_name}`", *([f"{rounded('_sum / _filled')} as `{avg_name}`"] if avg_name else []),
                           *[f"{rounded(f'`{q}`')} as `{q}`" for q in quantiles], *[f"`{f}` as `{c}`" for f, c in zip(flags, counts)],
                           *[f"`{m}` as `{name}`" for m, name in zip(lows, mins)])
