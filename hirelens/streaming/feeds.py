@@ -27,8 +27,18 @@ _SCHEMAS = {"adzuna": ADZUNA_PAYLOAD, "jsearch": JSEARCH_PAYLOAD, "greenhouse":
             "ashby": ASHBY_PAYLOAD}
 
 
+LISTED_BY = 4     # tasks a core that list folders
+
+
 def read_landed(spark: SparkSession, landing_dir: str, kind: str, max_files: int | None = None) -> DataFrame:
-    """File stream of landed responses, in all subfolders, with path and modification time."""
+    """File stream of landed responses, in all subfolders, with path and modification time.
+
+    Responses lie in a folder each, and Spark lists up to 10,000 folders with a task each, which takes longer to start than a
+    folder to list. The number of listing tasks is a setting of the session that no result depends on; it is only ever lowered.
+    """
+    name, tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism", LISTED_BY * spark.sparkContext.defaultParallelism
+    if int(spark.conf.get(name)) > tasks:
+        spark.conf.set(name, str(tasks))
     r = spark.readStream.schema(_SCHEMAS[kind]).option("multiLine", True).option("recursiveFileLookup", True)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
