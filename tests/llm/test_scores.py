@@ -201,6 +201,59 @@ def test_perplexity_in_slices_is_the_same_and_frees_its_tables(spark, monkeypatc
     assert [r.perplexity for r in sliced] == [r.perplexity and pytest.approx(r.perplexity, rel=1e-9) for r in whole]
 
 
+def test_perplexity_by_brute_force_with_little_on_disk(spark, monkeypatch):
+    """Scores equal those of a plain model, also where every word is dealt by two words; blocks of a slice are far smaller than rows of hashes."""
+    rng = random.Random(9)
+    voc = samples.vocabulary(rng, 60)
+    texts = [" ".join(rng.choice(voc) for _ in range(rng.randint(1, 40))) for _ in range(80)] + ["", None, voc[0]]
+    docs = spark.createDataFrame([(7 * i, t) for i, t in enumerate(texts)], "text_key long, __text string")
+    seen = [Counter(), Counter()]
+    for i, t in enumerate(texts):
+        w = [1, 0, *samples.words(t)]
+        seen[7 * i & 1].update(zip(w, w[1:], w[2:]))
+    want = {}
+    for f in (0, 1):
+        three = seen[f]
+        two = Counter((b, c) for _, b, c in three)
+        one = Counter(c for _, c in two)
+        cut = {o: perplexity._discounts_of(*(sum(n == k for n in of.values()) for k in (1, 2, 3, 4))) for o, of in ((3, three), (2, two), (1, one))}
+
+        def tail(of, d):
+            total, mass = Counter(), Counter()
+            for g, n in of.items():
+                total[g[:-1]] += n
+                mass[g[:-1]] += d[min(n, 3)]
+            return total, mass
+
+        t3, t2, t1 = tail(three, cut[3]), tail(two, cut[2]), tail({(c,): n for c, n in one.items()}, cut[1])
+
+        def p(a, b, c):
+            def step(n, d, of, context, lower):
+                return (n - d[min(n, 3)] + of[1][context] * lower) / of[0][context] if of[0][context] else lower
+            p1 = step(one[c], cut[1], t1, (), 1 / (len(one) + 1))
+            return step(three[a, b, c], cut[3], t3, (a, b), step(two[b, c], cut[2], t2, (b,), p1)), p1
+
+        for i, t in enumerate(texts):
+            if samples.words(t) and 7 * i & 1 != f:
+                w = [1, 0, *samples.words(t)]
+                got = [p(*g) for g in zip(w, w[1:], w[2:])]
+                want[7 * i] = (-np.mean([np.log2(x) for x, _ in got]), np.mean([np.log2(x / y) for x, y in got]))
+    monkeypatch.setattr(perplexity, "COUNT_SLICES", 2)
+    for rows, slices, often in ((1 << 60, 1, 1000), (0, 3, 10**9), (0, 2, 1)):
+        monkeypatch.setattr(perplexity, "SLICES", slices)
+        monkeypatch.setattr(perplexity, "SLICE_ROWS", rows)
+        monkeypatch.setattr(perplexity, "OFTEN", often)
+        got = {r.key: (r.bits, r.gain) for r in perplexity.word_scores(docs).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9) for k in want)
+    big = [" ".join(rng.choice(voc) for _ in range(4000)) for _ in range(10)]
+    size = lambda k, slices: sum(len(r.block) for r in perplexity._asked(
+        spark.createDataFrame(list(enumerate(big)), "text_key long, __text string"), k, slices, np.zeros(0, np.uint64)).collect())
+    whole = size(0, 1)
+    assert whole < 40_000 * 24
+    assert all(size(k, 14) < whole / 3 for k in (0, 13))
+
+
 def test_toxicity_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
     rng = random.Random(6)
     texts = [" ".join(rng.choice(toxicity.FUNCTION_WORDS["en" if i % 4 else "de"] + (("vile",) if i % 3 == 0 else ("nice",))) for _ in range(30))
